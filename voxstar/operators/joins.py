@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 1_000_000
-SALTS = 64
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -22,31 +21,28 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return size <= max_bytes
 
 
-def _salt(by: list[str], salts: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(salts)).cast("int")
-
-
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, salt_by: list[str],
-              hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
-    """Join on equal keys, spreading every key with more than ``hot_rows`` left rows.
-
-    The hot keys come from a map-side combined count and number at most
-    rows / ``hot_rows``, so broadcasting them is bounded by the input size.
-    Left rows of a hot key are salted by ``salt_by``; only the right rows of hot
-    keys are copied, once per salt. ``how`` may be inner, left, left_semi or
+              hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Join on equal keys, splitting every key with more than ``hot_rows`` left rows.
+
+    The hot keys come from a map-side combined count; there are at most
+    rows / ``hot_rows`` of them, which bounds their broadcast. A key with n rows
+    is split into n / ``hot_rows`` salts, chosen by a hash of ``salt_by``, and only
+    the right rows of hot keys are copied, once per salt: at most
+    2 * rows / ``hot_rows`` copies in all. ``how`` may be inner, left, left_semi or
     left_anti: each left row meets exactly one salt, so results are unchanged.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    hot = (left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_rows).select(*on, F.lit(True).alias("_hot")))
+    hot = (left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+           .select(*on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
     hot = F.broadcast(hot)
+    digest = F.xxhash64(*[F.col(c) for c in salt_by])
     salted_left = (left.join(hot, on, "left")
-                   .withColumn("_salt", F.when(F.col("_hot"), _salt(salt_by, salts)).otherwise(F.lit(0)))
-                   .drop("_hot"))
-    copies = (F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-              .otherwise(F.array(F.lit(0))))
-    salted_right = (right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot"))
+                   .withColumn("_salt", F.coalesce(F.pmod(digest, F.col("_salts")).cast("int"), F.lit(0)))
+                   .drop("_salts"))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    salted_right = right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
@@ -60,8 +56,8 @@ def dim_join(fact: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "i
 
 
 def full_outer_keyed(left: DataFrame, right: DataFrame, on: list[str], salt_by: list[str],
-                     hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+                     hot_rows: int = HOT_ROWS) -> DataFrame:
     """Full outer join as a salted left join plus the right rows nothing refers to."""
-    matched = skew_join(left, right, on, "left", salt_by, hot_rows, salts)
+    matched = skew_join(left, right, on, "left", salt_by, hot_rows)
     orphans = right.join(left.select(*on).distinct(), on, "left_anti")
     return matched.unionByName(orphans, allowMissingColumns=True)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from voxstar.operators.joins import HOT_ROWS, SALTS, fits_broadcast, skew_join
+from voxstar.operators.joins import HOT_ROWS, fits_broadcast, skew_join
 from voxstar.session import shared_dir
 
 
@@ -31,14 +31,17 @@ def dedupe_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def tag_first(df: DataFrame, keys: list[str], order: list[str], flag: str = "is_first",
-              salts: int = SALTS) -> DataFrame:
+              salts: int | None = None) -> DataFrame:
     """Mark the first row of every key and keep all rows.
 
     Rows are ranked inside (key, salt), the winning salt per key comes from a
     combined aggregate over the local firsts, and the mark is joined back on the
-    same (key, salt) partitioning, so no key is ever handled by one task.
-    Rows with a null key get no mark.
+    same (key, salt) partitioning, so no key is ever handled by one task. There
+    are as many salts as shuffle partitions unless given. ``order`` should be
+    unique within a key; of equal rows any one is marked. Rows with a null key
+    get no mark.
     """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salts)).cast("int")
     local = Window.partitionBy(*keys, "_salt").orderBy(*_ordered(order))
     ranked = df.withColumn("_salt", salt).withColumn("_rank", F.row_number().over(local))
@@ -51,14 +54,15 @@ def tag_first(df: DataFrame, keys: list[str], order: list[str], flag: str = "is_
 
 
 def tag_exists(df: DataFrame, parent: DataFrame, column: str, parent_column: str, flag: str,
-               salt_by: list[str], hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+               salt_by: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Mark the rows whose ``column`` value is a key of ``parent``."""
-    known = (parent.select(F.col(parent_column).alias(column)).distinct()
-             .withColumn(flag, F.lit(True)))
-    if fits_broadcast(known):
+    parent_keys = parent.select(F.col(parent_column).alias(column))
+    small = fits_broadcast(parent_keys)  # scans one column, shuffles nothing
+    known = parent_keys.distinct().withColumn(flag, F.lit(True))
+    if small:
         joined = df.join(F.broadcast(known), column, "left")
     else:
-        joined = skew_join(df, known, [column], "left", salt_by, hot_rows, salts)
+        joined = skew_join(df, known, [column], "left", salt_by, hot_rows)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
@@ -73,7 +77,7 @@ def enforce_fk(df: DataFrame, parent: DataFrame, column: str, parent_column: str
 
 def cascade_delete(child: DataFrame, deleted: DataFrame, key: str, salt_by: list[str], **skew) -> DataFrame:
     """Child rows that remain after their parents were deleted."""
-    gone = deleted.select(key).distinct()
+    gone = deleted.select(key)
     if fits_broadcast(gone):
         return child.join(F.broadcast(gone), key, "left_anti")
     return skew_join(child, gone, [key], "left_anti", salt_by, **skew)

@@ -44,9 +44,9 @@ def sentiment_by_category(assignment: DataFrame, sentiment_category: DataFrame,
     captured = captured_per_event(tweet_data, searches)
     voted = (captured.join(assignment, "tweet_id").groupBy("event_id", "sent_id")
              .agg(F.sum("captures").alias("captures")))
-    bridge = dim_join(category.select("event_id", F.col("cat_name_id").alias("name_id")), cat_name, "name_id")
-    named = dim_join(dim_join(dim_join(voted, sentiment_category, "sent_id"), events, "event_id"),
-                     bridge.select("event_id", "name_text"), "event_id")
+    bridge = category.select("event_id", F.col("cat_name_id").alias("name_id")).join(cat_name, "name_id")
+    named = (voted.join(sentiment_category, "sent_id").join(events, "event_id")
+             .join(bridge.select("event_id", "name_text"), "event_id"))
     keys = ["sentiment_category", F.col("name_text").alias("category_name")]
     if by_event:
         keys.append("event_name")
@@ -71,7 +71,7 @@ def emotion_sums_by_event(associations: DataFrame, tweet_data: DataFrame, search
     captured = captured_per_event(tweet_data, searches)
     sums = (captured.join(shown, "tweet_id").groupBy("event_id")
             .agg(*[F.sum(F.when(F.col("emotion") == e, F.col("captures")).otherwise(0)).alias(e) for e in emotions]))
-    wide = dim_join(sums, events.select("event_id", "event_name"), "event_id")
+    wide = sums.join(events.select("event_id", "event_name"), "event_id")
     return (wide.unpivot(["event_name"], emotions, "emotion", "sum")
             .select(F.col("event_name").alias("event"), "emotion", "sum"))
 

@@ -28,17 +28,22 @@ def build_cities(world: DataFrame, us_states: DataFrame, **skew) -> DataFrame:
         F.coalesce("state_id", F.lit(0)).alias("state_id"))
 
 
-def located_users(users: DataFrame, author: str = "author_id", location: str = "location") -> DataFrame:
+def located_users(users: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Users whose location reads as a US state, with the state code."""
-    coded = users.select(F.col(author).alias("author_id"), normalise_location(F.col(location)).alias("state_abbr"))
+    coded = users.select("author_id", normalise_location(F.col("location")).alias("state_abbr"),
+                         *[F.col(c).alias(f"_order_{c}") for c in keep or []])
     return coded.filter(is_state(F.col("state_abbr")))
 
 
 def author_location(users: DataFrame, us_states: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """(author_id, state_id), the last row per author; codes without a state row drop out."""
+    """(author_id, state_id); codes without a state row drop out.
+
+    With ``order``, an author's last located row counts.
+    """
+    located = located_users(users, order)
     if order:
-        users = dedupe_last(users, ["author_id"], order)
-    return (dim_join(located_users(users), us_states.select("state_abbr", "state_id"), "state_abbr",
+        located = dedupe_last(located, ["author_id"], [f"_order_{c}" for c in order])
+    return (dim_join(located.select("author_id", "state_abbr"), us_states.select("state_abbr", "state_id"), "state_abbr",
                      salt_by=["author_id"]).select("author_id", "state_id"))
 
 
@@ -57,4 +62,4 @@ def per_capita(population: DataFrame, state_users: DataFrame, keep_district: boo
 
 def geo_hierarchy(us_states: DataFrame, divisions: DataFrame, regions: DataFrame) -> DataFrame:
     """States with their division and region names."""
-    return dim_join(dim_join(us_states, divisions, "div_id"), regions, "reg_id")
+    return us_states.join(divisions, "div_id").join(regions, "reg_id")

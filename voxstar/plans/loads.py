@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from voxstar.operators.joins import SALTS
 from voxstar.operators.keys import assign_ids, next_id, resolve_id, tag_exists, tag_first, upsert_dim
 from voxstar.operators.quality import REASON, audit, tag_rejects, unquotable
 from voxstar.plans.geo import author_location, build_cities
@@ -22,14 +21,13 @@ ORDER = ["filepath", "pos"]
 FACT_KEY = ["tweet_id", "author_id", "search_id"]
 
 
-def _opens_key(df: DataFrame, stored: DataFrame, keys: list[str], order: list[str],
-               salts: int = SALTS) -> DataFrame:
+def _opens_key(df: DataFrame, stored: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Mark (``_opens``) the rows that are first of their key and not stored yet.
 
     Only first rows are looked up in the stored table, and those are unique per
     key, so the look-up meets no hot key.
     """
-    tagged = tag_first(df, keys, order, "_first", salts)
+    tagged = tag_first(df, keys, order, "_first")
     known = stored.select(*keys).distinct()
     firsts = tagged.filter("_first").join(known.withColumn("_stored", F.lit(True)), keys, "left")
     others = tagged.filter("NOT _first").withColumn("_stored", F.lit(None).cast("boolean"))
@@ -110,6 +108,7 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
     load_key = load_key or f"load-{batch_id}"
     if store.has(load_key):
         return store.read("run_log").limit(0)
+    store = store.snapshot()
 
     parsed = with_search_meta(parse_payloads(raw)).persist()
     good, broken = quarantine(parsed)
@@ -153,6 +152,7 @@ def secondary_load(store: Store, lexicon: DataFrame, load_key: str | None = None
     load_key = load_key or f"load-{batch_id}"
     if store.has(load_key):
         return store.read("run_log").limit(0)
+    store = store.snapshot()
     facts = store.read("tweet_data")
     states = us_states if us_states is not None else seed_tables(store.spark)["us_states"]
 

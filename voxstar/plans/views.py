@@ -15,8 +15,7 @@ def vw_us_cities(cities: DataFrame) -> DataFrame:
 
 def vw_cat_events(category: DataFrame, cat_name: DataFrame, events: DataFrame) -> DataFrame:
     """One row per event with its category names in category order."""
-    named = dim_join(dim_join(category.withColumnRenamed("cat_name_id", "name_id"), cat_name, "name_id"),
-                     events, "event_id")
+    named = category.withColumnRenamed("cat_name_id", "name_id").join(cat_name, "name_id").join(events, "event_id")
     names = F.transform(F.array_sort(F.collect_list(F.struct("category_id", "name_text"))), lambda s: s["name_text"])
     return named.groupBy("event_id").agg(
         F.min("category_id").alias("category_id"),

@@ -44,6 +44,7 @@ TABLES = {
     "sentiment_category": "sent_id int, sentiment_category string",
     "sentiment_category_assignment": "tweet_id string, sent_id int",
     "author_location": "author_id string, state_id int",
+    "vw_cat_events": "category_id int, event_id int, categories string, event_name string",
     "run_log": "run_date timestamp, load_type string, comment string, filepath string",
 }
 

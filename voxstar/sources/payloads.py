@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import DataStreamReader
 
 from voxstar.functions.text import first_reference
 from voxstar.schemas import payload_schema
@@ -15,23 +14,19 @@ from voxstar.seeds import event_dim
 FILE_NAME = r"([^/]+)/([A-Za-z_]+)_([0-9]{4}-[0-9]{2}-[0-9]{2})_([0-9]{4}-[0-9]{2}-[0-9]{2})\.json$"
 
 
-def _whole_files(reader) -> DataStreamReader:
-    return reader.option("wholetext", True).option("pathGlobFilter", "*.json")
-
-
 def scan_payloads(spark: SparkSession, root: str) -> DataFrame:
     """(filepath, value): one row per payload file below ``root``/<event>/."""
-    files = _whole_files(spark.read).text(os.path.join(root, "*"))
+    files = spark.read.option("pathGlobFilter", "*.json").text(os.path.join(root, "*"), wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("filepath"), "value")
 
 
 def stream_payloads(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
     """The streaming form of ``scan_payloads``."""
-    reader = _whole_files(spark.readStream)
+    reader = spark.readStream.option("pathGlobFilter", "*.json")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return (reader.text(os.path.join(root, "*"))
-            .select(F.col("_metadata.file_path").alias("filepath"), "value"))
+    files = reader.text(os.path.join(root, "*"), wholetext=True)
+    return files.select(F.col("_metadata.file_path").alias("filepath"), "value")
 
 
 def parse_payloads(raw: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import time
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from voxstar.schemas import LEXICON_DDL, POPULATION_DDL, TABLES, WORLD_CITIES_DDL, table_schema
 from voxstar.functions.location import STATE_CODES, map_values
@@ -30,13 +30,11 @@ def read_cities(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(WORLD_CITIES_DDL).option("header", True).csv(path)
 
 
-def read_export(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
-    """An exported table: a JSON array of row objects; column names become lower case."""
-    reader = spark.read.option("multiLine", True)
-    if table:
-        reader = reader.schema(table_schema(table))
-    df = reader.json(path)
-    return df.toDF(*[c.lower() for c in df.columns])
+def read_export(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """An exported table: a JSON array of row objects with upper-case column names."""
+    wanted = table_schema(table)
+    exported = StructType([StructField(f.name.upper(), f.dataType) for f in wanted])
+    return spark.read.schema(exported).option("multiLine", True).json(path).toDF(*wanted.names)
 
 
 def keyword_terms(keywords: Column) -> Column:
@@ -47,7 +45,7 @@ def keyword_terms(keywords: Column) -> Column:
 
 def read_emoji_dict(spark: SparkSession, path: str) -> DataFrame:
     """(emoji, terms) from a JSON object {emoji: [keyword, ...]}."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     entries = raw.select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("emoji", "keywords"))
     return entries.select("emoji", keyword_terms(F.col("keywords")).alias("terms"))
 
@@ -62,9 +60,10 @@ class Store:
     one pass, apart by the ``accepted`` partition.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, done: list[int] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._done = done
 
     def _scan(self, table: str, ddl: str) -> DataFrame:
         schema = StructType.fromDDL(ddl)
@@ -79,6 +78,16 @@ class Store:
         """(load_key, batch_id): one row per finished load."""
         return self._scan("commits", "load_key string, batch_id long")
 
+    def finished(self) -> list[int]:
+        """Numbers of the finished loads: short, and prunes partitions when planning."""
+        if self._done is not None:
+            return self._done
+        return [r[0] for r in self.commits().select("batch_id").collect()]
+
+    def snapshot(self) -> Store:
+        """The store as of now; loads that finish later stay out of sight."""
+        return Store(self.spark, self.root, self.finished())
+
     def has(self, load_key: str) -> bool:
         return self.commits().filter(F.col("load_key") == load_key).limit(1).count() > 0
 
@@ -92,9 +101,7 @@ class Store:
         rows = self._scan(table, ddl).filter(F.col("accepted") == accepted)
         if batch_id is not None:
             return rows.filter(F.col("batch_id") == batch_id)
-        # one number per load, so the list stays short and prunes partitions when planning
-        done = [r[0] for r in self.commits().select("batch_id").collect()]
-        return rows.filter(F.col("batch_id").isin(done))
+        return rows.filter(F.col("batch_id").isin(self.finished()))
 
     def read(self, table: str, batch_id: int | None = None) -> DataFrame:
         """Accepted rows of all finished loads, or of one load in progress."""
@@ -122,7 +129,7 @@ class Store:
 
 def literal_frame_of(spark: SparkSession, schema: StructType) -> DataFrame:
     """An empty frame of a schema, planned without Python workers."""
-    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+    return spark.range(1).filter(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:

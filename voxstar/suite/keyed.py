@@ -49,7 +49,7 @@ def _skewed(how):
     def run(spark, sf):
         lines = _lines(spark, sf).select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
         marks = s.table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
-        return skew_join(lines, marks, ["l_orderkey"], how, ["l_linenumber", "l_quantity"], hot_rows=4, salts=8)
+        return skew_join(lines, marks, ["l_orderkey"], how, ["l_linenumber", "l_quantity"], hot_rows=2)
     return run
 
 
