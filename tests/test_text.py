@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from voxstar.functions import text
 
+PYTHON_SPACES = [c for c in range(0x10000) if chr(c).isspace()]
+
 
 def value(spark, raw, expression):
     return spark.createDataFrame([(raw,)], "t string").select(expression(F.col("t")).alias("o")).first()["o"]
@@ -17,6 +19,8 @@ def value(spark, raw, expression):
     ("a1#b22", text.strip_digits, "ab"),
     ("  one two\t three four\n", text.tokens, ["one", "two", "three", "four"]),
     ("", text.tokens, []),
+    ("".join(f"w{chr(c)}" for c in PYTHON_SPACES), text.tokens, ["w"] * len(PYTHON_SPACES)),
+    ("a\u200bb", text.tokens, ["a\u200bb"]),
 ])
 def test_cleaning(spark, raw, expression, want):
     assert value(spark, raw, expression) == want

@@ -11,8 +11,7 @@ SIGILS = "@#"
 DIGITS_AND_HASHES = r"\d*#*"
 MEDIA_POST = "Just posted a"
 RETWEET_PREFIX = "RT%"
-# white space as Python's str.split sees it
-WHITESPACE = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
+WHITESPACE = r"(?U)[\s\x1C-\x1F]+"     # Unicode white space and the four separator controls
 # ------------------------------------------------------------------------------
 
 
@@ -50,7 +49,8 @@ def clean_tweets(df: DataFrame, text: str, digits: bool = False) -> DataFrame:
 
 def code_points(text: Column) -> Column:
     """Distinct code points of a text that are neither Latin letters nor white space."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"([^A-Za-z\s])"), F.lit(1)))
+    rest = F.regexp_replace(text, r"[A-Za-z\s]+", "")
+    return F.array_distinct(F.regexp_extract_all(rest, F.lit("((?s).)"), F.lit(1)))
 
 
 def unique_emojis(text: Column, emoji: list[str]) -> Column:

@@ -47,10 +47,14 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, salt_b
 
 
 def dim_join(fact: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "inner",
-             salt_by: list[str] | None = None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Join a fact to a lookup table: broadcast when measured small, else ``skew_join``."""
+             salt_by: list[str] | None = None, max_bytes: int = BROADCAST_BYTES,
+             measured: DataFrame | None = None) -> DataFrame:
+    """Join a fact to a lookup table: broadcast when measured small, else ``skew_join``.
+
+    ``measured`` names a frame at least as large as ``dim`` that is cheaper to measure.
+    """
     on = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(dim, max_bytes):
+    if fits_broadcast(dim if measured is None else measured, max_bytes):
         return fact.join(F.broadcast(dim), on, how)
     return skew_join(fact, dim, on, how, salt_by or [c for c in fact.columns if c not in on] or on)
 

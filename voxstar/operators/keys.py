@@ -54,11 +54,14 @@ def tag_first(df: DataFrame, keys: list[str], order: list[str], flag: str = "is_
 
 
 def tag_exists(df: DataFrame, parent: DataFrame, column: str, parent_column: str, flag: str,
-               salt_by: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Mark the rows whose ``column`` value is a key of ``parent``."""
+               salt_by: list[str], hot_rows: int = HOT_ROWS, unique: bool = False) -> DataFrame:
+    """Mark the rows whose ``column`` value is a key of ``parent``.
+
+    ``unique`` tells that the parent holds each key once.
+    """
     parent_keys = parent.select(F.col(parent_column).alias(column))
     small = fits_broadcast(parent_keys)  # scans one column, shuffles nothing
-    known = parent_keys.distinct().withColumn(flag, F.lit(True))
+    known = (parent_keys if unique else parent_keys.distinct()).withColumn(flag, F.lit(True))
     if small:
         joined = df.join(F.broadcast(known), column, "left")
     else:

@@ -42,9 +42,8 @@ def frequent_emoji(emojis: DataFrame, dictionary: DataFrame, min_support: float
     else:
         widths = dictionary.groupBy("name").agg(
             F.sum(F.greatest(F.size(F.coalesce("terms", F.array().cast("array<string>"))), F.lit(1))).alias("_terms"))
-        weighted = dim_join(per_emoji, widths, "name", "left", salt_by=["emoji"])
-        counts = weighted.groupBy("emoji").agg(
-            F.sum(F.col("_tweets") * F.coalesce("_terms", F.lit(1))).alias("freq"))
+        counts = (per_emoji.join(widths, "name", "left").groupBy("emoji")
+                  .agg(F.sum(F.col("_tweets") * F.coalesce("_terms", F.lit(1))).alias("freq")))
         total = counts.select(F.sum("freq")).scalar()
     out = counts.select("emoji", (F.col("freq") / total).alias("support"))
     return out.filter(F.col("support") >= min_support)
@@ -56,10 +55,12 @@ def emoji_associations(tweets: DataFrame, names: DataFrame, dictionary: DataFram
     """One row per tweet, frequent emoji, term and associated emotion, with support and polarity mark."""
     emojis = tweet_emojis(tweets, names, tweet_id, text)
     support = frequent_emoji(emojis, dictionary, min_support)
-    terms = emoji_terms(dim_join(emojis, support, "emoji", salt_by=["tweet_id"]), dictionary)
-    felt = dim_join(terms, lexicon.filter(F.col("association") == 1), "term", salt_by=["tweet_id"])
-    return with_polarity(felt).select("tweet_id", "emoji", "name", "term", "support", "emotion",
-                                      "association", "sent_id")
+    # everything that follows an emoji is joined among the lookups, so the tweet side meets one join
+    terms = names.join(dictionary.select("name", F.explode("terms").alias("term")), "name")
+    felt = with_polarity(terms.join(lexicon.filter(F.col("association") == 1), "term")).drop("name")
+    lookup = felt.join(support, "emoji")
+    return (dim_join(emojis, lookup, "emoji", salt_by=["tweet_id"], measured=felt)
+            .select("tweet_id", "emoji", "name", "term", "support", "emotion", "association", "sent_id"))
 
 
 def with_polarity(df: DataFrame) -> DataFrame:

@@ -31,20 +31,22 @@ def build_cities(world: DataFrame, us_states: DataFrame, **skew) -> DataFrame:
 def located_users(users: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Users whose location reads as a US state, with the state code."""
     coded = users.select("author_id", normalise_location(F.col("location")).alias("state_abbr"),
-                         *[F.col(c).alias(f"_order_{c}") for c in keep or []])
+                         *[c for c in keep or []])
     return coded.filter(is_state(F.col("state_abbr")))
 
 
-def author_location(users: DataFrame, us_states: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """(author_id, state_id); codes without a state row drop out.
+def author_location(users: DataFrame, us_states: DataFrame, order: list[str] | None = None,
+                    keep: list[str] | None = None) -> DataFrame:
+    """(author_id, state_id[, keep]); codes without a state row drop out.
 
     With ``order``, an author's last located row counts.
     """
-    located = located_users(users, order)
+    kept = list(dict.fromkeys([*(order or []), *(keep or [])]))
+    located = located_users(users, kept)
     if order:
-        located = dedupe_last(located, ["author_id"], [f"_order_{c}" for c in order])
-    return (dim_join(located.select("author_id", "state_abbr"), us_states.select("state_abbr", "state_id"), "state_abbr",
-                     salt_by=["author_id"]).select("author_id", "state_id"))
+        located = dedupe_last(located, ["author_id"], order)
+    return (dim_join(located.select("author_id", "state_abbr", *(keep or [])), us_states.select("state_abbr", "state_id"), "state_abbr",
+                     salt_by=["author_id"]).select("author_id", "state_id", *(keep or [])))
 
 
 def users_per_state(users: DataFrame) -> DataFrame:

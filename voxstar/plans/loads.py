@@ -28,8 +28,8 @@ def _opens_key(df: DataFrame, stored: DataFrame, keys: list[str], order: list[st
     key, so the look-up meets no hot key.
     """
     tagged = tag_first(df, keys, order, "_first")
-    known = stored.select(*keys).distinct()
-    firsts = tagged.filter("_first").join(known.withColumn("_stored", F.lit(True)), keys, "left")
+    known = stored.select(*keys, F.lit(True).alias("_stored"))
+    firsts = tagged.filter("_first").join(known, keys, "left")
     others = tagged.filter("NOT _first").withColumn("_stored", F.lit(None).cast("boolean"))
     return (firsts.unionByName(others)
             .withColumn("_opens", F.col("_first") & F.col("_stored").isNull())
@@ -61,8 +61,8 @@ def facts_load(facts: DataFrame, stored: DataFrame, users: DataFrame, texts: Dat
     key, so loading a file again adds nothing.
     """
     rows = _opens_key(facts, stored, FACT_KEY, ORDER)
-    rows = tag_exists(rows, users, "author_id", "author_id", "_author", ORDER)
-    rows = tag_exists(rows, texts, "tweet_id", "tweet_id", "_text", ORDER)
+    rows = tag_exists(rows, users, "author_id", "author_id", "_author", ORDER, unique=True)
+    rows = tag_exists(rows, texts, "tweet_id", "tweet_id", "_text", ORDER, unique=True)
     rules = {"missing key": F.col("tweet_id").isNull() | F.col("author_id").isNull(),
              "unknown author": ~F.col("_author"), "unknown text": ~F.col("_text"),
              "duplicate key": ~F.col("_opens")}
@@ -85,24 +85,22 @@ def cities_load(world: DataFrame, us_states: DataFrame, stored: DataFrame) -> Da
                               "duplicate key": ~F.col("_opens")}).drop("_opens")
 
 
-def _logged(store: Store, table: str, label: str, batch_id: int, load_type: str) -> DataFrame:
-    """Audit rows of a table's partition just written."""
-    done = store._rows(table, True, batch_id).unionByName(store._rows(table, False, batch_id))
-    return audit(done, load_type, label)
-
-
-def _finish(store: Store, logs: list[DataFrame], batch_id: int, load_key: str) -> DataFrame:
+def _finish(store: Store, labels: dict[str, str], load_type: str, batch_id: int, load_key: str,
+            covers: list[int] | None = None) -> DataFrame:
+    """Write the audit rows of a load's tables, then commit it."""
+    logs = [audit(store.attempted(table, batch_id), load_type, label) for table, label in labels.items()]
     store.write("run_log", reduce(lambda a, b: a.unionByName(b), logs), batch_id)
-    store.commit(batch_id, load_key)
-    return store.read("run_log", batch_id)
+    store.commit(batch_id, load_key, covers)
+    return store.read("run_log", [batch_id])
 
 
 def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quoting: bool = False) -> DataFrame:
     """Load captured payloads (filepath, value); returns the run_log rows of the load.
 
-    Order: users, texts, search windows, searches, facts, log. Every table is
-    written once, and later steps read what was written, so a lost executor never
-    repeats earlier steps. A finished ``load_key`` is skipped.
+    Order: users, texts, search windows, searches, facts, log. The parsed payloads
+    are kept as nested Parquet first, so each step reads its own columns, and later
+    steps read what earlier ones wrote: a lost executor never repeats a finished
+    step. A finished ``load_key`` is skipped.
     """
     batch_id = store.new_batch()
     load_key = load_key or f"load-{batch_id}"
@@ -110,13 +108,12 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
         return store.read("run_log").limit(0)
     store = store.snapshot()
 
-    parsed = with_search_meta(parse_payloads(raw)).persist()
-    good, broken = quarantine(parsed)
+    good, broken = quarantine(store.keep("captures", with_search_meta(parse_payloads(raw)), batch_id))
     unnamed = F.col("event_id").isNull() | F.col("search_start").isNull() | F.col("search_end").isNull()
     named = good.filter(~unnamed)
-    store.write("payload", broken.select("filepath", F.col("_corrupt_record").alias("payload"), F.lit("unreadable").alias(REASON))
-                .unionByName(good.filter(unnamed).select("filepath", F.lit("file name").alias(REASON)),
-                             allowMissingColumns=True), batch_id)
+    unreadable = broken.select("filepath", F.col("_corrupt_record").alias("payload"), F.lit("unreadable").alias(REASON))
+    misnamed = good.filter(unnamed).select("filepath", F.lit("file name").alias(REASON))
+    store.write("payload", unreadable.unionByName(misnamed, allowMissingColumns=True), batch_id)
 
     store.write("users", users_load(named, store.read("users"), quoting), batch_id)
     store.write("tweet_text", texts_load(named, store.read("tweet_text"), quoting), batch_id)
@@ -126,58 +123,68 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
     stored_dates, stored_searches = store.read("search_dates"), store.read("searches")
     _, new_dates = upsert_dim(stored_dates, files, window, "search_date_id", SEARCH_DATE_SEED)
     store.write("search_dates", new_dates, batch_id)
-    dates = stored_dates.unionByName(store.read("search_dates", batch_id))
+    dates = stored_dates.unionByName(store.read("search_dates", [batch_id]))
     dated = resolve_id(files, dates, window, "search_date_id")
     _, new_searches = upsert_dim(stored_searches, dated, search, "search_id", SEARCH_SEED)
     store.write("searches", new_searches, batch_id)
-    searches = stored_searches.unionByName(store.read("searches", batch_id))
+    searches = stored_searches.unionByName(store.read("searches", [batch_id]))
     found = resolve_id(dated, searches, search, "search_id").select("filepath", "search_id")
 
     stored_facts = store.read("tweet_data")
     facts = facts_load(payload_facts(named).join(found, "filepath"), stored_facts,
-                       store.read("users").unionByName(store.read("users", batch_id)),
-                       store.read("tweet_text").unionByName(store.read("tweet_text", batch_id)))
+                       store.read("users").unionByName(store.read("users", [batch_id])),
+                       store.read("tweet_text").unionByName(store.read("tweet_text", [batch_id])))
     store.write("tweet_data", number_accepted(facts, "data_id", next_id(stored_facts, "data_id", DATA_SEED), ORDER),
                 batch_id)
-    parsed.unpersist()
-    return _finish(store, [_logged(store, "users", "USERS", batch_id, INITIAL),
-                           _logged(store, "tweet_text", "TEXT", batch_id, INITIAL),
-                           _logged(store, "tweet_data", "TWEET_DATA", batch_id, INITIAL)], batch_id, load_key)
+    return _finish(store, {"users": "USERS", "tweet_text": "TEXT", "tweet_data": "TWEET_DATA"}, INITIAL, batch_id, load_key)
+
+
+def _newly_captured(store: Store, table: str, key: str, fresh: list[int], old: list[int]) -> DataFrame:
+    """Rows of a parent table to derive from now, marked ``_fact`` when a fact refers to them.
+
+    These are the rows of loads not derived from yet, and older rows whose first
+    fact came with those loads. Older partitions are only read when there are any.
+    """
+    new_facts = store.read("tweet_data", fresh).select(key)
+    arrived = tag_exists(store.read(table, fresh), new_facts, key, key, "_fact", [key])
+    if not old:
+        return arrived
+    late = (new_facts.distinct().join(arrived.select(key), key, "left_anti")
+            .join(store.read("tweet_data", old).select(key).distinct(), key, "left_anti"))
+    if late.isEmpty():
+        return arrived
+    waited = store.read(table, old).join(late, key, "left_semi").withColumn("_fact", F.lit(True))
+    return arrived.unionByName(waited)
 
 
 def secondary_load(store: Store, lexicon: DataFrame, load_key: str | None = None,
                    us_states: DataFrame | None = None) -> DataFrame:
-    """Word associations, sentiment votes and author states of what is stored and not derived yet."""
+    """Word associations, sentiment votes and author states of the captures not derived from yet.
+
+    A tweet or author is derived once, with the load that brings its first fact;
+    rows without a fact are rejected. Returns the run_log rows of the load.
+    """
     batch_id = store.new_batch()
     load_key = load_key or f"load-{batch_id}"
     if store.has(load_key):
         return store.read("run_log").limit(0)
     store = store.snapshot()
-    facts = store.read("tweet_data")
+    fresh, old = store.pending()
     states = us_states if us_states is not None else seed_tables(store.spark)["us_states"]
 
-    stored_words = store.read("word_association")
-    texts = (vw_tweet_text(store.read("tweet_text"))
-             .join(stored_words.select("tweet_id").distinct(), "tweet_id", "left_anti"))
-    captured = tag_exists(texts, facts, "tweet_id", "tweet_id", "_fact", ["tweet_id"])
-    words = word_association(captured, lexicon, keep=["_fact"])
-    words = tag_rejects(words, {"unknown tweet": ~F.col("_fact")}).withColumn("filepath", F.lit("VW_TWEET_TEXT"))
+    texts = _newly_captured(store, "tweet_text", "tweet_id", fresh, old)
+    shown = vw_tweet_text(texts, keep=["_fact"])
+    words = tag_rejects(word_association(shown, lexicon, keep=["_fact"]), {"unknown tweet": ~F.col("_fact")})
     store.write("word_association",
-                number_accepted(words, "wa_id", next_id(stored_words, "wa_id", WORD_SEED),
+                number_accepted(words.withColumn("filepath", F.lit("VW_TWEET_TEXT")), "wa_id",
+                                next_id(store.read("word_association"), "wa_id", WORD_SEED),
                                 ["tweet_id", "term", "emotion"]), batch_id)
+    store.write("sentiment_category_assignment", sentiment_vote(store.read("word_association", [batch_id])), batch_id)
 
-    stored_votes = store.read("sentiment_category_assignment")
-    votes = sentiment_vote(store.read("word_association", batch_id))
-    votes = votes.join(stored_votes.select("tweet_id", F.lit("duplicate key").alias(REASON)), "tweet_id", "left")
-    store.write("sentiment_category_assignment", votes, batch_id)
-
-    stored_places = store.read("author_location").select("author_id", F.lit(True).alias("_stored"))
-    places = author_location(store.read("users"), states).join(stored_places, "author_id", "left")
-    places = tag_exists(places, facts, "author_id", "author_id", "_fact", ["author_id"])
-    places = tag_rejects(places, {"unknown author": ~F.col("_fact"), "duplicate key": F.col("_stored").isNotNull()})
+    users = _newly_captured(store, "users", "author_id", fresh, old)
+    places = tag_rejects(author_location(users, states, keep=["_fact"]), {"unknown author": ~F.col("_fact")})
     store.write("author_location", places, batch_id)
 
-    return _finish(store, [_logged(store, "word_association", "WORD_ASSOCIATION", batch_id, SECONDARY),
-                           _logged(store, "sentiment_category_assignment", "TWEET_SENT_CAT", batch_id, SECONDARY),
-                           _logged(store, "author_location", "AUTHOR_LOCATION", batch_id, SECONDARY)],
-                   batch_id, load_key)
+    labels = {"word_association": "WORD_ASSOCIATION", "sentiment_category_assignment": "TWEET_SENT_CAT",
+              "author_location": "AUTHOR_LOCATION"}
+    return _finish(store, labels, SECONDARY, batch_id, load_key, covers=fresh)

@@ -23,10 +23,10 @@ def vw_cat_events(category: DataFrame, cat_name: DataFrame, events: DataFrame) -
         F.any_value("event_name").alias("event_name"))
 
 
-def vw_tweet_text(tweet_text: DataFrame, ignore_case: bool = False) -> DataFrame:
-    """(tweet_id, tweet_text): a retweet shows its original's text."""
+def vw_tweet_text(tweet_text: DataFrame, ignore_case: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """(tweet_id, tweet_text[, keep]): a retweet shows its original's text."""
     shown = effective_text(F.col("retweet_id"), F.col("tweet"), F.col("retweet_text"), ignore_case)
-    return tweet_text.select("tweet_id", shown.alias("tweet_text"))
+    return tweet_text.select("tweet_id", shown.alias("tweet_text"), *(keep or []))
 
 
 def vw_tweets(tweet_data: DataFrame, searches: DataFrame, cat_events: DataFrame, texts: DataFrame,

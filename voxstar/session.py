@@ -15,6 +15,7 @@ def build_session(master: str, app: str = "voxstar", shuffle_partitions: int | N
     builder = (
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

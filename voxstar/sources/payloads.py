@@ -60,12 +60,17 @@ def with_search_meta(payloads: DataFrame) -> DataFrame:
     return named.join(F.broadcast(events), "event_tag", "left")
 
 
+def _day(stamp: str) -> Column:
+    """UTC day of an ISO stamp ending in Z, whatever the session time zone."""
+    return F.substring(stamp, 1, 10).try_cast("date")
+
+
 def payload_users(payloads: DataFrame) -> DataFrame:
     """One row per included user, in payload order."""
     u = payloads.select("filepath", F.posexplode("includes.users").alias("pos", "u"))
     return u.select(
         "filepath", "pos", F.col("u.id").alias("author_id"),
-        F.to_date(F.col("u.created_at").try_cast("timestamp")).alias("created_at"),
+        _day("u.created_at").alias("created_at"),
         "u.location", "u.description",
         "u.public_metrics.followers_count", "u.public_metrics.following_count",
         "u.public_metrics.listed_count", "u.public_metrics.tweet_count", "u.verified")
@@ -103,7 +108,7 @@ def payload_facts(payloads: DataFrame) -> DataFrame:
     """One row per captured tweet: author, day, tweet id."""
     d = payloads.select("filepath", F.posexplode("data").alias("pos", "d"))
     return d.select("filepath", "pos", "d.author_id",
-                    F.to_date(F.col("d.created_at").try_cast("timestamp")).alias("created_at"),
+                    _day("d.created_at").alias("created_at"),
                     F.col("d.id").alias("tweet_id"))
 
 

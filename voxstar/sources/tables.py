@@ -14,6 +14,17 @@ from voxstar.functions.location import STATE_CODES, map_values
 KEYWORDS_KEPT = 15  # fixed value: keywords 2..16 of each entry
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a plain file scan, dealt out when the scan has fewer splits with rows than there are cores.
+
+    A small file whose rows sit in one row group is read by one task; costly
+    per-row work above it would leave the other cores idle. Scans of at least
+    twice as many splits as cores, so any large input, are returned unchanged.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < 2 * cores else scan
+
+
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """(term, emotion, association)."""
     return spark.read.schema(LEXICON_DDL).option("header", True).csv(path)
@@ -75,8 +86,8 @@ class Store:
             return literal_frame_of(self.spark, schema)
 
     def commits(self) -> DataFrame:
-        """(load_key, batch_id): one row per finished load."""
-        return self._scan("commits", "load_key string, batch_id long")
+        """(load_key, covers, batch_id): one row per finished load and the loads it derived from."""
+        return self._scan("commits", "load_key string, covers array<bigint>, batch_id long")
 
     def finished(self) -> list[int]:
         """Numbers of the finished loads: short, and prunes partitions when planning."""
@@ -88,28 +99,39 @@ class Store:
         """The store as of now; loads that finish later stay out of sight."""
         return Store(self.spark, self.root, self.finished())
 
+    def pending(self) -> tuple[list[int], list[int]]:
+        """Loads of captures: (not derived from yet, derived from)."""
+        loads = self.commits().select("batch_id", "covers").collect()
+        covered = {b for r in loads for b in r["covers"] or []}
+        captures = [r["batch_id"] for r in loads if r["covers"] is None]
+        return [b for b in captures if b not in covered], [b for b in captures if b in covered]
+
     def has(self, load_key: str) -> bool:
         return self.commits().filter(F.col("load_key") == load_key).limit(1).count() > 0
 
     def new_batch(self) -> int:
         return time.time_ns()
 
-    def _rows(self, table: str, accepted: bool, batch_id: int | None) -> DataFrame:
-        ddl = f"{TABLES.get(table, 'payload string')}, filepath string, reject_reason string, batch_id long, accepted boolean"
-        if table == "run_log":
-            ddl = ddl.replace("filepath string, ", "", 1)
-        rows = self._scan(table, ddl).filter(F.col("accepted") == accepted)
-        if batch_id is not None:
-            return rows.filter(F.col("batch_id") == batch_id)
-        return rows.filter(F.col("batch_id").isin(self.finished()))
+    def _rows(self, table: str, accepted: bool, batches: list[int] | None) -> DataFrame:
+        fields = TABLES.get(table, "payload string")
+        if "filepath" not in fields:
+            fields += ", filepath string"
+        rows = self._scan(table, f"{fields}, reject_reason string, batch_id long, accepted boolean")
+        wanted = self.finished() if batches is None else batches
+        return rows.filter((F.col("accepted") == accepted) & F.col("batch_id").isin(wanted))
 
-    def read(self, table: str, batch_id: int | None = None) -> DataFrame:
-        """Accepted rows of all finished loads, or of one load in progress."""
-        return self._rows(table, True, batch_id).select(*table_schema(table).names)
+    def read(self, table: str, batches: list[int] | None = None) -> DataFrame:
+        """Accepted rows of all finished loads, or of the loads listed."""
+        return self._rows(table, True, batches).select(*table_schema(table).names)
 
-    def rejects(self, table: str, batch_id: int | None = None) -> DataFrame:
+    def rejects(self, table: str, batches: list[int] | None = None) -> DataFrame:
         """Rejected rows with their reason and source file."""
-        return self._rows(table, False, batch_id).drop("accepted", "batch_id")
+        return self._rows(table, False, batches).drop("accepted", "batch_id")
+
+    def attempted(self, table: str, batch_id: int) -> DataFrame:
+        """(filepath, reject_reason) of every row one load tried to write."""
+        return (self._rows(table, True, [batch_id]).unionByName(self._rows(table, False, [batch_id]))
+                .select("filepath", "reject_reason"))
 
     def write(self, table: str, rows: DataFrame, batch_id: int) -> None:
         """Write the rows of one load; a non-null ``reject_reason`` marks a rejected row."""
@@ -121,9 +143,16 @@ class Store:
         out = rows.select(*columns, reason.alias("reject_reason"), reason.isNull().alias("accepted"))
         out.write.mode("overwrite").partitionBy("accepted").parquet(f"{self.root}/{table}/batch_id={batch_id}")
 
-    def commit(self, batch_id: int, load_key: str) -> None:
+    def keep(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Write an intermediate result of one load and read it back, so later steps start from it."""
+        path = f"{self.root}/{name}/batch_id={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def commit(self, batch_id: int, load_key: str, covers: list[int] | None = None) -> None:
         """Make a load visible."""
-        row = self.spark.range(1).select(F.lit(load_key).alias("load_key"))
+        derived = F.lit(None) if covers is None else F.array(*[F.lit(b) for b in covers])
+        row = self.spark.range(1).select(F.lit(load_key).alias("load_key"), derived.cast("array<bigint>").alias("covers"))
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/batch_id={batch_id}")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voxstar import seeds
 from voxstar.functions.text import code_points, tokens
-from voxstar.sources.tables import keyword_terms
+from voxstar.sources.tables import keyword_terms, spread
 
 EMOTIONS = seeds.EMOTIONS
 LANG_EVENT = {"en": 3000, "es": 3001, "fr": 3002, "de": 3003}
@@ -24,8 +24,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def texts(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("tweet_id"),
-                                                F.col("text").alias("tweet_text"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select(F.col("doc_id").cast("string").alias("tweet_id"), F.col("text").alias("tweet_text"))
 
 
 def lexicon_words(spark, sf) -> DataFrame:
