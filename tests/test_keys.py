@@ -99,7 +99,10 @@ def test_assign_ids_are_dense_and_ordered(skewed):
     assert {r.id: r.n for r in got} == want
 
 
-def test_upsert_and_resolve(spark, frame, rows):
+@pytest.mark.parametrize("small", [True, False])
+def test_upsert_and_resolve(spark, frame, rows, small, monkeypatch):
+    if not small:
+        monkeypatch.setattr(keys, "fits_broadcast", lambda *_: False)
     stored = frame("search_id bigint, keyword string", [(2000, "a"), (2004, "b")])
     incoming = frame("keyword string, x int", [("c", 1), ("a", 1), ("d", 1), ("c", 2)])
     everything, created = keys.upsert_dim(stored, incoming, ["keyword"], "search_id", 2000)

@@ -112,9 +112,18 @@ def next_id(existing: DataFrame, id_column: str, seed: int) -> int:
 
 def upsert_dim(existing: DataFrame, incoming: DataFrame, natural_key: list[str], id_column: str,
                seed: int) -> tuple[DataFrame, DataFrame]:
-    """Get-or-create: returns (all rows, newly created rows) of a dimension."""
+    """Get-or-create: returns (all rows, newly created rows) of a dimension.
+
+    New keys are numbered in key order: by one window when they measure small, as
+    dimension keys do, else by ``assign_ids``.
+    """
     fresh = incoming.select(*natural_key).distinct().join(existing.select(*natural_key), natural_key, "left_anti")
-    created = assign_ids(fresh, id_column, next_id(existing, id_column, seed), natural_key)
+    start = next_id(existing, id_column, seed)
+    if fits_broadcast(fresh):
+        place = F.row_number().over(Window.orderBy(*natural_key)).cast("long")
+        created = fresh.withColumn(id_column, place + F.lit(start - 1))
+    else:
+        created = assign_ids(fresh, id_column, start, natural_key)
     created = created.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema])
     return existing.unionByName(created), created
 

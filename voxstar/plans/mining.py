@@ -5,7 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voxstar.functions.sentiment import itemset_sentiment
 from voxstar.operators.joins import dim_join
@@ -35,20 +35,20 @@ def _mask_itemsets(txns: DataFrame, by: str, txn: list[str], item: str, items: l
     for i, value in enumerate(items):
         bit = F.when(F.col(item) == value, F.lit(1 << i)).otherwise(bit)
     masks = (txns.groupBy(by, *txn).agg(F.bit_or(bit).alias("_mask"))
-             .groupBy(by, "_mask").agg(F.count(F.lit(1)).alias("_n")))
+             .groupBy(by, "_mask").agg(F.count(F.lit(1)).alias("_n"))
+             .withColumn("n_txn", F.sum("_n").over(Window.partitionBy(by))))
     sizes = [k] if k else range(1, len(items) + 1)
     wanted = [sum(1 << i for i in combo) for size in sizes for combo in combinations(range(len(items)), size)]
     if not wanted:
         wanted = [1 << len(items)]  # no itemset of that size exists
     subsets = F.filter(F.array(*[F.lit(w) for w in wanted]),
                        lambda w: w.bitwiseAND(F.col("_mask")) == w)
-    totals = masks.groupBy(by).agg(F.sum("_n").alias("n_txn"))
-    counted = (masks.select(by, "_n", F.explode(subsets).alias("_set"))
-               .groupBy(by, "_set").agg(F.sum("_n").alias("freq")))
+    counted = (masks.select(by, "n_txn", "_n", F.explode(subsets).alias("_set"))
+               .groupBy(by, "n_txn", "_set").agg(F.sum("_n").alias("freq")))
     members = F.filter(
         F.array(*[F.when(F.col("_set").bitwiseAND(F.lit(1 << i)) != 0, F.lit(v)) for i, v in enumerate(items)]),
         lambda v: v.isNotNull())
-    out = counted.join(totals, by).withColumn("support", F.col("freq") / F.col("n_txn"))
+    out = counted.withColumn("support", F.col("freq") / F.col("n_txn"))
     return (out.filter(F.col("support") >= _support_of(by, min_support))
             .select(by, F.array_sort(members).alias("items"), "freq", "n_txn", "support"))
 
