@@ -22,7 +22,7 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, salt_by: list[str],
-              hot_rows: int = HOT_ROWS) -> DataFrame:
+              hot_rows: int = HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """Join on equal keys, splitting every key with more than ``hot_rows`` left rows.
 
     The hot keys come from a map-side combined count; there are at most
@@ -31,10 +31,12 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, salt_b
     the right rows of hot keys are copied, once per salt: at most
     2 * rows / ``hot_rows`` copies in all. ``how`` may be inner, left, left_semi or
     left_anti: each left row meets exactly one salt, so results are unchanged.
+    ``counted`` may name a cheaper frame to count the keys in, such as the fact
+    table ``left`` was built from; it only steers the split.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    hot = (left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = ((left if counted is None else counted).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
            .select(*on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
     hot = F.broadcast(hot)
     digest = F.xxhash64(*[F.col(c) for c in salt_by])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from voxstar.functions.text import code_points, drop_media_posts, strip_sigils, strip_urls, tokens
 from voxstar.operators.joins import dim_join
@@ -39,12 +39,14 @@ def frequent_emoji(emojis: DataFrame, dictionary: DataFrame, min_support: float
     if denominator == "tweets":
         counts = per_emoji.groupBy("emoji").agg(F.sum("_tweets").alias("freq"))
         total = tweets.select(F.count(F.lit(1))).scalar()
+    elif denominator != "rows":
+        raise ValueError(f"unknown denominator: {denominator}")
     else:
         widths = dictionary.groupBy("name").agg(
             F.sum(F.greatest(F.size(F.coalesce("terms", F.array().cast("array<string>"))), F.lit(1))).alias("_terms"))
         counts = (per_emoji.join(widths, "name", "left").groupBy("emoji")
                   .agg(F.sum(F.col("_tweets") * F.coalesce("_terms", F.lit(1))).alias("freq")))
-        total = counts.select(F.sum("freq")).scalar()
+        total = F.sum("freq").over(Window.partitionBy())  # one row per emoji of the dictionary
     out = counts.select("emoji", (F.col("freq") / total).alias("support"))
     return out.filter(F.col("support") >= min_support)
 
@@ -83,11 +85,15 @@ def text_associations(tweets: DataFrame, lexicon: DataFrame, min_support: float
     ones stay.
     """
     kept = drop_media_posts(tweets, text)
-    found = kept.select(F.posexplode(term_extractor(F.col(text))).alias("_pos", "term"))
-    vocabulary = lexicon.filter(F.col("association") == 1).select("term").distinct()
-    counts = dim_join(found, vocabulary, "term", salt_by=["_pos"]).groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
-    total = kept.select(F.count(F.lit(1))).scalar()
+    # each text also yields one empty term, so the number of texts is counted in the same pass
+    found = kept.select(F.explode(F.concat(F.coalesce(term_extractor(F.col(text)), F.array().cast("array<string>")), F.array(F.lit("")))).alias("term"),
+                        F.xxhash64(text).alias("_spread"))
+    vocabulary = lexicon.filter(F.col("association") == 1).select("term").union(
+        lexicon.sparkSession.range(1).select(F.lit(""))).distinct()
+    counts = (dim_join(found, vocabulary, "term", salt_by=["_spread"]).groupBy("term")
+              .agg(F.count(F.lit(1)).alias("freq")))
+    total = F.max(F.when(F.col("term") == "", F.col("freq"))).over(Window.partitionBy())  # rows: lexicon terms
     frequent = (counts.select("term", (F.col("freq") / total).alias("support"))
-                .filter(F.col("support") >= min_support))
+                .filter((F.col("support") >= min_support) & (F.col("term") != "")))
     felt = frequent.join(lexicon, "term", "left").filter(~F.col("association").eqNullSafe(F.lit(0)))
     return with_polarity(felt).select("term", "support", "emotion", "association", "sent_id")

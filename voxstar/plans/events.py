@@ -28,7 +28,7 @@ def emotions_by_event(emotion_sets: DataFrame, tweet_data: DataFrame, searches:
                                searches.select("search_id", "keyword", "event_id"), "search_id", salt_by=["tweet_id"]),
                       events.select("event_id", "event_name"), "event_id", salt_by=["tweet_id"])
     facts = placed.select("tweet_id", "search_id", "keyword", "event_name")
-    return (skew_join(facts, emotion_sets, ["tweet_id"], "inner", ["search_id"], **skew)
+    return (skew_join(facts, emotion_sets, ["tweet_id"], "inner", ["search_id"], counted=tweet_data, **skew)
             .select("tweet_id", *[c for c in emotion_sets.columns if c != "tweet_id"], "keyword", "event_name"))
 
 
@@ -63,14 +63,19 @@ def emotion_sums_by_event(associations: DataFrame, tweet_data: DataFrame, search
                           events: DataFrame, emotions: list[str] | None = None) -> DataFrame:
     """(event, emotion, sum): captured tweets showing each emotion; absent cells are 0.
 
-    One aggregate covers all events. Every event gets a row per emotion by
-    turning its sums on their side, so no dimension product is joined.
+    A tweet's emotions fold into one integer, one aggregate covers all events, and
+    every event gets a row per emotion by turning its sums on their side, so no
+    dimension product is joined. ``emotions`` lists at most 31 names.
     """
     emotions = emotions or EMOTIONS
-    shown = associations.select("tweet_id", "emotion").distinct()
+    bit = F.lit(0)
+    for i, name in enumerate(emotions):
+        bit = F.when(F.col("emotion") == name, F.lit(1 << i)).otherwise(bit)
+    shown = associations.groupBy("tweet_id").agg(F.bit_or(bit).alias("_shown"))
     captured = captured_per_event(tweet_data, searches)
+    held = lambda i: F.when(F.col("_shown").bitwiseAND(F.lit(1 << i)) != 0, F.col("captures")).otherwise(0)
     sums = (captured.join(shown, "tweet_id").groupBy("event_id")
-            .agg(*[F.sum(F.when(F.col("emotion") == e, F.col("captures")).otherwise(0)).alias(e) for e in emotions]))
+            .agg(*[F.sum(held(i)).alias(name) for i, name in enumerate(emotions)]))
     wide = sums.join(events.select("event_id", "event_name"), "event_id")
     return (wide.unpivot(["event_name"], emotions, "emotion", "sum")
             .select(F.col("event_name").alias("event"), "emotion", "sum"))

@@ -14,8 +14,13 @@ def vw_us_cities(cities: DataFrame) -> DataFrame:
 
 
 def vw_cat_events(category: DataFrame, cat_name: DataFrame, events: DataFrame) -> DataFrame:
-    """One row per event with its category names in category order."""
-    named = category.withColumnRenamed("cat_name_id", "name_id").join(cat_name, "name_id").join(events, "event_id")
+    """One row per event with its category names in category order.
+
+    The joined list is one value, so an event's names meet in one task whatever the plan.
+    """
+    bridge = category.withColumnRenamed("cat_name_id", "name_id")
+    named = dim_join(dim_join(bridge, cat_name, "name_id", salt_by=["category_id"]),
+                     events, "event_id", salt_by=["category_id"])
     names = F.transform(F.array_sort(F.collect_list(F.struct("category_id", "name_text"))), lambda s: s["name_text"])
     return named.groupBy("event_id").agg(
         F.min("category_id").alias("category_id"),
@@ -41,6 +46,7 @@ def vw_tweets(tweet_data: DataFrame, searches: DataFrame, cat_events: DataFrame,
     facts = placed.select("author_id", F.col("created_at").alias("tweet_created"), "tweet_id",
                           F.col("keyword").alias("keyword_search"), "categories", "event_name",
                           *[c for c in (salt_by or []) if c not in ("author_id", "tweet_id")])
-    joined = skew_join(facts, texts, ["tweet_id"], "inner", salt_by or ["author_id", "keyword_search", "tweet_created"], **skew)
+    joined = skew_join(facts, texts, ["tweet_id"], "inner", salt_by or ["author_id", "keyword_search", "tweet_created"],
+                       counted=tweet_data, **skew)
     return joined.select("author_id", "tweet_created", "tweet_id", "keyword_search", "categories",
                          "event_name", "tweet_text")

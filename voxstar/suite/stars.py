@@ -117,18 +117,19 @@ def _outer(spark, sf):
 
 
 def _cat_events(spark, sf):
-    regions, nations = s.table(spark, sf, "region"), s.table(spark, sf, "nation")
+    """Orders as events, their lines as the category bridge, parts as category names."""
+    orders, lines, parts = (s.table(spark, sf, name) for name in ("orders", "lineitem", "part"))
     return views.vw_cat_events(
-        nations.select(F.col("n_nationkey").alias("category_id"), F.col("n_regionkey").alias("event_id"),
-                       F.col("n_nationkey").alias("cat_name_id")),
-        nations.select(F.col("n_nationkey").alias("name_id"), F.col("n_name").alias("name_text")),
-        regions.select(F.col("r_regionkey").alias("event_id"), F.col("r_name").alias("event_name")))
+        lines.select((F.col("l_linenumber") * F.lit(1000000000).cast("long") + F.col("l_partkey")).alias("category_id"),
+                     F.col("l_orderkey").alias("event_id"), F.col("l_partkey").alias("cat_name_id")),
+        parts.select(F.col("p_partkey").alias("name_id"), F.col("p_name").alias("name_text")),
+        orders.select(F.col("o_orderkey").alias("event_id"), F.col("o_orderpriority").alias("event_name")))
 
 
 def _tweets(spark, sf):
     star, dims = _star(spark, sf)
-    shown = views.vw_tweet_text(s.texts(spark, sf).select(
-        "tweet_id", F.col("tweet_text").alias("tweet"), F.lit(None).cast("string").alias("retweet_id"),
+    shown = views.vw_tweet_text(s.table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("tweet_id"), F.col("text").alias("tweet"), F.lit(None).cast("string").alias("retweet_id"),
         F.lit(None).cast("string").alias("retweet_text")))
     view = views.vw_tweets(star["tweet_data"], star["searches"],
                            views.vw_cat_events(dims["category"], dims["cat_name"], dims["events"]), shown)
@@ -138,9 +139,10 @@ def _tweets(spark, sf):
 QUERIES = {
     "vw_cat_events": (
         _cat_events,
-        """SELECT n_regionkey AS event_id, min(n_nationkey) AS category_id,
-        string_agg(n_name, ', ' ORDER BY n_nationkey) AS categories, min(r_name) AS event_name
-        FROM nation JOIN region ON r_regionkey = n_regionkey GROUP BY n_regionkey"""),
+        """WITH c AS (SELECT l_linenumber * 1000000000::BIGINT + l_partkey AS category_id, l_orderkey AS event_id, p_name, o_orderpriority
+          FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey)
+        SELECT event_id, min(category_id) AS category_id, string_agg(p_name, ', ' ORDER BY category_id, p_name) AS categories,
+          min(o_orderpriority) AS event_name FROM c GROUP BY event_id"""),
     "vw_tweet_text": (
         _shown,
         f"""WITH {TALK_SQL} SELECT tweet_id, md5(CASE WHEN retweet_id IS NOT NULL AND tweet LIKE 'RT%'
