@@ -24,11 +24,12 @@ def captured_per_event(tweet_data: DataFrame, searches: DataFrame, extra: list[s
 def emotions_by_event(emotion_sets: DataFrame, tweet_data: DataFrame, searches: DataFrame,
                       events: DataFrame, **skew) -> DataFrame:
     """One row per captured tweet with its emotion set, keyword and event name."""
-    placed = dim_join(dim_join(tweet_data.select("tweet_id", "search_id"),
+    row_id = [c for c in ("data_id",) if c in tweet_data.columns] or ["search_id"]
+    placed = dim_join(dim_join(tweet_data.select("tweet_id", "search_id", *[c for c in row_id if c != "search_id"]),
                                searches.select("search_id", "keyword", "event_id"), "search_id", salt_by=["tweet_id"]),
                       events.select("event_id", "event_name"), "event_id", salt_by=["tweet_id"])
-    facts = placed.select("tweet_id", "search_id", "keyword", "event_name")
-    return (skew_join(facts, emotion_sets, ["tweet_id"], "inner", ["search_id"], counted=tweet_data, **skew)
+    facts = placed.select("tweet_id", *row_id, "keyword", "event_name")
+    return (skew_join(facts, emotion_sets, ["tweet_id"], "inner", row_id, counted=tweet_data, **skew)
             .select("tweet_id", *[c for c in emotion_sets.columns if c != "tweet_id"], "keyword", "event_name"))
 
 

@@ -35,18 +35,15 @@ def vw_tweet_text(tweet_text: DataFrame, ignore_case: bool = False, keep: list[s
 
 
 def vw_tweets(tweet_data: DataFrame, searches: DataFrame, cat_events: DataFrame, texts: DataFrame,
-              salt_by: list[str] | None = None, **skew) -> DataFrame:
+              **skew) -> DataFrame:
     """Fact rows with search keyword, event, categories and shown text.
 
     Lookups are joined first; the text side is shuffled once on tweet id, with
-    much-captured tweets salted.
+    much-captured tweets split by fact id.
     """
-    found = dim_join(tweet_data, searches.select("search_id", "keyword", "event_id"), "search_id")
-    placed = dim_join(found, cat_events.select("event_id", "categories", "event_name"), "event_id")
-    facts = placed.select("author_id", F.col("created_at").alias("tweet_created"), "tweet_id",
-                          F.col("keyword").alias("keyword_search"), "categories", "event_name",
-                          *[c for c in (salt_by or []) if c not in ("author_id", "tweet_id")])
-    joined = skew_join(facts, texts, ["tweet_id"], "inner", salt_by or ["author_id", "keyword_search", "tweet_created"],
-                       counted=tweet_data, **skew)
-    return joined.select("author_id", "tweet_created", "tweet_id", "keyword_search", "categories",
-                         "event_name", "tweet_text")
+    found = dim_join(tweet_data, searches.select("search_id", "keyword", "event_id"), "search_id", salt_by=["tweet_id"])
+    placed = dim_join(found, cat_events.select("event_id", "categories", "event_name"), "event_id", salt_by=["tweet_id"])
+    row_id = ["data_id"] if "data_id" in tweet_data.columns else ["author_id", "search_id", "created_at"]
+    joined = skew_join(placed, texts, ["tweet_id"], "inner", row_id, counted=tweet_data, **skew)
+    return joined.select("author_id", F.col("created_at").alias("tweet_created"), "tweet_id",
+                         F.col("keyword").alias("keyword_search"), "categories", "event_name", "tweet_text")

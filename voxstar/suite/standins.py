@@ -48,7 +48,7 @@ LEXICON_SQL = f"""
 words AS (SELECT DISTINCT lower(w) AS term
           FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS w FROM benchmark) WHERE length(w) > 3),
 lexicon AS (
-  SELECT term, emotion, max(association) AS association FROM (
+  SELECT term, emotion, CAST(max(association) AS INTEGER) AS association FROM (
     SELECT term, ({EMOTIONS!r})[1 + ascii(term) % 10] AS emotion, 1 AS association FROM words
     UNION ALL
     SELECT term, ({EMOTIONS!r})[1 + length(term) % 10], 1 - length(term) % 2 FROM words)
