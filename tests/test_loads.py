@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 import payload_files as files
 from voxstar.operators.quality import reconcile
-from voxstar.plans.loads import cities_load, initial_load, secondary_load
+from voxstar.plans.catalog import register
+from voxstar.plans.events import sentiment_by_category
+from voxstar.plans.loads import initial_load, secondary_load, seed_load
 from voxstar.sources.payloads import scan_payloads
 from voxstar.sources.tables import Store, load
 from voxstar.streaming.ingest import ingest_files, load_batch
@@ -149,17 +151,54 @@ def test_repeated_epoch_is_skipped(spark, capture, store):
     assert store.commits().count() == 2 and store.read("users").count() == 4
 
 
-def test_cities_load(spark, frame, store, rows):
-    ddl = ("city string, city_ascii string, lat double, lng double, country string, iso2 string, iso3 string, "
-           "admin_name string, capital string, population double, id int")
-    row = lambda name, ident: (name, name, None, 2.0, "US", "US", "USA", "Texas", None, 5.0, ident)
-    world = frame(ddl, [row("A", 1), row("A", 1), row("B", 2)])
-    states = frame("state_id int, state string", [(43, "TEXAS"), (44, "UTAH")])
-    tagged = cities_load(world, states, store.read("cities"))
-    store.write("cities", tagged, 7)
-    store.commit(7, "cities")
-    assert rows(store.read("cities"), "city_id", "state_id") == [(1, 43), (2, 43)]
-    assert rows(store.rejects("cities"), "city_id", "reject_reason") == sorted([(1, "duplicate key"), (None, "missing key")], key=repr)
+CITIES_DDL = ("city string, city_ascii string, lat double, lng double, country string, iso2 string, iso3 string, "
+              "admin_name string, capital string, population double, id int")
+
+
+def city(name, ident):
+    return name, name, None, 2.0, "US", "US", "USA", "Texas", None, 5.0, ident
+
+
+def test_seed_and_cities_load(spark, frame, store, rows):
+    world = frame(CITIES_DDL, [city("A", 1), city("A", 1), city("B", 2), city("C", 1100440040)])
+    seed_load(store, world)
+    assert rows(store.read("cities"), "city_id", "state_id") == [(1, 43), (1100440040, 0), (2, 43)]
+    rejected = rows(store.rejects("cities"), "city_id", "reject_reason")
+    assert rejected.count((1, "duplicate key")) == 1 and rejected.count((None, "missing key")) == 49
+    assert store.read("us_states").count() == 50
+    seed_load(store, world)
+    assert store.read("us_states").count() == 50
+
+
+STAR_SQL = """
+SELECT count(SCA.TWEET_ID) AS TWEET_COUNT, SC.SENTIMENT_CATEGORY, CN.NAME_TEXT AS CATEGORY_NAME
+FROM SENTIMENT_CATEGORY_ASSIGNMENT SCA
+JOIN SENTIMENT_CATEGORY SC ON SCA.SENT_ID = SC.SENT_ID
+JOIN TWEET_DATA TD ON TD.TWEET_ID = SCA.TWEET_ID
+JOIN SEARCHES S ON S.SEARCH_ID = TD.SEARCH_ID
+JOIN EVENTS E ON S.EVENT_ID = E.EVENT_ID
+JOIN CATEGORY C ON E.EVENT_ID = C.EVENT_ID
+JOIN CAT_NAME CN ON C.CAT_NAME_ID = CN.NAME_ID
+GROUP BY SC.SENTIMENT_CATEGORY, CN.NAME_TEXT"""
+
+
+def test_warehouse_sql(spark, capture, store, frame, rows):
+    seed_load(store, frame(CITIES_DDL, [city("A", 1)]))
+    initial_load(store, scan_payloads(spark, str(capture)))
+    secondary_load(store, frame("term string, emotion string, association int", files.LEXICON))
+    names = register(store)
+    assert {"users", "tweet_data", "vw_tweets", "vw_tweet_emotions_all"} <= set(names)
+    by_sql = rows(spark.sql(STAR_SQL), "sentiment_category", "category_name", "tweet_count")
+    star = {n: store.read(n) for n in ("tweet_data", "searches", "events", "category", "cat_name")}
+    built = sentiment_by_category(store.read("sentiment_category_assignment"), store.read("sentiment_category"), **star)
+    assert by_sql and by_sql == rows(built, "sentiment_category", "category_name", "tweet_count")
+    assert rows(spark.sql("SELECT CATEGORIES FROM VW_CAT_EVENTS WHERE EVENT_ID = 3002")) == [("CIVIL RIGHTS, POLITICS",)]
+    shown = dict(rows(spark.sql("SELECT TWEET_ID, TWEET_TEXT FROM VW_TWEET_TEXT")))
+    assert shown["1"] == "happy love wins today" and shown["2"] is None and shown["3"] == "agree with this"
+    assert rows(spark.sql("SELECT TWEET_ID, EMOTION FROM VW_EMOTION_DISTINCT_SETS WHERE TWEET_ID = '4'")) == [
+        ("4", "anticipation, fear, negative")]
+    assert spark.sql("SELECT * FROM VW_TWEETS WHERE KEYWORD_SEARCH = 'africa'").count() == 2
+    assert spark.sql("SELECT * FROM VW_US_CITIES").count() == 1
 
 
 def test_empty_capture(spark, store, tmp_path):

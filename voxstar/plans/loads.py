@@ -6,12 +6,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from voxstar.operators.keys import assign_ids, next_id, resolve_id, tag_exists, tag_first, upsert_dim
+from voxstar.operators.keys import assign_ids, correct, next_id, resolve_id, tag_exists, tag_first, upsert_dim
 from voxstar.operators.quality import REASON, audit, tag_rejects, unquotable
 from voxstar.plans.geo import author_location, build_cities
 from voxstar.plans.views import vw_tweet_text
 from voxstar.plans.words import sentiment_vote, word_association
-from voxstar.seeds import DATA_SEED, SEARCH_DATE_SEED, SEARCH_SEED, WORD_SEED, seed_tables
+from voxstar.seeds import CITY_CORRECTIONS, DATA_SEED, SEARCH_DATE_SEED, SEARCH_SEED, WORD_SEED, seed_tables
 from voxstar.sources.payloads import (parse_payloads, payload_facts, payload_texts, payload_users,
                                       quarantine, with_search_meta)
 from voxstar.sources.tables import Store
@@ -78,8 +78,11 @@ def number_accepted(tagged: DataFrame, id_column: str, start: int, order: list[s
 
 
 def cities_load(world: DataFrame, us_states: DataFrame, stored: DataFrame) -> DataFrame:
-    """Cities with their state, each row with its reject reason or null."""
-    built = build_cities(world, us_states)
+    """Cities with their state, each row with its reject reason or null.
+
+    The listed cities, whose province shares a state's name by accident, lose their state.
+    """
+    built = correct(build_cities(world, us_states), "city_id", CITY_CORRECTIONS, "state_id", 0)
     rows = _opens_key(built, stored, ["city_id"], ["city", "lat", "lng", "state_id"])
     return tag_rejects(rows, {"missing key": F.col("city_id").isNull(),
                               "duplicate key": ~F.col("_opens")}).drop("_opens")
@@ -94,6 +97,19 @@ def _finish(store: Store, labels: dict[str, str], load_type: str, batch_id: int,
     return store.read("run_log", [batch_id])
 
 
+def seed_load(store: Store, world: DataFrame | None = None) -> None:
+    """Write the seeded dimensions, and the cities if given, once."""
+    if store.has("seed"):
+        return
+    batch_id = store.new_batch()
+    dims = seed_tables(store.spark)
+    for table, rows in dims.items():
+        store.write(table, rows, batch_id)
+    if world is not None:
+        store.write("cities", cities_load(world, dims["us_states"], store.read("cities")), batch_id)
+    store.commit(batch_id, "seed", covers=[])
+
+
 def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quoting: bool = False) -> DataFrame:
     """Load captured payloads (filepath, value); returns the run_log rows of the load.
 

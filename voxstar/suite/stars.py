@@ -42,6 +42,20 @@ def _by_category_sql(by_event):
     JOIN cat_name cn ON cn.name_id = c.cat_name_id GROUP BY sentiment_category, name_text{extra}"""
 
 
+def _by_category_as_sql(spark, sf):
+    """The star join as SQL text over frames."""
+    star, dims = _star(spark, sf)
+    return spark.sql("""
+        SELECT count(v.tweet_id) AS tweet_count, sc.sentiment_category, cn.name_text AS category_name, e.event_name
+        FROM {votes} v JOIN {sentiment_category} sc ON sc.sent_id = v.sent_id
+        JOIN {tweet_data} td ON td.tweet_id = v.tweet_id JOIN {searches} s ON s.search_id = td.search_id
+        JOIN {events} e ON e.event_id = s.event_id JOIN {category} c ON c.event_id = e.event_id
+        JOIN {cat_name} cn ON cn.name_id = c.cat_name_id
+        GROUP BY sc.sentiment_category, cn.name_text, e.event_name""",
+                     votes=_votes(spark, sf), sentiment_category=dims["sentiment_category"], category=dims["category"],
+                     cat_name=dims["cat_name"], **star)
+
+
 def _totals(spark, sf):
     counts = _by_category(True)(spark, sf)
     one = F.col("event_name") == "SAME SEX MARRIAGE"
@@ -168,6 +182,7 @@ QUERIES = {
         SELECT tweet_id, coalesce(rt_id, id) AS rt_id, rt_digest FROM t FULL JOIN o ON rt_id = id"""),
     "sentiment_by_category": (_by_category(False), _by_category_sql(False)),
     "sentiment_by_category_event": (_by_category(True), _by_category_sql(True)),
+    "sentiment_by_category_event_sql": (_by_category_as_sql, _by_category_sql(True)),
     "sentiment_totals": (
         _totals,
         f"""WITH counts AS ({_by_category_sql(True)})
