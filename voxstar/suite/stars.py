@@ -34,24 +34,23 @@ def _by_category(by_event):
 
 def _by_category_sql(by_event):
     extra = ", event_name" if by_event else ""
-    return f"""WITH {s.VOTES_SQL}, {s.STAR_SQL}
-    SELECT count(v.tweet_id) AS tweet_count, sentiment_category, name_text AS category_name{extra}
-    FROM votes v JOIN sentiment_category sc ON sc.sent_id = v.sent_id
-    JOIN tweet_data td ON td.tweet_id = v.tweet_id JOIN searches s ON s.search_id = td.search_id
-    JOIN events_dim e ON e.event_id = s.event_id JOIN category c ON c.event_id = e.event_id
-    JOIN cat_name cn ON cn.name_id = c.cat_name_id GROUP BY sentiment_category, name_text{extra}"""
+    return f"""WITH {s.VOTES_SQL}, {s.STAR_SQL},
+    topics AS (SELECT event_id, event_name, name_text AS category_name
+      FROM events_dim JOIN category USING (event_id) JOIN cat_name ON name_id = cat_name_id)
+    SELECT sentiment_category, category_name{extra}, count(*) AS tweet_count
+    FROM tweet_data JOIN votes USING (tweet_id) JOIN sentiment_category USING (sent_id)
+    JOIN searches USING (search_id) JOIN topics USING (event_id)
+    GROUP BY sentiment_category, category_name{extra}"""
 
 
 def _by_category_as_sql(spark, sf):
     """The star join as SQL text over frames."""
     star, dims = _star(spark, sf)
     return spark.sql("""
-        SELECT count(v.tweet_id) AS tweet_count, sc.sentiment_category, cn.name_text AS category_name, e.event_name
-        FROM {votes} v JOIN {sentiment_category} sc ON sc.sent_id = v.sent_id
-        JOIN {tweet_data} td ON td.tweet_id = v.tweet_id JOIN {searches} s ON s.search_id = td.search_id
-        JOIN {events} e ON e.event_id = s.event_id JOIN {category} c ON c.event_id = e.event_id
-        JOIN {cat_name} cn ON cn.name_id = c.cat_name_id
-        GROUP BY sc.sentiment_category, cn.name_text, e.event_name""",
+        SELECT sentiment_category, topic.name_text AS category_name, event_name, count(*) AS tweet_count
+        FROM {tweet_data} JOIN {votes} USING (tweet_id) JOIN {sentiment_category} USING (sent_id)
+        JOIN {searches} USING (search_id) JOIN {events} USING (event_id) JOIN {category} AS bridge USING (event_id)
+        JOIN {cat_name} AS topic ON topic.name_id = bridge.cat_name_id GROUP BY ALL""",
                      votes=_votes(spark, sf), sentiment_category=dims["sentiment_category"], category=dims["category"],
                      cat_name=dims["cat_name"], **star)
 
