@@ -11,7 +11,7 @@ from voxstar.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[4]", "voxstar-tests", shuffle_partitions=4)
+    session = build_session("local[4]", "voxstar-tests", shuffle_partitions=4, spark__driver__memory="4g")
     yield session
     session.stop()
 

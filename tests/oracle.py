@@ -67,7 +67,7 @@ if __name__ == "__main__":
     from voxstar.session import build_session
 
     folder = sys.argv[1]
-    session = build_session("local[8]", shuffle_partitions=8)
+    session = build_session("local[8]", shuffle_partitions=8, spark__driver__memory="8g")
     failed = 0
     for query in sys.argv[2:] or registry.oracle_sql():
         begin = time.time()

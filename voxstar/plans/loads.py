@@ -12,8 +12,7 @@ from voxstar.plans.geo import author_location, build_cities
 from voxstar.plans.views import vw_tweet_text
 from voxstar.plans.words import sentiment_vote, word_association
 from voxstar.seeds import CITY_CORRECTIONS, DATA_SEED, SEARCH_DATE_SEED, SEARCH_SEED, WORD_SEED, seed_tables
-from voxstar.sources.payloads import (parse_payloads, payload_facts, payload_texts, payload_users,
-                                      quarantine, with_search_meta)
+from voxstar.sources.payloads import parse_payloads, payload_items, with_search_meta
 from voxstar.sources.tables import Store
 
 INITIAL, SECONDARY = "INITIAL", "SECONDARY"
@@ -36,18 +35,18 @@ def _opens_key(df: DataFrame, stored: DataFrame, keys: list[str], order: list[st
             .drop("_first", "_stored"))
 
 
-def users_load(payloads: DataFrame, stored: DataFrame, quoting: bool = False) -> DataFrame:
+def users_load(users: DataFrame, stored: DataFrame, quoting: bool = False) -> DataFrame:
     """Users of a load, each row with its reject reason or null."""
-    rows = _opens_key(payload_users(payloads), stored, ["author_id"], ORDER)
+    rows = _opens_key(users, stored, ["author_id"], ORDER)
     rules = {"missing key": F.col("author_id").isNull()}
     if quoting:
         rules["both quote kinds"] = unquotable("location", "description")
     return tag_rejects(rows, {**rules, "duplicate key": ~F.col("_opens")}).drop("_opens")
 
 
-def texts_load(payloads: DataFrame, stored: DataFrame, quoting: bool = False) -> DataFrame:
+def texts_load(texts: DataFrame, stored: DataFrame, quoting: bool = False) -> DataFrame:
     """Texts of a load, each row with its reject reason or null."""
-    rows = _opens_key(payload_texts(payloads), stored, ["tweet_id"], ORDER)
+    rows = _opens_key(texts, stored, ["tweet_id"], ORDER)
     rules = {"missing key": F.col("tweet_id").isNull()}
     if quoting:
         rules["both quote kinds"] = unquotable("tweet", "retweet_text")
@@ -113,10 +112,10 @@ def seed_load(store: Store, world: DataFrame | None = None) -> None:
 def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quoting: bool = False) -> DataFrame:
     """Load captured payloads (filepath, value); returns the run_log rows of the load.
 
-    Order: users, texts, search windows, searches, facts, log. The parsed payloads
-    are kept as nested Parquet first, so each step reads its own columns, and later
-    steps read what earlier ones wrote: a lost executor never repeats a finished
-    step. A finished ``load_key`` is skipped.
+    Order: users, texts, search windows, searches, facts, log. The payloads are
+    parsed once into user, text, fact and file rows, and later steps read what
+    earlier ones wrote: a lost executor never repeats a finished step. A finished
+    ``load_key`` is skipped.
     """
     batch_id = store.new_batch()
     load_key = load_key or f"load-{batch_id}"
@@ -124,18 +123,19 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
         return store.read("run_log").limit(0)
     store = store.snapshot()
 
-    good, broken = quarantine(store.keep("captures", with_search_meta(parse_payloads(raw)), batch_id))
+    items = store.keep("captures", payload_items(with_search_meta(parse_payloads(raw))), batch_id, "kind")
+    part = lambda kind: items.filter(F.col("kind") == kind).select("filepath", f"{kind}.*")
+    files = part("file")
     unnamed = F.col("event_id").isNull() | F.col("search_start").isNull() | F.col("search_end").isNull()
-    named = good.filter(~unnamed)
-    unreadable = broken.select("filepath", F.col("_corrupt_record").alias("payload"), F.lit("unreadable").alias(REASON))
-    misnamed = good.filter(unnamed).select("filepath", F.lit("file name").alias(REASON))
-    store.write("payload", unreadable.unionByName(misnamed, allowMissingColumns=True), batch_id)
+    tagged = tag_rejects(files, {"unreadable": F.col("corrupt").isNotNull(), "file name": unnamed})
+    bad = tagged.filter(F.col(REASON).isNotNull())
+    store.write("payload", bad.select("filepath", F.col("corrupt").alias("payload"), REASON), batch_id)
 
-    store.write("users", users_load(named, store.read("users"), quoting), batch_id)
-    store.write("tweet_text", texts_load(named, store.read("tweet_text"), quoting), batch_id)
+    store.write("users", users_load(part("user"), store.read("users"), quoting), batch_id)
+    store.write("tweet_text", texts_load(part("text"), store.read("tweet_text"), quoting), batch_id)
 
     window, search = ["search_start", "search_end"], ["keyword", "search_date_id", "event_id"]
-    files = named.select("filepath", *window, "keyword", "event_id")
+    files = tagged.filter(F.col(REASON).isNull()).select("filepath", *window, "keyword", "event_id")
     stored_dates, stored_searches = store.read("search_dates"), store.read("searches")
     _, new_dates = upsert_dim(stored_dates, files, window, "search_date_id", SEARCH_DATE_SEED)
     store.write("search_dates", new_dates, batch_id)
@@ -147,7 +147,7 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
     found = resolve_id(dated, searches, search, "search_id").select("filepath", "search_id")
 
     stored_facts = store.read("tweet_data")
-    facts = facts_load(payload_facts(named).join(found, "filepath"), stored_facts,
+    facts = facts_load(part("fact").join(found, "filepath"), stored_facts,
                        store.read("users").unionByName(store.read("users", [batch_id])),
                        store.read("tweet_text").unionByName(store.read("tweet_text", [batch_id])))
     store.write("tweet_data", number_accepted(facts, "data_id", next_id(stored_facts, "data_id", DATA_SEED), ORDER),

@@ -60,56 +60,96 @@ def with_search_meta(payloads: DataFrame) -> DataFrame:
     return named.join(F.broadcast(events), "event_tag", "left")
 
 
-def _day(stamp: str) -> Column:
+def _day(stamp: Column) -> Column:
     """UTC day of an ISO stamp ending in Z, whatever the session time zone."""
     return F.substring(stamp, 1, 10).try_cast("date")
 
 
-def payload_users(payloads: DataFrame) -> DataFrame:
-    """One row per included user, in payload order."""
-    u = payloads.select("filepath", F.posexplode("includes.users").alias("pos", "u"))
-    return u.select(
-        "filepath", "pos", F.col("u.id").alias("author_id"),
-        _day("u.created_at").alias("created_at"),
-        "u.location", "u.description",
-        "u.public_metrics.followers_count", "u.public_metrics.following_count",
-        "u.public_metrics.listed_count", "u.public_metrics.tweet_count", "u.verified")
+def _users() -> Column:
+    """Array of the included users, in payload order."""
+    def one(u, i):
+        counts = u["public_metrics"]
+        return F.struct(
+            i.alias("pos"), u["id"].alias("author_id"), _day(u["created_at"]).alias("created_at"),
+            u["location"].alias("location"), u["description"].alias("description"),
+            *[counts[c].alias(c) for c in ("followers_count", "following_count", "listed_count", "tweet_count")],
+            u["verified"].alias("verified"))
+    return F.transform("includes.users", one)
 
 
-def payload_texts(payloads: DataFrame) -> DataFrame:
-    """Tweets with the text of the post they refer to, plus included posts nothing refers to.
+def _texts() -> Column:
+    """Array of the tweets with the text of the post they refer to, then the originals nothing refers to.
 
     A payload carries its own originals, so this full outer match runs inside the
-    payload row and moves no data. Unreferenced originals come out without a
-    tweet id, after the tweets.
+    payload row and moves no data. Unreferenced originals have no tweet id.
     """
+    null = F.lit(None).cast("string")
     originals = F.coalesce(F.col("includes.tweets"), F.array())
     tweets = F.coalesce(F.col("data"), F.array())
+    refs = F.transform(tweets, lambda t: first_reference(t["referenced_tweets"]))
 
     def matched(t):
         ref = first_reference(t["referenced_tweets"])
-        hit = F.filter("_originals", lambda o: o["id"] == ref)
+        hit = F.filter(originals, lambda o: o["id"] == ref)
         return F.struct(t["id"].alias("tweet_id"), t["text"].alias("tweet"), ref.alias("retweet_id"),
                         F.try_element_at(hit, F.lit(1))["text"].alias("retweet_text"))
 
-    null = F.lit(None).cast("string")
-    orphan = lambda o: F.struct(null.alias("tweet_id"), null.alias("tweet"), null.alias("retweet_id"),
-                                o["text"].alias("retweet_text"))
-    rows = (payloads.select("filepath", tweets.alias("_tweets"), originals.alias("_originals"))
-            .withColumn("_matched", F.transform("_tweets", matched))
-            .withColumn("_refs", F.col("_matched.retweet_id"))
-            .withColumn("_orphans", F.transform(
-                F.filter("_originals", lambda o: ~F.coalesce(F.array_contains("_refs", o["id"]), F.lit(False))), orphan)))
-    out = rows.select("filepath", F.posexplode(F.concat("_matched", "_orphans")).alias("pos", "t"))
-    return out.select("filepath", "pos", "t.*")
+    def orphan(o):
+        return F.struct(null.alias("tweet_id"), null.alias("tweet"), null.alias("retweet_id"), o["text"].alias("retweet_text"))
+
+    alone = F.filter(originals, lambda o: ~F.coalesce(F.array_contains(refs, o["id"]), F.lit(False)))
+    rows = F.concat(F.transform(tweets, matched), F.transform(alone, orphan))
+    return F.transform(rows, lambda t, i: F.struct(i.alias("pos"), *[t[c].alias(c) for c in (
+        "tweet_id", "tweet", "retweet_id", "retweet_text")]))
+
+
+def _facts() -> Column:
+    """Array of author, day and id of the captured tweets."""
+    return F.transform("data", lambda d, i: F.struct(
+        i.alias("pos"), d["author_id"].alias("author_id"), _day(d["created_at"]).alias("created_at"), d["id"].alias("tweet_id")))
+
+
+def payload_users(payloads: DataFrame) -> DataFrame:
+    """One row per included user."""
+    return payloads.select("filepath", F.inline(_users()))
+
+
+def payload_texts(payloads: DataFrame) -> DataFrame:
+    """One row per tweet with its original's text, and per original nothing refers to."""
+    return payloads.select("filepath", F.inline(_texts()))
 
 
 def payload_facts(payloads: DataFrame) -> DataFrame:
     """One row per captured tweet: author, day, tweet id."""
-    d = payloads.select("filepath", F.posexplode("data").alias("pos", "d"))
-    return d.select("filepath", "pos", "d.author_id",
-                    _day("d.created_at").alias("created_at"),
-                    F.col("d.id").alias("tweet_id"))
+    return payloads.select("filepath", F.inline(_facts()))
+
+
+ITEM_KINDS = ("user", "text", "fact", "file")
+
+
+def payload_items(payloads: DataFrame) -> DataFrame:
+    """(filepath, kind, user, text, fact, file): every row a load needs, from one parse.
+
+    A payload with its metadata becomes one row per user, text and fact, and one
+    row for the file itself. Unreadable or misnamed files give the file row only.
+    Rows stay post-sized, where nested payload rows would make readers hold
+    thousands of whole payloads at a time.
+    """
+    usable = (F.col("_corrupt_record").isNull() & F.col("event_id").isNotNull()
+              & F.col("search_start").isNotNull() & F.col("search_end").isNotNull())
+    file = F.struct(*[F.col(c) for c in ("event_id", "keyword", "search_start", "search_end")],
+                    F.col("_corrupt_record").alias("corrupt"))
+    fields = {"user": _users(), "text": _texts(), "fact": _facts(), "file": F.array(file)}
+    columns = [F.when(usable, F.coalesce(v, F.array())) if k != "file" else v for k, v in fields.items()]
+    held = payloads.select("filepath", *[c.alias(k) for k, c in zip(fields, columns)])
+    types = {k: held.schema[k].dataType.elementType for k in fields}
+
+    def wrapped(kind):
+        return F.transform(kind, lambda x: F.struct(F.lit(kind).alias("kind"), *[
+            (x if k == kind else F.lit(None)).cast(types[k]).alias(k) for k in fields]))
+
+    every = F.concat(*[F.coalesce(wrapped(k), F.array()) for k in fields])
+    return held.select("filepath", F.inline(every))
 
 
 def payload_errors(payloads: DataFrame) -> DataFrame:

@@ -143,10 +143,10 @@ class Store:
         out = rows.select(*columns, reason.alias("reject_reason"), reason.isNull().alias("accepted"))
         out.write.mode("overwrite").partitionBy("accepted").parquet(f"{self.root}/{table}/batch_id={batch_id}")
 
-    def keep(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
+    def keep(self, name: str, rows: DataFrame, batch_id: int, by: str) -> DataFrame:
         """Write an intermediate result of one load and read it back, so later steps start from it."""
         path = f"{self.root}/{name}/batch_id={batch_id}"
-        rows.write.mode("overwrite").parquet(path)
+        rows.write.mode("overwrite").partitionBy(by).parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def commit(self, batch_id: int, load_key: str, covers: list[int] | None = None) -> None:
