@@ -99,6 +99,15 @@ def test_assign_ids_are_dense_and_ordered(skewed):
     assert {r.id: r.n for r in got} == want
 
 
+def test_assign_ids_without_order_or_shuffle(skewed):
+    data, df = skewed
+    got = keys.assign_ids(df, "n", 7, None)
+    assert sorted(r.n for r in got.collect()) == list(range(7, 7 + len(data)))
+    fixed = keys.fix_rows(df)
+    some = keys.number_fixed(fixed.filter("id % 3 = 1"), "n", 100).collect()
+    assert sorted(r.n for r in some) == list(range(100, 100 + len(some))) and len(some) == 300
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_upsert_and_resolve(spark, frame, rows, small, monkeypatch):
     if not small:

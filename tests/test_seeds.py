@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from voxstar import seeds
 from voxstar.plans import views
 

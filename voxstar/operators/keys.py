@@ -86,15 +86,31 @@ def cascade_delete(child: DataFrame, deleted: DataFrame, key: str, salt_by: list
     return skew_join(child, gone, [key], "left_anti", salt_by, **skew)
 
 
-def assign_ids(df: DataFrame, id_column: str, start: int, order: list[str]) -> DataFrame:
-    """Dense ids from ``start`` in ``order``, without gathering rows in one task.
+def assign_ids(df: DataFrame, id_column: str, start: int, order: list[str] | None = None) -> DataFrame:
+    """Dense ids from ``start``, without gathering rows in one task.
 
-    The rows are range partitioned and checkpointed, which fixes their place; the
-    id is the partition's offset (one row per partition) plus the row's position.
+    With ``order`` the rows are range partitioned first; without it they are
+    numbered where they lie and nothing is shuffled. The checkpoint fixes each
+    row's place, so ids do not change when a task is repeated.
     """
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return number_fixed(fix_rows(df), id_column, start)
+
+
+def fix_rows(df: DataFrame) -> DataFrame:
+    """The rows checkpointed in the shared folder, with their partitions and order."""
     shared_dir(df.sparkSession)
-    placed = (df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
-              .withColumn("_slot", F.monotonically_increasing_id())
+    return df.checkpoint()
+
+
+def number_fixed(fixed: DataFrame, id_column: str, start: int) -> DataFrame:
+    """Dense ids for checkpointed rows or a filter of them.
+
+    The id is the offset of the row's partition (one number per partition) plus
+    the row's position in it.
+    """
+    placed = (fixed.withColumn("_slot", F.monotonically_increasing_id())
               .withColumn("_part", F.shiftright("_slot", 33))
               .withColumn("_pos", F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))))
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
@@ -102,7 +118,7 @@ def assign_ids(df: DataFrame, id_column: str, start: int, order: list[str]) -> D
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(running), F.lit(0)).alias("_offset"))
     ids = F.lit(start).cast("long") + F.col("_offset") + F.col("_pos")
     return (placed.join(F.broadcast(offsets), "_part")
-            .select(ids.alias(id_column), *[F.col(c) for c in df.columns]))
+            .select(ids.alias(id_column), *[F.col(c) for c in fixed.columns]))
 
 
 def next_id(existing: DataFrame, id_column: str, seed: int) -> int:

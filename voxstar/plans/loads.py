@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from voxstar.operators.keys import assign_ids, correct, next_id, resolve_id, tag_exists, tag_first, upsert_dim
+from voxstar.operators.keys import correct, fix_rows, next_id, number_fixed, resolve_id, tag_exists, tag_first, upsert_dim
 from voxstar.operators.quality import REASON, audit, tag_rejects, unquotable
 from voxstar.plans.geo import author_location, build_cities
 from voxstar.plans.views import vw_tweet_text
@@ -68,12 +68,12 @@ def facts_load(facts: DataFrame, stored: DataFrame, users: DataFrame, texts: Dat
     return tag_rejects(rows, rules).drop("_opens", "_author", "_text")
 
 
-def number_accepted(tagged: DataFrame, id_column: str, start: int, order: list[str]) -> DataFrame:
-    """Dense ids for the accepted rows in ``order``; rejected rows get none."""
-    ranked = tagged.withColumn("_rejected", F.col(REASON).isNotNull())
-    numbered = assign_ids(ranked, id_column, start, ["_rejected", *order])
-    return (numbered.withColumn(id_column, F.when(~F.col("_rejected"), F.col(id_column)))
-            .drop("_rejected"))
+def number_accepted(tagged: DataFrame, id_column: str, start: int, order: list[str] | None = None) -> DataFrame:
+    """Dense ids for the accepted rows, in ``order`` if given; rejected rows get none."""
+    placed = tagged.repartitionByRange(*order).sortWithinPartitions(*order) if order else tagged
+    fixed = fix_rows(placed)
+    accepted = number_fixed(fixed.filter(F.col(REASON).isNull()), id_column, start)
+    return accepted.unionByName(fixed.filter(F.col(REASON).isNotNull()), allowMissingColumns=True)
 
 
 def cities_load(world: DataFrame, us_states: DataFrame, stored: DataFrame) -> DataFrame:
@@ -193,8 +193,7 @@ def secondary_load(store: Store, lexicon: DataFrame, load_key: str | None = None
     words = tag_rejects(word_association(shown, lexicon, keep=["_fact"]), {"unknown tweet": ~F.col("_fact")})
     store.write("word_association",
                 number_accepted(words.withColumn("filepath", F.lit("VW_TWEET_TEXT")), "wa_id",
-                                next_id(store.read("word_association"), "wa_id", WORD_SEED),
-                                ["tweet_id", "term", "emotion"]), batch_id)
+                                next_id(store.read("word_association"), "wa_id", WORD_SEED)), batch_id)
     store.write("sentiment_category_assignment", sentiment_vote(store.read("word_association", [batch_id])), batch_id)
 
     users = _newly_captured(store, "users", "author_id", fresh, old)

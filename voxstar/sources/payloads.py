@@ -124,9 +124,6 @@ def payload_facts(payloads: DataFrame) -> DataFrame:
     return payloads.select("filepath", F.inline(_facts()))
 
 
-ITEM_KINDS = ("user", "text", "fact", "file")
-
-
 def payload_items(payloads: DataFrame) -> DataFrame:
     """(filepath, kind, user, text, fact, file): every row a load needs, from one parse.
 
