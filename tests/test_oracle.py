@@ -22,6 +22,12 @@ def test_entry(spark):
     assert result.limit(1).count() == 1
 
 
+def test_correlations_have_values(spark):
+    """Both sentiments occur, so the statistic is compared on numbers and not on nulls only."""
+    rows = oracle.registry.queries()["point_biserial"](spark, SF).collect()
+    assert sum(r["p_value"] is not None for r in rows) >= 3
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, name):
     assert oracle.compare(spark, name, SF) is None

@@ -38,8 +38,8 @@ def lexicon(spark, sf) -> DataFrame:
     emotions = F.array(*[F.lit(e) for e in EMOTIONS])
     pick = lambda n: F.element_at(emotions, (n % 10 + 1).cast("int"))
     pairs = F.array(
-        F.struct(pick(F.ascii("term")).alias("emotion"), F.lit(1).alias("association")),
-        F.struct(pick(F.length("term")).alias("emotion"), (1 - F.length("term") % 2).alias("association")))
+        F.struct(pick(F.ascii("term") + F.length("term")).alias("emotion"), F.lit(1).alias("association")),
+        F.struct(pick(F.ascii(F.right("term", F.lit(1))) + F.length("term")).alias("emotion"), (1 - F.length("term") % 2).alias("association")))
     return (lexicon_words(spark, sf).select("term", F.inline(pairs))
             .groupBy("term", "emotion").agg(F.max("association").alias("association")))
 
@@ -49,9 +49,9 @@ words AS (SELECT DISTINCT lower(w) AS term
           FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS w FROM benchmark) WHERE length(w) > 3),
 lexicon AS (
   SELECT term, emotion, CAST(max(association) AS INTEGER) AS association FROM (
-    SELECT term, ({EMOTIONS!r})[1 + ascii(term) % 10] AS emotion, 1 AS association FROM words
+    SELECT term, ({EMOTIONS!r})[1 + (ascii(term) + length(term)) % 10] AS emotion, 1 AS association FROM words
     UNION ALL
-    SELECT term, ({EMOTIONS!r})[1 + length(term) % 10], 1 - length(term) % 2 FROM words)
+    SELECT term, ({EMOTIONS!r})[1 + (ascii(right(term, 1)) + length(term)) % 10], 1 - length(term) % 2 FROM words)
   GROUP BY term, emotion)"""
 
 TEXTS_SQL = "texts AS (SELECT CAST(doc_id AS VARCHAR) AS tweet_id, text AS tweet_text FROM documents)"
