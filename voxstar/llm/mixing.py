@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from voxstar.session import shared_dir
+from voxstar.llm.staging import checkpointed, stored
 
 #: 52 bits of a document's hash give its uniform number.
 _DIGITS = 13
@@ -59,12 +59,11 @@ def mix(docs: DataFrame, size: Column, weights: tuple[float, ...] = (3, 1, 2), s
     Sizes are summed per source before the shuffle; the rows of one hot source are then spread over all partitions, since the source table
     returns by a join that adaptive execution broadcasts or splits.
     """
-    shared_dir(docs.sparkSession)
     sized = docs.select("doc_id", "source", size.alias("size"), *keep)
     if not keep:  # counts only: cheaper to keep than to take twice from the texts
-        sized = sized.checkpoint()
+        sized = checkpointed(sized)
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goal = targets(sources, weights, share, most).withColumnRenamed("source", "_source").checkpoint()
+    goal = stored(targets(sources, weights, share, most).withColumnRenamed("source", "_source"), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(rate)
     extra = (uniform("doc_id", seed) < rate - whole).cast("long")

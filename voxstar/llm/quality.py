@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxstar.llm import words as W
-from voxstar.session import shared_dir
+from voxstar.llm.staging import checkpointed, stored
 from voxstar.shipping import ship
 
 #: The window of the repetition rule, in words.
@@ -89,9 +89,9 @@ def host_rates(measured: DataFrame, host: str) -> DataFrame:
     numbers per rule reach the driver.
     """
     rules = failures()
-    hosts = (measured.where(F.col(host).isNotNull()).groupBy(host)
-             .agg(F.count(F.lit(1)).alias("n_docs"),
-                  *[F.sum(fails.cast("long")).alias(name) for name, fails in rules.items()])).checkpoint()
+    hosts = checkpointed(measured.where(F.col(host).isNotNull()).groupBy(host)
+                         .agg(F.count(F.lit(1)).alias("n_docs"),
+                              *[F.sum(fails.cast("long")).alias(name) for name, fails in rules.items()]))
     row = hosts.agg(F.sum("n_docs").alias("n"), *[F.sum(r).alias(r) for r in rules]).first()
     if not row["n"]:
         return hosts.withColumns({r: F.lit(0.0) for r in rules})
@@ -114,17 +114,20 @@ def judge(docs: DataFrame, host: str = "source", max_rate: float = 0.5, keep: tu
     rules alone. Equal rows get equal verdicts, null and empty texts have no words and fail, an empty table gives no
     rows, other columns are not read.
 
-    The counts, a few dozen bytes a document, are checkpointed once; texts are never shuffled. Host sums combine before
-    their shuffle. Verdicts return by a join on the host that adaptive execution splits or broadcasts.
+    Without ``keep`` the counts, a few dozen bytes a document, are checkpointed; with it (texts, say) they are taken
+    again instead, as the wider rows cost more to write. Host sums combine before their shuffle. The table of
+    verdicts has a known size: below Spark's threshold it is broadcast and no text is shuffled, beyond it hot hosts
+    are split by adaptive execution.
     """
-    shared_dir(docs.sparkSession)
     columns = tuple(dict.fromkeys(("doc_id", host, *keep)))
-    measured = measure(docs, columns).checkpoint()
+    measured = measure(docs, columns)
+    if not keep:
+        measured = checkpointed(measured)
     rates = host_rates(measured, host)
     bad = F.lit(False)
     for rule in failures():
         bad = bad | (F.col(rule) > max_rate)
-    verdicts = rates.select(F.col(host).alias("_host"), bad.alias("_rejected")).checkpoint()
+    verdicts = stored(rates.select(F.col(host).alias("_host"), bad.alias("_rejected")), "verdicts")
     rules = failures()
     failed = F.coalesce(rules["short"] | rules["repeats"], F.lit(True))
     return (measured.join(verdicts, F.col(host) == F.col("_host"), "left")
