@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxstar.llm import mixing, quality
+from voxstar.llm import mixing, near, quality
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +21,26 @@ def op5_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_duplicates(table(spark, folder, "documents"), width=4)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN coalesce(len(w), 0) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                          ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, a.n AS nu, b.n AS nv, count(*) AS c
+           FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM common WHERE 100 * c >= 80 * (nu + nv - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT a, v FROM reach JOIN links ON b = u),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least ON doc_id = a
+"""
+
 OP5_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
@@ -76,6 +96,7 @@ FROM ruled LEFT JOIN hosts USING (source)
 """
 
 QUERIES = {
+    "op2_near_duplicates": (op2_near_duplicates, OP2_SQL),
     "op5_mix_sources": (op5_mix_sources, OP5_SQL),
     "op9_quality_rules": (op9_quality_rules, OP9_SQL),
 }
