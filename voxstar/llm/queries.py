@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxstar.llm import mixing, near, quality
+from voxstar.llm import mixing, near, quality, repeats
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +25,22 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(table(spark, folder, "documents"), width=4)
 
 
+def op6_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    kept = repeats.remove_repeats(table(spark, folder, "documents"), width=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH texts AS (SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+places AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS g FROM texts, unnest(range(1, len(w) - 33)) t(i) WHERE len(w) >= 35),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY g) AS n FROM places) WHERE n > 1),
+gone AS (SELECT DISTINCT r, c FROM (SELECT r, unnest(range(i, i + 35)) AS c FROM twice)),
+words AS (SELECT r, i, w[i] AS x FROM texts, unnest(range(1, len(w) + 1)) t(i)),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS k, count(*) AS n FROM words ANTI JOIN gone ON words.r = gone.r AND words.i = gone.c GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+"""
+
 OP2_SQL = r"""
 WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                                  '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -98,5 +114,6 @@ FROM ruled LEFT JOIN hosts USING (source)
 QUERIES = {
     "op2_near_duplicates": (op2_near_duplicates, OP2_SQL),
     "op5_mix_sources": (op5_mix_sources, OP5_SQL),
+    "op6_remove_repeats": (op6_remove_repeats, OP6_SQL),
     "op9_quality_rules": (op9_quality_rules, OP9_SQL),
 }
