@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxstar.llm import mixing, near, quality, repeats
+from voxstar.llm import mixing, near, packing, quality, repeats
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +31,11 @@ def op6_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 OP6_SQL = r"""
 WITH texts AS (SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 places AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS g FROM texts, unnest(range(1, len(w) - 33)) t(i) WHERE len(w) >= 35),
@@ -113,6 +119,7 @@ FROM ruled LEFT JOIN hosts USING (source)
 
 QUERIES = {
     "op2_near_duplicates": (op2_near_duplicates, OP2_SQL),
+    "op3_pack_sequences": (op3_pack_sequences, None),
     "op5_mix_sources": (op5_mix_sources, OP5_SQL),
     "op6_remove_repeats": (op6_remove_repeats, OP6_SQL),
     "op9_quality_rules": (op9_quality_rules, OP9_SQL),

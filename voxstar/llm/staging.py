@@ -13,8 +13,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """A small table, written as Parquet and read again, so that Spark knows its size when it plans a join."""
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+    """A table written as Parquet in the shared folder and read again, so that Spark knows its size when it plans a join."""
     path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
