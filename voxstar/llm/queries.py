@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxstar.llm import mixing, near, packing, quality, repeats
+from voxstar.llm import lines, mixing, near, packing, quality, repeats
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +36,36 @@ def op3_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_dedup_lines(spark: SparkSession, folder: str) -> DataFrame:
+    kept = lines.dedup_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, i AS line_no, l[i] AS line, list_distinct(regexp_extract_all(l[i], '[^\x20\x09-\x0D]+')) AS s
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), unnest(range(1, len(l) + 1)) t(i)),
+long AS (SELECT doc_id, line_no, list_sort(s) AS s FROM lines WHERE len(s) >= 5),
+sets AS (SELECT s, len(s) AS n, min(struct_pack(doc_id, line_no)) AS first, row_number() OVER () AS id FROM long GROUP BY s),
+items AS (SELECT id, n, unnest(s) AS x FROM sets),
+often AS (SELECT x, count(*) AS c FROM items GROUP BY x),
+ranked AS (SELECT id, n, x, row_number() OVER (PARTITION BY id ORDER BY c, x) AS r FROM items JOIN often USING (x)),
+heads AS (SELECT id, n, x FROM ranked WHERE r <= n - (80 * n + 99) // 100 + 1),
+near AS (SELECT DISTINCT a.id AS a, b.id AS b FROM heads a JOIN heads b ON a.x = b.x AND a.id < b.id
+         WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+pairs AS (SELECT a.first AS fa, b.first AS fb, a.id AS ia, b.id AS ib, len(list_intersect(a.s, b.s)) AS c, a.n AS na, b.n AS nb
+          FROM near JOIN sets a ON near.a = a.id JOIN sets b ON near.b = b.id),
+beaten AS (SELECT DISTINCT CASE WHEN fa < fb THEN ib ELSE ia END AS id FROM pairs WHERE 100 * c >= 80 * (na + nb - c)),
+gone AS (SELECT doc_id, line_no FROM long JOIN sets ON long.s = sets.s
+         WHERE sets.id IN (FROM beaten) OR struct_pack(doc_id, line_no) <> sets.first),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS k FROM lines ANTI JOIN gone USING (doc_id, line_no) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM lines GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS g FROM gone GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_lines, coalesce(g, 0)::BIGINT AS n_removed,
+       CASE WHEN text IS NOT NULL THEN sha256(coalesce(k, '')) END AS kept_sha256
+FROM documents LEFT JOIN counts USING (doc_id) LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 OP6_SQL = r"""
 WITH texts AS (SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 places AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS g FROM texts, unnest(range(1, len(w) - 33)) t(i) WHERE len(w) >= 35),
@@ -120,6 +150,7 @@ FROM ruled LEFT JOIN hosts USING (source)
 QUERIES = {
     "op2_near_duplicates": (op2_near_duplicates, OP2_SQL),
     "op3_pack_sequences": (op3_pack_sequences, None),
+    "op4_dedup_lines": (op4_dedup_lines, OP4_SQL),
     "op5_mix_sources": (op5_mix_sources, OP5_SQL),
     "op6_remove_repeats": (op6_remove_repeats, OP6_SQL),
     "op9_quality_rules": (op9_quality_rules, OP9_SQL),

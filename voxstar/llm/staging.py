@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 
 from voxstar.session import fresh_dir, shared_dir
 
@@ -18,3 +20,9 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the cleaner drop shuffle files of finished steps now, not when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
