@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxstar.llm import lines, mixing, near, packing, quality, repeats
+from voxstar.llm import langid, lines, mixing, near, packing, quality, repeats, search
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +41,28 @@ def op4_dedup_lines(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+OP7_SQL = r"""
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+           FROM rows q JOIN rows c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score
+FROM (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM scores) WHERE rank <= 5
+"""
+
+
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn(
+        "held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False)))
+    model = langid.fit(docs, ~F.col("held_out") & F.col("doc_id").isNotNull())
+    return langid.identify(docs, model, keep=("doc_id", "held_out"))
+
+
 OP4_SQL = r"""
 WITH lines AS (
   SELECT doc_id, i AS line_no, l[i] AS line, list_distinct(regexp_extract_all(l[i], '[^\x20\x09-\x0D]+')) AS s
@@ -153,5 +175,7 @@ QUERIES = {
     "op4_dedup_lines": (op4_dedup_lines, OP4_SQL),
     "op5_mix_sources": (op5_mix_sources, OP5_SQL),
     "op6_remove_repeats": (op6_remove_repeats, OP6_SQL),
+    "op7_top_k": (op7_top_k, OP7_SQL),
+    "op8_language_id": (op8_language_id, None),
     "op9_quality_rules": (op9_quality_rules, OP9_SQL),
 }
