@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxstar.llm import langid, lines, mixing, near, packing, quality, repeats, search
+from voxstar.llm import langid, lines, mixing, near, packing, quality, repeats, revisit, search, secrets
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,16 @@ def op5_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = secrets.listed(docs, secrets.scan(docs))
+    base = F.filter("spans", lambda s: s["kind_no"] < len(secrets.FORMS))
+    count = lambda i: F.size(F.filter("spans", lambda s: s["kind_no"] == i)).cast("long")
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["low"], s["high"])), ",")
+    return found.select("doc_id", *[count(i).alias(f"n_{f.kind}") for i, f in enumerate(secrets.FORMS)],
+                        F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(table(spark, folder, "documents"), width=4)
 
@@ -63,6 +73,73 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, model, keep=("doc_id", "held_out"))
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Capture records of the pages: a response each, and a revisit of the same URL by another route some time later.
+
+    Page n is captured n minutes into 2024. Its revisit follows (n mod 5) - 1 hours later, so one in five comes an hour earlier; one in four
+    carries another entity tag, one in six none, with a last-modified that one time in three has moved.
+    """
+    n = F.coalesce(F.col("page_id"), F.lit(0))
+    hour = F.lit(3600)
+    start = F.lit(1704067200) + n * 60
+    tag = F.concat(F.lit('"'), F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16), F.lit('"'))
+    day = lambda shift: F.date_format(F.timestamp_seconds(F.lit(1672531200) + (n % 300 + shift) * 86400), "yyyy-MM-dd")
+    full = F.create_map(F.lit("content-type"), F.lit("text/html"), F.lit("content-length"), F.length("html").cast("string"),
+                        F.lit("etag"), tag, F.lit("last-modified"), day(F.lit(0)), F.lit("server"), F.lit("s1"))
+    changed = F.when(n % 4 == 3, F.concat(F.lit('"x'), n, F.lit('"'))).otherwise(F.concat(F.lit("W/"), tag))
+    with_tag = F.create_map(F.lit("etag"), changed, F.lit("content-length"), F.lit("0"), F.lit("age"), (n % 7).cast("string"))
+    no_tag = F.create_map(F.lit("last-modified"), day(F.when(n % 3 == 2, 1).otherwise(0)), F.lit("server"), F.lit("s2"))
+    again = F.concat(F.lit("HTTPS://www."), F.regexp_replace(F.split("url", "#")[0], "^https?://(www\\.)?", ""))
+    pages = pages.withColumn("digest", F.md5(F.coalesce("html", F.lit(""))))
+    responses = pages.select(F.concat(F.lit("p"), n).alias("record_id"), "url", F.timestamp_seconds(start).alias("captured"),
+                             F.lit("response").alias("kind"), "digest", full.alias("headers"))
+    revisits = pages.select(F.concat(F.lit("v"), n).alias("record_id"), again.alias("url"),
+                            F.timestamp_seconds(start + (n % 5 - 1) * hour).alias("captured"), F.lit("revisit").alias("kind"),
+                            "digest", F.when(n % 6 == 5, no_tag).otherwise(with_tag).alias("headers"))
+    return responses.unionByName(revisits)
+
+
+def op10_resolve_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = revisit.resolve(captures(table(spark, folder, "pages")))
+    fields = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
+    return found.select("record_id", "url_key", F.unix_timestamp("captured").alias("captured"), "status", "response_id",
+                        F.array_join(fields, "\n").alias("headers"))
+
+
+OP10_SQL = r"""
+WITH pages AS (
+  SELECT page_id AS n, url, html, md5(coalesce(html, '')) AS digest, '"' || md5(coalesce(html, ''))[1:16] || '"' AS tag,
+         'HTTPS://www.' || regexp_replace(string_split(url, '#')[1], '^https?://(www\.)?', '') AS again FROM pages),
+places AS (
+  SELECT *, regexp_replace(regexp_replace(trim(u), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS plain
+  FROM (SELECT n, digest, tag, html, true AS is_full, 1704067200 + n * 60 AS ts, url AS u FROM pages
+        UNION ALL SELECT n, digest, tag, html, false, 1704067200 + n * 60 + (n % 5 - 1) * 3600, again FROM pages)),
+keyed AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(plain, '^([^/?]*)', 1)), '^www\.', ''), ':(80|443)$', '')
+            || regexp_replace(regexp_extract(plain, '^[^/?]*([^?]*)', 1), '/+$', '') AS page,
+         list_sort(list_filter(string_split(regexp_extract(plain, '^[^?]*\?(.*)$', 1), '&'),
+                               lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS asked FROM places),
+captures AS (SELECT *, page || CASE WHEN len(asked) > 0 THEN '?' || array_to_string(asked, '&') ELSE '' END AS url_key FROM keyed),
+day AS (SELECT k, strftime(TIMESTAMP '2023-01-01' + to_days(k::INT), '%Y-%m-%d') AS d FROM range(0, 302) t(k)),
+matched AS (
+  SELECT v.n, v.url_key, v.ts, v.digest, v.tag, max_by(r.n, (r.ts, 'p' || r.n)) AS m
+  FROM captures v LEFT JOIN captures r ON r.is_full AND r.url_key = v.url_key AND r.ts < v.ts WHERE NOT v.is_full GROUP BY ALL),
+paired AS (
+  SELECT x.*, r.tag AS old_tag, length(r.html) AS old_length, a.d AS old_day, b.d AS new_day,
+         CASE WHEN x.n % 6 = 5 THEN NULL WHEN x.n % 4 = 3 THEN '"x' || x.n || '"' ELSE x.tag END AS new_tag
+  FROM matched x LEFT JOIN pages r ON r.n = x.m LEFT JOIN day a ON a.k = x.m % 300
+  LEFT JOIN day b ON b.k = x.n % 300 + CASE WHEN x.n % 3 = 2 THEN 1 ELSE 0 END),
+judged AS (
+  SELECT *, CASE WHEN m IS NULL THEN 'unresolved' WHEN coalesce(new_tag = old_tag, new_day = old_day) THEN 'resolved' ELSE 'mismatch' END AS status FROM paired)
+SELECT 'v' || n AS record_id, url_key, ts AS captured, status, CASE WHEN status = 'resolved' THEN 'p' || m END AS response_id,
+       CASE WHEN status <> 'resolved' THEN NULL
+            WHEN n % 6 = 5 THEN concat_ws(chr(10), 'content-length: ' || old_length, 'content-type: text/html', 'etag: ' || old_tag,
+                                          'last-modified: ' || new_day, 'server: s2')
+            ELSE concat_ws(chr(10), 'age: ' || n % 7, 'content-length: ' || old_length, 'content-type: text/html', 'etag: W/' || new_tag,
+                           'last-modified: ' || old_day, 'server: s1') END AS headers
+FROM judged
+"""
+
 OP4_SQL = r"""
 WITH lines AS (
   SELECT doc_id, i AS line_no, l[i] AS line, list_distinct(regexp_extract_all(l[i], '[^\x20\x09-\x0D]+')) AS s
@@ -170,6 +247,7 @@ FROM ruled LEFT JOIN hosts USING (source)
 """
 
 QUERIES = {
+    "op1_secret_scan": (op1_secret_scan, None),
     "op2_near_duplicates": (op2_near_duplicates, OP2_SQL),
     "op3_pack_sequences": (op3_pack_sequences, None),
     "op4_dedup_lines": (op4_dedup_lines, OP4_SQL),
@@ -178,4 +256,5 @@ QUERIES = {
     "op7_top_k": (op7_top_k, OP7_SQL),
     "op8_language_id": (op8_language_id, None),
     "op9_quality_rules": (op9_quality_rules, OP9_SQL),
+    "op10_resolve_revisits": (op10_resolve_revisits, OP10_SQL),
 }
