@@ -65,22 +65,22 @@ def _signed(shingle_set: np.ndarray) -> tuple[int, int, list[int], list[int]]:
 
 
 def signed(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``s1``, ``s2`` (hashes of the set), ``bands``, ``bits``; no shuffle."""
+    """``rk`` (hash of doc_id and text), ``doc_id``, ``n_shingles``, ``s1``, ``s2`` (hashes of the set), ``bands``, ``bits``; no shuffle."""
     ship(docs.sparkSession)
 
     def run(batches):
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         for batch in batches:
             rows = []
-            for _, part in W.slices(batch.column(1).to_pylist()):
+            for _, part in W.slices(batch.column(2).to_pylist()):
                 rows += [(len(s), *(_signed(s) if len(s) else (None, None, None, None))) for s in shingles(part, width)]
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), *[pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]],
-                    names=["doc_id", "n_shingles", "s1", "s2", "bands", "bits"])
+                    [batch.column(0), batch.column(1), *[pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]],
+                    names=["rk", "doc_id", "n_shingles", "s1", "s2", "bands", "bits"])
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, bits array<long>")
+    return docs.select(F.xxhash64("doc_id", "text").alias("rk"), "doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
+        run, "rk long, doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, bits array<long>")
 
 
 def _comparable(a: Column, b: Column, percent: int) -> Column:
@@ -120,12 +120,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` (doc_id = component_id) of every row.
+    """``rk``, ``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` (doc_id = component_id) of every row.
 
     Documents are linked when their whole sets of ``width``-word shingles have a Jaccard similarity of ``percent`` % or
     more; a component is named by its smallest doc_id. A text without words (null, empty) has an empty set
     and is alone. Rows with one doc_id are one document. A null doc_id joins the class of its equal texts, leads none and
-    is kept only where its class has no id. An empty table gives no rows; other columns are not read.
+    is kept only where its class has no id. ``rk``, the hash of doc_id and text, names equal rows. An empty table gives no rows; other columns are not read.
 
     1. Rows are signed where they lie. Equal sets collapse into one class, led by its least doc_id, so that exact
        copies cost one row each however many there are.
@@ -172,4 +172,4 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     led = checkpointed(led)
     return (rows.drop("bands", "bits").join(led, ["s1", "s2", "n_shingles"], "left")
             .withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component")))
-            .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+            .select("rk", "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))

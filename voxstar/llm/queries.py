@@ -33,7 +33,7 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return near.near_duplicates(table(spark, folder, "documents"), width=4)
+    return near.near_duplicates(table(spark, folder, "documents"), width=4).drop("rk")
 
 
 def op6_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
