@@ -59,11 +59,17 @@ def test_skew_join_splits_the_hot_key(skewed, spark):
         joins.skew_join(df, right, ["key"], "full_outer", ["id"])
 
 
-def test_dim_join_beyond_the_limit(skewed, spark, rows):
-    _, df = skewed
-    dim = spark.createDataFrame([("hot", "x" * 50), ("k3", "y")], "key string, note string")
-    assert joins.fits_broadcast(dim) and not joins.fits_broadcast(dim, 20)
-    assert rows(joins.dim_join(df, dim, "key", max_bytes=20)) == rows(joins.dim_join(df, dim, "key"))
+@pytest.mark.parametrize("how", ["left", "left_anti", "inner", "left_semi"])
+def test_skew_join_spreads_null_keys(spark, how, rows):
+    """Null keys match nothing; they stay where they lie instead of meeting in one task."""
+    df = spark.range(0, 2000, 1, 4).select("id", F.when(F.col("id") >= 1990, F.lit("a")).alias("key"))
+    right = spark.createDataFrame([("a", 1), (None, 2)], "key string, r int")
+    joined = joins.skew_join(df, right, ["key"], how, ["id"], hot_rows=100)
+    plain = df.join(right, ["key"], how)
+    assert rows(joined, *plain.columns) == rows(plain)
+    if how in ("left", "left_anti"):
+        sizes = [r["n"] for r in joined.filter("key IS NULL").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert max(sizes) <= 500 and sum(sizes) == 1990
 
 
 def test_full_outer_keyed(skewed, spark, rows):
@@ -76,20 +82,26 @@ def test_full_outer_keyed(skewed, spark, rows):
 def test_foreign_keys_and_cascade(frame, rows):
     child = frame("id int, parent int", [(1, 10), (2, 11), (3, None), (4, 10)])
     parent = frame("pid int", [(10,), (10,), (12,)])
-    ok, bad = keys.enforce_fk(child, parent, "parent", "pid", ["id"])
+    ok, bad = keys.enforce_fk(child, parent, "parent", "pid")
     assert rows(ok) == [(1, 10), (4, 10)] and rows(bad) == [(2, 11), (3, None)]
-    assert rows(keys.cascade_delete(child, frame("parent int", [(10,), (10,)]), "parent", ["id"]), "id") == [(2,), (3,)]
+    assert rows(keys.cascade_delete(child, frame("parent int", [(10,), (10,)]), "parent"), "id") == [(2,), (3,)]
 
 
-def test_tag_exists_beyond_the_limit(skewed, spark, monkeypatch):
+def test_tag_exists_beyond_the_limit(skewed, spark):
     _, df = skewed
-    parent = spark.createDataFrame([("hot",), ("hot",), ("k5",)], "p string")
-    small = keys.tag_exists(df, parent, "key", "p", "known", ["id"])
-    monkeypatch.setattr(keys, "fits_broadcast", lambda *_: False)
-    large = keys.tag_exists(df, parent, "key", "p", "known", ["id"], hot_rows=30)
-    assert small.count() == large.count() == 900
-    count = lambda d: d.filter("known").count()
-    assert count(small) == count(large) > 300
+    parent = spark.createDataFrame([("hot",), ("hot",), ("k5",), (None,)], "p string")
+    small = keys.tag_exists(df, parent, "key", "p", "known")
+    want = small.filter("known").count()
+    assert small.count() == 900 and want > 300
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = keys.tag_exists(df, parent, "key", "p", "known")
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        assert large.count() == 900 and large.filter("known").count() == want
+        # the join shuffles the parent for itself, after the shuffle of its distinct
+        assert plan.count("ENSURE_REQUIREMENTS") >= 3 and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_assign_ids_are_dense_and_ordered(skewed):
@@ -108,10 +120,7 @@ def test_assign_ids_without_order_or_shuffle(skewed):
     assert sorted(r.n for r in some) == list(range(100, 100 + len(some))) and len(some) == 300
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_upsert_and_resolve(spark, frame, rows, small, monkeypatch):
-    if not small:
-        monkeypatch.setattr(keys, "fits_broadcast", lambda *_: False)
+def test_upsert_and_resolve(spark, frame, rows):
     stored = frame("search_id bigint, keyword string", [(2000, "a"), (2004, "b")])
     incoming = frame("keyword string, x int", [("c", 1), ("a", 1), ("d", 1), ("c", 2)])
     everything, created = keys.upsert_dim(stored, incoming, ["keyword"], "search_id", 2000)
@@ -122,8 +131,10 @@ def test_upsert_and_resolve(spark, frame, rows, small, monkeypatch):
     empty = stored.filter("false")
     assert rows(keys.upsert_dim(empty, incoming, ["keyword"], "search_id", 2000)[1], "search_id") == [(2000,), (2001,), (2002,)]
     twice = stored.unionByName(frame("search_id bigint, keyword string", [(9, "a")]))
-    with pytest.raises(ValueError):
-        keys.resolve_id(incoming, twice, ["keyword"], "search_id")
+    with pytest.raises(Exception, match="more than one search_id"):
+        keys.resolve_id(incoming, twice, ["keyword"], "search_id").collect()
+    with pytest.raises(Exception, match="no search_id"):
+        keys.resolve_id(incoming, stored, ["keyword"], "search_id").collect()
 
 
 def test_correct(frame, rows):

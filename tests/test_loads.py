@@ -23,6 +23,9 @@ def store(spark, tmp_path):
     return Store(spark, str(tmp_path / "store"))
 
 
+REFUSED = [("cut_2014-03-23_2014-03-24.json", "FILE REJECTED: unreadable"), ("notes.json", "FILE REJECTED: file name")]
+
+
 def comments(log):
     return sorted((r.filepath.rsplit("/", 1)[1], r.comment) for r in log.collect())
 
@@ -33,7 +36,10 @@ def test_initial_load(spark, capture, store, rows):
     assert comments(log) == sorted([
         (africa, "USERS: 2 LOADED, 0 SKIPPED"), (marriage, "USERS: 2 LOADED, 1 SKIPPED"),
         (africa, "TEXT: 2 LOADED, 0 SKIPPED"), (marriage, "TEXT: 4 LOADED, 2 SKIPPED"),
-        (africa, "TWEET_DATA: 2 LOADED, 0 SKIPPED"), (marriage, "TWEET_DATA: 4 LOADED, 1 SKIPPED")])
+        (africa, "TWEET_DATA: 2 LOADED, 0 SKIPPED"), (marriage, "TWEET_DATA: 4 LOADED, 1 SKIPPED"),
+        (africa, "SEARCH_DATES: '2014-03-23','2014-03-24'"), (marriage, "SEARCH_DATES: '2015-06-26','2015-06-27'"),
+        (africa, "SEARCHES: 'africa', '1000', '3000'"), (marriage, "SEARCHES: 'same_sex_marriage', '1001', '3003'"),
+        *REFUSED])
     assert rows(store.read("users"), "author_id") == [("a",), ("b",), ("c",), ("e",)]
     assert rows(store.read("tweet_text"), "tweet_id") == [(str(i),) for i in range(1, 7)]
     assert rows(store.read("search_dates"), "search_date_id", F.col("search_start").cast("string")) == [
@@ -53,7 +59,8 @@ def test_reload_adds_nothing(spark, capture, store):
     before = {t: store.read(t).count() for t in ("users", "tweet_text", "tweet_data", "searches", "search_dates")}
     assert initial_load(store, raw, "one").count() == 0  # same key: skipped
     log = initial_load(store, raw, "two")                 # new key: every row is known
-    assert all(" 0 LOADED" in r.comment for r in log.collect())
+    said = [r.comment for r in log.collect()]
+    assert all(" 0 LOADED" in c for c in said if "LOADED" in c) and not any(c.startswith("SEARCH_DATES") for c in said)
     assert {t: store.read(t).count() for t in before} == before
 
 
@@ -143,7 +150,7 @@ def test_stream_equals_batch(spark, capture, store, tmp_path, rows):
 
 def test_repeated_epoch_is_skipped(spark, capture, store):
     raw = scan_payloads(spark, str(capture))
-    run = load_batch(store, "q")
+    run = load_batch(store, name="q")
     run(raw, 0)
     run(raw, 0)
     assert store.commits().count() == 1
@@ -170,12 +177,12 @@ def test_seed_and_cities_load(spark, frame, store, rows):
     assert store.read("us_states").count() == 50
 
 
-STAR_SQL = """
-SELECT sentiment_category, topic.name_text AS category_name, count(*) AS tweet_count
-FROM tweet_data JOIN sentiment_category_assignment USING (tweet_id) JOIN sentiment_category USING (sent_id)
-JOIN searches USING (search_id) JOIN category AS bridge USING (event_id)
-JOIN cat_name AS topic ON topic.name_id = bridge.cat_name_id
-GROUP BY ALL"""
+def topics_of(store):
+    names = dict(store.read("cat_name").select("name_id", "name_text").collect())
+    out = {}
+    for event, name in store.read("category").select("event_id", "cat_name_id").collect():
+        out.setdefault(event, []).append(names[name])
+    return out
 
 
 def test_warehouse_sql(spark, capture, store, frame, rows):
@@ -184,10 +191,17 @@ def test_warehouse_sql(spark, capture, store, frame, rows):
     secondary_load(store, frame("term string, emotion string, association int", files.LEXICON))
     names = register(store)
     assert {"users", "tweet_data", "vw_tweets", "vw_tweet_emotions_all"} <= set(names)
-    by_sql = rows(spark.sql(STAR_SQL), "sentiment_category", "category_name", "tweet_count")
     star = {n: store.read(n) for n in ("tweet_data", "searches", "events", "category", "cat_name")}
     built = sentiment_by_category(store.read("sentiment_category_assignment"), store.read("sentiment_category"), **star)
-    assert by_sql and by_sql == rows(built, "sentiment_category", "category_name", "tweet_count")
+    by_name = {(sent, cat): n for sent, cat, n in rows(built, "sentiment_category", "category_name", "tweet_count")}
+    votes, facts, found = (dict(rows(store.read("sentiment_category_assignment"))), rows(store.read("tweet_data"), "tweet_id", "search_id"),
+                           dict(rows(store.read("searches"), "search_id", "event_id")))
+    want = {}
+    for tweet, search in facts:
+        for topic in topics_of(store)[found[search]] if tweet in votes else ():
+            key = ({1: "POSITIVE", 9: "NEUTRAL", 0: "NEGATIVE"}[votes[tweet]], topic)
+            want[key] = want.get(key, 0) + 1
+    assert want and by_name == want
     assert rows(spark.sql("SELECT CATEGORIES FROM VW_CAT_EVENTS WHERE EVENT_ID = 3002")) == [("CIVIL RIGHTS, POLITICS",)]
     shown = dict(rows(spark.sql("SELECT TWEET_ID, TWEET_TEXT FROM VW_TWEET_TEXT")))
     assert shown["1"] == "happy love wins today" and shown["2"] is None and shown["3"] == "agree with this"
@@ -201,4 +215,25 @@ def test_empty_capture(spark, store, tmp_path):
     (tmp_path / "capture" / "ebola").mkdir(parents=True)
     files.write(tmp_path / "capture", "ebola", "none_2014-03-23_2014-03-24.json", {"meta": {"result_count": 0}})
     log = initial_load(store, scan_payloads(spark, str(tmp_path / "capture")), "one")
-    assert log.count() == 0 and store.read("searches").count() == 1
+    assert sorted(r.comment for r in log.collect()) == [
+        "SEARCHES: 'none', '1000', '3000'", "SEARCH_DATES: '2014-03-23','2014-03-24'", "TEXT: 0 LOADED, 0 SKIPPED",
+        "TWEET_DATA: 0 LOADED, 0 SKIPPED", "USERS: 0 LOADED, 0 SKIPPED"]
+    assert store.read("searches").count() == 1
+
+
+def test_two_sources_and_a_new_checkpoint(spark, store, tmp_path):
+    """Loads are keyed by the stream, so neither a second root nor a new checkpoint takes its batches for loaded ones."""
+    for name, ident in (("one", "1"), ("two", "2")):
+        files.write(tmp_path / name, "ebola", f"{name}_2014-03-23_2014-03-24.json",
+                    files.payload([files.tweet(ident, "a" + ident, "love")], [files.user("a" + ident)]))
+        ingest_files(spark, str(tmp_path / name), store, str(tmp_path / f"check-{name}"))
+    assert store.read("tweet_data").count() == 2
+    ingest_files(spark, str(tmp_path / "one"), store, str(tmp_path / "check-anew"))
+    assert store.read("tweet_data").count() == 2 and store.commits().count() == 3
+
+
+def test_wrong_names_are_errors(spark, store):
+    with pytest.raises(ValueError):
+        load(spark, store.root, "users")
+    with pytest.raises(ValueError):
+        store.read("vw_cat_events")

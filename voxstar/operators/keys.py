@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from voxstar.operators.joins import HOT_ROWS, fits_broadcast, skew_join
+from voxstar.operators.joins import dealt_anew
 from voxstar.session import shared_dir
 
 
@@ -54,36 +54,28 @@ def tag_first(df: DataFrame, keys: list[str], order: list[str], flag: str = "is_
 
 
 def tag_exists(df: DataFrame, parent: DataFrame, column: str, parent_column: str, flag: str,
-               salt_by: list[str], hot_rows: int = HOT_ROWS, unique: bool = False) -> DataFrame:
+               unique: bool = False) -> DataFrame:
     """Mark the rows whose ``column`` value is a key of ``parent``.
 
-    ``unique`` tells that the parent holds each key once.
+    ``unique`` tells that the parent holds each key once. Spark broadcasts a small parent; beyond its threshold both sides are dealt
+    anew for the join and adaptive execution splits hot keys.
     """
-    parent_keys = parent.select(F.col(parent_column).alias(column))
-    small = fits_broadcast(parent_keys)  # scans one column, shuffles nothing
-    known = (parent_keys if unique else parent_keys.distinct()).withColumn(flag, F.lit(True))
-    if small:
-        joined = df.join(F.broadcast(known), column, "left")
-    else:
-        joined = skew_join(df, known, [column], "left", salt_by, hot_rows)
+    keys = parent.select(F.col(parent_column).alias("_key")).dropna()
+    known = (keys if unique else keys.distinct()).withColumn(flag, F.lit(True))
+    joined = df.join(known, dealt_anew([column]) == dealt_anew(["_key"]), "left").drop("_key")
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def enforce_fk(df: DataFrame, parent: DataFrame, column: str, parent_column: str,
-               salt_by: list[str], **skew) -> tuple[DataFrame, DataFrame]:
-    """Split rows into (accepted, rejected) by a foreign key."""
-    tagged = tag_exists(df, parent, column, parent_column, "_known", salt_by, **skew)
-    ordered = [F.col(c) for c in df.columns]
-    return (tagged.filter("_known").select(*ordered),
-            tagged.filter("NOT _known").select(*ordered))
+def enforce_fk(df: DataFrame, parent: DataFrame, column: str, parent_column: str) -> tuple[DataFrame, DataFrame]:
+    """Split rows into (accepted, rejected) by a foreign key, straight against the parent: a semi-join and an anti-join,
+    each stopping at a row's first match."""
+    keys = parent.select(F.col(parent_column).alias(column))
+    return df.join(keys, column, "left_semi"), df.join(keys, column, "left_anti")
 
 
-def cascade_delete(child: DataFrame, deleted: DataFrame, key: str, salt_by: list[str], **skew) -> DataFrame:
+def cascade_delete(child: DataFrame, deleted: DataFrame, key: str) -> DataFrame:
     """Child rows that remain after their parents were deleted."""
-    gone = deleted.select(key)
-    if fits_broadcast(gone):
-        return child.join(F.broadcast(gone), key, "left_anti")
-    return skew_join(child, gone, [key], "left_anti", salt_by, **skew)
+    return child.join(deleted.select(key), key, "left_anti")
 
 
 def assign_ids(df: DataFrame, id_column: str, start: int, order: list[str] | None = None) -> DataFrame:
@@ -130,30 +122,26 @@ def upsert_dim(existing: DataFrame, incoming: DataFrame, natural_key: list[str],
                seed: int) -> tuple[DataFrame, DataFrame]:
     """Get-or-create: returns (all rows, newly created rows) of a dimension.
 
-    New keys are numbered in key order: by one window when they measure small, as
-    dimension keys do, else by ``assign_ids``.
+    New keys are numbered in key order after the highest id. One row per new key of a dimension (search windows, keywords) goes through
+    the window that does it, never one per fact; no job starts before the result is used.
     """
     fresh = incoming.select(*natural_key).distinct().join(existing.select(*natural_key), natural_key, "left_anti")
-    start = next_id(existing, id_column, seed)
-    if fits_broadcast(fresh):
-        place = F.row_number().over(Window.orderBy(*natural_key)).cast("long")
-        created = fresh.withColumn(id_column, place + F.lit(start - 1))
-    else:
-        created = assign_ids(fresh, id_column, start, natural_key)
+    top = existing.agg(F.max(id_column).alias("top")).scalar()
+    start = F.greatest(F.lit(seed), F.coalesce(top + 1, F.lit(seed))).cast("long")
+    place = F.row_number().over(Window.orderBy(*natural_key)).cast("long")
+    created = fresh.withColumn(id_column, place + start - 1)
     created = created.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema])
     return existing.unionByName(created), created
 
 
-def resolve_id(df: DataFrame, dim: DataFrame, natural_key: list[str], id_column: str,
-               salt_by: list[str] | None = None) -> DataFrame:
-    """Attach the id of each row's natural key; an ambiguous key is an error."""
-    twice = dim.groupBy(*natural_key).count().filter("count > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"more than one {id_column} for {twice[0].asDict()}")
-    lookup = dim.select(*natural_key, id_column)
-    if fits_broadcast(lookup):
-        return df.join(F.broadcast(lookup), natural_key)
-    return skew_join(df, lookup, natural_key, "inner", salt_by or [c for c in df.columns if c not in natural_key])
+def resolve_id(df: DataFrame, dim: DataFrame, natural_key: list[str], id_column: str) -> DataFrame:
+    """Attach the id of each row's natural key. A key with no id, or more than one, fails the query when it is met."""
+    lookup = (dim.groupBy(*[F.col(c).alias(f"_{c}") for c in natural_key])
+              .agg(F.count(F.lit(1)).alias("_ids"), F.min(id_column).alias(id_column)))
+    found = df.join(lookup, dealt_anew(natural_key) == dealt_anew([f"_{c}" for c in natural_key]), "left")
+    said = lambda text: F.raise_error(F.concat(F.lit(f"{text} {id_column} for "), F.to_json(F.struct(*natural_key))))
+    checked = (F.when(F.col("_ids") == 1, F.col(id_column)).when(F.col("_ids") > 1, said("more than one")).otherwise(said("no")))
+    return found.withColumn(id_column, checked.cast(dim.schema[id_column].dataType)).select(*df.columns, id_column)
 
 
 def correct(df: DataFrame, key: str, ids: list, column: str, value) -> DataFrame:

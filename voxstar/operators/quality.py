@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from voxstar.session import shared_dir
+
 REASON = "reject_reason"
 
 
@@ -30,23 +32,30 @@ def tag_rejects(df: DataFrame, rules: dict[str, Column], reason: str = REASON) -
 
 
 def split_valid(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows, rejected rows with their reason); together every input row."""
-    tagged = tag_rejects(df, rules)
+    """(accepted rows, rejected rows with their reason); together every input row.
+
+    The tagged rows are checkpointed in the shared folder, so the input is evaluated once for both.
+    """
+    shared_dir(df.sparkSession)
+    tagged = tag_rejects(df, rules).checkpoint(eager=False)
     return tagged.filter(F.col(REASON).isNull()).drop(REASON), tagged.filter(F.col(REASON).isNotNull())
 
 
-def load_counts(tagged: DataFrame, by: list[str], reason: str = REASON) -> DataFrame:
-    """Loaded and skipped rows per group."""
+def load_counts(tagged: DataFrame, by: list[str], reason: str = REASON, nothing: str | None = None) -> DataFrame:
+    """Loaded and skipped rows per group; rows with the reason ``nothing`` are neither."""
     return tagged.groupBy(*by).agg(
         F.count_if(F.col(reason).isNull()).alias("loaded"),
-        F.count_if(F.col(reason).isNotNull()).alias("skipped"))
+        F.count_if(F.col(reason) != (nothing or "")).alias("skipped"))
 
 
 def audit(tagged: DataFrame, load_type: str, table: str, filepath: str | Column = "filepath",
-          reason: str = REASON) -> DataFrame:
-    """One run_log row per file: "<TABLE>: n LOADED, m SKIPPED"."""
+          reason: str = REASON, nothing: str | None = None) -> DataFrame:
+    """One run_log row per file: "<TABLE>: n LOADED, m SKIPPED".
+
+    A row whose reason is ``nothing`` stands for a file without rows and counts for neither.
+    """
     path = F.col(filepath) if isinstance(filepath, str) else filepath
-    counted = load_counts(tagged.withColumn("filepath", path), ["filepath"], reason)
+    counted = load_counts(tagged.withColumn("filepath", path), ["filepath"], reason, nothing)
     return counted.select(
         F.current_timestamp().alias("run_date"),
         F.lit(load_type).alias("load_type"),

@@ -18,13 +18,13 @@ def tweet_emojis(tweets: DataFrame, names: DataFrame, tweet_id: str = "tweet_id"
     kept = drop_media_posts(tweets.select(tweet_id, text), text)
     found = kept.select(F.col(tweet_id).alias("tweet_id"), F.explode(code_points(F.col(text))).alias("emoji"))
     named = names.filter(F.coalesce(F.col("name"), F.lit("")) != "").select("emoji", "name")
-    return dim_join(found, named, "emoji", salt_by=["tweet_id"])
+    return dim_join(found, named, "emoji")
 
 
 def emoji_terms(emojis: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(tweet_id, emoji, name, term): dictionary terms by emoji name, a null term without an entry."""
     terms = dictionary.select("name", F.explode_outer("terms").alias("term"))
-    return dim_join(emojis, terms, "name", "left", salt_by=["tweet_id"])
+    return dim_join(emojis, terms, "name", "left")
 
 
 def frequent_emoji(emojis: DataFrame, dictionary: DataFrame, min_support: float = MIN_SUPPORT,
@@ -61,7 +61,7 @@ def emoji_associations(tweets: DataFrame, names: DataFrame, dictionary: DataFram
     terms = names.join(dictionary.select("name", F.explode("terms").alias("term")), "name")
     felt = with_polarity(terms.join(lexicon.filter(F.col("association") == 1), "term")).drop("name")
     lookup = felt.join(support, "emoji")
-    return (dim_join(emojis, lookup, "emoji", salt_by=["tweet_id"], measured=felt)
+    return (dim_join(emojis, lookup, "emoji")
             .select("tweet_id", "emoji", "name", "term", "support", "emotion", "association", "sent_id"))
 
 
@@ -85,15 +85,10 @@ def text_associations(tweets: DataFrame, lexicon: DataFrame, min_support: float
     ones stay.
     """
     kept = drop_media_posts(tweets, text)
-    # each text also yields one empty term, so the number of texts is counted in the same pass
-    found = kept.select(F.explode(F.concat(F.coalesce(term_extractor(F.col(text)), F.array().cast("array<string>")), F.array(F.lit("")))).alias("term"),
-                        F.xxhash64(text).alias("_spread"))
-    vocabulary = lexicon.filter(F.col("association") == 1).select("term").union(
-        lexicon.sparkSession.range(1).select(F.lit(""))).distinct()
-    counts = (dim_join(found, vocabulary, "term", salt_by=["_spread"]).groupBy("term")
-              .agg(F.count(F.lit(1)).alias("freq")))
-    total = F.max(F.when(F.col("term") == "", F.col("freq"))).over(Window.partitionBy())  # rows: lexicon terms
-    frequent = (counts.select("term", (F.col("freq") / total).alias("support"))
-                .filter((F.col("support") >= min_support) & (F.col("term") != "")))
+    found = kept.select(F.explode(term_extractor(F.col(text))).alias("term")).filter(F.col("term") != "")
+    vocabulary = lexicon.filter(F.col("association") == 1).select("term").distinct()
+    counts = dim_join(found, vocabulary, "term").groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
+    total = kept.agg(F.count(F.lit(1))).scalar()  # counted apart: a scan of the text column
+    frequent = counts.select("term", (F.col("freq") / total).alias("support")).filter(F.col("support") >= min_support)
     felt = frequent.join(lexicon, "term", "left").filter(~F.col("association").eqNullSafe(F.lit(0)))
     return with_polarity(felt).select("term", "support", "emotion", "association", "sent_id")

@@ -16,7 +16,7 @@ def keyword_sentiment_counts(assignment: DataFrame, tweet_data: DataFrame, searc
     chosen = events if event is None else events.filter(F.col("event_name") == event)
     voted = assignment.filter(F.col("sent_id") != neutral)
     captured = captured_per_event(tweet_data, searches, ["keyword"])
-    placed = dim_join(captured, chosen.select("event_id", "event_name"), "event_id", salt_by=["tweet_id"])
+    placed = dim_join(captured, chosen.select("event_id", "event_name"), "event_id")
     return (placed.join(voted, "tweet_id")
             .groupBy("event_name", "keyword", F.col("sent_id").alias("sentiment"))
             .agg(F.sum("captures").alias("tweets")))

@@ -17,20 +17,20 @@ def captured_per_event(tweet_data: DataFrame, searches: DataFrame, extra: list[s
     tweet and event, so later joins on tweet id meet no hot key.
     """
     found = dim_join(tweet_data.select("tweet_id", "search_id"),
-                     searches.select("search_id", "event_id", *(extra or [])), "search_id", salt_by=["tweet_id"])
+                     searches.select("search_id", "event_id", *(extra or [])), "search_id")
     return found.groupBy("tweet_id", "event_id", *(extra or [])).agg(F.count(F.lit(1)).alias("captures"))
 
 
 def emotions_by_event(emotion_sets: DataFrame, tweet_data: DataFrame, searches: DataFrame,
                       events: DataFrame, **skew) -> DataFrame:
-    """One row per captured tweet with its emotion set, keyword and event name."""
+    """One row per captured tweet with its emotion set, keyword, event name and the id of the capture."""
     row_id = [c for c in ("data_id",) if c in tweet_data.columns] or ["search_id"]
     placed = dim_join(dim_join(tweet_data.select("tweet_id", "search_id", *[c for c in row_id if c != "search_id"]),
-                               searches.select("search_id", "keyword", "event_id"), "search_id", salt_by=["tweet_id"]),
-                      events.select("event_id", "event_name"), "event_id", salt_by=["tweet_id"])
+                               searches.select("search_id", "keyword", "event_id"), "search_id"),
+                      events.select("event_id", "event_name"), "event_id")
     facts = placed.select("tweet_id", *row_id, "keyword", "event_name")
     return (skew_join(facts, emotion_sets, ["tweet_id"], "inner", row_id, counted=tweet_data, **skew)
-            .select("tweet_id", *[c for c in emotion_sets.columns if c != "tweet_id"], "keyword", "event_name"))
+            .select(*row_id, "tweet_id", *[c for c in emotion_sets.columns if c != "tweet_id"], "keyword", "event_name"))
 
 
 def sentiment_by_category(assignment: DataFrame, sentiment_category: DataFrame, tweet_data: DataFrame,
@@ -54,34 +54,36 @@ def sentiment_by_category(assignment: DataFrame, sentiment_category: DataFrame,
     return named.groupBy(*keys).agg(F.sum("captures").alias("tweet_count"))
 
 
-def sentiment_totals(counts: DataFrame, by: list[str] | None = None, condition: Column | None = None) -> DataFrame:
-    """Category counts summed again, over all events or those that meet ``condition``."""
+def sentiment_totals(counts: DataFrame, by: list[str] | None = None, condition: Column | None = None,
+                     part: Column | None = None) -> DataFrame:
+    """Category counts summed again: over all events, those that meet ``condition``, or apart by ``part`` in one pass."""
     rows = counts if condition is None else counts.filter(condition)
-    return rows.groupBy(*(by or ["sentiment_category"])).agg(F.sum("tweet_count").alias("tweet_count"))
+    keys = [*(by or ["sentiment_category"]), *([] if part is None else [part.alias("part")])]
+    return rows.groupBy(*keys).agg(F.sum("tweet_count").alias("tweet_count"))
+
+
+def lexicon_emotions(lexicon: DataFrame) -> list[str]:
+    """The emotions a lexicon names: a handful, whatever the number of its terms."""
+    return sorted(r[0] for r in lexicon.select("emotion").dropna().distinct().collect())
 
 
 def emotion_sums_by_event(associations: DataFrame, tweet_data: DataFrame, searches: DataFrame,
                           events: DataFrame, emotions: list[str] | None = None) -> DataFrame:
-    """(event, emotion, sum): captured tweets showing each emotion; absent cells are 0.
+    """(event, emotion, sum): captured tweets showing each emotion.
 
-    A tweet's emotions fold into one integer, one aggregate covers all events, and
-    every event gets a row per emotion by turning its sums on their side, so no
-    dimension product is joined. ``emotions`` lists at most 31 names.
+    Every event of ``events`` has a row for each of ``emotions`` (the ten of the seed unless given), 0 where no captured tweet shows it;
+    an emotion that is not listed has rows where it occurs.
     """
-    emotions = emotions or EMOTIONS
-    bit = F.lit(0)
-    for i, name in enumerate(emotions):
-        bit = F.when(F.col("emotion") == name, F.lit(1 << i)).otherwise(bit)
-    shown = associations.groupBy("tweet_id").agg(F.bit_or(bit).alias("_shown"))
+    shown = associations.select("tweet_id", "emotion").dropna().distinct()
     captured = captured_per_event(tweet_data, searches)
-    held = lambda i: F.when(F.col("_shown").bitwiseAND(F.lit(1 << i)) != 0, F.col("captures")).otherwise(0)
-    sums = (captured.join(shown, "tweet_id").groupBy("event_id")
-            .agg(*[F.sum(held(i)).alias(name) for i, name in enumerate(emotions)]))
-    wide = sums.join(events.select("event_id", "event_name"), "event_id")
-    return (wide.unpivot(["event_name"], emotions, "emotion", "sum")
-            .select(F.col("event_name").alias("event"), "emotion", "sum"))
+    sums = (captured.join(shown, "tweet_id").groupBy("event_id", "emotion").agg(F.sum("captures").alias("sum")))
+    listed = F.array(*[F.lit(name) for name in emotions or EMOTIONS])
+    cells = events.select("event_id", F.explode(listed).alias("emotion"))
+    named = events.select("event_id", F.col("event_name").alias("event"))
+    return (cells.join(sums, ["event_id", "emotion"], "full_outer").join(named, "event_id")
+            .select("event", "emotion", F.coalesce("sum", F.lit(0)).alias("sum")))
 
 
 def union_events(parts: list[DataFrame]) -> DataFrame:
-    """Stack per-event results."""
+    """Stack finished per-event results. To compute all events, group by event instead: one pass for all."""
     return reduce(lambda a, b: a.unionByName(b), parts)

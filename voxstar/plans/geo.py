@@ -45,8 +45,7 @@ def author_location(users: DataFrame, us_states: DataFrame, order: list[str] | N
     located = located_users(users, kept)
     if order:
         located = dedupe_last(located, ["author_id"], order)
-    return (dim_join(located.select("author_id", "state_abbr", *(keep or [])), us_states.select("state_abbr", "state_id"), "state_abbr",
-                     salt_by=["author_id"]).select("author_id", "state_id", *(keep or [])))
+    return (dim_join(located.select("author_id", "state_abbr", *(keep or [])), us_states.select("state_abbr", "state_id"), "state_abbr").select("author_id", "state_id", *(keep or [])))
 
 
 def users_per_state(users: DataFrame) -> DataFrame:

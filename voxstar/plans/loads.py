@@ -16,6 +16,7 @@ from voxstar.sources.payloads import parse_payloads, payload_items, with_search_
 from voxstar.sources.tables import Store
 
 INITIAL, SECONDARY = "INITIAL", "SECONDARY"
+NO_ROWS = "no rows"  # marks a file that brought a table nothing
 ORDER = ["filepath", "pos"]
 FACT_KEY = ["tweet_id", "author_id", "search_id"]
 
@@ -60,8 +61,8 @@ def facts_load(facts: DataFrame, stored: DataFrame, users: DataFrame, texts: Dat
     key, so loading a file again adds nothing.
     """
     rows = _opens_key(facts, stored, FACT_KEY, ORDER)
-    rows = tag_exists(rows, users, "author_id", "author_id", "_author", ORDER, unique=True)
-    rows = tag_exists(rows, texts, "tweet_id", "tweet_id", "_text", ORDER, unique=True)
+    rows = tag_exists(rows, users, "author_id", "author_id", "_author", unique=True)
+    rows = tag_exists(rows, texts, "tweet_id", "tweet_id", "_text", unique=True)
     rules = {"missing key": F.col("tweet_id").isNull() | F.col("author_id").isNull(),
              "unknown author": ~F.col("_author"), "unknown text": ~F.col("_text"),
              "duplicate key": ~F.col("_opens")}
@@ -87,10 +88,29 @@ def cities_load(world: DataFrame, us_states: DataFrame, stored: DataFrame) -> Da
                               "duplicate key": ~F.col("_opens")}).drop("_opens")
 
 
+def _dimension_log(files: DataFrame, created: DataFrame, known: DataFrame) -> list[DataFrame]:
+    """Audit rows of the dimension upserts: a search window once, with the first file that brought it, and each file's search."""
+    window = ["search_start", "search_end"]
+    first = files.groupBy(*window).agg(F.min("filepath").alias("filepath")).join(created.select(*window), window)
+    log = lambda df, comment: df.select(F.current_timestamp().alias("run_date"), F.lit(INITIAL).alias("load_type"),
+                                        comment.alias("comment"), "filepath")
+    return [log(first, F.format_string("SEARCH_DATES: '%s','%s'", F.col("search_start").cast("string"), F.col("search_end").cast("string"))),
+            log(known, F.format_string("SEARCHES: '%s', '%s', '%s'", "keyword", "search_date_id", "event_id"))]
+
+
 def _finish(store: Store, labels: dict[str, str], load_type: str, batch_id: int, load_key: str,
-            covers: list[int] | None = None) -> DataFrame:
-    """Write the audit rows of a load's tables, then commit it."""
-    logs = [audit(store.attempted(table, batch_id), load_type, label) for table, label in labels.items()]
+            covers: list[int] | None = None, files: DataFrame | None = None, more: list[DataFrame] | None = None) -> DataFrame:
+    """Write the audit rows of a load's tables, then commit it.
+
+    Each of ``files`` has a row per table, "0 LOADED, 0 SKIPPED" where it brought none.
+    """
+    logs = list(more or [])
+    for table, label in labels.items():
+        tried = store.attempted(table, batch_id)
+        if files is not None:
+            idle = files.select("filepath").distinct().join(tried.select("filepath").distinct(), "filepath", "left_anti")
+            tried = tried.unionByName(idle.select("filepath", F.lit(NO_ROWS).alias(REASON)))
+        logs.append(audit(tried, load_type, label, nothing=NO_ROWS))
     store.write("run_log", reduce(lambda a, b: a.unionByName(b), logs), batch_id)
     store.commit(batch_id, load_key, covers)
     return store.read("run_log", [batch_id])
@@ -135,7 +155,7 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
     store.write("tweet_text", texts_load(part("text"), store.read("tweet_text"), quoting), batch_id)
 
     window, search = ["search_start", "search_end"], ["keyword", "search_date_id", "event_id"]
-    files = tagged.filter(F.col(REASON).isNull()).select("filepath", *window, "keyword", "event_id")
+    files = tagged.filter(F.col(REASON).isNull()).select("filepath", *window, "keyword", "event_id").distinct()
     stored_dates, stored_searches = store.read("search_dates"), store.read("searches")
     _, new_dates = upsert_dim(stored_dates, files, window, "search_date_id", SEARCH_DATE_SEED)
     store.write("search_dates", new_dates, batch_id)
@@ -144,7 +164,8 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
     _, new_searches = upsert_dim(stored_searches, dated, search, "search_id", SEARCH_SEED)
     store.write("searches", new_searches, batch_id)
     searches = stored_searches.unionByName(store.read("searches", [batch_id]))
-    found = resolve_id(dated, searches, search, "search_id").select("filepath", "search_id")
+    known = resolve_id(dated, searches, search, "search_id")
+    found = known.select("filepath", "search_id")
 
     stored_facts = store.read("tweet_data")
     facts = facts_load(part("fact").join(found, "filepath"), stored_facts,
@@ -152,7 +173,11 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
                        store.read("tweet_text").unionByName(store.read("tweet_text", [batch_id])))
     store.write("tweet_data", number_accepted(facts, "data_id", next_id(stored_facts, "data_id", DATA_SEED), ORDER),
                 batch_id)
-    return _finish(store, {"users": "USERS", "tweet_text": "TEXT", "tweet_data": "TWEET_DATA"}, INITIAL, batch_id, load_key)
+    refused = bad.select(F.current_timestamp().alias("run_date"), F.lit(INITIAL).alias("load_type"),
+                         F.concat(F.lit("FILE REJECTED: "), REASON).alias("comment"), "filepath")
+    more = [*_dimension_log(files, store.read("search_dates", [batch_id]), known), refused]
+    return _finish(store, {"users": "USERS", "tweet_text": "TEXT", "tweet_data": "TWEET_DATA"}, INITIAL, batch_id, load_key,
+                   files=files, more=more)
 
 
 def _newly_captured(store: Store, table: str, key: str, fresh: list[int], old: list[int]) -> DataFrame:
@@ -162,7 +187,7 @@ def _newly_captured(store: Store, table: str, key: str, fresh: list[int], old: l
     fact came with those loads. Older partitions are only read when there are any.
     """
     new_facts = store.read("tweet_data", fresh).select(key)
-    arrived = tag_exists(store.read(table, fresh), new_facts, key, key, "_fact", [key])
+    arrived = tag_exists(store.read(table, fresh), new_facts, key, key, "_fact")
     if not old:
         return arrived
     late = (new_facts.distinct().join(arrived.select(key), key, "left_anti")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.ml.fpm import FPGrowth
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voxstar.functions.sentiment import itemset_sentiment
 from voxstar.operators.joins import dim_join
+from voxstar.operators.keys import fix_rows
 from voxstar.seeds import MIN_SUPPORT
 
 MASK_ITEMS = 12  # up to this many items, a transaction is one bit mask
@@ -60,7 +62,7 @@ def _tree_itemsets(txns: DataFrame, txn: list[str], item: str, frequent: DataFra
     FP-growth rounds its count threshold up in floating point and would lose an
     itemset exactly at it, so it runs a little lower and the exact test follows.
     """
-    kept = dim_join(txns.select(*txn, item).distinct(), frequent.select(item), item, salt_by=txn)
+    kept = dim_join(txns.select(*txn, item).distinct(), frequent.select(item), item)
     baskets = kept.groupBy(*txn).agg(F.collect_set(item).alias("items"))
     held = baskets.count()  # transactions without a frequent item are not baskets
     if held == 0:
@@ -104,16 +106,43 @@ def frequent_itemsets(txns: DataFrame, txn: list[str], item: str, min_support: f
     return _tree_itemsets(txns, txn, item, singles, n, min_support, k)
 
 
+def _level_itemsets(txns: DataFrame, by: str, txn: list[str], item: str, min_support, k: int | None) -> DataFrame:
+    """Itemsets over item lists of any length, all groups together, level by level.
+
+    Level n holds a row per transaction and frequent itemset of size n in it. Each is extended by the transaction's later
+    frequent items; sets below the support go before the next level, since none of their supersets can reach it. Levels end
+    at size ``k`` or when no set is left.
+    """
+    rows = txns.groupBy(by, *txn, item).agg(F.lit(1).alias("_one")).drop("_one")
+    sizes = rows.groupBy(by, *txn).agg(F.lit(1).alias("_one")).groupBy(by).agg(F.count(F.lit(1)).alias("n_txn"))
+    level = rows.dropna(subset=[item]).withColumn("items", F.array(item))
+    single, out, size = None, [], 1
+    while True:
+        counted = (level.groupBy(by, "items").agg(F.count(F.lit(1)).alias("freq")).join(sizes, by)
+                   .withColumn("support", F.col("freq") / F.col("n_txn")).filter(F.col("support") >= _support_of(by, min_support)))
+        counted = fix_rows(counted.select(by, "items", "freq", "n_txn", "support"))
+        if k in (None, size):
+            out.append(counted)
+        if size == k or counted.isEmpty():
+            return reduce(lambda a, b: a.unionByName(b), out or [counted])
+        level = fix_rows(level.join(counted.select(by, "items"), [by, "items"], "left_semi"))
+        single = single if single is not None else level.select(by, *txn, F.col(item).alias("_next"))
+        level = (level.join(single, [by, *txn]).filter(F.col("_next") > F.col(item))
+                 .select(by, *txn, F.col("_next").alias(item), F.concat("items", F.array("_next")).alias("items")))
+        size += 1
+
+
 def frequent_itemsets_by(txns: DataFrame, by: str, txn: list[str], item: str, items: list[str],
                          min_support: float | dict, k: int | None = 3) -> DataFrame:
-    """Itemsets of a short item list per group, all groups in one pass.
+    """Itemsets of the listed items per group, all groups together.
 
-    ``min_support`` is one level or a level per group; groups without a level
-    drop out.
+    ``min_support`` is one level or a level per group; groups without a level drop out. Lists of up to 12 items fold into masks; longer ones are
+    counted level by level, with the same result.
     """
-    if len(items) > MASK_ITEMS:
-        raise ValueError(f"at most {MASK_ITEMS} items; call frequent_itemsets per group")
-    return _mask_itemsets(txns, by, txn, item, sorted(items), min_support, k)
+    if len(items) <= MASK_ITEMS:
+        return _mask_itemsets(txns, by, txn, item, sorted(items), min_support, k)
+    wanted = txns.withColumn(item, F.when(F.col(item).isin(list(items)), F.col(item)))
+    return _level_itemsets(wanted, by, txn, item, min_support, k)
 
 
 def label_itemsets(itemsets: DataFrame) -> DataFrame:

@@ -19,8 +19,8 @@ def vw_cat_events(category: DataFrame, cat_name: DataFrame, events: DataFrame) -
     The joined list is one value, so an event's names meet in one task whatever the plan.
     """
     bridge = category.withColumnRenamed("cat_name_id", "name_id")
-    named = dim_join(dim_join(bridge, cat_name, "name_id", salt_by=["category_id"]),
-                     events, "event_id", salt_by=["category_id"])
+    named = dim_join(dim_join(bridge, cat_name, "name_id"),
+                     events, "event_id")
     names = F.transform(F.array_sort(F.collect_list(F.struct("category_id", "name_text"))), lambda s: s["name_text"])
     return named.groupBy("event_id").agg(
         F.min("category_id").alias("category_id"),
@@ -41,8 +41,8 @@ def vw_tweets(tweet_data: DataFrame, searches: DataFrame, cat_events: DataFrame,
     Lookups are joined first; the text side is shuffled once on tweet id, with
     much-captured tweets split by fact id.
     """
-    found = dim_join(tweet_data, searches.select("search_id", "keyword", "event_id"), "search_id", salt_by=["tweet_id"])
-    placed = dim_join(found, cat_events.select("event_id", "categories", "event_name"), "event_id", salt_by=["tweet_id"])
+    found = dim_join(tweet_data, searches.select("search_id", "keyword", "event_id"), "search_id")
+    placed = dim_join(found, cat_events.select("event_id", "categories", "event_name"), "event_id")
     row_id = ["data_id"] if "data_id" in tweet_data.columns else ["author_id", "search_id", "created_at"]
     joined = skew_join(placed, texts, ["tweet_id"], "inner", row_id, counted=tweet_data, **skew)
     return joined.select("author_id", F.col("created_at").alias("tweet_created"), "tweet_id",

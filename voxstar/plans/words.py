@@ -41,7 +41,7 @@ def word_association(tweets: DataFrame, lexicon: DataFrame, tweet_id: str = "twe
     The token side is never shuffled while the lexicon fits the broadcast limit.
     """
     words = token_rows(tweets, tweet_id, text, urls, normalise, keep)
-    return (dim_join(words, active_lexicon(lexicon), "term", salt_by=["tweet_id"])
+    return (dim_join(words, active_lexicon(lexicon), "term")
             .select("tweet_id", "term", "emotion", *(keep or [])))
 
 
@@ -86,6 +86,6 @@ def vote_texts(tweets: DataFrame, lexicon: DataFrame, tweet_id: str = "tweet_id"
     scores = (active_lexicon(lexicon).groupBy("term")
               .agg(F.sum(emotion_score(F.col("emotion"))).alias("_term_score")))
     words = token_rows(tweets, tweet_id, text)
-    scored = (dim_join(words, scores, "term", salt_by=["tweet_id"])
+    scored = (dim_join(words, scores, "term")
               .groupBy("tweet_id").agg(F.sum("_term_score").alias("_score")))
     return scored.select("tweet_id", vote(F.col("_score"), neutral).alias("sent_id"))

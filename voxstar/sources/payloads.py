@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from voxstar.functions.text import first_reference
 from voxstar.schemas import payload_schema
 from voxstar.seeds import event_dim
+from voxstar.session import shared_dir
 
 # fixed value: <event>/<keyword>_<start>_<end>.json
 FILE_NAME = r"([^/]+)/([A-Za-z_]+)_([0-9]{4}-[0-9]{2}-[0-9]{2})_([0-9]{4}-[0-9]{2}-[0-9]{2})\.json$"
@@ -41,7 +42,9 @@ def read_payloads(spark: SparkSession, root: str) -> DataFrame:
 
 
 def quarantine(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable payloads, files that do not parse)."""
+    """(readable payloads, files that do not parse), from one parse kept as a checkpoint in the shared folder."""
+    shared_dir(payloads.sparkSession)
+    payloads = payloads.checkpoint(eager=False)
     broken = F.col("_corrupt_record").isNotNull()
     return payloads.filter(~broken).drop("_corrupt_record"), payloads.filter(broken).select("filepath", "_corrupt_record")
 

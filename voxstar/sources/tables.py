@@ -11,20 +11,6 @@ from pyspark.sql.types import StructField, StructType
 from voxstar.schemas import LEXICON_DDL, POPULATION_DDL, TABLES, WORLD_CITIES_DDL, table_schema
 from voxstar.functions.location import STATE_CODES, map_values
 
-KEYWORDS_KEPT = 15  # fixed value: keywords 2..16 of each entry
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a plain file scan, dealt out when the scan has fewer splits with rows than there are cores.
-
-    A small file whose rows sit in one row group is read by one task; costly
-    per-row work above it would leave the other cores idle. Scans of at least
-    twice as many splits as cores, so any large input, are returned unchanged.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < 2 * cores else scan
-
-
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """(term, emotion, association)."""
     return spark.read.schema(LEXICON_DDL).option("header", True).csv(path)
@@ -48,17 +34,17 @@ def read_export(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(exported).option("multiLine", True).json(path).toDF(*wanted.names)
 
 
-def keyword_terms(keywords: Column) -> Column:
-    """Ordered distinct keywords after the first, without nulls."""
-    kept = F.slice(keywords, 2, KEYWORDS_KEPT)
+def keyword_terms(keywords: Column, limit: int | None = None) -> Column:
+    """Ordered distinct keywords after the first, without nulls: all, or those among the next ``limit`` entries."""
+    kept = F.slice(keywords, F.lit(2), F.size(keywords) if limit is None else F.lit(limit))
     return F.array_distinct(F.filter(kept, lambda k: k.isNotNull()))
 
 
-def read_emoji_dict(spark: SparkSession, path: str) -> DataFrame:
-    """(emoji, terms) from a JSON object {emoji: [keyword, ...]}."""
+def read_emoji_dict(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """(emoji, terms) from a JSON object {emoji: [keyword, ...]}; ``limit`` as in ``keyword_terms``."""
     raw = spark.read.text(path, wholetext=True)
     entries = raw.select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("emoji", "keywords"))
-    return entries.select("emoji", keyword_terms(F.col("keywords")).alias("terms"))
+    return entries.select("emoji", keyword_terms(F.col("keywords"), limit).alias("terms"))
 
 
 class Store:
@@ -121,7 +107,9 @@ class Store:
         return rows.filter((F.col("accepted") == accepted) & F.col("batch_id").isin(wanted))
 
     def read(self, table: str, batches: list[int] | None = None) -> DataFrame:
-        """Accepted rows of all finished loads, or of the loads listed."""
+        """Accepted rows of all finished loads, or of the loads listed. Views are read with ``plans.catalog``."""
+        if table not in TABLES or table.startswith("vw_"):
+            raise ValueError(f"{table} is no stored table; views are read with voxstar.plans.catalog")
         return self._rows(table, True, batches).select(*table_schema(table).names)
 
     def rejects(self, table: str, batches: list[int] | None = None) -> DataFrame:
@@ -162,5 +150,8 @@ def literal_frame_of(spark: SparkSession, schema: StructType) -> DataFrame:
 
 
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored star-schema table."""
-    return Store(spark, root).read(name)
+    """A stored star-schema table; a folder without a finished load is an error."""
+    store = Store(spark, root)
+    if not store.finished():
+        raise ValueError(f"{root} holds no finished load")
+    return store.read(name)

@@ -12,26 +12,35 @@ from voxstar.sources.payloads import stream_payloads
 from voxstar.sources.tables import Store
 
 
-def load_batch(store: Store, name: str, quoting: bool = False) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` body: one load per micro-batch, skipped when already committed."""
+def load_batch(store: Store, quoting: bool = False, name: str | None = None,
+               prepare: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` body: one load per micro-batch, skipped when already committed.
+
+    A load is keyed by the stream's id, which its checkpoint keeps, and the epoch: another source or a new checkpoint starts
+    keys of its own, so its batches are never taken for loaded ones. ``name`` stands in outside a stream. ``prepare``
+    turns a batch into (filepath, value) rows.
+    """
     def run(batch: DataFrame, epoch: int) -> None:
-        initial_load(Store(batch.sparkSession, store.root), batch, f"{name}/{epoch}", quoting)
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or name
+        if not stream:
+            raise ValueError("no stream id to key the load by")
+        initial_load(Store(batch.sparkSession, store.root), prepare(batch) if prepare else batch, f"{stream}/{epoch}", quoting)
     return run
 
 
-def ingest_stream(raw: DataFrame, store: Store, checkpoint: str, name: str = "payloads",
-                  quoting: bool = False) -> StreamingQuery:
+def ingest_stream(raw: DataFrame, store: Store, checkpoint: str, quoting: bool = False,
+                  prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Drain all new (filepath, value) rows and stop.
 
     The stream keeps no keys in its state: repeats of earlier loads are found by
     joining the stored tables, so history is unlimited.
     """
-    return (raw.writeStream.foreachBatch(load_batch(store, name, quoting))
+    return (raw.writeStream.foreachBatch(load_batch(store, quoting, prepare=prepare))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def ingest_files(spark: SparkSession, root: str, store: Store, checkpoint: str,
-                 max_files: int | None = None, name: str = "payloads") -> None:
+                 max_files: int | None = None) -> None:
     """Load the payload files below ``root`` not loaded before, and wait until done."""
-    ingest_stream(stream_payloads(spark, root, max_files), store, checkpoint, name).awaitTermination()
+    ingest_stream(stream_payloads(spark, root, max_files), store, checkpoint).awaitTermination()

@@ -14,6 +14,7 @@ from voxstar.plans.loads import initial_load, secondary_load
 from voxstar.session import fresh_dir
 from voxstar.sources import payloads as p
 from voxstar.sources.tables import Store
+from voxstar.streaming.ingest import ingest_stream
 from voxstar.suite import standins as s
 
 PAGE = 500
@@ -140,10 +141,14 @@ _LOG_SQL = f"""WITH {_POSTS_SQL},
 firsts AS (SELECT author, min(filepath) AS first FROM posts GROUP BY author),
 u AS (SELECT filepath, count(*) FILTER (filepath = first) AS loaded, count(*) FILTER (filepath <> first) AS skipped
   FROM (SELECT DISTINCT filepath, author FROM posts) JOIN firsts USING (author) GROUP BY filepath),
-o AS (SELECT filepath, count(*) AS n FROM posts GROUP BY filepath)
+o AS (SELECT filepath, count(*) AS n FROM posts GROUP BY filepath),
+named AS (SELECT DISTINCT filepath, translate(source, '0123456789', 'abcdefghij') AS k, event_id,
+  CAST(DATE '2015-01-01' + CAST(doc_id // {PAGE} AS INTEGER) AS DATE) AS s FROM posts JOIN events_of USING (lang))
 SELECT 'INITIAL' AS load_type, 'USERS: ' || loaded || ' LOADED, ' || skipped || ' SKIPPED' AS comment, filepath FROM u
 UNION ALL SELECT 'INITIAL', 'TEXT: ' || n || ' LOADED, 0 SKIPPED', filepath FROM o
-UNION ALL SELECT 'INITIAL', 'TWEET_DATA: ' || n || ' LOADED, 0 SKIPPED', filepath FROM o"""
+UNION ALL SELECT 'INITIAL', 'TWEET_DATA: ' || n || ' LOADED, 0 SKIPPED', filepath FROM o
+UNION ALL SELECT 'INITIAL', format('SEARCH_DATES: ''{{}}'',''{{}}''', s, CAST(s + 1 AS DATE)), min(filepath) FROM named GROUP BY s
+UNION ALL SELECT 'INITIAL', format('SEARCHES: ''{{}}'', ''{{}}'', ''{{}}''', k, 999 + dense_rank() OVER (ORDER BY s), event_id), filepath FROM named"""
 
 
 def _load_rejects(spark, sf):
@@ -172,18 +177,41 @@ SELECT tweet_id, count(*) AS word_rows, CASE WHEN sum({s.SCORE_SQL}) > 0 THEN 1
 FROM assoc GROUP BY tweet_id"""
 
 
+def _json_files(spark, sf):
+    """The payloads as JSON files in the shared folder, one each, below a folder per event tag."""
+    root = fresh_dir(spark, "capture")
+    tag = F.element_at(F.split("filepath", "/"), -2)
+    _raw(spark, sf).select("value", tag.alias("tag")).write.partitionBy("tag").option("maxRecordsPerFile", 1).text(root)
+    return root
+
+
+def _scan_files(spark, sf):
+    """Scan JSON files with the payload parser; Spark chose their names, so the event tag is read from the folder."""
+    files = spark.read.text(f"{_json_files(spark, sf)}/*", wholetext=True)
+    payloads = p.parse_payloads(files.select(F.col("_metadata.file_path").alias("filepath"), "value"))
+    posts = payloads.select(F.regexp_extract("filepath", "tag=([a-z_]+)/", 1).alias("event_tag"), F.inline("data"))
+    return posts.select("event_tag", F.col("id").alias("tweet_id"), "author_id", F.md5("text").alias("digest"))
+
+
+def _stream_files(spark, sf):
+    """JSON files as a stream into the store; a second checkpoint over them adds nothing."""
+    store, root = Store(spark, fresh_dir(spark, "store")), _json_files(spark, sf)
+    named = F.concat(F.lit("/captures/"), F.regexp_extract("filepath", "tag=([a-z_]+)/", 1),
+                     F.lit("/all_2015-01-01_2015-01-02.json"))
+    for _ in range(2):
+        files = spark.readStream.text(f"{root}/*", wholetext=True)
+        raw = files.select(F.col("_metadata.file_path").alias("filepath"), "value").withColumn("filepath", named)
+        ingest_stream(raw, store, fresh_dir(spark, "stream")).awaitTermination()
+    facts = store.read("tweet_data").join(store.read("searches"), "search_id")
+    return facts.select("tweet_id", "author_id", "keyword", "event_id")
+
+
 def _stream(spark, sf):
     """The table as a file stream, regrouped into payloads inside each micro-batch."""
     docs = s.table(spark, sf, "documents")
     store = Store(spark, fresh_dir(spark, "store"))
-
-    def run(batch, epoch):
-        initial_load(Store(batch.sparkSession, store.root), build_payloads(batch, docs), f"documents/{epoch}")
-
     stream = (spark.readStream.schema(docs.schema).option("pathGlobFilter", "documents.parquet").parquet(sf))
-    query = (stream.writeStream.foreachBatch(run).trigger(availableNow=True)
-             .option("checkpointLocation", fresh_dir(spark, "stream")).start())
-    query.awaitTermination()
+    ingest_stream(stream, store, fresh_dir(spark, "stream"), prepare=lambda batch: build_payloads(batch, docs)).awaitTermination()
     return store.read("tweet_text").select("tweet_id", F.md5("tweet").alias("digest"), "retweet_id", F.md5("retweet_text").alias("rt_digest"))
 
 
@@ -206,6 +234,10 @@ QUERIES = {
         SELECT DISTINCT author AS author_id, 'duplicate key' AS reject_reason, filepath FROM posts JOIN firsts USING (author) WHERE filepath <> first"""),
     "secondary_load_votes": (_load_secondary, _SECONDARY_SQL),
     "secondary_load_places": (_load_places, f"WITH {_POSTS_SQL} SELECT DISTINCT author AS author_id, 43 AS state_id FROM posts"),
+    "payload_files": (_scan_files, f"""WITH {_POSTS_SQL}, tags(lang, event_tag) AS (VALUES {', '.join(repr(t) for t in TAGS.items())})
+        SELECT event_tag, CAST(doc_id AS VARCHAR) AS tweet_id, author AS author_id, md5(text) AS digest FROM posts JOIN tags USING (lang)"""),
+    "json_stream_ingest": (_stream_files, f"""WITH {_POSTS_SQL} SELECT CAST(doc_id AS VARCHAR) AS tweet_id, author AS author_id, 'all' AS keyword,
+        event_id FROM posts JOIN events_of USING (lang)"""),
     "stream_ingest": (_stream, f"""WITH {_POSTS_SQL} SELECT CAST(doc_id AS VARCHAR) AS tweet_id, md5(text) AS digest,
         CAST(ref AS VARCHAR) AS retweet_id, md5(ref_text) AS rt_digest FROM linked"""),
 }

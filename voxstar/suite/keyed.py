@@ -40,7 +40,7 @@ def _fk(part):
     def run(spark, sf):
         orders = s.table(spark, sf, "orders")
         parents = s.table(spark, sf, "customer").filter("c_nationkey < 10")
-        split = keys.enforce_fk(orders, parents, "o_custkey", "c_custkey", ["o_orderkey"])
+        split = keys.enforce_fk(orders, parents, "o_custkey", "c_custkey")
         return split[part].select("o_orderkey", "o_custkey")
     return run
 
@@ -55,7 +55,7 @@ def _skewed(how):
 
 def _cascade(spark, sf):
     gone = s.table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
-    return _line_columns(keys.cascade_delete(_lines(spark, sf), gone, "l_orderkey", ["l_linenumber", "l_partkey"]))
+    return _line_columns(keys.cascade_delete(_lines(spark, sf), gone, "l_orderkey"))
 
 
 def _ids(spark, sf):

@@ -20,14 +20,14 @@ def _txns(spark, sf):
 TXN_SQL = """b AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day, event_type FROM events),
 n AS (SELECT count(*) AS n FROM (SELECT DISTINCT user_id, day FROM b))"""
 
-K_SQL = {
-    1: "SELECT event_type AS items, 1 AS k, count(*) AS freq FROM b GROUP BY 1",
-    2: """SELECT x.event_type || ', ' || y.event_type, 2, count(*) FROM b x JOIN b y ON y.user_id = x.user_id AND y.day = x.day
-          AND y.event_type > x.event_type GROUP BY 1""",
-    3: """SELECT x.event_type || ', ' || y.event_type || ', ' || z.event_type, 3, count(*) FROM b x
-          JOIN b y ON y.user_id = x.user_id AND y.day = x.day AND y.event_type > x.event_type
-          JOIN b z ON z.user_id = x.user_id AND z.day = x.day AND z.event_type > y.event_type GROUP BY 1""",
-}
+def _k_sql(k):
+    """Counts of the k-sets: each further item is joined on the transaction and follows the one before."""
+    names = " || ', ' || ".join(f"t{i}.event_type" for i in range(k))
+    joins = "".join(f" JOIN b t{i} ON t{i}.user_id = t0.user_id AND t{i}.day = t0.day AND t{i}.event_type > t{i - 1}.event_type" for i in range(1, k))
+    return f"SELECT {names} AS items, {k} AS k, count(*) AS freq FROM b t0{joins} GROUP BY 1"
+
+
+K_SQL = {k: _k_sql(k) for k in range(1, 6)}
 
 
 def _sets_sql(sizes, level):
@@ -64,7 +64,7 @@ _FEEL_CASE = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in
 
 def _support_stats(spark, sf):
     sets = mining.frequent_itemsets(_txns(spark, sf), TXN, "event_type", 0.001, None)
-    stats = mining.support_stats(sets.filter(F.size("items") <= 3).withColumn("k", F.size("items")), ["k"])
+    stats = mining.support_stats(sets.withColumn("k", F.size("items")), ["k"])
     return stats.select("k", F.round("max_support", 8).alias("max_support"), F.round("median_support", 8).alias("median_support"))
 
 
@@ -76,7 +76,7 @@ def _by_event(spark, sf):
     assoc = words.word_association(s.texts(spark, sf), s.lexicon(spark, sf))
     placed = events.emotions_by_event(assoc.select("tweet_id", "emotion").distinct(), s.tweet_data(spark, sf),
                                       s.searches(spark, sf), dims["events"])
-    sets = mining.frequent_itemsets_by(placed, "event_name", ["tweet_id", "keyword"], "emotion", seeds.EMOTIONS, LEVELS, 3)
+    sets = mining.frequent_itemsets_by(placed, "event_name", ["data_id"], "emotion", seeds.EMOTIONS, LEVELS, 3)
     return mining.label_itemsets(sets).select("event_name", "itemsets", "freq", F.round("support", 8).alias("support"), "sentiment")
 
 
@@ -85,12 +85,12 @@ def _by_event_sql():
     score = " + ".join("CASE WHEN {0} IN ({1}) THEN 1 ELSE -1 END".format(
         c, ", ".join(f"'{e}'" for e in seeds.POSITIVE_EMOTIONS)) for c in ("e1", "e2", "e3"))
     return f"""WITH {s.ASSOC_SQL}, {s.STAR_SQL},
-    d AS (SELECT DISTINCT a.tweet_id, keyword, event_name, emotion FROM assoc a JOIN tweet_data td ON td.tweet_id = a.tweet_id
+    d AS (SELECT DISTINCT data_id, event_name, emotion FROM assoc a JOIN tweet_data td ON td.tweet_id = a.tweet_id
       JOIN searches s ON s.search_id = td.search_id JOIN events_dim e ON e.event_id = s.event_id),
-    n AS (SELECT event_name, count(*) AS n FROM (SELECT DISTINCT tweet_id, keyword, event_name FROM d) GROUP BY 1),
+    n AS (SELECT event_name, count(*) AS n FROM (SELECT DISTINCT data_id, event_name FROM d) GROUP BY 1),
     f AS (SELECT x.event_name, x.emotion AS e1, y.emotion AS e2, z.emotion AS e3, count(*) AS freq FROM d x
-      JOIN d y ON y.tweet_id = x.tweet_id AND y.keyword = x.keyword AND y.event_name = x.event_name AND y.emotion > x.emotion
-      JOIN d z ON z.tweet_id = x.tweet_id AND z.keyword = x.keyword AND z.event_name = x.event_name AND z.emotion > y.emotion
+      JOIN d y ON y.data_id = x.data_id AND y.emotion > x.emotion
+      JOIN d z ON z.data_id = x.data_id AND z.emotion > y.emotion
       GROUP BY ALL)
     SELECT f.event_name, e1 || ', ' || e2 || ', ' || e3 AS itemsets, freq, round(freq * 1.0e0 / n, 8) AS support,
            CASE WHEN {score} > 0 THEN 'positive' ELSE 'negative' END AS sentiment
@@ -147,7 +147,28 @@ def _terms_unused(spark, sf):
     return known.distinct().join(words.token_rows(s.texts(spark, sf)).select("term").distinct(), "term", "left_anti")
 
 
+SUPPLIERS = [f"s{i:02}" for i in range(20)]
+
+
+def _wide(spark, sf):
+    """Baskets of twenty items: the supplier classes of an order's lines, apart by return flag."""
+    lines = s.table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_orderkey", F.concat(F.lit("s"), F.lpad((F.col("l_suppkey") % 20).cast("string"), 2, "0")).alias("supplier"))
+    sets = mining.frequent_itemsets_by(lines, "l_returnflag", ["l_orderkey"], "supplier", SUPPLIERS, 0.01, None)
+    return sets.select("l_returnflag", F.array_join("items", ", ").alias("items"), "freq", F.round("support", 8).alias("support"))
+
+
+_WIDE_SQL = """WITH b AS (SELECT DISTINCT l_returnflag AS g, l_orderkey AS o, 's' || lpad(CAST(l_suppkey % 20 AS VARCHAR), 2, '0') AS i FROM lineitem),
+n AS (SELECT g, count(DISTINCT o) AS n FROM b GROUP BY g),
+f AS (SELECT g, i AS items, count(*) AS freq FROM b GROUP BY ALL
+  UNION ALL SELECT x.g, x.i || ', ' || y.i, count(*) FROM b x JOIN b y ON y.g = x.g AND y.o = x.o AND y.i > x.i GROUP BY ALL
+  UNION ALL SELECT x.g, x.i || ', ' || y.i || ', ' || z.i, count(*) FROM b x JOIN b y ON y.g = x.g AND y.o = x.o AND y.i > x.i
+    JOIN b z ON z.g = x.g AND z.o = x.o AND z.i > y.i GROUP BY ALL)
+SELECT f.g AS l_returnflag, items, freq, round(freq * 1.0e0 / n, 8) AS support FROM f JOIN n USING (g) WHERE freq * 1.0e0 / n >= 0.01"""
+
+
 QUERIES = {
+    "frequent_itemsets_by_wide": (_wide, _WIDE_SQL),
     "frequent_itemsets_k1": (_itemsets(1, 0.005), _itemsets_sql(1, 0.005)),
     "frequent_itemsets_k2": (_itemsets(2, 0.005), _itemsets_sql(2, 0.005)),
     "frequent_itemsets_k3": (_itemsets(3, 0.005), _itemsets_sql(3, 0.005)),
@@ -162,7 +183,7 @@ QUERIES = {
             THEN 'positive' ELSE 'negative' END AS sentiment FROM f CROSS JOIN n WHERE freq * 1.0e0 / n >= 0.001"""),
     "support_stats": (
         _support_stats,
-        f"""WITH {_sets_sql([1, 2, 3], 0.001)}
+        f"""WITH {_sets_sql([1, 2, 3, 4, 5], 0.001)}
         SELECT k, round(max(support), 8) AS max_support, round(median(support), 8) AS median_support FROM sets GROUP BY k"""),
     "indicator_matrix": (_matrix, _MATRIX_SQL),
     "indicator_long": (

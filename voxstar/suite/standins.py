@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voxstar import seeds
 from voxstar.functions.text import code_points, tokens
-from voxstar.sources.tables import keyword_terms, spread
+from voxstar.sources.tables import keyword_terms
 
 EMOTIONS = seeds.EMOTIONS
 LANG_EVENT = {"en": 3000, "es": 3001, "fr": 3002, "de": 3003}
 LABEL_EVENT = 3004
+LATER = 500  # a search's second window: texts of more than 2,000 characters were captured again in it
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -24,7 +25,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def texts(spark, sf) -> DataFrame:
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     return docs.select(F.col("doc_id").cast("string").alias("tweet_id"), F.col("text").alias("tweet_text"))
 
 
@@ -86,7 +87,9 @@ def tweet_data(spark, sf) -> DataFrame:
         (F.col("doc_id") + 1000000000000).alias("data_id"), F.lit("labels").alias("author_id"),
         F.lit("2016-01-01").cast("date").alias("created_at"), F.col("doc_id").cast("string").alias("tweet_id"),
         F.lit(LABEL_EVENT * 1000).cast("long").alias("search_id"))
-    return base.unionByName(again)
+    later = base.join(docs.filter("n_chars > 2000").select(F.col("doc_id").alias("data_id")), "data_id", "left_semi")
+    later = later.withColumns({"data_id": F.col("data_id") + 2000000000000, "search_id": F.col("search_id") + LATER})
+    return base.unionByName(again).unionByName(later)
 
 
 def _event_of(lang: str):
@@ -100,6 +103,7 @@ def searches(spark, sf) -> DataFrame:
     found = table(spark, sf, "documents").select("source", "lang").distinct().select(
         (_event_of("lang") * 1000 + F.substring("source", 4, 9).cast("long")).alias("search_id"),
         F.col("source").alias("keyword"), _event_of("lang").cast("int").alias("event_id"))
+    found = found.unionByName(found.withColumn("search_id", F.col("search_id") + LATER))
     label = spark.range(1).select(F.lit(LABEL_EVENT * 1000).cast("long").alias("search_id"),
                                   F.lit("labels").alias("keyword"), F.lit(LABEL_EVENT).alias("event_id"))
     return found.unionByName(label)
@@ -121,10 +125,13 @@ tweet_data AS (
          {_EVENT_CASE} * 1000 + CAST(substr(source, 4) AS BIGINT) AS search_id FROM documents
   UNION ALL
   SELECT doc_id + 1000000000000, 'labels', DATE '2016-01-01', CAST(doc_id AS VARCHAR), {LABEL_EVENT * 1000}
-  FROM labels WHERE quality = 1),
+  FROM labels WHERE quality = 1
+  UNION ALL
+  SELECT doc_id + 2000000000000, source, CAST(DATE '2015-01-01' + CAST(n_chars % 365 AS INTEGER) AS DATE), CAST(doc_id AS VARCHAR),
+         {_EVENT_CASE} * 1000 + {LATER} + CAST(substr(source, 4) AS BIGINT) FROM documents WHERE n_chars > 2000),
 searches AS (
-  SELECT DISTINCT {_EVENT_CASE} * 1000 + CAST(substr(source, 4) AS BIGINT) AS search_id,
-         source AS keyword, {_EVENT_CASE} AS event_id FROM documents
+  SELECT DISTINCT {_EVENT_CASE} * 1000 + w + CAST(substr(source, 4) AS BIGINT) AS search_id,
+         source AS keyword, {_EVENT_CASE} AS event_id FROM documents, (VALUES (0), ({LATER})) windows(w)
   UNION ALL SELECT {LABEL_EVENT * 1000}, 'labels', {LABEL_EVENT})"""
 
 
@@ -151,7 +158,7 @@ def emoji_dictionary(spark, sf) -> DataFrame:
 EMOJI_SQL = f"""{LEXICON_SQL}, {TEXTS_SQL},
 letters AS (SELECT DISTINCT term, c FROM (SELECT term, unnest(string_split(term, '')) AS c FROM words) WHERE ascii(c) > 127),
 emoji_names AS (SELECT DISTINCT c AS emoji, CASE WHEN c = '{UNNAMED}' THEN '' ELSE 'letter ' || ascii(c) END AS name FROM letters),
-emoji_dict AS (SELECT name, list_slice(list_sort(list(term)), 2, 16) AS terms
+emoji_dict AS (SELECT name, list_sort(list(term))[2:] AS terms
                FROM letters JOIN emoji_names ON emoji = c WHERE c <> '{UNLISTED}' GROUP BY name),
 tweet_emojis AS (
   SELECT DISTINCT tweet_id, emoji, name

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from voxstar import seeds
 from voxstar.functions.text import effective_text
 from voxstar.operators.joins import full_outer_keyed
+from voxstar.operators.keys import fix_rows
 from voxstar.plans import correlation, events, views, words
 from voxstar.suite import standins as s
 
@@ -33,43 +34,31 @@ def _by_category(by_event):
 
 
 def _by_category_sql(by_event):
-    extra = ", event_name" if by_event else ""
+    """Captures per event and vote first; a category then adds up the events it is listed for."""
+    shown = ", event_name" if by_event else ""
     return f"""WITH {s.VOTES_SQL}, {s.STAR_SQL},
-    topics AS (SELECT event_id, event_name, name_text AS category_name
-      FROM events_dim JOIN category USING (event_id) JOIN cat_name ON name_id = cat_name_id)
-    SELECT sentiment_category, category_name{extra}, count(*) AS tweet_count
-    FROM tweet_data JOIN votes USING (tweet_id) JOIN sentiment_category USING (sent_id)
-    JOIN searches USING (search_id) JOIN topics USING (event_id)
-    GROUP BY sentiment_category, category_name{extra}"""
-
-
-def _by_category_as_sql(spark, sf):
-    """The star join as SQL text over frames."""
-    star, dims = _star(spark, sf)
-    return spark.sql("""
-        SELECT sentiment_category, topic.name_text AS category_name, event_name, count(*) AS tweet_count
-        FROM {tweet_data} JOIN {votes} USING (tweet_id) JOIN {sentiment_category} USING (sent_id)
-        JOIN {searches} USING (search_id) JOIN {events} USING (event_id) JOIN {category} AS bridge USING (event_id)
-        JOIN {cat_name} AS topic ON topic.name_id = bridge.cat_name_id GROUP BY ALL""",
-                     votes=_votes(spark, sf), sentiment_category=dims["sentiment_category"], category=dims["category"],
-                     cat_name=dims["cat_name"], **star)
+    found AS (SELECT event_id, sent_id, count(*) AS n FROM searches, tweet_data, votes
+      WHERE tweet_data.search_id = searches.search_id AND votes.tweet_id = tweet_data.tweet_id GROUP BY ALL),
+    labels(sent_id, label) AS (VALUES (1, 'POSITIVE'), (9, 'NEUTRAL'), (0, 'NEGATIVE')),
+    listed AS (SELECT event_id, list(name_text) AS names FROM category, cat_name WHERE name_id = cat_name_id GROUP BY event_id),
+    spread AS (SELECT label, event_id, n, unnest(names) AS category_name FROM found JOIN listed USING (event_id) JOIN labels USING (sent_id))
+    SELECT label AS sentiment_category, category_name{shown}, sum(n)::BIGINT AS tweet_count
+    FROM spread LEFT JOIN events_dim USING (event_id) GROUP BY ALL"""
 
 
 def _totals(spark, sf):
-    counts = _by_category(True)(spark, sf)
-    one = F.col("event_name") == "SAME SEX MARRIAGE"
-    part = lambda label, cond: events.sentiment_totals(counts, condition=cond).withColumn("part", F.lit(label))
-    return events.union_events([part("one", one), part("rest", ~one)])
+    part = F.when(F.col("event_name") == "SAME SEX MARRIAGE", "one").otherwise("rest")
+    return events.sentiment_totals(_by_category(True)(spark, sf), part=part)
 
 
 def _sums(spark, sf):
     star, _ = _star(spark, sf)
-    return events.emotion_sums_by_event(_assoc(spark, sf), **star)
+    return events.emotion_sums_by_event(_assoc(spark, sf), **star, emotions=events.lexicon_emotions(s.lexicon(spark, sf)))
 
 
 def _emotions_by_event(spark, sf):
     star, _ = _star(spark, sf)
-    return events.emotions_by_event(words.emotion_distinct_sets(_assoc(spark, sf)), **star, hot_rows=1)
+    return events.emotions_by_event(words.emotion_distinct_sets(_assoc(spark, sf)), **star, hot_rows=1).drop("data_id")
 
 
 def _counts(spark, sf, event=None):
@@ -78,7 +67,9 @@ def _counts(spark, sf, event=None):
 
 
 def _union(spark, sf):
-    return events.union_events([_counts(spark, sf, name) for name in seeds.EVENTS])
+    """Per-event results of one pass, one event after the other."""
+    counts = fix_rows(_counts(spark, sf))
+    return events.union_events([counts.filter(F.col("event_name") == name) for name in seeds.EVENTS])
 
 
 COUNTS_SQL = f"""{s.VOTES_SQL}, {s.STAR_SQL},
@@ -122,10 +113,10 @@ TALK_SQL = """talk AS (SELECT c.conv_id || '-' || c.turn AS tweet_id,
 
 def _outer(spark, sf):
     c = s.table(spark, sf, "conversations")
-    tweets = c.filter("role <> 'system'").select(
+    tweets = c.select(
         F.concat_ws("-", "conv_id", "turn").alias("tweet_id"),
         F.when(F.col("turn") > 0, F.concat_ws("-", "conv_id", F.col("turn") - 1)).alias("rt_id"))
-    originals = c.filter("role = 'user'").select(F.concat_ws("-", "conv_id", "turn").alias("rt_id"), F.md5("text").alias("rt_digest"))
+    originals = c.select(F.concat_ws("-", "conv_id", "turn").alias("rt_id"), F.md5("text").alias("rt_digest"))
     return full_outer_keyed(tweets, originals, ["rt_id"], ["tweet_id"]).select("tweet_id", "rt_id", "rt_digest")
 
 
@@ -176,12 +167,11 @@ QUERIES = {
     "retweet_outer_join": (
         _outer,
         """WITH t AS (SELECT conv_id || '-' || turn AS tweet_id, CASE WHEN turn > 0 THEN conv_id || '-' || (turn - 1) END AS rt_id
-          FROM conversations WHERE role <> 'system'),
-        o AS (SELECT conv_id || '-' || turn AS id, md5(text) AS rt_digest FROM conversations WHERE role = 'user')
+          FROM conversations),
+        o AS (SELECT conv_id || '-' || turn AS id, md5(text) AS rt_digest FROM conversations)
         SELECT tweet_id, coalesce(rt_id, id) AS rt_id, rt_digest FROM t FULL JOIN o ON rt_id = id"""),
     "sentiment_by_category": (_by_category(False), _by_category_sql(False)),
     "sentiment_by_category_event": (_by_category(True), _by_category_sql(True)),
-    "sentiment_by_category_event_sql": (_by_category_as_sql, _by_category_sql(True)),
     "sentiment_totals": (
         _totals,
         f"""WITH counts AS ({_by_category_sql(True)})
@@ -199,7 +189,7 @@ QUERIES = {
         sums AS (SELECT event_name, emotion, count(*) AS n FROM d JOIN tweet_data td ON td.tweet_id = d.tweet_id
           JOIN searches s ON s.search_id = td.search_id JOIN events_dim e ON e.event_id = s.event_id GROUP BY 1, 2)
         SELECT e.event_name AS event, m.emotion, coalesce(n, 0) AS sum
-        FROM (SELECT DISTINCT event_name FROM sums) e CROSS JOIN (SELECT unnest({seeds.EMOTIONS!r}) AS emotion) m
+        FROM events_dim e CROSS JOIN (SELECT DISTINCT emotion FROM lexicon) m
         LEFT JOIN sums ON sums.event_name = e.event_name AND sums.emotion = m.emotion"""),
     "keyword_sentiment_counts": (
         _counts,
