@@ -5,11 +5,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voxstar.llm import words as W
 from voxstar.llm.graph import components
-from voxstar.llm.staging import checkpointed
+from voxstar.llm.staging import checkpointed, release
 from voxstar.shipping import ship
 
 #: Signature length; places of the second permutation.
@@ -88,18 +88,20 @@ def _comparable(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """The text of each needed ``doc_id``; the greatest if an id has several."""
+    return checkpointed(docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+                        .join(needed, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")))
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose whole shingle sets satisfy 100 * intersection >= percent * union.
 
-    Only documents in a pair are read out of the text exchange; each pair then meets its two texts in two joins,
-    whose hot keys (a hub of thousands of copies) adaptive execution splits.
+    Each pair meets its two texts in two joins, whose hot keys (a hub of thousands of copies) adaptive execution splits.
     """
-    needed = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
-    texts = checkpointed(docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-                         .join(needed, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")))
     left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
     right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
-    # the text that many pairs share comes first, so that it is hashed once for a run of pairs
+    # the text that many pairs share comes last, so that it is hashed once for a run of pairs
     both = pairs.join(right, "v").join(left, "u").select("u", "v", "text_u", "text_v")
 
     def run(batches):
@@ -119,6 +121,41 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     return both.mapInArrow(run, "u long, v long")
 
 
+def _shingle_rows(texts: DataFrame, width: int) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            ids = np.asarray(batch.column(0))
+            for first, part in W.slices(batch.column(1).to_pylist()):
+                sets = shingles(part, width)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(ids[first:first + len(part)], [len(x) for x in sets])),
+                     pa.array(np.concatenate(sets).view(np.int64))], names=["id", "shingle"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "id long, shingle long")
+
+
+def sharing(texts: DataFrame, placed: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (u, v) in different components that can still reach the similarity, by an exact prefix filter.
+
+    Each set is ordered from its rarest shingle among these documents. The first shingle that a similar pair shares
+    leaves room for the needed overlap behind it in both; pairs without such a shingle are out. Members of a group that differ
+    from it by edits of their own begin with shingles that hardly anyone has, so they do not meet the whole group again.
+    """
+    rows = _shingle_rows(texts, width)
+    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select(F.expr("~shingle").alias("other"), "df")
+    order = Window.partitionBy("id").orderBy("df", "shingle")
+    ranked = (rows.join(often, F.col("shingle") == F.expr("~other"), "left").select("id", "shingle", F.coalesce("df", F.lit(1)).alias("df"))
+              .withColumn("pos", F.row_number().over(order) - 1))
+    heads = checkpointed(ranked.join(placed, "id").where((F.col("df") > 1) & (100 * (F.col("n") - F.col("pos")) >= percent * F.col("n")))
+                         .select("shingle", "pos", "id", "n", "component"))
+    other = heads.select(*[F.col(c).alias("o_" + c) for c in heads.columns])
+    overlap = F.ceil(percent * (F.col("n") + F.col("o_n")) / F.lit(100.0 + percent))
+    return (heads.join(other, (F.col("shingle") == F.col("o_shingle")) & (F.col("id") < F.col("o_id"))
+                       & (F.col("component") != F.col("o_component")) & _comparable(F.col("n"), F.col("o_n"), percent)
+                       & (F.least(F.col("n") - F.col("pos"), F.col("o_n") - F.col("o_pos")) >= overlap))
+            .select(F.col("id").alias("u"), F.col("o_id").alias("v")).distinct())
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``rk``, ``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` (doc_id = component_id) of every row.
 
@@ -131,8 +168,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
        copies cost one row each however many there are.
     2. Each band's bucket links its members to its least member: one candidate per member, never all pairs. Confirmed
        links form components, which swallow a group of near copies whole.
-    3. What is left are members of one bucket in different components. Those pairs are compared by the low bits of their
-       signatures inside the join, and only likely ones are confirmed on whole sets. Nothing is capped.
+    3. What is left are members of one bucket in different components. A semi-join finds those with a likely partner by the low
+       bits of their signatures; the pairs among them come from an exact prefix filter on whole sets and are
+       confirmed. Nothing is capped, and a group of near copies is never paired out.
     """
     ship(docs.sparkSession)
     rows = checkpointed(signed(docs, width))
@@ -148,7 +186,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     buckets = checkpointed(member.join(hubs, "key").select("key", "id", "n", "hub"))
     pairs = (buckets.where((F.col("id") != F.col("hub.id")) & _comparable(F.col("n"), F.col("hub.n"), percent))
              .select(F.col("hub.id").alias("u"), F.col("id").alias("v")).distinct())
-    links = checkpointed(confirmed(checkpointed(pairs), docs, width, percent))
+    pairs = checkpointed(pairs)
+    needed = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
+    links = checkpointed(confirmed(pairs, texts_of(docs, needed), width, percent))
+    release(docs.sparkSession)
     known = components(links)
 
     placed = checkpointed(buckets.select("key", "id", "n").join(known, F.col("id") == F.col("node"), "left")
@@ -160,11 +201,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     open_rows = checkpointed(open_rows.join(bits, "id"))
     other = open_rows.select("key", *[F.col(c).alias(f"o_{c}") for c in open_rows.columns if c != "key"])
     apart = sum((F.bit_count(F.col(f"b{i}").bitwiseXOR(F.col(f"o_b{i}"))) for i in range(4)), F.lit(0))
-    likely = (open_rows.join(other, (open_rows["key"] == other["key"]) & (F.col("id") < F.col("o_id"))
-                             & (F.col("component") != F.col("o_component"))
-                             & _comparable(F.col("n"), F.col("o_n"), percent) & (apart <= BITS_APART))
-              .select(F.col("id").alias("u"), F.col("o_id").alias("v")).distinct())
-    more = checkpointed(confirmed(checkpointed(likely.join(links, ["u", "v"], "left_anti")), docs, width, percent))
+    doubtful = checkpointed(open_rows.join(other, (open_rows["key"] == other["key"]) & (F.col("id") != F.col("o_id"))
+                                           & (F.col("component") != F.col("o_component"))
+                                           & _comparable(F.col("n"), F.col("o_n"), percent) & (apart <= BITS_APART), "left_semi")
+                            .select("id", "n", "component").distinct())
+    texts = texts_of(docs, doubtful.select(F.col("id").alias("doc_id")))
+    more = checkpointed(confirmed(checkpointed(sharing(texts, doubtful, width, percent)), texts, width, percent))
     final = known if more.isEmpty() else components(links.union(more))
 
     led = classes.join(final, F.col("lead") == F.col("node"), "left").select(
