@@ -20,7 +20,7 @@ from voxstar.shipping import ship
 UNIT = 128
 DEPTH = 4
 #: Words whose ids a worker keeps; the first half stays.
-CACHE = 400_000
+CACHE = 1_000_000
 
 
 class Encoder:
@@ -37,19 +37,42 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.known: dict[bytes, bytes] = {}
+        mark = self.tokenizer.encode("\x01", add_special_tokens=False).ids
+        self.between = mark[0] if len(mark) == 1 else None
+        self.marks = {m: self._encode(m.decode()) for m in (b",", b".")}
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def _learn(self, words: set[bytes]) -> None:
+        """Add the ids of some words.
+
+        A comma or full stop after a letter is a piece of its own. Other words are encoded together, with a control character between them
+        that is one id and occurs in none of them.
+        """
+        known, joined = self.known, []
+        for word in words:
+            if word[-1:] in (b",", b".") and b"a" <= word[-2:-1] <= b"z":
+                if word[:-1] in known:
+                    known[word] = known[word[:-1]] + self.marks[word[-1:]]
+                    continue
+            if self.between is None or b"\x01" in word:
+                known[word] = self._encode(word.decode("utf-8", "replace"))
+            else:
+                joined.append(word)
+        for at in range(0, len(joined), 2048):
+            part = joined[at:at + 2048]
+            text = " \x01 ".join([w.decode("utf-8", "replace") for w in part])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.append(np.flatnonzero(ids == self.between), len(ids))
+            begins = np.append(0, ends[:-1] + 1)
+            known.update(zip(part, [ids[a:b].tobytes() for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], strict=True))
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, as the bytes of ``dtype`` numbers."""
         split = [None if b"<|" in text else text.lower().split() for text in texts]
         known = self.known
-        new = list(set().union(*(words for words in split if words)) - known.keys())
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            known.update(zip(part, (np.array(x.ids, self.dtype).tobytes() for x in found), strict=True))
+        self._learn(set().union(*(words for words in split if words)) - known.keys())
         out = [self._encode(text.decode("utf-8", "replace")) if words is None else b"".join([known[w] for w in words])
                for text, words in zip(texts, split, strict=True)]
         if len(known) > CACHE:
@@ -268,13 +291,11 @@ def pack(docs: DataFrame, tokenizer: str, end: int, window: int = 4096) -> DataF
         place = _place(drawn, window)
         for batch in batches:
             doc, ids, rows = batch.column(0), batch.column(1).to_pylist(), zip(
-                *(batch.column(i).to_pylist() for i in range(2, 10)), strict=True)
+                *(batch.column(i).to_pylist() for i in range(2, 9)), strict=True)
             out, source, size = [], [], 0
-            for i, (n, full, head, tail, f, h, t, firsts_) in enumerate(rows):
-                base = dict(firsts_)
+            for i, (n, full, head, tail, f, h, t) in enumerate(rows):
                 words = np.frombuffer(ids[i], narrow).astype("<u4")
-                for start, length, sequence, at in place(n, full, head, tail, f + base.get(0, 0), h + base.get(head, 0),
-                                                         t + base.get(window + tail, 0)):
+                for start, length, sequence, at in place(n, full, head, tail, f, h, t):
                     out.append((start, length, words[start:start + length].tobytes(), n, sequence, at))
                     source.append(i)
                 size += n
@@ -286,9 +307,10 @@ def pack(docs: DataFrame, tokenizer: str, end: int, window: int = 4096) -> DataF
                         names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
                     out, source, size = [], [], 0
 
+    rank = lambda before, kind: (F.col(before) + F.coalesce(F.col("firsts")[kind], F.lit(0))).alias(before)
     joined = staged.join(firsts, "pid", "left").select(
-        "doc_id", "ids", "n", "full", "head", "tail", "before_full", "before_head", "before_tail",
-        F.coalesce("firsts", F.create_map().cast("map<bigint,bigint>")).alias("firsts"))
+        "doc_id", "ids", "n", "full", "head", "tail", rank("before_full", F.lit(0).cast("long")), rank("before_head", F.col("head")),
+        rank("before_tail", F.lit(window) + F.col("tail")))
     return joined.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, "
                                   "sequence_id long, offset long")
 
