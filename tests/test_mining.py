@@ -66,8 +66,18 @@ def test_itemsets_by_group(frame, rows):
     got = mining.frequent_itemsets_by(df, "e", ["txn"], "item", ["joy", "trust", "fear"], {"x": 0.5, "y": 0.6}, k=2)
     assert rows(mining.label_itemsets(got), "e", "itemsets", "freq", "support", "sentiment") == [
         ("x", "joy, trust", 1, 0.5, "positive")]
-    with pytest.raises(ValueError):
-        mining.frequent_itemsets_by(df, "e", ["txn"], "item", [str(i) for i in range(13)], 0.1)
+    wide = ["joy", "trust", "fear", *[str(i) for i in range(13)]]  # more than a mask holds
+    levels = mining.frequent_itemsets_by(df, "e", ["txn"], "item", wide, {"x": 0.5, "y": 0.6}, k=2)
+    assert rows(levels, "e", "items", "freq", "n_txn", "support") == rows(got, "e", "items", "freq", "n_txn", "support")
+
+
+@pytest.mark.parametrize("k", [1, 3, None])
+def test_levels_equal_masks(txns, rows, k):
+    grouped = txns.withColumn("g", F.col("txn") % 2)
+    masks = mining.frequent_itemsets_by(grouped, "g", ["txn"], "item", list("abcdefgh"), 0.25, k)
+    levels = mining.frequent_itemsets_by(grouped, "g", ["txn"], "item", list("abcdefghijklmnop"), 0.25, k)
+    names = ("g", "items", "freq", "n_txn", "support")
+    assert rows(levels, *names) == rows(masks, *names) != []
 
 
 def test_stats_and_order(frame, rows):
@@ -116,3 +126,5 @@ def test_text_pipeline(frame, rows):
         ("fear", 0.333333, "fear", 1, 666), ("love", 0.666667, "joy", 1, 333), ("love", 0.666667, "positive", None, 333)]
     upper = associations.text_associations(tweets, lexicon, 0.3, term_extractor=lambda t: F.array(F.lit("fear")))
     assert rows(upper, "term", "support") == [("fear", 1.0)]
+    blank = associations.text_associations(tweets, lexicon, 0.3, term_extractor=lambda t: F.array(F.lit("fear"), F.lit("")))
+    assert rows(blank, "term", "support") == [("fear", 1.0)]  # an empty term changes no total

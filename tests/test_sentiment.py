@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from voxstar import seeds
 from voxstar.functions import sentiment
 from voxstar.plans import words
+from voxstar.plans.events import emotion_sums_by_event
 
 LEXICON = [("love", "joy", 1), ("love", "positive", 1), ("fear", "fear", 1), ("dull", "joy", 0)]
 
@@ -53,3 +54,14 @@ def test_polarity_covers_all_emotions(spark, rows):
     marks = dict((e, m) for e, _, m in rows(seeds.emotion_polarity(spark)))
     assert sorted(marks) == seeds.EMOTIONS
     assert marks["joy"] == 333 and marks["negative"] == 666
+
+
+def test_emotion_sums_cover_events_and_emotions(frame, rows):
+    """Every event has its row of zeros, and an emotion that nobody listed keeps its counts."""
+    shown = frame("tweet_id string, emotion string", [("1", "joy"), ("1", "joy"), ("1", "awe"), ("2", "fear"), ("2", None)])
+    facts = frame("tweet_id string, search_id bigint", [("1", 1), ("1", 2), ("2", 1)])
+    searches = frame("search_id bigint, event_id int", [(1, 10), (2, 10), (3, 11)])
+    events = frame("event_id int, event_name string", [(10, "A"), (11, "B"), (12, "C")])
+    got = emotion_sums_by_event(shown, facts, searches, events, ["fear", "joy"])
+    assert rows(got, "event", "emotion", "sum") == [
+        ("A", "awe", 2), ("A", "fear", 1), ("A", "joy", 2), ("B", "fear", 0), ("B", "joy", 0), ("C", "fear", 0), ("C", "joy", 0)]
