@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from voxstar.llm import words as W
 from voxstar.llm.staging import checkpointed, release
@@ -12,8 +12,11 @@ from voxstar.shipping import ship
 
 #: Counters of the word counts that order tokens by rarity; a constant, whatever the number of words.
 COUNTER_BITS = 18
-#: Toggles one of 64 bits per token: sets differ in at least as many tokens as their bits differ.
 _ONE = np.uint64(1)
+#: Sizes from which a set has 128 and 256 toggled bits; below, 64 tell two sets apart.
+BITS_FROM = (64, 128)
+#: Stands for a null doc_id in joins; a document that has this id is told apart by its line's hash.
+_NO_ID = -(1 << 63)
 
 
 def _lines(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -34,182 +37,251 @@ def word_counts(docs: DataFrame) -> np.ndarray:
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["place", "n"])
 
-    rows = (docs.select("text").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-            .toArrow())
+    rows = docs.select("text").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << COUNTER_BITS, np.int64)
     out[rows.column("place").to_numpy()] = rows.column("n").to_numpy()
     return out
 
 
-def _line_sets(words: W.Words, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct word hashes line by line, where each line begins, and the line's number.
+def rare_first(hashes: np.ndarray, group: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of each group (numbered from 0, in order), from the rarest, and where each group begins.
 
-    With counts a line's words are ordered from the rarest, else by hash.
+    The order is by (count up to 2^24, hash), the same in every group.
+    """
+    n_groups = int(group[-1]) + 1 if len(group) else 0
+    if n_groups < 1 << 20:  # group and part of the key in one number: one sort each instead of two or three
+        high = group.astype(np.uint64) << np.uint64(44)
+        order = np.argsort(high | (hashes >> np.uint64(20)))
+    else:
+        order = np.lexsort((hashes, group))
+    hashes, group = hashes[order], group[order]
+    fresh = np.ones(len(hashes), np.bool_)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (group[1:] != group[:-1])
+    hashes, group = hashes[fresh], group[fresh]
+    seen = np.minimum(counts[(hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)], (1 << 24) - 1).astype(np.uint64)
+    if n_groups < 1 << 20:
+        high = (group.astype(np.uint64) << np.uint64(44)) | (seen << np.uint64(20)) | (hashes >> np.uint64(44))
+        order = np.argsort(high, kind="stable")
+    else:
+        order = np.lexsort((hashes, seen, group))
+    return hashes[order], np.searchsorted(group, np.arange(n_groups))
+
+
+def _heads(hashes: np.ndarray, begins: np.ndarray, percent: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each group: its size, and which groups and positions its prefix holds (none below ``least``), and their hashes."""
+    sizes = np.diff(np.append(begins, len(hashes)))
+    long = np.where(sizes >= least, sizes - (percent * sizes + 99) // 100 + 1, 0)
+    owner = np.repeat(np.arange(len(sizes)), long)
+    pos = np.arange(len(owner)) - np.repeat(np.cumsum(long) - long, long)
+    return sizes, owner, pos, hashes[begins[owner] + pos]
+
+
+def _toggled(hashes: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Four numbers per group, with one bit toggled by each member: sets differ in at least as many members as their bits differ.
+
+    Small groups use 64 bits, those from BITS_FROM on 128 and 256; a longer form folds into a shorter by exclusive or.
+    """
+    bit, place = _ONE << (hashes & np.uint64(63)), (hashes >> np.uint64(6)) & np.uint64(3)
+    four = [np.bitwise_xor.reduceat(np.where(place == j, bit, np.uint64(0)), begins) for j in range(4)]
+    two = [four[0] ^ four[2], four[1] ^ four[3]]
+    zero = np.zeros_like(two[0])
+    form = np.digitize(sizes, BITS_FROM)
+    return [np.choose(form, (a, b, c)).view(np.int64) for a, b, c in zip(
+        (two[0] ^ two[1], zero, zero, zero), (*two, zero, zero), four, strict=True)]
+
+
+def prefixes(docs: DataFrame, least: int, percent: int, counts: np.ndarray) -> DataFrame:
+    """``token``, ``pos``, ``n``, ``s1``, ``b0`` to ``b3``, ``doc_id``, ``line_no``: the rarest words of each line, as many as a match must share one of.
+
+    ``s1`` is a hash of the line's set of words, the same for equal sets.
     """
-    hashes = words.hashes()
-    line, _ = _lines(words)
-    order = np.lexsort((hashes, line))
-    hashes, line = hashes[order], line[order]
-    fresh = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])))[:len(hashes)]
-    hashes, line = hashes[fresh], line[fresh]
-    if counts is not None:
-        order = np.lexsort((hashes, counts[(hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)], line))
-        hashes = hashes[order]
-    begins = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))[:len(line)] if len(line) else line
-    return hashes, begins, line[begins]
-
-
-def _per_line(texts: DataFrame, least: int, make, schema: str, with_counts: np.ndarray | None = None) -> DataFrame:
-    """Run ``make(hashes, begins, sizes, s1, s2, key, line_no, row)`` over lines of at least ``least`` distinct words."""
 
     def run(batches):
         for batch in batches:
-            keys = np.asarray(batch.column(0))
-            for first, part in W.slices(batch.column(2).to_pylist()):
+            for first, part in W.slices(batch.column(1).to_pylist()):
                 words = W.find(part)
-                hashes, begins, line = _line_sets(words, with_counts)
-                if not len(begins):
+                line, starts = _lines(words)
+                if not len(line):
                     continue
-                sizes = np.diff(np.append(begins, len(hashes)))
-                s1 = np.add.reduceat(W.mix(hashes), begins)
-                s2 = np.add.reduceat(W.mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), begins)
-                _, starts = _lines(words)
-                text = np.searchsorted(starts, line, side="right") - 1
-                wide = sizes >= least
-                out = make(hashes, begins, sizes, s1.view(np.int64), s2.view(np.int64), keys[first + text], line - starts[text],
-                           first + text, wide, batch)
-                if out is not None:
-                    yield out
-
-    return texts.select("rk", "doc_id", "text").mapInArrow(run, schema)
-
-
-def lines(texts: DataFrame, least: int) -> DataFrame:
-    """``doc_id``, ``line_no``, ``rk``, ``s1``, ``s2`` of each line; equal word sets have equal s1, s2."""
-
-    def make(hashes, begins, sizes, s1, s2, rk, line_no, row, wide, batch):
-        return pa.RecordBatch.from_arrays(
-            [batch.column(1).take(pa.array(row[wide])), pa.array(line_no[wide]), pa.array(rk[wide]), pa.array(s1[wide]),
-             pa.array(s2[wide])], names=["doc_id", "line_no", "rk", "s1", "s2"])
-
-    return _per_line(texts, least, make, "doc_id long, line_no long, rk long, s1 long, s2 long")
-
-
-def prefixes(texts: DataFrame, least: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """``token``, ``pos``, ``n``, ``s1``, ``bits``: the rarest words of each line, as many as a match must share one of."""
-
-    def make(hashes, begins, sizes, s1, s2, rk, line_no, row, wide, batch):
-        long = sizes - (percent * sizes + 99) // 100 + 1
-        long = np.where(wide, long, 0)
-        owner = np.repeat(np.arange(len(sizes)), long)
-        pos = np.arange(len(owner)) - np.repeat(np.cumsum(long) - long, long)
-        bits = np.bitwise_xor.reduceat(_ONE << (hashes & np.uint64(63)), begins).view(np.int64)
-        token = hashes[begins[owner] + pos]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(token.view(np.int64)), pa.array(pos), pa.array(sizes[owner]), pa.array(s1[owner]), pa.array(bits[owner])],
-            names=["token", "pos", "n", "s1", "bits"])
-
-    return _per_line(texts, least, make, "token long, pos long, n long, s1 long, bits long", counts)
-
+                fresh = np.concatenate(([True], line[1:] != line[:-1]))
+                number, group = line[fresh], np.cumsum(fresh) - 1
+                hashes, begins = rare_first(words.hashes(), group, counts)
+                sizes, owner, pos, token = _heads(hashes, begins, percent, least)
+                s1 = np.add.reduceat(W.mix(hashes), begins).view(np.int64)
+                text = np.searchsorted(starts, number, side="right") - 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(token.view(np.int64)), pa.array(pos), pa.array(sizes[owner]), pa.array(s1[owner]),
+                     *[pa.array(b[owner]) for b in _toggled(hashes, begins, sizes)],
+                     batch.column(0).take(pa.array((first + text)[owner])), pa.array((number - starts[text])[owner])],
+                    names=["token", "pos", "n", "s1", "b0", "b1", "b2", "b3", "doc_id", "line_no"])
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "token long, pos long, n long, s1 long, b0 long, b1 long, b2 long, b3 long, doc_id long, line_no long")
+
+
+def _can_match(percent: int, x: str = "x_", y: str = "y_") -> Column:
+    """The filters on two rows of one token, with columns named from x and y: toggled bits, length, and position (the first
+    word that a match shares leaves room for the overlap behind it)."""
+    both, smaller = F.col(x + "n") + F.col(y + "n"), F.least(x + "n", y + "n")
+    overlap = F.expr(f"({percent} * ({x}n + {y}n) + {99 + percent}) div {100 + percent}")
+    most = both - 2 * overlap
+    one, two, three, four = (F.col(f"{x}b{j}").bitwiseXOR(F.col(f"{y}b{j}")) for j in range(4))
+    few = F.bit_count(one.bitwiseXOR(two).bitwiseXOR(three).bitwiseXOR(four)) <= most
+    some = F.bit_count(one.bitwiseXOR(three)) + F.bit_count(two.bitwiseXOR(four)) <= most
+    many = F.bit_count(one) + F.bit_count(two) + F.bit_count(three) + F.bit_count(four) <= most
+    return (few & (100 * smaller >= percent * F.greatest(x + "n", y + "n"))
+            & (F.least(F.col(x + "n") - F.col(x + "pos"), F.col(y + "n") - F.col(y + "pos")) >= overlap)
+            & (some | (smaller < BITS_FROM[0])) & (many | (smaller < BITS_FROM[1])))
+
+
+def _named(df: DataFrame, side: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
+
+
+def doubtful_lines(heads: DataFrame, percent: int) -> DataFrame:
+    """``s1``, ``doc_id``, ``line_no`` of every line that shares a prefix word with another line and passes all filters with it.
+
+    A semi-join: it stops at a line's first likely partner and never emits pairs.
+    """
+    # neither side renames or drops a column, so one shuffle serves both
+    x, y = heads.alias("x"), heads.alias("y")
+    other = ~(F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.line_no") == F.col("y.line_no"))
+              & (F.col("x.s1") == F.col("y.s1")))
+    return (x.join(y, (F.col("x.token") == F.col("y.token")) & _can_match(percent, "x.", "y.") & other, "left_semi")
+            .select("s1", "doc_id", "line_no").distinct())
 
-def candidates(heads: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of line sets that share a prefix word and pass the length, positional and bit filters.
 
-    All filters are part of the join, so only pairs that pass leave it; a word's lines are never paired outright.
-    """
-    x = heads.select(*[F.col(c).alias("x_" + c) for c in heads.columns])
-    y = heads.select(*[F.col(c).alias("y_" + c) for c in heads.columns])
-    both = F.col("x_n") + F.col("y_n")
-    overlap = F.ceil(percent * both / F.lit(100.0 + percent))
-    rest = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
-    return (x.join(y, (F.col("x_token") == F.col("y_token")) & (F.col("x_s1") < F.col("y_s1"))
-                   & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
-                   & (F.least("x_pos", "y_pos") + rest >= overlap)
-                   & (F.bit_count(F.col("x_bits").bitwiseXOR(F.col("y_bits"))) <= both - 2 * overlap))
-            .select(F.col("x_s1").alias("a"), F.col("y_s1").alias("b")).distinct())
-
-
-def _sets(texts: DataFrame, needed: DataFrame) -> DataFrame:
-    """The whole word set of each needed (rk, line_no), as sorted 64-bit hashes."""
-    wanted = needed.groupBy("rk").agg(F.collect_set("line_no").alias("wanted"))
+def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of each wanted (doc_id, line_no, s1, lead): the row it is in, ``rk``, and for a lead its whole set of words as 64-bit hashes."""
+    listed = wanted.groupBy(F.coalesce("doc_id", F.lit(_NO_ID)).alias("dk")).agg(
+        F.collect_list(F.struct("line_no", "s1", "lead")).alias("wanted"))
+    texts = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("dk"), "rk", "text")
 
     def run(batches):
         for batch in batches:
-            keys, lists = np.asarray(batch.column(0)), batch.column(2).to_pylist()
-            rk, number, found = [], [], []
+            keys, lists, rows = np.asarray(batch.column(0)), batch.column(2).to_pylist(), []
             for i, text in enumerate(batch.column(1).to_pylist()):
-                split = text.split(b"\n")
-                for k in lists[i]:
-                    rk.append(keys[i])
-                    number.append(k)
-                    found.append(np.unique(W.find([split[k]]).hashes()).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(rk, pa.int64()), pa.array(number, pa.int64()), pa.array(found, pa.binary())],
-                                             names=["rk", "line_no", "words"])
+                split = (text or b"").split(b"\n")
+                mine = [w for w in lists[i] if w["line_no"] < len(split)]
+                words = W.find([split[w["line_no"]] for w in mine])
+                hashes = words.hashes()
+                for k, w in enumerate(mine):
+                    found = np.unique(hashes[words.offsets[k]:words.offsets[k + 1]])
+                    if W.mix(found).sum(dtype=np.uint64).view(np.int64) == w["s1"]:
+                        rows.append((keys[i], w["line_no"], w["s1"], found.tobytes() if w["lead"] else None))
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k == 3 else pa.int64()) for k, c in enumerate(columns)],
+                                             names=["rk", "line_no", "s1", "words"])
+
+    return (texts.join(listed, "dk").select("rk", "text", "wanted")
+            .mapInArrow(run, "rk long, line_no long, s1 long, words binary"))
+
+
+def _set_heads(sets: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
+    """Prefix rows of whole sets."""
+    names = ["token", "pos", "n", "s1", "doc_id", "line_no", "b0", "b1", "b2", "b3"]
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                sets_ = [np.frombuffer(b, np.uint64) for b in part.column(1).to_pylist()]
+                group = np.repeat(np.arange(len(sets_)), [len(s) for s in sets_])
+                hashes, begins = rare_first(np.concatenate(sets_), group, counts)
+                sizes, owner, pos, token = _heads(hashes, begins, percent, 0)
+                owner_ = pa.array(owner)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(token.view(np.int64)), pa.array(pos), pa.array(sizes[owner]), part.column(0).take(owner_),
+                     part.column(2).take(owner_), part.column(3).take(owner_),
+                     *[pa.array(b[owner]) for b in _toggled(hashes, begins, sizes)]], names=names)
+
+    return sets.select("s1", "words", "doc_id", "line_no").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
-    return (texts.select("rk", "text").join(wanted, "rk").select("rk", "text", "wanted")
-            .mapInArrow(run, "rk long, line_no long, words binary").dropDuplicates(["rk", "line_no"]))
 
+def _earlier(x: str, y: str) -> Column:
+    """Whether x comes before y; null ids first."""
+    place = lambda side: F.struct(F.col(side + "_doc_id"), F.col(side + "_line_no"))
+    return place(x) < place(y)
 
-def _verified(pairs: DataFrame, percent: int) -> DataFrame:
-    """The later set of each pair whose word sets reach the similarity."""
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``s1`` of each y whose set reaches the similarity with its x."""
+    x = sets.select(F.col("s1").alias("x_s1"), F.col("words").alias("x_words"))
+    y = sets.select(F.col("s1").alias("y_s1"), F.col("words").alias("y_words"))
 
     def run(batches):
         for batch in batches:
             later = []
-            for s1, x, y in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * common >= percent * (len(x) + len(y) - common):
+            for s1, a, b in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * common >= percent * (len(a) + len(b) - common):
                     later.append(s1)
             yield pa.RecordBatch.from_arrays([pa.array(later, pa.int64())], names=["s1"])
 
-    return pairs.select("later", "x_words", "y_words").mapInArrow(run, "s1 long")
+    return (pairs.select("x_s1", "y_s1").join(y, "y_s1").join(x, "x_s1").select("y_s1", "x_words", "y_words")
+            .mapInArrow(run, "s1 long").distinct())
+
+
+def beaten_sets(sets: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
+    """``s1`` of every set that some set with an earlier first line matches.
+
+    First each set meets only the earliest holder of each of its prefix words among sets of about its size: one pair per word, and
+    a group of near copies is settled against its first member. Only sets that nothing has beaten yet meet all others.
+    """
+    ratio = 100 / percent
+    heads = checkpointed(_set_heads(sets, percent, counts).withColumn("band", F.floor(F.log(ratio, F.col("n")))))
+    first = lambda c: F.min_by(c, F.coalesce("doc_id", F.lit(_NO_ID))).alias("x_" + c)
+    hubs = checkpointed(heads.groupBy("token", "band").agg(
+        F.count(F.lit(1)).alias("members"), *[first(c) for c in ("pos", "n", "s1", "doc_id", "line_no", "b0", "b1", "b2", "b3")])
+        .where("members > 1").withColumnsRenamed({"token": "x_token", "band": "x_band"}))
+    y = _named(heads, "y")
+    near = (y.join(hubs, (F.col("y_token") == F.col("x_token")) & (F.col("y_band") == F.col("x_band")) & (F.col("x_s1") != F.col("y_s1"))
+                   & _earlier("x", "y") & _can_match(percent)).select("x_s1", "y_s1").distinct())
+    near = checkpointed(near)
+    beaten = checkpointed(_verified(near, sets, percent))
+    open_ = checkpointed(heads.join(beaten, "s1", "left_anti"))
+    rest = (_named(open_, "y").join(_named(heads, "x"), (F.col("y_token") == F.col("x_token")) & (F.col("x_s1") != F.col("y_s1"))
+                                    & _earlier("x", "y") & _can_match(percent)).select("x_s1", "y_s1").distinct())
+    rest = checkpointed(rest.join(near, ["x_s1", "y_s1"], "left_anti"))
+    return beaten.union(_verified(rest, sets, percent))
 
 
 def dedup_lines(docs: DataFrame, percent: int = 80, least: int = 5, keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, ``keep``, ``text`` without removed lines, ``n_lines`` and ``n_removed`` of every row.
 
     Lines are cut at \\n; two match when the Jaccard similarity of their sets of words is ``percent`` % or more. A line goes if any
-    earlier line matches it, whether or not that one goes itself; earlier means by (doc_id, line number, text hash), null doc_ids first.
-    Lines with fewer than ``least`` distinct words are neither removed nor compared. Rows with equal doc_id and text are one
-    document and get one result. A null text stays null and has 0 lines; an empty table gives no rows.
+    earlier line matches it, whether or not that one goes itself; earlier means by (doc_id, line number), null doc_ids first. Lines with fewer
+    than ``least`` distinct words are neither removed nor compared. Rows with equal doc_id and text are one document and get one result;
+    lines at one place of different texts with one doc_id are no matches of each other. A null text stays null and has 0 lines; an empty
+    table gives no rows.
 
     Words are ordered by rarity (a count per hash counter, then the hash), the same order everywhere. A line's prefix
-    is its rarest words, so many that two matching lines share one; pairs that share one pass the length and positional filters and
-    a bound on their difference from 64 toggled bits inside the join, and are verified on whole sets. Lines with equal sets are one
-    class from the start, so a line that a third of all texts hold is compared once.
+    is its rarest words, so many that two matching lines share one. A semi-join on prefix words with length, position and bit filters
+    leaves the lines with a likely partner; from here on only those are handled, one row per distinct set, so that a line
+    that a third of all texts hold is compared once. Their whole sets decide.
     """
     spark = ship(docs.sparkSession)
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"), *[F.col(c).alias("keep_" + c) for c in keep]) \
         .select(F.xxhash64("doc_id", "text").alias("rk"), "*")
-    all_lines = lines(texts, least)
-    place = F.struct("doc_id", "line_no", "rk")
-    classes = checkpointed(all_lines.groupBy("s1", "s2").agg(F.min(place).alias("first")))
-    heads = prefixes(texts, least, percent, word_counts(texts))
-    found = checkpointed(candidates(heads, percent))
-    del heads
+    counts = word_counts(texts)
+    doubtful = checkpointed(doubtful_lines(prefixes(texts, least, percent, counts), percent))
     release(spark)
 
-    firsts = classes.select("s1", "first")
-    pairs = checkpointed(
-        found.join(firsts.select(F.col("s1").alias("a"), F.col("first").alias("x")), "a")
-        .join(firsts.select(F.col("s1").alias("b"), F.col("first").alias("y")), "b")
-        .select(F.when(F.col("x") < F.col("y"), F.col("b")).otherwise(F.col("a")).alias("later"), "x", "y"))
-    needed = pairs.select("x.rk", "x.line_no").union(pairs.select("y.rk", "y.line_no")).distinct()
-    sets = checkpointed(_sets(texts, needed))
+    place = F.struct("doc_id", "line_no")
+    leads = checkpointed(doubtful.groupBy("s1").agg(F.min(place).alias("first")))
+    marked = checkpointed(doubtful.join(leads, "s1").select("s1", "doc_id", "line_no", "first", (place == F.col("first")).alias("lead")))
+    fetched = checkpointed(_fetched(texts, marked))
     release(spark)
-    x = sets.select(F.col("rk").alias("x_rk"), F.col("line_no").alias("x_no"), F.col("words").alias("x_words"))
-    y = sets.select(F.col("rk").alias("y_rk"), F.col("line_no").alias("y_no"), F.col("words").alias("y_words"))
-    beaten = checkpointed(_verified(
-        pairs.select("later", F.col("x.rk").alias("x_rk"), F.col("x.line_no").alias("x_no"), F.col("y.rk").alias("y_rk"),
-                     F.col("y.line_no").alias("y_no")).join(x, ["x_rk", "x_no"]).join(y, ["y_rk", "y_no"]), percent).distinct())
-
-    # a later line of a class is listed once; the class's first line only if the class is beaten
-    heads_of = checkpointed(classes.join(beaten.withColumn("beaten", F.lit(True)), "s1", "left")
-                            .select("s1", "s2", "first", F.coalesce("beaten", F.lit(False)).alias("beaten")))
-    gone = (all_lines.join(heads_of, ["s1", "s2"]).where(F.col("beaten") | (place != F.col("first")))
-            .groupBy("rk").agg(F.collect_set("line_no").alias("gone")))
+    sets = checkpointed(fetched.where("words is not null").dropDuplicates(["s1"]).select("s1", "words")
+                        .join(leads, "s1").select("s1", "words", "first.doc_id", "first.line_no"))
+    beaten = checkpointed(beaten_sets(sets, percent, counts).distinct())
     release(spark)
+
+    # a later line of a set is always gone, its first line only if the set is beaten
+    beaten = beaten.withColumn("beaten", F.lit(True))
+    gone = (fetched.select("rk", "line_no", "s1", F.col("words").isNull().alias("later")).join(beaten, "s1", "left")
+            .where(F.col("later") | F.col("beaten")).groupBy("rk").agg(F.collect_set("line_no").alias("gone")))
     width = len(keep)
 
     def run(batches):
