@@ -113,11 +113,6 @@ def number_fixed(fixed: DataFrame, id_column: str, start: int) -> DataFrame:
             .select(ids.alias(id_column), *[F.col(c) for c in fixed.columns]))
 
 
-def next_id(existing: DataFrame, id_column: str, seed: int) -> int:
-    top = existing.agg(F.max(id_column).alias("m")).first()["m"]
-    return seed if top is None else max(seed, top + 1)
-
-
 def upsert_dim(existing: DataFrame, incoming: DataFrame, natural_key: list[str], id_column: str,
                seed: int) -> tuple[DataFrame, DataFrame]:
     """Get-or-create: returns (all rows, newly created rows) of a dimension.

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from voxstar.operators.keys import correct, fix_rows, next_id, number_fixed, resolve_id, tag_exists, tag_first, upsert_dim
+from voxstar.operators.keys import correct, fix_rows, number_fixed, resolve_id, tag_exists, tag_first, upsert_dim
 from voxstar.operators.quality import REASON, audit, tag_rejects, unquotable
 from voxstar.plans.geo import author_location, build_cities
 from voxstar.plans.views import vw_tweet_text
@@ -99,7 +99,8 @@ def _dimension_log(files: DataFrame, created: DataFrame, known: DataFrame) -> li
 
 
 def _finish(store: Store, labels: dict[str, str], load_type: str, batch_id: int, load_key: str,
-            covers: list[int] | None = None, files: DataFrame | None = None, more: list[DataFrame] | None = None) -> DataFrame:
+            covers: list[int] | None = None, files: DataFrame | None = None, more: list[DataFrame] | None = None,
+            next_ids: dict[str, int] | None = None) -> DataFrame:
     """Write the audit rows of a load's tables, then commit it.
 
     Each of ``files`` has a row per table, "0 LOADED, 0 SKIPPED" where it brought none.
@@ -112,7 +113,7 @@ def _finish(store: Store, labels: dict[str, str], load_type: str, batch_id: int,
             tried = tried.unionByName(idle.select("filepath", F.lit(NO_ROWS).alias(REASON)))
         logs.append(audit(tried, load_type, label, nothing=NO_ROWS))
     store.write("run_log", reduce(lambda a, b: a.unionByName(b), logs), batch_id)
-    store.commit(batch_id, load_key, covers)
+    store.commit(batch_id, load_key, covers, next_ids)
     return store.read("run_log", [batch_id])
 
 
@@ -171,13 +172,14 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
     facts = facts_load(part("fact").join(found, "filepath"), stored_facts,
                        store.read("users").unionByName(store.read("users", [batch_id])),
                        store.read("tweet_text").unionByName(store.read("tweet_text", [batch_id])))
-    store.write("tweet_data", number_accepted(facts, "data_id", next_id(stored_facts, "data_id", DATA_SEED), ORDER),
-                batch_id)
+    first = store.next_id("data_id", DATA_SEED)
+    store.write("tweet_data", number_accepted(facts, "data_id", first, ORDER), batch_id)
+    next_ids = {"data_id": first + store.read("tweet_data", [batch_id]).count()}
     refused = bad.select(F.current_timestamp().alias("run_date"), F.lit(INITIAL).alias("load_type"),
                          F.concat(F.lit("FILE REJECTED: "), REASON).alias("comment"), "filepath")
     more = [*_dimension_log(files, store.read("search_dates", [batch_id]), known), refused]
     return _finish(store, {"users": "USERS", "tweet_text": "TEXT", "tweet_data": "TWEET_DATA"}, INITIAL, batch_id, load_key,
-                   files=files, more=more)
+                   files=files, more=more, next_ids=next_ids)
 
 
 def _newly_captured(store: Store, table: str, key: str, fresh: list[int], old: list[int]) -> DataFrame:
@@ -216,9 +218,10 @@ def secondary_load(store: Store, lexicon: DataFrame, load_key: str | None = None
     texts = _newly_captured(store, "tweet_text", "tweet_id", fresh, old)
     shown = vw_tweet_text(texts, keep=["_fact"])
     words = tag_rejects(word_association(shown, lexicon, keep=["_fact"]), {"unknown tweet": ~F.col("_fact")})
+    first = store.next_id("wa_id", WORD_SEED)
     store.write("word_association",
-                number_accepted(words.withColumn("filepath", F.lit("VW_TWEET_TEXT")), "wa_id",
-                                next_id(store.read("word_association"), "wa_id", WORD_SEED)), batch_id)
+                number_accepted(words.withColumn("filepath", F.lit("VW_TWEET_TEXT")), "wa_id", first), batch_id)
+    next_ids = {"wa_id": first + store.read("word_association", [batch_id]).count()}
     store.write("sentiment_category_assignment", sentiment_vote(store.read("word_association", [batch_id])), batch_id)
 
     users = _newly_captured(store, "users", "author_id", fresh, old)
@@ -227,4 +230,4 @@ def secondary_load(store: Store, lexicon: DataFrame, load_key: str | None = None
 
     labels = {"word_association": "WORD_ASSOCIATION", "sentiment_category_assignment": "TWEET_SENT_CAT",
               "author_location": "AUTHOR_LOCATION"}
-    return _finish(store, labels, SECONDARY, batch_id, load_key, covers=fresh)
+    return _finish(store, labels, SECONDARY, batch_id, load_key, covers=fresh, next_ids=next_ids)

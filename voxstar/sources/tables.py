@@ -72,8 +72,13 @@ class Store:
             return literal_frame_of(self.spark, schema)
 
     def commits(self) -> DataFrame:
-        """(load_key, covers, batch_id): one row per finished load and the loads it derived from."""
-        return self._scan("commits", "load_key string, covers array<bigint>, batch_id long")
+        """(load_key, covers, next_ids, batch_id): one row per finished load, the loads it derived from and the ids it left free."""
+        return self._scan("commits", "load_key string, covers array<bigint>, next_ids map<string,bigint>, batch_id long")
+
+    def next_id(self, column: str, seed: int) -> int:
+        """The first free id, from the marks in the commit rows: the tables are not read."""
+        top = self.commits().agg(F.max(F.col("next_ids")[column]).alias("top")).first()["top"]
+        return max(seed, top or seed)
 
     def finished(self) -> list[int]:
         """Numbers of the finished loads: short, and prunes partitions when planning."""
@@ -137,10 +142,13 @@ class Store:
         rows.write.mode("overwrite").partitionBy(by).parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def commit(self, batch_id: int, load_key: str, covers: list[int] | None = None) -> None:
-        """Make a load visible."""
+    def commit(self, batch_id: int, load_key: str, covers: list[int] | None = None,
+               next_ids: dict[str, int] | None = None) -> None:
+        """Make a load visible, with the first ids it left free."""
         derived = F.lit(None) if covers is None else F.array(*[F.lit(b) for b in covers])
-        row = self.spark.range(1).select(F.lit(load_key).alias("load_key"), derived.cast("array<bigint>").alias("covers"))
+        marks = F.create_map(*[F.lit(x) for pair in (next_ids or {}).items() for x in pair])
+        row = self.spark.range(1).select(F.lit(load_key).alias("load_key"), derived.cast("array<bigint>").alias("covers"),
+                                         marks.cast("map<string,bigint>").alias("next_ids"))
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/batch_id={batch_id}")
 
 
