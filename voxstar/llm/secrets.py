@@ -33,11 +33,11 @@ class Entropy:
 
 
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
-#: The base forms.
+#: The base forms. What looks ahead or behind only spares attempts that cannot match.
 FORMS = (
-    Form("assign", "((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", "$2", 12),
+    Form("assign", "(?=[AaPpSsTt])((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", "$2", 12),
     Form("access", "AKIA[A-Z0-9]+", "$0", 18),
-    Form("hex", "[0-9a-f]{16,}", "$0", 16),  # runs of one class: the short ones fail anyway
+    Form("hex", "(?<![0-9a-f])[0-9a-f]{16,}", "$0", 16),  # whole runs of one class: the short ones fail anyway
 )
 CLASSES = (
     Entropy("entropy_hex", "[0-9A-Fa-f]", "0123456789abcdefABCDEF", 20, 3.0),
@@ -78,13 +78,14 @@ def entropy_spans(found: Column, kind: Entropy) -> Column:
     w, size = kind.window, len(kind.characters)
     codes = F.transform(F.filter(F.split(found, ""), lambda c: c != ""), lambda c: F.instr(F.lit(kind.characters), c) - 1)
     span = "array<struct<low:int,high:int>>"
-    start = F.struct(F.array_repeat(F.lit(0), size).alias("counts"), F.lit(0.0).alias("weight"),
+    # the state carries the codes, or every step would derive them anew
+    start = F.struct(codes.alias("codes"), F.array_repeat(F.lit(0), size).alias("counts"), F.lit(0.0).alias("weight"),
                      F.array().cast(span).alias("done"), F.lit(-1).alias("low"), F.lit(-1).alias("high"))
 
     def step(state: Column, i: Column) -> Column:
         """i is the place of the entering character, from 1."""
-        enters = F.element_at(codes, i)
-        leaves = F.when(i > w, F.element_at(codes, F.when(i > w, i - w).otherwise(1))).otherwise(-1)
+        enters = F.element_at(state["codes"], i)
+        leaves = F.when(i > w, F.element_at(state["codes"], F.when(i > w, i - w).otherwise(1))).otherwise(-1)
         up = F.element_at(state["counts"], enters + 1)
         down = F.when(leaves >= 0, F.element_at(state["counts"], F.greatest(leaves + 1, F.lit(1)))).otherwise(0)
         same = enters == leaves
@@ -96,7 +97,7 @@ def entropy_spans(found: Column, kind: Entropy) -> Column:
         apart = hot & (state["low"] >= 0) & (i - w > state["high"])
         done = F.when(apart, F.concat(state["done"], F.array(F.struct(state["low"].alias("low"), state["high"].alias("high"))))) \
             .otherwise(state["done"])
-        return F.struct(counts.alias("counts"), weight.alias("weight"), done.alias("done"),
+        return F.struct(state["codes"].alias("codes"), counts.alias("counts"), weight.alias("weight"), done.alias("done"),
                         F.when(hot & ((state["low"] < 0) | apart), i - w).otherwise(state["low"]).alias("low"),
                         F.when(hot, i).otherwise(state["high"]).alias("high"))
 
@@ -104,7 +105,7 @@ def entropy_spans(found: Column, kind: Entropy) -> Column:
         last = F.array(F.struct(state["low"].alias("low"), state["high"].alias("high")))
         return F.when(state["low"] >= 0, F.concat(state["done"], last)).otherwise(state["done"])
 
-    return F.aggregate(F.sequence(F.lit(1), F.size(codes)), start, step, finish)
+    return F.aggregate(F.sequence(F.lit(1), F.length(found)), start, step, finish)
 
 
 def scan(docs: DataFrame, forms: tuple[Form, ...] = FORMS, classes: tuple[Entropy, ...] = CLASSES,
@@ -117,20 +118,25 @@ def scan(docs: DataFrame, forms: tuple[Form, ...] = FORMS, classes: tuple[Entrop
 
     Only lengths and candidates leave the scan, not texts; places follow from running sums over a text's matches.
     """
-    text = F.translate("text", OPEN + CLOSE + END, "\ufffd" * 3)
-    patterns = [(f.pattern, f.measured) for f in forms] + [(f"{c.alphabet}{{{c.window},}}", "$0") for c in classes]
-    every = F.array(*[F.struct(F.lit(i).alias("kind_no"), _parts(text, p, m).alias("parts")) for i, (p, m) in enumerate(patterns)])
-    rows = (docs.select(F.xxhash64("doc_id", "text").alias("rk"), F.explode(every).alias("x"))
-            .where("x.parts is not null").select("rk", "x.kind_no", F.posexplode("x.parts").alias("i", "part"))
-            .select("rk", "kind_no", "i", "part.*")
-            .repartition("rk", "kind_no").dropDuplicates(["rk", "kind_no", "i"]))
-    before = Window.partitionBy("rk", "kind_no").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("start", F.coalesce(F.sum(F.col("size") + F.col("rest")).over(before), F.lit(0))).where("i > 0")
+    marks, text = OPEN + CLOSE + END, F.col("clean")
+    clean = F.when(F.col("text").rlike(f"[{marks}]"), F.translate("text", marks, "\ufffd" * 3)).otherwise(F.col("text"))
+    patterns = [(f.pattern, f.measured) for f in forms] + [
+        (f"(?<!{c.alphabet}){c.alphabet}{{{c.window},}}", "$0") for c in classes]
+    cleaned = docs.select(F.xxhash64("doc_id", "text").alias("rk"), clean.alias("clean"))
+
+    def placed(numbers: range) -> DataFrame:
+        """The matches of some patterns with their ``start``."""
+        every = F.array(*[F.struct(F.lit(i).alias("kind_no"), _parts(text, *patterns[i]).alias("parts")) for i in numbers])
+        rows = (cleaned.select("rk", F.explode(every).alias("x")).where("x.parts is not null")
+                .select("rk", "x.kind_no", F.posexplode("x.parts").alias("i", "part")).select("rk", "kind_no", "i", "part.*")
+                .repartition("rk", "kind_no").dropDuplicates(["rk", "kind_no", "i"]))
+        before = Window.partitionBy("rk", "kind_no").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn("start", F.coalesce(F.sum(F.col("size") + F.col("rest")).over(before), F.lit(0))).where("i > 0")
 
     least = F.lit(0)
     for i, f in enumerate(forms):
         least = F.when(F.col("kind_no") == i, f.least).otherwise(least)
-    fixed = placed.where((F.col("kind_no") < len(forms)) & (F.col("measured") >= least)) \
+    fixed = placed(range(len(forms))).where(F.col("measured") >= least) \
         .select("rk", "kind_no", F.col("start").alias("low"), (F.col("start") + F.col("size")).alias("high"))
     fine = F.lit(False)
     for pattern in allowed:
@@ -139,7 +145,7 @@ def scan(docs: DataFrame, forms: tuple[Form, ...] = FORMS, classes: tuple[Entrop
     for i, c in enumerate(classes):
         mine = (F.col("kind_no") == len(forms) + i) & ~(F.col("found").rlike(c.skip) if c.skip else F.lit(False))
         spans = F.when(mine, entropy_spans(F.col("found"), c)).otherwise(spans)
-    dense = placed.where((F.col("kind_no") >= len(forms)) & ~fine).select("rk", "kind_no", "start", F.explode(spans).alias("s")) \
+    dense = placed(range(len(forms), len(patterns))).where(~fine).select("rk", "kind_no", "start", F.explode(spans).alias("s")) \
         .select("rk", "kind_no", (F.col("start") + F.col("s.low")).alias("low"), (F.col("start") + F.col("s.high")).alias("high"))
     kinds = F.array(*[F.lit(x.kind) for x in (*forms, *classes)])
     return fixed.unionByName(dense).withColumn("kind", F.element_at(kinds, F.col("kind_no") + 1))
