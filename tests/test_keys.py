@@ -132,7 +132,7 @@ def test_upsert_and_resolve(spark, frame, rows):
     assert rows(keys.upsert_dim(empty, incoming, ["keyword"], "search_id", 2000)[1], "search_id") == [(2000,), (2001,), (2002,)]
     twice = stored.unionByName(frame("search_id bigint, keyword string", [(9, "a")]))
     with pytest.raises(Exception, match="more than one search_id"):
-        keys.resolve_id(incoming, twice, ["keyword"], "search_id").collect()
+        keys.resolve_id(incoming.filter("keyword = 'a'"), twice, ["keyword"], "search_id").collect()
     with pytest.raises(Exception, match="no search_id"):
         keys.resolve_id(incoming, stored, ["keyword"], "search_id").collect()
 

@@ -70,12 +70,12 @@ def enforce_fk(df: DataFrame, parent: DataFrame, column: str, parent_column: str
     """Split rows into (accepted, rejected) by a foreign key, straight against the parent: a semi-join and an anti-join,
     each stopping at a row's first match."""
     keys = parent.select(F.col(parent_column).alias(column))
-    return df.join(keys, column, "left_semi"), df.join(keys, column, "left_anti")
+    return df.join(keys, column, "left_semi").select(df.columns), df.join(keys, column, "left_anti").select(df.columns)
 
 
 def cascade_delete(child: DataFrame, deleted: DataFrame, key: str) -> DataFrame:
     """Child rows that remain after their parents were deleted."""
-    return child.join(deleted.select(key), key, "left_anti")
+    return child.join(deleted.select(key), key, "left_anti").select(child.columns)
 
 
 def assign_ids(df: DataFrame, id_column: str, start: int, order: list[str] | None = None) -> DataFrame:
