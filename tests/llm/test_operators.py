@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from voxstar.llm import langid, lines, mixing, near, packing, quality, repeats, revisit, search, secrets, words
+from voxstar.llm import langid, lines, mixing, near, packing, quality, queries, repeats, revisit, search, secrets, words
 
 BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -97,6 +97,28 @@ def test_line_dedup_matches_brute_force(documents, odd_rows, sentence, rows):
     assert sorted(tuple(r) for r in got) == brute.line_dedup(given)
 
 
+def test_line_dedup_of_every_line(documents, odd_rows, sentence, rows):
+    """Lines of one to five words too: repeats of any length go, four words match a superset of five, three no superset of four."""
+    rng, given = random.Random(8), one_by_one(odd_rows)
+    pool = [" ".join(f"v{k}" for k in rng.sample(range(9), n)) for n in (1, 2, 3, 4, 5, 6) for _ in range(12)]
+    for i in range(30):
+        given.append((300 + i, "\n".join([rng.choice(pool) for _ in range(6)] + ["All rights reserved.", "", " x x x x x x x", "y " * i])))
+    given += [(400, "p q r s t"), (401, "t r q p"), (402, "u w z"), (403, "u w z k"), (404, "z w u\nz  w u u")]
+    got = sorted(tuple(r) for r in rows(lines.dedup_lines(documents(given), least=1).select("doc_id", "text", "n_lines", "n_removed")))
+    assert got == brute.line_dedup(given, least=1)
+    assert [r[3] for r in got if r[0] >= 400] == [0, 1, 0, 0, 2]
+    assert queries.op4_dedup_every_line.__name__ in queries.QUERIES
+
+
+def test_short_lines_meet_their_copies_only(documents):
+    """A common word brings no two sets of up to three words together, and only repeated ones are doubtful."""
+    given = [(i, f"the w{i}\nthe w{i} of") for i in range(50)] + [(60, "w7 the")]
+    frame = documents(given).select("doc_id", F.col("text").cast("binary").alias("text"))
+    heads = lines.prefixes(frame, 1, 80, lines.word_counts(frame))
+    assert heads.count() == 101 and heads.select("token").distinct().count() == 100
+    assert sorted((r["doc_id"], r["line_no"], r["alone"]) for r in lines.doubtful_lines(heads, 80).collect()) == [(7, 0, True), (60, 0, True)]
+
+
 def test_line_dedup_keeps_columns_and_repeated_rows(documents, odd_rows):
     got = lines.dedup_lines(documents(odd_rows), keep=("lang", "source")).collect()
     assert len(got) == len(odd_rows)

@@ -67,6 +67,11 @@ def rare_first(hashes: np.ndarray, group: np.ndarray, counts: np.ndarray) -> tup
     return hashes[order], np.searchsorted(group, np.arange(n_groups))
 
 
+def _alone(n, percent: int):
+    """Whether a set of n words can match equal sets only; its prefix is one word then."""
+    return 100 * n < percent * (n + 1)
+
+
 def _heads(hashes: np.ndarray, begins: np.ndarray, percent: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each group: its size, and which groups and positions its prefix holds (none below ``least``), and their hashes."""
     sizes = np.diff(np.append(begins, len(hashes)))
@@ -93,7 +98,8 @@ def _toggled(hashes: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> list[
 def prefixes(docs: DataFrame, least: int, percent: int, counts: np.ndarray) -> DataFrame:
     """``token``, ``pos``, ``n``, ``s1``, ``b0`` to ``b3``, ``doc_id``, ``line_no``: the rarest words of each line, as many as a match must share one of.
 
-    ``s1`` is a hash of the line's set of words, the same for equal sets.
+    ``s1`` is a hash of the line's set of words, the same for equal sets. A set that can match equal sets only has one row, and its token is a
+    hash of the whole set: short lines meet their copies, not all lines with a common word.
     """
 
     def run(batches):
@@ -108,6 +114,7 @@ def prefixes(docs: DataFrame, least: int, percent: int, counts: np.ndarray) -> D
                 hashes, begins = rare_first(words.hashes(), group, counts)
                 sizes, owner, pos, token = _heads(hashes, begins, percent, least)
                 s1 = np.add.reduceat(W.mix(hashes), begins).view(np.int64)
+                token = np.where(_alone(sizes, percent)[owner], W.mix(s1.view(np.uint64))[owner], token)
                 text = np.searchsorted(starts, number, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token.view(np.int64)), pa.array(pos), pa.array(sizes[owner]), pa.array(s1[owner]),
@@ -139,7 +146,7 @@ def _named(df: DataFrame, side: str) -> DataFrame:
 
 
 def doubtful_lines(heads: DataFrame, percent: int) -> DataFrame:
-    """``s1``, ``doc_id``, ``line_no`` of every line that shares a prefix word with another line and passes all filters with it.
+    """``s1``, ``doc_id``, ``line_no``, ``alone`` of every line that shares a prefix word with another line and passes all filters with it.
 
     A semi-join: it stops at a line's first likely partner and never emits pairs.
     """
@@ -148,7 +155,7 @@ def doubtful_lines(heads: DataFrame, percent: int) -> DataFrame:
     other = ~(F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.line_no") == F.col("y.line_no"))
               & (F.col("x.s1") == F.col("y.s1")))
     return (x.join(y, (F.col("x.token") == F.col("y.token")) & _can_match(percent, "x.", "y.") & other, "left_semi")
-            .select("s1", "doc_id", "line_no").distinct())
+            .select("s1", "doc_id", "line_no", _alone(F.col("n"), percent).alias("alone")).distinct())
 
 
 def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -252,7 +259,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, least: int = 5, keep: tuple[
 
     Lines are cut at \\n; two match when the Jaccard similarity of their sets of words is ``percent`` % or more. A line goes if any
     earlier line matches it, whether or not that one goes itself; earlier means by (doc_id, line number), null doc_ids first. Lines with fewer
-    than ``least`` distinct words are neither removed nor compared. Rows with equal doc_id and text are one document and get one result;
+    than ``least`` distinct words are neither removed nor compared; 1 compares every line with a word. Rows with equal doc_id and text are one document and get one result;
     lines at one place of different texts with one doc_id are no matches of each other. A null text stays null and has 0 lines; an empty
     table gives no rows.
 
@@ -270,7 +277,9 @@ def dedup_lines(docs: DataFrame, percent: int = 80, least: int = 5, keep: tuple[
 
     place = F.struct("doc_id", "line_no")
     leads = checkpointed(doubtful.groupBy("s1").agg(F.min(place).alias("first")))
-    marked = checkpointed(doubtful.join(leads, "s1").select("s1", "doc_id", "line_no", "first", (place == F.col("first")).alias("lead")))
+    # the first line of a set that can match equal sets only stays: nothing to fetch
+    marked = checkpointed(doubtful.join(leads, "s1").withColumn("lead", place == F.col("first")).where("not (alone and lead)")
+                          .select("s1", "doc_id", "line_no", "first", "lead"))
     fetched = checkpointed(_fetched(texts, marked))
     release(spark)
     sets = checkpointed(fetched.where("words is not null").dropDuplicates(["s1"]).select("s1", "words")
