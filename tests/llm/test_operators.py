@@ -239,6 +239,16 @@ def test_secrets(documents, odd_rows, rows):
     assert secrets.scan(documents([(1, "a")]).where("false")).count() == 0
 
 
+def test_placeholders_hide_only_themselves(documents):
+    key, body = "Zx9Qm2Lr8Tv4Wb7Yc1Nd6Pf3Gh5Jk0Zq8Rt2Lm6Xv", "Kq7Zp2Wd9Xc4Vb6Nm1Lr8Tf3Gy5Hj0Us" * 3
+    given = [(1, f"see docs/example/v1/{key} now"), (2, f"x {body}xxxxxx{body} y"), (3, "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"),
+             (4, f"é {key[:20]}placeholder{key[:20]}")]
+    frame = documents(given)
+    got = {r["doc_id"]: [(s["low"], s["high"]) for s in r["spans"] if s["kind"] == "entropy_base64"]
+           for r in secrets.listed(frame, secrets.scan(frame)).collect()}
+    assert got == {1: [(16, 16 + 4 + len(key))], 2: [(2, 2 + len(body)), (8 + len(body), 8 + 2 * len(body))], 3: [], 4: []}
+
+
 def test_entropy_windows(spark):
     """Against the entropy of each window taken afresh."""
     kind = secrets.Entropy("x", "[0-9A-Fa-f]", "0123456789abcdefABCDEF", 20, 3.0)

@@ -108,12 +108,32 @@ def entropy_spans(found: Column, kind: Entropy) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(found)), start, step, finish)
 
 
+def _pieces(found: Column, patterns: list[str], window: int) -> Column:
+    """The candidate without its placeholders, as (at, piece).
+
+    A placeholder takes the letters and digits round it if there are at most ``window`` of them on either side, and else only itself.
+    """
+    some, near = "|".join(f"(?:{p})" for p in patterns), f"[A-Za-z0-9]{{0,{window}}}"
+    marked = F.regexp_replace(found, f"(?<![A-Za-z0-9]){near}(?:{some}){near}(?![A-Za-z0-9])|{some}", f"{OPEN}$0{CLOSE}")
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<at:int,piece:string>>").alias("done"))
+
+    def step(state: Column, part: Column) -> Column:
+        piece = F.substring_index(part, CLOSE, -1)
+        at = state["end"] + F.when(F.contains(part, F.lit(CLOSE)), F.length(F.substring_index(part, CLOSE, 1))).otherwise(0)
+        return F.struct((at + F.length(piece)).alias("end"),
+                        F.concat(state["done"], F.array(F.struct(at.alias("at"), piece.alias("piece")))).alias("done"))
+
+    whole = F.array(F.struct(F.lit(0).alias("at"), found.alias("piece")))
+    return F.when(found.rlike(some), F.aggregate(F.split(marked, OPEN), start, step, lambda s: s["done"])).otherwise(whole) if patterns else whole
+
+
 def scan(docs: DataFrame, forms: tuple[Form, ...] = FORMS, classes: tuple[Entropy, ...] = CLASSES,
          allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
     """``rk``, ``kind_no``, ``kind``, ``low``, ``high``: every span of a secret in every whole text, in code points, end exclusive.
 
     ``rk`` is the 64-bit hash of (doc_id, text). Fixed forms come first in ``kind_no``, character classes after them. A candidate run that an
-    ``allowed`` pattern matches gives no entropy span; spans of fixed forms stay. Rows with equal doc_id and text share one set of spans. Null and
+    ``allowed`` pattern beginning with ^ matches gives no entropy span; other ``allowed`` patterns are placeholders, which windows must not
+    touch, and the rest of the run is searched. Spans of fixed forms stay. Rows with equal doc_id and text share one set of spans. Null and
     empty texts and an empty table give no spans; other columns are not read.
 
     Only lengths and candidates leave the scan, not texts; places follow from running sums over a text's matches.
@@ -140,12 +160,16 @@ def scan(docs: DataFrame, forms: tuple[Form, ...] = FORMS, classes: tuple[Entrop
         .select("rk", "kind_no", F.col("start").alias("low"), (F.col("start") + F.col("size")).alias("high"))
     fine = F.lit(False)
     for pattern in allowed:
-        fine = fine | F.col("found").rlike(pattern)
+        if pattern.startswith("^"):
+            fine = fine | F.col("found").rlike(pattern)
+    rest = _pieces(F.col("found"), [p for p in allowed if not p.startswith("^")], max((c.window for c in classes), default=0))
     spans = F.lit(None).cast("array<struct<low:int,high:int>>")
     for i, c in enumerate(classes):
         mine = (F.col("kind_no") == len(forms) + i) & ~(F.col("found").rlike(c.skip) if c.skip else F.lit(False))
-        spans = F.when(mine, entropy_spans(F.col("found"), c)).otherwise(spans)
-    dense = placed(range(len(forms), len(patterns))).where(~fine).select("rk", "kind_no", "start", F.explode(spans).alias("s")) \
+        spans = F.when(mine & (F.length("piece") >= c.window), entropy_spans(F.col("piece"), c)).otherwise(spans)
+    dense = placed(range(len(forms), len(patterns))).where(~fine).select("rk", "kind_no", "start", "found", F.explode(rest).alias("r")) \
+        .select("rk", "kind_no", "found", (F.col("start") + F.col("r.at")).alias("start"), F.col("r.piece").alias("piece")) \
+        .select("rk", "kind_no", "start", F.explode(spans).alias("s")) \
         .select("rk", "kind_no", (F.col("start") + F.col("s.low")).alias("low"), (F.col("start") + F.col("s.high")).alias("high"))
     kinds = F.array(*[F.lit(x.kind) for x in (*forms, *classes)])
     return fixed.unionByName(dense).withColumn("kind", F.element_at(kinds, F.col("kind_no") + 1))
