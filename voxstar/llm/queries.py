@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxstar.llm import langid, lines, mixing, near, packing, quality, repeats, revisit, search, secrets
+from voxstar.llm import dialogue_queries, langid, lines, mixing, near, packing, quality, repeats, revisit, search, secrets
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -266,4 +266,5 @@ QUERIES = {
     "op8_language_id": (op8_language_id, None),
     "op9_quality_rules": (op9_quality_rules, OP9_SQL),
     "op10_resolve_revisits": (op10_resolve_revisits, OP10_SQL),
+    **dialogue_queries.QUERIES,
 }
