@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="shared tables not
 
 def test_all_are_registered():
     assert {*queries.QUERIES, "pipeline"} <= set(oracle.registry.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(n for n, (_, sql) in queries.QUERIES.items() if sql))
