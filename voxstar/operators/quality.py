@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from voxstar.session import shared_dir
+from voxstar.session import stored
 
 REASON = "reject_reason"
 
@@ -34,11 +34,12 @@ def tag_rejects(df: DataFrame, rules: dict[str, Column], reason: str = REASON) -
 def split_valid(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected rows with their reason); together every input row.
 
-    The tagged rows are checkpointed in the shared folder, so the input is evaluated once for both.
+    The tagged rows are written once in the shared folder, accepted and rejected ones apart, so the input is evaluated once and
+    each half reads its own files only.
     """
-    shared_dir(df.sparkSession)
-    tagged = tag_rejects(df, rules).checkpoint(eager=False)
-    return tagged.filter(F.col(REASON).isNull()).drop(REASON), tagged.filter(F.col(REASON).isNotNull())
+    tagged = tag_rejects(df, rules).withColumn("_accepted", F.col(REASON).isNull())
+    kept = stored(tagged, "gate", by="_accepted")
+    return kept.filter("_accepted").select(*df.columns), kept.filter("NOT _accepted").select(*df.columns, REASON)
 
 
 def load_counts(tagged: DataFrame, by: list[str], reason: str = REASON, nothing: str | None = None) -> DataFrame:

@@ -76,6 +76,14 @@ def default_terms(text):
     return F.array_distinct(tokens(strip_urls(strip_sigils(text))))
 
 
+def _felt(counts: DataFrame, tweets: DataFrame, lexicon: DataFrame, min_support: float) -> DataFrame:
+    """Support, emotions and polarity of terms with their numbers of tweets. Rows whose association is 0 drop out, unknown ones stay."""
+    total = tweets.agg(F.count(F.lit(1))).scalar()  # counted apart: a scan of the text column
+    frequent = counts.select("term", (F.col("freq") / total).alias("support")).filter(F.col("support") >= min_support)
+    felt = frequent.join(lexicon, "term", "left").filter(~F.col("association").eqNullSafe(F.lit(0)))
+    return with_polarity(felt).select("term", "support", "emotion", "association", "sent_id")
+
+
 def text_associations(tweets: DataFrame, lexicon: DataFrame, min_support: float = MIN_SUPPORT,
                       text: str = "tweet_text", term_extractor=default_terms) -> DataFrame:
     """(term, support, emotion, association, sent_id) of lexicon terms frequent across tweets.
@@ -88,7 +96,35 @@ def text_associations(tweets: DataFrame, lexicon: DataFrame, min_support: float
     found = kept.select(F.explode(term_extractor(F.col(text))).alias("term")).filter(F.col("term") != "")
     vocabulary = lexicon.filter(F.col("association") == 1).select("term").distinct()
     counts = dim_join(found, vocabulary, "term").groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
-    total = kept.agg(F.count(F.lit(1))).scalar()  # counted apart: a scan of the text column
-    frequent = counts.select("term", (F.col("freq") / total).alias("support")).filter(F.col("support") >= min_support)
-    felt = frequent.join(lexicon, "term", "left").filter(~F.col("association").eqNullSafe(F.lit(0)))
-    return with_polarity(felt).select("term", "support", "emotion", "association", "sent_id")
+    return _felt(counts, kept, lexicon, min_support)
+
+
+def phrase_matches(tweets: DataFrame, terms: DataFrame, tweet_id: str = "tweet_id", text: str = "tweet_text",
+                   longest: int = 6) -> DataFrame:
+    """(tweet_id, term): the terms, of one word or several, whose words stand next to each other in a tweet, each once.
+
+    The terms make a tree of two levels: the first word, and below it the further words of all terms that begin with it. A tweet's
+    tokens are walked once; each meets at most one row of the tree, however many terms share its word, and is
+    compared with the words that follow it. Rows carry no more than ``longest`` words; a term with more fails the query instead of
+    never matching. Terms overlap freely: "new york" and "york city" both stand in "new york city".
+    """
+    words = F.filter(F.split("term", r"\s+"), lambda w: w != "")
+    entries = terms.select("term").distinct().select("term", words.alias("words")).filter(F.size("words") > 0)
+    entries = entries.select("term", F.when(F.size("words") <= longest, F.col("words")).otherwise(F.raise_error(
+        F.concat(F.lit(f"more than {longest} words: "), "term"))).alias("words"))
+    tree = entries.groupBy(F.col("words")[0].alias("word")).agg(F.collect_list(F.struct(
+        "term", F.slice("words", 2, longest).alias("further"))).alias("below"))
+    rows = tweets.select(F.col(tweet_id).alias("tweet_id"), F.filter(tokens(strip_urls(strip_sigils(F.col(text)))), lambda w: w != "").alias("_tokens"))
+    walked = rows.select("tweet_id", F.explode(F.transform("_tokens", lambda w, i: F.struct(
+        w.alias("word"), F.slice(F.col("_tokens"), i + 2, F.lit(longest - 1)).alias("next")))).alias("_at"))
+    met = dim_join(walked.select("tweet_id", "_at.word", "_at.next"), tree, "word")
+    fitting = F.filter("below", lambda e: F.slice(F.col("next"), F.lit(1), F.size(e["further"])) == e["further"])
+    return met.select("tweet_id", F.explode(F.transform(fitting, lambda e: e["term"])).alias("term")).distinct()
+
+
+def phrase_associations(tweets: DataFrame, lexicon: DataFrame, min_support: float = MIN_SUPPORT, tweet_id: str = "tweet_id",
+                        text: str = "tweet_text", longest: int = 6) -> DataFrame:
+    """``text_associations`` for lexicons whose terms may have several words; ``tweet_id`` tells tweets apart."""
+    kept = drop_media_posts(tweets, text)
+    found = phrase_matches(kept, lexicon.filter(F.col("association") == 1), tweet_id, text, longest)
+    return _felt(found.groupBy("term").agg(F.count(F.lit(1)).alias("freq")), kept, lexicon, min_support)

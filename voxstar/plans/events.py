@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voxstar.operators.joins import dim_join, skew_join
 from voxstar.seeds import EMOTIONS
@@ -33,27 +33,55 @@ def emotions_by_event(emotion_sets: DataFrame, tweet_data: DataFrame, searches:
             .select(*row_id, "tweet_id", *[c for c in emotion_sets.columns if c != "tweet_id"], "keyword", "event_name"))
 
 
-def sentiment_by_category(assignment: DataFrame, sentiment_category: DataFrame, tweet_data: DataFrame,
-                          searches: DataFrame, events: DataFrame, category: DataFrame, cat_name: DataFrame,
-                          by_event: bool = False) -> DataFrame:
-    """Tweet counts per sentiment and news category (and event).
+def _voted_categories(assignment: DataFrame, sentiment_category: DataFrame, tweet_data: DataFrame, searches: DataFrame,
+                      events: DataFrame, category: DataFrame, cat_name: DataFrame) -> DataFrame:
+    """(event_id, event_name, sentiment_category, category_name, captures): captured votes of each event under each of its categories.
 
-    A tweet counts once per capture and category of its event. Captures are
-    summed per (event, sentiment) before the category fan-out, which then runs
-    on a handful of rows.
+    Captures are summed per (event, sentiment) before the category fan-out, which then runs on a handful of rows.
     """
     captured = captured_per_event(tweet_data, searches)
     voted = (captured.join(assignment, "tweet_id").groupBy("event_id", "sent_id")
              .agg(F.sum("captures").alias("captures")))
     bridge = category.select("event_id", F.col("cat_name_id").alias("name_id")).join(cat_name, "name_id")
-    named = (voted.join(sentiment_category, "sent_id").join(events, "event_id")
-             .join(bridge.select("event_id", "name_text"), "event_id"))
-    keys = ["sentiment_category", F.col("name_text").alias("category_name")]
-    if by_event:
-        keys.append("event_name")
+    return (voted.join(sentiment_category, "sent_id").join(events, "event_id")
+            .join(bridge.select("event_id", F.col("name_text").alias("category_name")), "event_id"))
+
+
+def sentiment_by_category(assignment: DataFrame, sentiment_category: DataFrame, tweet_data: DataFrame,
+                          searches: DataFrame, events: DataFrame, category: DataFrame, cat_name: DataFrame,
+                          by_event: bool = False) -> DataFrame:
+    """Tweet counts per sentiment and news category (and event).
+
+    A tweet counts once per capture and category of its event.
+    """
+    named = _voted_categories(assignment, sentiment_category, tweet_data, searches, events, category, cat_name)
+    keys = ["sentiment_category", "category_name", *(["event_name"] if by_event else [])]
     return named.groupBy(*keys).agg(F.sum("captures").alias("tweet_count"))
 
 
+#: What a row of ``sentiment_cube`` sums up, by its grouping id: a bit per column that is summed over.
+CUBE_LEVELS = {0: "category and event", 1: "category", 2: "event", 3: "all"}
+
+
+def sentiment_cube(assignment: DataFrame, sentiment_category: DataFrame, tweet_data: DataFrame, searches: DataFrame,
+                   events: DataFrame, category: DataFrame, cat_name: DataFrame) -> DataFrame:
+    """(level, sentiment_category, category_name, event_name, tweet_count, share): all totals from one pass over the star join.
+
+    The levels are (category and event), category, event and all; a column summed over is null. ``tweet_count`` adds category
+    counts, so a tweet counts once per capture and category of its event on every level. ``share`` is the sentiment's part of its
+    level's cell.
+    """
+    named = _voted_categories(assignment, sentiment_category, tweet_data, searches, events, category, cat_name)
+    sums = named.groupingSets(
+        [["sentiment_category", "category_name", "event_name"], ["sentiment_category", "category_name"],
+         ["sentiment_category", "event_name"], ["sentiment_category"]], "sentiment_category", "category_name", "event_name").agg(
+        F.sum("captures").alias("tweet_count"), F.grouping_id().alias("_level"))
+    names = F.create_map(*[F.lit(x) for pair in CUBE_LEVELS.items() for x in pair])
+    cell = Window.partitionBy("_level", "category_name", "event_name")
+    return sums.select(names[F.col("_level").cast("int")].alias("level"), "sentiment_category", "category_name", "event_name", "tweet_count",
+                       (F.col("tweet_count") / F.sum("tweet_count").over(cell)).alias("share"))
+
+
 def sentiment_totals(counts: DataFrame, by: list[str] | None = None, condition: Column | None = None,
                      part: Column | None = None) -> DataFrame:
     """Category counts summed again: over all events, those that meet ``condition``, or apart by ``part`` in one pass."""

@@ -64,3 +64,24 @@ def per_capita(population: DataFrame, state_users: DataFrame, keep_district: boo
 def geo_hierarchy(us_states: DataFrame, divisions: DataFrame, regions: DataFrame) -> DataFrame:
     """States with their division and region names."""
     return us_states.join(divisions, "div_id").join(regions, "reg_id")
+
+
+def hierarchy_paths(nodes: DataFrame, separator: str = " / ") -> DataFrame:
+    """(id, name, depth, root, path) of every node of a tree given as (id, parent_id, name), however deep it is.
+
+    A node without a parent, or whose parent is not among the nodes, is a root at depth 0; ``path`` joins the names from its root down.
+    Nodes on a cycle, and those that hang on one, are reached from no root: their depth, root and path are null. Each level is one join; the
+    recursion ends with the level that finds nothing, so a cycle cannot keep it going. Trees deeper than
+    ``spark.sql.cteRecursionLevelLimit`` fail with an error that names the setting.
+    """
+    known = nodes.select(F.col("id").alias("parent_id"), F.lit(True).alias("_known"))
+    given = nodes.select("id", "parent_id", "name")
+    marked = given.join(known, "parent_id", "left").select("id", "parent_id", "name", F.col("_known").isNull().alias("is_root"))
+    return nodes.sparkSession.sql("""
+        WITH RECURSIVE reached(id, depth, root, path) AS (
+          SELECT id, 0, id, name FROM {marked} WHERE is_root
+          UNION ALL
+          SELECT n.id, r.depth + 1, r.root, concat(r.path, {separator}, n.name)
+          FROM reached r JOIN {marked} n ON n.parent_id = r.id WHERE NOT n.is_root)
+        SELECT n.id, n.name, r.depth, r.root, r.path FROM {marked} n LEFT JOIN reached r ON r.id = n.id""",
+        marked=marked, separator=separator)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -13,12 +14,14 @@ from voxstar.plans.views import vw_tweet_text
 from voxstar.plans.words import sentiment_vote, word_association
 from voxstar.seeds import CITY_CORRECTIONS, DATA_SEED, SEARCH_DATE_SEED, SEARCH_SEED, WORD_SEED, seed_tables
 from voxstar.sources.payloads import parse_payloads, payload_items, with_search_meta
-from voxstar.sources.tables import Store
+from voxstar.sources.tables import CAPTURE, DERIVATION, SEED, STORED_KEYS, StaleCommit, Store
 
 INITIAL, SECONDARY = "INITIAL", "SECONDARY"
 NO_ROWS = "no rows"  # marks a file that brought a table nothing
 ORDER = ["filepath", "pos"]
-FACT_KEY = ["tweet_id", "author_id", "search_id"]
+FACT_KEY = STORED_KEYS["tweet_data"]
+#: How often a load that another one overtook starts again before it gives up.
+ATTEMPTS = 3
 
 
 def _opens_key(df: DataFrame, stored: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -98,36 +101,63 @@ def _dimension_log(files: DataFrame, created: DataFrame, known: DataFrame) -> li
             log(known, F.format_string("SEARCHES: '%s', '%s', '%s'", "keyword", "search_date_id", "event_id"))]
 
 
-def _finish(store: Store, labels: dict[str, str], load_type: str, batch_id: int, load_key: str,
-            covers: list[int] | None = None, files: DataFrame | None = None, more: list[DataFrame] | None = None,
-            next_ids: dict[str, int] | None = None) -> DataFrame:
-    """Write the audit rows of a load's tables, then commit it.
-
-    Each of ``files`` has a row per table, "0 LOADED, 0 SKIPPED" where it brought none.
-    """
-    logs = list(more or [])
+def _file_log(store: Store, labels: dict[str, str], batch_id: int, files: DataFrame) -> list[DataFrame]:
+    """Audit rows of a load's tables, one per table and file, "0 LOADED, 0 SKIPPED" where a file brought none."""
+    logs = []
     for table, label in labels.items():
         tried = store.attempted(table, batch_id)
-        if files is not None:
-            idle = files.select("filepath").distinct().join(tried.select("filepath").distinct(), "filepath", "left_anti")
-            tried = tried.unionByName(idle.select("filepath", F.lit(NO_ROWS).alias(REASON)))
-        logs.append(audit(tried, load_type, label, nothing=NO_ROWS))
-    store.write("run_log", reduce(lambda a, b: a.unionByName(b), logs), batch_id)
-    store.commit(batch_id, load_key, covers, next_ids)
-    return store.read("run_log", [batch_id])
+        idle = files.select("filepath").distinct().join(tried.select("filepath").distinct(), "filepath", "left_anti")
+        tried = tried.unionByName(idle.select("filepath", F.lit(NO_ROWS).alias(REASON)))
+        logs.append(audit(tried, INITIAL, label, nothing=NO_ROWS))
+    return logs
+
+
+def _counted_log(store: Store, load_type: str, path: str | None, counts: dict[str, tuple[int, int]]) -> list[DataFrame]:
+    """Audit rows of tables derived as a whole, from the counts taken while they were written; nothing for a table without rows."""
+    row = lambda label, loaded, skipped: store.spark.range(1).select(
+        F.current_timestamp().alias("run_date"), F.lit(load_type).alias("load_type"),
+        F.lit(f"{label}: {loaded} LOADED, {skipped} SKIPPED").alias("comment"), F.lit(path).cast("string").alias("filepath"))
+    return [row(label, *n) for label, n in counts.items() if any(n)]
+
+
+def _finish(store: Store, logs: list[DataFrame], batch_id: int, load_key: str, kind: str, **marks) -> DataFrame:
+    """Write a load's audit rows, then commit it."""
+    if logs:
+        store.write("run_log", reduce(lambda a, b: a.unionByName(b), logs), batch_id)
+    store.commit(batch_id, load_key, kind, **marks)
+    return store.read("run_log", batch_id)
+
+
+def loaded_once(store: Store, load_key: str | None, run: Callable[[Store, int, str], DataFrame]) -> DataFrame:
+    """Run a load on a snapshot; start again on a new one when another load was committed meanwhile.
+
+    What a failed or overtaken attempt wrote is removed. A finished ``load_key`` is skipped.
+    """
+    for attempt in range(ATTEMPTS):
+        batch_id = store.new_batch()
+        key = load_key or f"load-{batch_id}"
+        if store.has(key):
+            return store.read("run_log").limit(0)
+        try:
+            return run(store.snapshot(), batch_id, key)
+        except BaseException as failure:
+            if store.commits().filter(F.col("batch_id") == batch_id).isEmpty():
+                store.discard(batch_id)
+            if not isinstance(failure, StaleCommit) or attempt == ATTEMPTS - 1:
+                raise
 
 
 def seed_load(store: Store, world: DataFrame | None = None) -> None:
     """Write the seeded dimensions, and the cities if given, once."""
-    if store.has("seed"):
-        return
-    batch_id = store.new_batch()
-    dims = seed_tables(store.spark)
-    for table, rows in dims.items():
-        store.write(table, rows, batch_id)
-    if world is not None:
-        store.write("cities", cities_load(world, dims["us_states"], store.read("cities")), batch_id)
-    store.commit(batch_id, "seed", covers=[])
+    def run(snapshot: Store, batch_id: int, load_key: str) -> DataFrame:
+        dims = seed_tables(store.spark)
+        for table, rows in dims.items():
+            snapshot.write(table, rows, batch_id)
+        if world is not None:
+            snapshot.write("cities", cities_load(world, dims["us_states"], snapshot.read("cities")), batch_id)
+        return _finish(snapshot, [], batch_id, load_key, SEED)
+
+    loaded_once(store, "seed", run)
 
 
 def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quoting: bool = False) -> DataFrame:
@@ -135,15 +165,13 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
 
     Order: users, texts, search windows, searches, facts, log. The payloads are
     parsed once into user, text, fact and file rows, and later steps read what
-    earlier ones wrote: a lost executor never repeats a finished step. A finished
-    ``load_key`` is skipped.
+    earlier ones wrote: a lost executor never repeats a finished step. Stored keys are looked up in the buckets that the load's
+    own keys fall into. A finished ``load_key`` is skipped, and a load overtaken by another starts again.
     """
-    batch_id = store.new_batch()
-    load_key = load_key or f"load-{batch_id}"
-    if store.has(load_key):
-        return store.read("run_log").limit(0)
-    store = store.snapshot()
+    return loaded_once(store, load_key, lambda snapshot, batch_id, key: _initial(snapshot, raw, batch_id, key, quoting))
+
 
+def _initial(store: Store, raw: DataFrame, batch_id: int, load_key: str, quoting: bool) -> DataFrame:
     items = store.keep("captures", payload_items(with_search_meta(parse_payloads(raw))), batch_id, "kind")
     part = lambda kind: items.filter(F.col("kind") == kind).select("filepath", f"{kind}.*")
     files = part("file")
@@ -152,51 +180,56 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
     bad = tagged.filter(F.col(REASON).isNotNull())
     store.write("payload", bad.select("filepath", F.col("corrupt").alias("payload"), REASON), batch_id)
 
-    store.write("users", users_load(part("user"), store.read("users"), quoting), batch_id)
-    store.write("tweet_text", texts_load(part("text"), store.read("tweet_text"), quoting), batch_id)
+    users, texts, facts = part("user"), part("text"), part("fact")
+    store.write("users", users_load(users, store.known("users", users), quoting), batch_id)
+    store.write("tweet_text", texts_load(texts, store.known("tweet_text", texts), quoting), batch_id)
+    for table in ("users", "tweet_text"):
+        store.write_keys(table, batch_id)
 
     window, search = ["search_start", "search_end"], ["keyword", "search_date_id", "event_id"]
     files = tagged.filter(F.col(REASON).isNull()).select("filepath", *window, "keyword", "event_id").distinct()
     stored_dates, stored_searches = store.read("search_dates"), store.read("searches")
     _, new_dates = upsert_dim(stored_dates, files, window, "search_date_id", SEARCH_DATE_SEED)
     store.write("search_dates", new_dates, batch_id)
-    dates = stored_dates.unionByName(store.read("search_dates", [batch_id]))
+    dates = stored_dates.unionByName(store.read("search_dates", batch_id))
     dated = resolve_id(files, dates, window, "search_date_id")
     _, new_searches = upsert_dim(stored_searches, dated, search, "search_id", SEARCH_SEED)
     store.write("searches", new_searches, batch_id)
-    searches = stored_searches.unionByName(store.read("searches", [batch_id]))
+    searches = stored_searches.unionByName(store.read("searches", batch_id))
     known = resolve_id(dated, searches, search, "search_id")
     found = known.select("filepath", "search_id")
 
-    stored_facts = store.read("tweet_data")
-    facts = facts_load(part("fact").join(found, "filepath"), stored_facts,
-                       store.read("users").unionByName(store.read("users", [batch_id])),
-                       store.read("tweet_text").unionByName(store.read("tweet_text", [batch_id])))
+    found_facts = facts.join(found, "filepath")
+    own = lambda table: store.read(table, batch_id).select(*STORED_KEYS[table])
+    judged = facts_load(found_facts, store.known("tweet_data", found_facts), store.known("users", facts).unionByName(own("users")),
+                        store.known("tweet_text", facts).unionByName(own("tweet_text")))
     first = store.next_id("data_id", DATA_SEED)
-    store.write("tweet_data", number_accepted(facts, "data_id", first, ORDER), batch_id)
-    next_ids = {"data_id": first + store.read("tweet_data", [batch_id]).count()}
+    loaded, _ = store.write("tweet_data", number_accepted(judged, "data_id", first, ORDER), batch_id)
+    store.write_keys("tweet_data", batch_id)
     refused = bad.select(F.current_timestamp().alias("run_date"), F.lit(INITIAL).alias("load_type"),
                          F.concat(F.lit("FILE REJECTED: "), REASON).alias("comment"), "filepath")
-    more = [*_dimension_log(files, store.read("search_dates", [batch_id]), known), refused]
-    return _finish(store, {"users": "USERS", "tweet_text": "TEXT", "tweet_data": "TWEET_DATA"}, INITIAL, batch_id, load_key,
-                   files=files, more=more, next_ids=next_ids)
+    logs = [*_dimension_log(files, store.read("search_dates", batch_id), known), refused,
+            *_file_log(store, {"users": "USERS", "tweet_text": "TEXT", "tweet_data": "TWEET_DATA"}, batch_id, files)]
+    log = _finish(store, logs, batch_id, load_key, CAPTURE, next_ids={"data_id": first + loaded})
+    store.drop("captures", batch_id)
+    return log
 
 
-def _newly_captured(store: Store, table: str, key: str, fresh: list[int], old: list[int]) -> DataFrame:
+def _newly_captured(store: Store, table: str, key: str) -> DataFrame:
     """Rows of a parent table to derive from now, marked ``_fact`` when a fact refers to them.
 
     These are the rows of loads not derived from yet, and older rows whose first
     fact came with those loads. Older partitions are only read when there are any.
     """
-    new_facts = store.read("tweet_data", fresh).select(key)
-    arrived = tag_exists(store.read(table, fresh), new_facts, key, key, "_fact")
-    if not old:
+    new_facts = store.read_captured("tweet_data", derived=False).select(key)
+    arrived = tag_exists(store.read_captured(table, derived=False), new_facts, key, key, "_fact")
+    if not store.derived_to():
         return arrived
     late = (new_facts.distinct().join(arrived.select(key), key, "left_anti")
-            .join(store.read("tweet_data", old).select(key).distinct(), key, "left_anti"))
+            .join(store.read_captured("tweet_data", derived=True).select(key).distinct(), key, "left_anti"))
     if late.isEmpty():
         return arrived
-    waited = store.read(table, old).join(late, key, "left_semi").withColumn("_fact", F.lit(True))
+    waited = store.read_captured(table, derived=True).join(late, key, "left_semi").withColumn("_fact", F.lit(True))
     return arrived.unionByName(waited)
 
 
@@ -207,27 +240,24 @@ def secondary_load(store: Store, lexicon: DataFrame, load_key: str | None = None
     A tweet or author is derived once, with the load that brings its first fact;
     rows without a fact are rejected. Returns the run_log rows of the load.
     """
-    batch_id = store.new_batch()
-    load_key = load_key or f"load-{batch_id}"
-    if store.has(load_key):
-        return store.read("run_log").limit(0)
-    store = store.snapshot()
-    fresh, old = store.pending()
-    states = us_states if us_states is not None else seed_tables(store.spark)["us_states"]
+    return loaded_once(store, load_key, lambda snapshot, batch_id, key: _secondary(snapshot, lexicon, batch_id, key, us_states))
+
 
-    texts = _newly_captured(store, "tweet_text", "tweet_id", fresh, old)
-    shown = vw_tweet_text(texts, keep=["_fact"])
+def _secondary(store: Store, lexicon: DataFrame, batch_id: int, load_key: str, us_states: DataFrame | None) -> DataFrame:
+    states = us_states if us_states is not None else seed_tables(store.spark)["us_states"]
+    source = "VW_TWEET_TEXT"
+    shown = vw_tweet_text(_newly_captured(store, "tweet_text", "tweet_id"), keep=["_fact"])
     words = tag_rejects(word_association(shown, lexicon, keep=["_fact"]), {"unknown tweet": ~F.col("_fact")})
     first = store.next_id("wa_id", WORD_SEED)
-    store.write("word_association",
-                number_accepted(words.withColumn("filepath", F.lit("VW_TWEET_TEXT")), "wa_id", first), batch_id)
-    next_ids = {"wa_id": first + store.read("word_association", [batch_id]).count()}
-    store.write("sentiment_category_assignment", sentiment_vote(store.read("word_association", [batch_id])), batch_id)
+    counts = {"WORD_ASSOCIATION": store.write(
+        "word_association", number_accepted(words.withColumn("filepath", F.lit(source)), "wa_id", first), batch_id)}
+    next_ids = {"wa_id": first + counts["WORD_ASSOCIATION"][0]}
+    derived = {"TWEET_SENT_CAT": store.write(
+        "sentiment_category_assignment", sentiment_vote(store.read("word_association", batch_id)), batch_id)}
 
-    users = _newly_captured(store, "users", "author_id", fresh, old)
+    users = _newly_captured(store, "users", "author_id")
     places = tag_rejects(author_location(users, states, keep=["_fact"]), {"unknown author": ~F.col("_fact")})
-    store.write("author_location", places, batch_id)
+    derived["AUTHOR_LOCATION"] = store.write("author_location", places, batch_id)
 
-    labels = {"word_association": "WORD_ASSOCIATION", "sentiment_category_assignment": "TWEET_SENT_CAT",
-              "author_location": "AUTHOR_LOCATION"}
-    return _finish(store, labels, SECONDARY, batch_id, load_key, covers=fresh, next_ids=next_ids)
+    logs = [*_counted_log(store, SECONDARY, source, counts), *_counted_log(store, SECONDARY, None, derived)]
+    return _finish(store, logs, batch_id, load_key, DERIVATION, covers_to=store.version, next_ids=next_ids)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str, app: str = "voxstar", shuffle_partitions: int | None = None,
@@ -50,3 +50,10 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing is created yet."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """The rows written once as Parquet in the shared folder, apart ``by`` a column if given, and read back."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path, partitionBy=by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from voxstar.functions.text import first_reference
 from voxstar.schemas import payload_schema
 from voxstar.seeds import event_dim
-from voxstar.session import shared_dir
+from voxstar.session import stored
 
 # fixed value: <event>/<keyword>_<start>_<end>.json
 FILE_NAME = r"([^/]+)/([A-Za-z_]+)_([0-9]{4}-[0-9]{2}-[0-9]{2})_([0-9]{4}-[0-9]{2}-[0-9]{2})\.json$"
@@ -42,11 +42,42 @@ def read_payloads(spark: SparkSession, root: str) -> DataFrame:
 
 
 def quarantine(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable payloads, files that do not parse), from one parse kept as a checkpoint in the shared folder."""
-    shared_dir(payloads.sparkSession)
-    payloads = payloads.checkpoint(eager=False)
-    broken = F.col("_corrupt_record").isNotNull()
-    return payloads.filter(~broken).drop("_corrupt_record"), payloads.filter(broken).select("filepath", "_corrupt_record")
+    """(readable payloads, files that do not parse), from one parse kept in the shared folder, readable and broken ones apart."""
+    kept = stored(payloads.withColumn("_broken", F.col("_corrupt_record").isNotNull()), "quarantine", by="_broken")
+    good = kept.filter("NOT _broken").select(*[c for c in payloads.columns if c != "_corrupt_record"])
+    return good, kept.filter("_broken").select("filepath", "_corrupt_record")
+
+
+NOT_JSON, OTHER_SHAPE, PAYLOAD = "not json", "other shape", "payload"
+
+
+def variant_payloads(raw: DataFrame) -> DataFrame:
+    """(filepath, status, payload): files parsed to VARIANT, so fields that no schema declares survive.
+
+    ``status`` tells a file that is no JSON (null payload) from JSON of another shape: a search answer is an object whose ``data`` is an
+    array of objects with an id, or absent next to ``meta`` when nothing was found.
+    """
+    parsed = raw.select("filepath", F.try_parse_json("value").alias("payload"))
+    posts = F.try_variant_get("payload", "$.data", "array<variant>")
+    # a cast of what is no such array gives null
+    shaped = F.forall(posts, lambda p: F.try_variant_get(p, "$.id", "string").isNotNull())
+    empty = F.try_variant_get("payload", "$.data", "variant").isNull() & F.try_variant_get("payload", "$.meta", "map<string,variant>").isNotNull()
+    status = (F.when(F.col("payload").isNull(), NOT_JSON)
+              .when(F.coalesce(shaped, F.lit(False)) | F.coalesce(empty, F.lit(False)), PAYLOAD).otherwise(OTHER_SHAPE))
+    return parsed.select("filepath", status.alias("status"), "payload")
+
+
+def undeclared_fields(payloads: DataFrame) -> DataFrame:
+    """(filepath, pos, tweet_id, field, value): fields of captured posts that the declared schema has no place for, values as JSON.
+
+    ``payloads`` are rows of ``variant_payloads``; files that are no payload give nothing.
+    """
+    declared = payload_schema()["data"].dataType.elementType.names
+    posts = payloads.filter(F.col("status") == PAYLOAD).select(
+        "filepath", F.posexplode(F.variant_get("payload", "$.data", "array<variant>")).alias("pos", "post"))
+    fields = F.map_filter(F.variant_get("post", "$", "map<string,variant>"), lambda k, v: ~k.isin(declared))
+    found = posts.select("filepath", "pos", F.variant_get("post", "$.id", "string").alias("tweet_id"), F.explode(fields).alias("field", "_value"))
+    return found.select("filepath", "pos", "tweet_id", "field", F.to_json("_value").alias("value"))
 
 
 def file_meta(path: Column) -> dict[str, Column]:

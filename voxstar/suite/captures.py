@@ -13,8 +13,9 @@ from voxstar import seeds
 from voxstar.plans.loads import initial_load, secondary_load
 from voxstar.session import fresh_dir
 from voxstar.sources import payloads as p
+from voxstar.sources.files import listed, publish, rename
 from voxstar.sources.tables import Store
-from voxstar.streaming.ingest import ingest_stream
+from voxstar.streaming.ingest import ingest_files, ingest_stream
 from voxstar.suite import standins as s
 
 PAGE = 500
@@ -178,32 +179,56 @@ FROM assoc GROUP BY tweet_id"""
 
 
 def _json_files(spark, sf):
-    """The payloads as JSON files in the shared folder, one each, below a folder per event tag."""
+    """The payloads as capture files ``<event>/<keyword>_<start>_<end>.json`` in the shared folder, next to a file that is none."""
     root = fresh_dir(spark, "capture")
-    tag = F.element_at(F.split("filepath", "/"), -2)
-    _raw(spark, sf).select("value", tag.alias("tag")).write.partitionBy("tag").option("maxRecordsPerFile", 1).text(root)
+    part = lambda i: F.element_at(F.split("filepath", "/"), i)
+    written = _raw(spark, sf).select("value", part(-2).alias("tag"), part(-1).alias("name"))
+    written.repartition("tag", "name").write.partitionBy("tag", "name").text(f"{root}/_written")
+    for path in listed(spark, f"{root}/_written/tag=*/name=*/part-*"):
+        tag, name = (x.split("=", 1)[1] for x in path.split("/")[-3:-1])
+        rename(spark, path, f"{root}/{tag}/{name}")
+    publish(spark, f"{root}/ebola/notes.txt", "not a payload")
     return root
 
 
 def _scan_files(spark, sf):
-    """Scan JSON files with the payload parser; Spark chose their names, so the event tag is read from the folder."""
-    files = spark.read.text(f"{_json_files(spark, sf)}/*", wholetext=True)
-    payloads = p.parse_payloads(files.select(F.col("_metadata.file_path").alias("filepath"), "value"))
-    posts = payloads.select(F.regexp_extract("filepath", "tag=([a-z_]+)/", 1).alias("event_tag"), F.inline("data"))
-    return posts.select("event_tag", F.col("id").alias("tweet_id"), "author_id", F.md5("text").alias("digest"))
+    """Capture files scanned, named and parsed."""
+    payloads = p.with_search_meta(p.read_payloads(spark, _json_files(spark, sf)))
+    posts = payloads.select("event_tag", "keyword", "search_start", "search_end", F.inline("data"))
+    return posts.select("event_tag", "keyword", "search_start", "search_end", F.col("id").alias("tweet_id"), "author_id", F.md5("text").alias("digest"))
 
 
 def _stream_files(spark, sf):
-    """JSON files as a stream into the store; a second checkpoint over them adds nothing."""
+    """Capture files picked up a few at a time; a second checkpoint over them adds nothing."""
     store, root = Store(spark, fresh_dir(spark, "store")), _json_files(spark, sf)
-    named = F.concat(F.lit("/captures/"), F.regexp_extract("filepath", "tag=([a-z_]+)/", 1),
-                     F.lit("/all_2015-01-01_2015-01-02.json"))
-    for _ in range(2):
-        files = spark.readStream.text(f"{root}/*", wholetext=True)
-        raw = files.select(F.col("_metadata.file_path").alias("filepath"), "value").withColumn("filepath", named)
-        ingest_stream(raw, store, fresh_dir(spark, "stream")).awaitTermination()
-    facts = store.read("tweet_data").join(store.read("searches"), "search_id")
-    return facts.select("tweet_id", "author_id", "keyword", "event_id")
+    count = len(listed(spark, f"{root}/*/*.json"))
+    ingest_files(spark, root, store, fresh_dir(spark, "stream"), max_files=-(-count // 3))
+    ingest_files(spark, root, store, fresh_dir(spark, "stream"))
+    facts = store.read("tweet_data").join(store.read("searches"), "search_id").join(store.read("search_dates"), "search_date_id")
+    return facts.select("tweet_id", "author_id", "keyword", "event_id", "search_start")
+
+
+def _variant(spark, sf):
+    """Payloads whose posts carry fields that no schema declares; those of two languages are cut off or of another shape."""
+    docs = s.table(spark, sf, "documents").filter("text IS NOT NULL")
+    post = F.struct(F.col("doc_id").cast("string").alias("id"), "text", F.struct(F.col("lang").alias("code"), F.col("n_chars").alias("size")).alias("geo"),
+                    F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("withheld"))
+    grouped = docs.groupBy("lang", F.floor(F.col("doc_id") / PAGE).alias("page")).agg(F.collect_list(post).alias("data"))
+    whole = F.to_json(F.struct("data"))
+    value = (F.when(F.col("lang") == "de", F.expr("left(x, length(x) - 1)")).when(F.col("lang") == "fr", F.to_json(F.struct(F.lit(1).alias("count"))))
+             .otherwise(F.col("x")))
+    raw = grouped.withColumn("x", whole).select(F.concat_ws("/", "lang", "page").alias("filepath"), value.alias("value"))
+    parsed = p.variant_payloads(raw)
+    fields = p.undeclared_fields(parsed).select("filepath", "tweet_id", "field", "value")
+    bad = parsed.filter(F.col("status") != p.PAYLOAD).select(
+        "filepath", F.lit(None).cast("string").alias("tweet_id"), F.lit("status").alias("field"), F.col("status").alias("value"))
+    return fields.unionByName(bad)
+
+
+_VARIANT_SQL = f"""WITH posts AS (SELECT *, lang || '/' || (doc_id // {PAGE}) AS filepath, doc_id::VARCHAR AS tweet_id FROM documents WHERE text IS NOT NULL)
+SELECT filepath, tweet_id, 'geo' AS field, '{{"code":"' || lang || '","size":' || n_chars || '}}' AS value FROM posts WHERE lang NOT IN ('de', 'fr')
+UNION ALL SELECT filepath, tweet_id, 'withheld', '"' || source || '"' FROM posts WHERE lang NOT IN ('de', 'fr') AND doc_id % 2 = 0
+UNION ALL SELECT DISTINCT filepath, NULL, 'status', CASE lang WHEN 'de' THEN 'not json' ELSE 'other shape' END FROM posts WHERE lang IN ('de', 'fr')"""
 
 
 def _stream(spark, sf):
@@ -235,9 +260,13 @@ QUERIES = {
     "secondary_load_votes": (_load_secondary, _SECONDARY_SQL),
     "secondary_load_places": (_load_places, f"WITH {_POSTS_SQL} SELECT DISTINCT author AS author_id, 43 AS state_id FROM posts"),
     "payload_files": (_scan_files, f"""WITH {_POSTS_SQL}, tags(lang, event_tag) AS (VALUES {', '.join(repr(t) for t in TAGS.items())})
-        SELECT event_tag, CAST(doc_id AS VARCHAR) AS tweet_id, author AS author_id, md5(text) AS digest FROM posts JOIN tags USING (lang)"""),
-    "json_stream_ingest": (_stream_files, f"""WITH {_POSTS_SQL} SELECT CAST(doc_id AS VARCHAR) AS tweet_id, author AS author_id, 'all' AS keyword,
-        event_id FROM posts JOIN events_of USING (lang)"""),
+        SELECT event_tag, translate(source, '0123456789', 'abcdefghij') AS keyword, CAST(DATE '2015-01-01' + CAST(doc_id // {PAGE} AS INTEGER) AS DATE) AS search_start,
+          CAST(DATE '2015-01-02' + CAST(doc_id // {PAGE} AS INTEGER) AS DATE) AS search_end,
+          CAST(doc_id AS VARCHAR) AS tweet_id, author AS author_id, md5(text) AS digest FROM posts JOIN tags USING (lang)"""),
+    "json_stream_ingest": (_stream_files, f"""WITH {_POSTS_SQL} SELECT CAST(doc_id AS VARCHAR) AS tweet_id, author AS author_id,
+        translate(source, '0123456789', 'abcdefghij') AS keyword, event_id, CAST(DATE '2015-01-01' + CAST(doc_id // {PAGE} AS INTEGER) AS DATE) AS search_start
+        FROM posts JOIN events_of USING (lang)"""),
+    "payload_variant": (_variant, _VARIANT_SQL),
     "stream_ingest": (_stream, f"""WITH {_POSTS_SQL} SELECT CAST(doc_id AS VARCHAR) AS tweet_id, md5(text) AS digest,
         CAST(ref AS VARCHAR) AS retweet_id, md5(ref_text) AS rt_digest FROM linked"""),
 }

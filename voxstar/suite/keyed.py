@@ -116,9 +116,12 @@ def _gate(spark, sf):
             .unionByName(bad.select("doc_id", "reject_reason")))
 
 
+def page_rows(events):
+    return events.select("event_type", F.to_date("ts").alias("day"), "event_id", F.floor("value").alias("result_count"))
+
+
 def _pages(spark, sf):
-    return s.table(spark, sf, "events").select(
-        "event_type", F.to_date("ts").alias("day"), "event_id", F.floor("value").alias("result_count"))
+    return page_rows(s.table(spark, sf, "events"))
 
 
 def _cap(spark, sf):
@@ -167,6 +170,28 @@ def _hierarchy(spark, sf):
             .agg(F.count(F.lit(1)).alias("authors")))
 
 
+def _paths(spark, sf):
+    """Regions, nations and suppliers as one tree of ids and parents; nation 7's parent is one of its own suppliers, a cycle."""
+    node = lambda kind, key, parent, name: (F.concat(F.lit(kind), key).alias("id"), parent.alias("parent_id"), F.col(name).alias("name"))
+    under = lambda kind, key: F.concat(F.lit(kind), key)
+    regions = s.table(spark, sf, "region").select(*node("r", "r_regionkey", F.lit(None).cast("string"), "r_name"))
+    up = F.when(F.col("n_nationkey") == 7, F.lit("s1")).otherwise(under("r", "n_regionkey"))
+    nations = s.table(spark, sf, "nation").select(*node("n", "n_nationkey", up, "n_name"))
+    home = F.when(F.col("s_suppkey") == 1, F.lit("n7")).otherwise(under("n", "s_nationkey"))
+    suppliers = s.table(spark, sf, "supplier").select(*node("s", "s_suppkey", home, "s_name"))
+    return geo.hierarchy_paths(regions.unionByName(nations).unionByName(suppliers))
+
+
+_PATHS_SQL = """WITH nodes AS (
+  SELECT 'r' || r_regionkey AS id, NULL AS parent_id, r_name AS name FROM region
+  UNION ALL SELECT 'n' || n_nationkey, CASE WHEN n_nationkey = 7 THEN 's1' ELSE 'r' || n_regionkey END, n_name FROM nation
+  UNION ALL SELECT 's' || s_suppkey, CASE WHEN s_suppkey = 1 THEN 'n7' ELSE 'n' || s_nationkey END, s_name FROM supplier)
+SELECT a.id, a.name, CASE WHEN b.id IS NULL THEN 0 WHEN c.id IS NULL AND b.parent_id IS NULL THEN 1 WHEN c.parent_id IS NULL THEN 2 END AS depth,
+  CASE WHEN b.id IS NULL THEN a.id WHEN b.parent_id IS NULL THEN b.id WHEN c.parent_id IS NULL THEN c.id END AS root,
+  CASE WHEN b.id IS NULL THEN a.name WHEN b.parent_id IS NULL THEN b.name || ' / ' || a.name
+       WHEN c.parent_id IS NULL THEN c.name || ' / ' || b.name || ' / ' || a.name END AS path
+FROM nodes a LEFT JOIN nodes b ON b.id = a.parent_id LEFT JOIN nodes c ON c.id = b.parent_id"""
+
 _TREE_SQL = "tree(state_id, code, division, region) AS (VALUES " + ", ".join(
     repr((i, code, division, dict(seeds.DIVISIONS)[division])) for i, (code, _, division) in enumerate(seeds.US_STATES, 1)) + ")"
 
@@ -237,6 +262,7 @@ QUERIES = {
                         f"WITH {s.USERS_SQL} SELECT state_abbr, count(*) AS users FROM located GROUP BY state_abbr"),
     "geo_hierarchy": (_hierarchy, f"""WITH {s.USERS_SQL}, {_TREE_SQL} SELECT region, division, count(*) AS authors
         FROM located JOIN tree t ON t.code = state_abbr GROUP BY region, division"""),
+    "geo_paths": (_paths, _PATHS_SQL),
     "per_capita": (_per_capita, f"""WITH {s.USERS_SQL}, pops AS (SELECT code AS state, sum(floor(o_totalprice))::BIGINT AS pop
           FROM orders JOIN customer ON c_custkey = o_custkey JOIN states ON state_id = c_nationkey + 1 GROUP BY code),
         per AS (SELECT state_abbr, count(*) AS users FROM located GROUP BY state_abbr)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxstar import seeds
+from voxstar.functions.text import tokens
 from voxstar.operators.paging import top_n
 from voxstar.plans import associations, events, mining, words
 from voxstar.suite import standins as s
@@ -124,6 +125,34 @@ text_assoc AS (SELECT p.term, support, emotion, association,
   FROM supports p JOIN lexicon l ON l.term = p.term WHERE support >= 0.005 AND association <> 0)"""
 
 
+def _phrases(spark, sf):
+    """The stand-in lexicon with the first two and three words of every benchmark passage, and pairs of words within it."""
+    words = tokens(F.col("text"))
+    items = s.table(spark, sf, "benchmark").select(words.alias("w"))
+    runs = F.array(F.slice("w", 1, 2), F.slice("w", 1, 3), F.slice("w", 4, 2))
+    phrases = items.select(F.explode(F.transform(runs, lambda r: F.array_join(r, " "))).alias("term")).distinct()
+    emotion = F.element_at(F.array(*[F.lit(e) for e in s.EMOTIONS]), (F.length("term") % 10 + 1).cast("int"))
+    lexicon = s.lexicon(spark, sf).select("term", "emotion", "association").unionByName(
+        phrases.select("term", emotion.alias("emotion"), F.lit(1).alias("association")))
+    return associations.phrase_associations(s.texts(spark, sf), lexicon, min_support=0.001)
+
+
+_PHRASES_SQL = f"""WITH {s.LEXICON_SQL}, {s.TEXTS_SQL},
+items AS (SELECT list_filter(string_split_regex(text, '\s+'), lambda w: w <> '') AS w FROM benchmark),
+phrases AS (SELECT DISTINCT unnest([array_to_string(w[1:2], ' '), array_to_string(w[1:3], ' '), array_to_string(w[4:5], ' ')]) AS term FROM items),
+terms AS (SELECT term, emotion, association FROM lexicon
+  UNION ALL SELECT term, ({s.EMOTIONS!r})[1 + length(term) % 10], 1 FROM phrases),
+kept AS (SELECT tweet_id, list_filter(string_split_regex(regexp_replace(replace(replace(tweet_text, '@', ''), '#', ''), 'https?://[^\n]*', '', 'g'), '\s+'),
+    lambda w: w <> '') AS t FROM texts WHERE tweet_text NOT LIKE '%Just posted a%'),
+grams AS (SELECT DISTINCT tweet_id, array_to_string(t[i:i + k], ' ') AS term FROM kept, unnest(range(1, len(t) + 1)) a(i), (VALUES (0), (1), (2)) b(k)
+  WHERE i + k <= len(t)),
+supports AS (SELECT term, count(*) * 1.0e0 / (SELECT count(*) FROM kept) AS support FROM grams
+  WHERE term IN (SELECT term FROM terms WHERE association = 1) GROUP BY term)
+SELECT p.term, round(support, 8) AS support, emotion, association,
+  CASE WHEN emotion IN ({", ".join(f"'{e}'" for e in seeds.POSITIVE_EMOTIONS)}) THEN 333 ELSE 666 END AS sent_id
+FROM supports p JOIN terms l ON l.term = p.term WHERE support >= 0.001 AND association <> 0"""
+
+
 def _emoji_assoc(spark, sf):
     return _rounded(associations.emoji_associations(s.texts(spark, sf), s.emoji_names(spark, sf),
                                                     s.emoji_dictionary(spark, sf), s.lexicon(spark, sf)))
@@ -192,6 +221,7 @@ QUERIES = {
     "text_associations": (
         lambda spark, sf: _rounded(_text_assoc(spark, sf)),
         f"WITH {TEXT_ASSOC_SQL} SELECT term, round(support, 8) AS support, emotion, association, sent_id FROM text_assoc"),
+    "phrase_associations": (lambda spark, sf: _rounded(_phrases(spark, sf)), _PHRASES_SQL),
     "top_support": (
         lambda spark, sf: top_n(_rounded(_text_assoc(spark, sf)), 20, F.col("support").desc(), "term", "emotion"),
         f"""WITH {TEXT_ASSOC_SQL} SELECT term, round(support, 8) AS support, emotion, association, sent_id FROM text_assoc

@@ -46,6 +46,21 @@ def _by_category_sql(by_event):
     FROM spread LEFT JOIN events_dim USING (event_id) GROUP BY ALL"""
 
 
+def _cube(spark, sf):
+    star, dims = _star(spark, sf)
+    cube = events.sentiment_cube(_votes(spark, sf), dims["sentiment_category"], **star, category=dims["category"], cat_name=dims["cat_name"])
+    return cube.withColumn("share", F.round("share", 8))
+
+
+_CUBE_SQL = f"""WITH by_event AS ({_by_category_sql(True)}),
+levels AS (
+  SELECT 'category and event' AS level, * FROM by_event
+  UNION ALL BY NAME SELECT 'category' AS level, sentiment_category, category_name, sum(tweet_count)::BIGINT AS tweet_count FROM by_event GROUP BY ALL
+  UNION ALL BY NAME SELECT 'event' AS level, sentiment_category, event_name, sum(tweet_count)::BIGINT AS tweet_count FROM by_event GROUP BY ALL
+  UNION ALL BY NAME SELECT 'all' AS level, sentiment_category, sum(tweet_count)::BIGINT AS tweet_count FROM by_event GROUP BY ALL)
+SELECT *, round(tweet_count / sum(tweet_count) OVER (PARTITION BY level, category_name, event_name), 8) AS share FROM levels"""
+
+
 def _totals(spark, sf):
     part = F.when(F.col("event_name") == "SAME SEX MARRIAGE", "one").otherwise("rest")
     return events.sentiment_totals(_by_category(True)(spark, sf), part=part)
@@ -172,6 +187,7 @@ QUERIES = {
         SELECT tweet_id, coalesce(rt_id, id) AS rt_id, rt_digest FROM t FULL JOIN o ON rt_id = id"""),
     "sentiment_by_category": (_by_category(False), _by_category_sql(False)),
     "sentiment_by_category_event": (_by_category(True), _by_category_sql(True)),
+    "sentiment_cube": (_cube, _CUBE_SQL),
     "sentiment_totals": (
         _totals,
         f"""WITH counts AS ({_by_category_sql(True)})
