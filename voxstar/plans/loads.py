@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from voxstar.operators.keys import correct, fix_rows, number_fixed, resolve_id, tag_exists, tag_first, upsert_dim
-from voxstar.operators.quality import REASON, audit, tag_rejects, unquotable
+from voxstar.operators.quality import REASON, load_counts, tag_rejects, unquotable
 from voxstar.plans.geo import author_location, build_cities
 from voxstar.plans.views import vw_tweet_text
 from voxstar.plans.words import sentiment_vote, word_association
 from voxstar.seeds import CITY_CORRECTIONS, DATA_SEED, SEARCH_DATE_SEED, SEARCH_SEED, WORD_SEED, seed_tables
 from voxstar.sources.payloads import parse_payloads, payload_items, with_search_meta
-from voxstar.sources.tables import CAPTURE, DERIVATION, SEED, STORED_KEYS, StaleCommit, Store
+from voxstar.sources.tables import CAPTURE, DERIVATION, SEED, STORED_KEYS, StaleCommit, Store, key_bucket
 
 INITIAL, SECONDARY = "INITIAL", "SECONDARY"
 NO_ROWS = "no rows"  # marks a file that brought a table nothing
@@ -101,15 +103,23 @@ def _dimension_log(files: DataFrame, created: DataFrame, known: DataFrame) -> li
             log(known, F.format_string("SEARCHES: '%s', '%s', '%s'", "keyword", "search_date_id", "event_id"))]
 
 
-def _file_log(store: Store, labels: dict[str, str], batch_id: int, files: DataFrame) -> list[DataFrame]:
-    """Audit rows of a load's tables, one per table and file, "0 LOADED, 0 SKIPPED" where a file brought none."""
-    logs = []
-    for table, label in labels.items():
-        tried = store.attempted(table, batch_id)
-        idle = files.select("filepath").distinct().join(tried.select("filepath").distinct(), "filepath", "left_anti")
-        tried = tried.unionByName(idle.select("filepath", F.lit(NO_ROWS).alias(REASON)))
-        logs.append(audit(tried, INITIAL, label, nothing=NO_ROWS))
-    return logs
+def _file_log(store: Store, labels: dict[str, str], batch_id: int, files: DataFrame) -> DataFrame:
+    """Audit rows of a load's tables, one per table and file, "0 LOADED, 0 SKIPPED" where a file brought none; one pass over all tables."""
+    tried = reduce(lambda a, b: a.unionByName(b), [
+        store.attempted(table, batch_id).withColumn("label", F.lit(label)) for table, label in labels.items()])
+    named = F.explode(F.array(*[F.lit(label) for label in labels.values()])).alias("label")
+    idle = files.select("filepath", named).withColumn(REASON, F.lit(NO_ROWS))
+    counts = load_counts(tried.unionByName(idle), ["label", "filepath"], nothing=NO_ROWS)
+    return counts.select(F.current_timestamp().alias("run_date"), F.lit(INITIAL).alias("load_type"),
+                         F.format_string("%s: %d LOADED, %d SKIPPED", "label", "loaded", "skipped").alias("comment"), "filepath")
+
+
+def together(*steps: Callable[[], object]) -> list:
+    """Run steps that do not need each other at the same time; each is a Spark job of its own. All end before a failure is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        wait(running)
+        return [r.result() for r in running]
 
 
 def _counted_log(store: Store, load_type: str, path: str | None, counts: dict[str, tuple[int, int]]) -> list[DataFrame]:
@@ -174,43 +184,54 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
 def _initial(store: Store, raw: DataFrame, batch_id: int, load_key: str, quoting: bool) -> DataFrame:
     items = store.keep("captures", payload_items(with_search_meta(parse_payloads(raw))), batch_id, "kind")
     part = lambda kind: items.filter(F.col("kind") == kind).select("filepath", f"{kind}.*")
-    files = part("file")
+    users, texts, facts, files = (part(kind) for kind in ("user", "text", "fact", "file"))
     unnamed = F.col("event_id").isNull() | F.col("search_start").isNull() | F.col("search_end").isNull()
     tagged = tag_rejects(files, {"unreadable": F.col("corrupt").isNotNull(), "file name": unnamed})
     bad = tagged.filter(F.col(REASON).isNotNull())
-    store.write("payload", bad.select("filepath", F.col("corrupt").alias("payload"), REASON), batch_id)
-
-    users, texts, facts = part("user"), part("text"), part("fact")
-    store.write("users", users_load(users, store.known("users", users), quoting), batch_id)
-    store.write("tweet_text", texts_load(texts, store.known("tweet_text", texts), quoting), batch_id)
-    for table in ("users", "tweet_text"):
-        store.write_keys(table, batch_id)
-
-    window, search = ["search_start", "search_end"], ["keyword", "search_date_id", "event_id"]
-    files = tagged.filter(F.col(REASON).isNull()).select("filepath", *window, "keyword", "event_id").distinct()
-    stored_dates, stored_searches = store.read("search_dates"), store.read("searches")
-    _, new_dates = upsert_dim(stored_dates, files, window, "search_date_id", SEARCH_DATE_SEED)
-    store.write("search_dates", new_dates, batch_id)
-    dates = stored_dates.unionByName(store.read("search_dates", batch_id))
-    dated = resolve_id(files, dates, window, "search_date_id")
-    _, new_searches = upsert_dim(stored_searches, dated, search, "search_id", SEARCH_SEED)
-    store.write("searches", new_searches, batch_id)
-    searches = stored_searches.unionByName(store.read("searches", batch_id))
-    known = resolve_id(dated, searches, search, "search_id")
-    found = known.select("filepath", "search_id")
-
-    found_facts = facts.join(found, "filepath")
+    files = tagged.filter(F.col(REASON).isNull()).select("filepath", "search_start", "search_end", "keyword", "event_id").distinct()
+    # the buckets of all keys of the load, in one pass: at most KEY_BUCKETS numbers each
+    buckets = {f"{kind}.{key}": F.collect_set(key_bucket([f"{kind}.{key}"])) for kind, key in (
+        ("user", "author_id"), ("text", "tweet_id"), ("fact", "author_id"), ("fact", "tweet_id"))}
+    touched = dict(zip(buckets, items.agg(*[F.array_sort(found).alias(str(i)) for i, found in enumerate(buckets.values())]).first()))
+
+    def load_users():
+        store.write("users", users_load(users, store.known("users", touched=touched["user.author_id"]), quoting), batch_id)
+        store.write_keys("users", batch_id)
+
+    def load_texts():
+        store.write("tweet_text", texts_load(texts, store.known("tweet_text", touched=touched["text.tweet_id"]), quoting), batch_id)
+        store.write_keys("tweet_text", batch_id)
+
+    def load_searches():
+        window, search = ["search_start", "search_end"], ["keyword", "search_date_id", "event_id"]
+        stored_dates, stored_searches = store.read("search_dates"), store.read("searches")
+        _, new_dates = upsert_dim(stored_dates, files, window, "search_date_id", SEARCH_DATE_SEED)
+        store.write("search_dates", new_dates, batch_id)
+        dates = stored_dates.unionByName(store.read("search_dates", batch_id))
+        dated = resolve_id(files, dates, window, "search_date_id")
+        _, new_searches = upsert_dim(stored_searches, dated, search, "search_id", SEARCH_SEED)
+        store.write("searches", new_searches, batch_id)
+        searches = stored_searches.unionByName(store.read("searches", batch_id))
+        return resolve_id(dated, searches, search, "search_id")
+
+    *_, known = together(load_users, load_texts, lambda: store.write(
+        "payload", bad.select("filepath", F.col("corrupt").alias("payload"), REASON), batch_id), load_searches)
+
+    found = facts.join(known.select("filepath", "search_id"), "filepath")
     own = lambda table: store.read(table, batch_id).select(*STORED_KEYS[table])
-    judged = facts_load(found_facts, store.known("tweet_data", found_facts), store.known("users", facts).unionByName(own("users")),
-                        store.known("tweet_text", facts).unionByName(own("tweet_text")))
+    judged = facts_load(found, store.known("tweet_data", touched=touched["fact.tweet_id"]),
+                        store.known("users", touched=touched["fact.author_id"]).unionByName(own("users")),
+                        store.known("tweet_text", touched=touched["fact.tweet_id"]).unionByName(own("tweet_text")))
     first = store.next_id("data_id", DATA_SEED)
     loaded, _ = store.write("tweet_data", number_accepted(judged, "data_id", first, ORDER), batch_id)
-    store.write_keys("tweet_data", batch_id)
+
     refused = bad.select(F.current_timestamp().alias("run_date"), F.lit(INITIAL).alias("load_type"),
                          F.concat(F.lit("FILE REJECTED: "), REASON).alias("comment"), "filepath")
     logs = [*_dimension_log(files, store.read("search_dates", batch_id), known), refused,
-            *_file_log(store, {"users": "USERS", "tweet_text": "TEXT", "tweet_data": "TWEET_DATA"}, batch_id, files)]
-    log = _finish(store, logs, batch_id, load_key, CAPTURE, next_ids={"data_id": first + loaded})
+            _file_log(store, {"users": "USERS", "tweet_text": "TEXT", "tweet_data": "TWEET_DATA"}, batch_id, files)]
+    together(lambda: store.write_keys("tweet_data", batch_id),
+             lambda: store.write("run_log", reduce(lambda a, b: a.unionByName(b), logs), batch_id))
+    log = _finish(store, [], batch_id, load_key, CAPTURE, next_ids={"data_id": first + loaded})
     store.drop("captures", batch_id)
     return log
 
@@ -245,19 +266,20 @@ def secondary_load(store: Store, lexicon: DataFrame, load_key: str | None = None
 
 def _secondary(store: Store, lexicon: DataFrame, batch_id: int, load_key: str, us_states: DataFrame | None) -> DataFrame:
     states = us_states if us_states is not None else seed_tables(store.spark)["us_states"]
-    source = "VW_TWEET_TEXT"
-    shown = vw_tweet_text(_newly_captured(store, "tweet_text", "tweet_id"), keep=["_fact"])
-    words = tag_rejects(word_association(shown, lexicon, keep=["_fact"]), {"unknown tweet": ~F.col("_fact")})
-    first = store.next_id("wa_id", WORD_SEED)
-    counts = {"WORD_ASSOCIATION": store.write(
-        "word_association", number_accepted(words.withColumn("filepath", F.lit(source)), "wa_id", first), batch_id)}
-    next_ids = {"wa_id": first + counts["WORD_ASSOCIATION"][0]}
-    derived = {"TWEET_SENT_CAT": store.write(
-        "sentiment_category_assignment", sentiment_vote(store.read("word_association", batch_id)), batch_id)}
-
-    users = _newly_captured(store, "users", "author_id")
-    places = tag_rejects(author_location(users, states, keep=["_fact"]), {"unknown author": ~F.col("_fact")})
-    derived["AUTHOR_LOCATION"] = store.write("author_location", places, batch_id)
-
-    logs = [*_counted_log(store, SECONDARY, source, counts), *_counted_log(store, SECONDARY, None, derived)]
-    return _finish(store, logs, batch_id, load_key, DERIVATION, covers_to=store.version, next_ids=next_ids)
+    source, first = "VW_TWEET_TEXT", store.next_id("wa_id", WORD_SEED)
+
+    def load_words():
+        shown = vw_tweet_text(_newly_captured(store, "tweet_text", "tweet_id"), keep=["_fact"])
+        words = tag_rejects(word_association(shown, lexicon, keep=["_fact"]), {"unknown tweet": ~F.col("_fact")})
+        made = store.write("word_association", number_accepted(words.withColumn("filepath", F.lit(source)), "wa_id", first), batch_id)
+        return made, store.write("sentiment_category_assignment", sentiment_vote(store.read("word_association", batch_id)), batch_id)
+
+    def load_places():
+        users = _newly_captured(store, "users", "author_id")
+        places = tag_rejects(author_location(users, states, keep=["_fact"]), {"unknown author": ~F.col("_fact")})
+        return store.write("author_location", places, batch_id)
+
+    (words, votes), places = together(load_words, load_places)
+    logs = [*_counted_log(store, SECONDARY, source, {"WORD_ASSOCIATION": words}),
+            *_counted_log(store, SECONDARY, None, {"TWEET_SENT_CAT": votes, "AUTHOR_LOCATION": places})]
+    return _finish(store, logs, batch_id, load_key, DERIVATION, covers_to=store.version, next_ids={"wa_id": first + words[0]})

@@ -57,10 +57,10 @@ COMMIT_DDL = ("version bigint, kind string, load_key string, batch_id bigint, co
 CAPTURE, DERIVATION, REWRITE, SEED = "capture", "derivation", "rewrite", "seed"
 #: Loads that leave each other's results alone: what one of them committed meanwhile does not make the other stale.
 _APART = ({CAPTURE, DERIVATION},)
-#: Tables whose keys are looked up by every load, and their keys. They lie in so many folders by hash; a look-up reads those its own
-#: keys fall into.
+#: Tables whose keys are looked up by every load, and their keys. They lie in so many folders by a hash of the first key column; a look-up
+#: reads those its own keys fall into.
 STORED_KEYS = {"users": ["author_id"], "tweet_text": ["tweet_id"], "tweet_data": ["tweet_id", "author_id", "search_id"]}
-KEY_BUCKETS = 256
+KEY_BUCKETS = 32
 
 
 class StaleCommit(RuntimeError):
@@ -203,7 +203,7 @@ class Store:
 
     def _note(self, table: str, rows: DataFrame) -> None:
         keys = STORED_KEYS[table]
-        noted = rows.select(*keys, "batch_id", key_bucket(keys).alias("bucket")).repartition("bucket")
+        noted = rows.select(*keys, "batch_id", key_bucket(keys[:1]).alias("bucket")).repartition("bucket")
         self._add(noted, f"{table}_keys", ["bucket", "batch_id"])
 
     def _add(self, rows: DataFrame, table: str, by: list[str], below: list[str] = ()) -> None:
@@ -217,13 +217,13 @@ class Store:
         finally:
             remove(self.spark, apart)
 
-    def known(self, table: str, wanted: DataFrame) -> DataFrame:
-        """The visible stored keys of the buckets that ``wanted`` (with the table's key columns) falls into; other buckets are not opened.
-
-        At most KEY_BUCKETS numbers come to the driver.
+    def known(self, table: str, wanted: DataFrame | None = None, touched: list[int] | None = None) -> DataFrame:
+        """The visible stored keys of the buckets that ``wanted`` (with the first key column) falls into, or of those ``touched``; other
+        buckets are not opened. At most KEY_BUCKETS numbers come to the driver.
         """
         keys, schema = STORED_KEYS[table], table_schema(table)
-        touched = sorted(r[0] for r in wanted.select(key_bucket(keys).alias("bucket")).distinct().collect())
+        if touched is None:
+            touched = sorted(r[0] for r in wanted.select(key_bucket(keys[:1]).alias("bucket")).distinct().collect())
         ddl = ", ".join(f"{k} {schema[k].dataType.simpleString()}" for k in keys)
         rows = self._scan(f"{table}_keys/bucket={{{','.join(map(str, touched or [-1]))}}}", f"{ddl}, bucket int, batch_id long")
         return rows.join(self.visible(table).select("batch_id"), "batch_id", "left_semi").select(*keys)
