@@ -53,19 +53,23 @@ def repeats(rows, width):
     return sorted(out, key=repr)
 
 
-def line_dedup(rows, percent=80, least=5):
-    """(doc_id, kept text, lines, removed); one row per document."""
-    lines = [(doc, k, line, frozenset(words(line))) for doc, t in sorted(rows) if t is not None for k, line in enumerate(t.split("\n"))]
-    gone = set()
-    for j, (doc, k, _, s) in enumerate(lines):
-        if len(s) >= least and any(len(o) >= least and 100 * len(o & s) >= percent * len(o | s) for _, _, _, o in lines[:j]):
-            gone.add((doc, k))
+def line_dedup(rows, percent=80):
+    """(doc_id, kept text, lines, removed) of each row (doc_id, text[, hash of the row]); equal rows are one document."""
+    null_first = lambda doc: (doc is not None, doc or 0)
+    lines = sorted({(null_first(doc), k, *rk, doc, t, line) for doc, t, *rk in rows if t is not None for k, line in enumerate(t.split("\n"))},
+                   key=lambda x: x[:-3])
+    gone, before = set(), []
+    for *_, k, doc, t, line in [(x[1], *x[-3:]) for x in lines]:
+        s = frozenset(words(line))
+        if s and any(100 * len(o & s) >= percent * len(o | s) for o in before):
+            gone.add((doc, t, k))
+        before += [s] if s else []
     out = []
-    for doc, t in rows:
+    for doc, t, *_ in rows:
         split = [] if t is None else t.split("\n")
-        drop = [k for k in range(len(split)) if (doc, k) in gone]
+        drop = [k for k in range(len(split)) if (doc, t, k) in gone]
         out.append((doc, None if t is None else "\n".join(x for k, x in enumerate(split) if k not in drop), len(split), len(drop)))
-    return sorted(out)
+    return sorted(out, key=repr)
 
 
 def secrets(text):

@@ -85,38 +85,73 @@ def test_repeats_of_nothing(documents):
 
 # --- lines
 
-def test_line_dedup_matches_brute_force(documents, odd_rows, sentence, rows):
-    rng, given = random.Random(3), one_by_one(odd_rows)
+def line_result(frame):
+    return sorted((tuple(r) for r in lines.dedup_lines(frame).select("doc_id", "text", "n_lines", "n_removed").collect()), key=repr)
+
+
+def hashed(frame):
+    """(doc_id, text, hash of the row), as the operator orders texts with one doc_id."""
+    return [tuple(r) for r in frame.select("doc_id", "text", F.xxhash64("doc_id", F.col("text").cast("binary"))).collect()]
+
+
+def test_line_dedup_matches_brute_force(documents, odd_rows, sentence):
+    """All odd rows stay in: null ids, one id with several texts, equal rows."""
+    rng, given = random.Random(3), list(odd_rows)
     for i in range(30):
         text = [sentence(20, rng.randrange(8)).split() for _ in range(5)]
         for w in text:
             for _ in range(rng.randrange(5)):
                 w[rng.randrange(len(w))] = f"new{rng.randrange(50)}"
-        given.append((200 + i, "\n".join([" ".join(w) for w in text] + ["short one", ""])))
-    got = rows(lines.dedup_lines(documents(given)).select("doc_id", "text", "n_lines", "n_removed"))
-    assert sorted(tuple(r) for r in got) == brute.line_dedup(given)
+        given.append((rng.choice([200 + i, 250, None]), "\n".join([" ".join(w) for w in text] + ["short one", ""])))
+    frame = documents(given)
+    assert line_result(frame) == brute.line_dedup(hashed(frame))
 
 
-def test_line_dedup_of_every_line(documents, odd_rows, sentence, rows):
-    """Lines of one to five words too: repeats of any length go, four words match a superset of five, three no superset of four."""
-    rng, given = random.Random(8), one_by_one(odd_rows)
+def test_line_dedup_of_short_lines(documents, odd_rows):
+    """Lines of one to five words: repeats of any length go, four words match a superset of five, three no superset of four."""
+    rng, given = random.Random(8), list(odd_rows)
     pool = [" ".join(f"v{k}" for k in rng.sample(range(9), n)) for n in (1, 2, 3, 4, 5, 6) for _ in range(12)]
     for i in range(30):
         given.append((300 + i, "\n".join([rng.choice(pool) for _ in range(6)] + ["All rights reserved.", "", " x x x x x x x", "y " * i])))
     given += [(400, "p q r s t"), (401, "t r q p"), (402, "u w z"), (403, "u w z k"), (404, "z w u\nz  w u u")]
-    got = sorted(tuple(r) for r in rows(lines.dedup_lines(documents(given), least=1).select("doc_id", "text", "n_lines", "n_removed")))
-    assert got == brute.line_dedup(given, least=1)
-    assert [r[3] for r in got if r[0] >= 400] == [0, 1, 0, 0, 2]
-    assert queries.op4_dedup_every_line.__name__ in queries.QUERIES
-
-
-def test_short_lines_meet_their_copies_only(documents):
-    """A common word brings no two sets of up to three words together, and only repeated ones are doubtful."""
-    given = [(i, f"the w{i}\nthe w{i} of") for i in range(50)] + [(60, "w7 the")]
-    frame = documents(given).select("doc_id", F.col("text").cast("binary").alias("text"))
-    heads = lines.prefixes(frame, 1, 80, lines.word_counts(frame))
-    assert heads.count() == 101 and heads.select("token").distinct().count() == 100
-    assert sorted((r["doc_id"], r["line_no"], r["alone"]) for r in lines.doubtful_lines(heads, 80).collect()) == [(7, 0, True), (60, 0, True)]
+    frame = documents(given)
+    got = line_result(frame)
+    assert got == brute.line_dedup(hashed(frame))
+    assert [r[3] for r in got if (r[0] or 0) >= 400] == [0, 1, 0, 0, 2]
+
+
+def test_lines_of_texts_with_null_or_equal_ids(documents, sentence):
+    line = sentence(6, 4)
+    got = line_result(documents([(None, f"{line}\nown a"), (None, f"{line}\nown b"), (None, f"{line}\nown c"), (7, f"x y\n{line}"), (7, f"y x\n{line} ")]))
+    assert sorted(r[3] for r in got) == [0, 1, 1, 1, 2]
+    assert sum((r[1] or "").count(line) for r in got) == 1
+
+
+def test_a_repeated_line_has_one_prefix_row_a_task(documents, sentence):
+    line = sentence(9, 2)
+    frame = documents([(i, f"{line}\nown{i} words{i} here{i} of line{i}") for i in range(60)], 3).select(
+        F.xxhash64("doc_id").alias("rk"), "doc_id", F.col("text").cast("binary").alias("text"))
+    heads = lines.prefixes(frame, 80, lines.word_counts(frame))
+    kinds = heads.groupBy((F.col("n") > 0).alias("prefix")).agg(F.count("*").alias("rows"), F.countDistinct("s1").alias("sets")).collect()
+    assert {r["prefix"]: (r["rows"], r["sets"]) for r in kinds} == {False: (120, 61), True: (3 * 2, 1)}  # words of one line only are left out
+
+
+def test_likely_partners_miss_no_match():
+    rng, sets = np.random.default_rng(5), []
+    for _ in range(300):
+        base = rng.integers(0, 60, rng.integers(4, 40))
+        sets.append(np.unique(np.concatenate([base, rng.integers(0, 60, rng.integers(0, 4))]).astype(np.uint64)))
+    sets += [np.unique(np.append(s[:-1], np.uint64(1000 + i))) for i, s in enumerate(sets)]
+    hashes = [words.mix(s * np.uint64(977)) for s in sets]
+    counts = np.full(1 << lines.COUNTER_BITS, 2, np.uint8)
+    flat, begins = lines.rare_first(np.concatenate(hashes), np.repeat(np.arange(len(sets)), [len(s) for s in sets]), counts)
+    sizes, owner, pos, token = lines._heads(flat, begins, 80)
+    s1 = np.add.reduceat(words.mix(flat), begins).view(np.int64)
+    bits = lines._toggled(flat, begins, np.minimum(sizes, lines.BITS_FROM[1] - 1))
+    found = set(lines.likely(token.view(np.int64), s1[owner], sizes[owner], pos, bits[0][owner], bits[1][owner], 80).tolist())
+    plain = [frozenset(s.tolist()) for s in sets]
+    want = {int(x) for a, x in zip(plain, s1) for b, y in zip(plain, s1) if a != b and 100 * len(a & b) >= 80 * len(a | b)}
+    assert want and want <= found and len(found) < len(set(s1.tolist()))
 
 
 def test_line_dedup_keeps_columns_and_repeated_rows(documents, odd_rows):

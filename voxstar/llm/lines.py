@@ -7,16 +7,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxstar.llm import words as W
-from voxstar.llm.staging import checkpointed, release
+from voxstar.llm.staging import checkpointed, stored
 from voxstar.shipping import ship
 
-#: Counters of the word counts that order tokens by rarity; a constant, whatever the number of words.
-COUNTER_BITS = 18
+#: Counters of the word counts that order tokens by rarity: a byte each for the workers. Frequent words, of which there are some ten
+#: thousands in any corpus, then share a counter with a rare word for one in a hundred.
+COUNTER_BITS = 22
+#: Words counted together, and prefix rows compared together.
+_TOGETHER = 1 << 22
+_ROWS = 1 << 17
 _ONE = np.uint64(1)
 #: Sizes from which a set has 128 and 256 toggled bits; below, 64 tell two sets apart.
 BITS_FROM = (64, 128)
-#: Stands for a null doc_id in joins; a document that has this id is told apart by its line's hash.
-_NO_ID = -(1 << 63)
+_PLACE, _DOUBT = "place", "doubt"
 
 
 def _lines(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -26,27 +29,34 @@ def _lines(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_counts(docs: DataFrame) -> np.ndarray:
-    """How often words occur, by hash counter: each task sends at most one row per counter, the driver gets 2^18."""
+    """How often words occur, by hash counter, as levels: exact up to 16, then eight levels to each doubling. Each task sends at most one row
+    per counter, the driver gets 2^22."""
 
     def run(batches):
-        counts = np.zeros(1 << COUNTER_BITS, np.int64)
+        counts, held, size = np.zeros(1 << COUNTER_BITS, np.int64), [], 0
         for batch in batches:
             for _, part in W.slices(batch.column(0).to_pylist()):
-                place = (W.find(part).hashes() >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
-                counts += np.bincount(place, minlength=len(counts))
+                held.append((W.find(part).hashes() >> np.uint64(64 - COUNTER_BITS)).astype(np.int32))
+                size += len(held[-1])
+                if size > _TOGETHER:
+                    counts += np.bincount(np.concatenate(held), minlength=len(counts))
+                    held, size = [], 0
+        if held:
+            counts += np.bincount(np.concatenate(held), minlength=len(counts))
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["place", "n"])
 
     rows = docs.select("text").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << COUNTER_BITS, np.int64)
-    out[rows.column("place").to_numpy()] = rows.column("n").to_numpy()
+    out, n = np.zeros(1 << COUNTER_BITS, np.uint8), rows.column("n").to_numpy()
+    levels = np.where(n <= 16, n, 16 + 8 * np.log2(np.maximum(n, 16) / 16))
+    out[rows.column("place").to_numpy()] = np.minimum(levels, 255).astype(np.uint8)
     return out
 
 
 def rare_first(hashes: np.ndarray, group: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of each group (numbered from 0, in order), from the rarest, and where each group begins.
 
-    The order is by (count up to 2^24, hash), the same in every group.
+    The order is by (level of the count, hash), the same in every group.
     """
     n_groups = int(group[-1]) + 1 if len(group) else 0
     if n_groups < 1 << 20:  # group and part of the key in one number: one sort each instead of two or three
@@ -58,7 +68,7 @@ def rare_first(hashes: np.ndarray, group: np.ndarray, counts: np.ndarray) -> tup
     fresh = np.ones(len(hashes), np.bool_)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (group[1:] != group[:-1])
     hashes, group = hashes[fresh], group[fresh]
-    seen = np.minimum(counts[(hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)], (1 << 24) - 1).astype(np.uint64)
+    seen = counts[(hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)].astype(np.uint64)
     if n_groups < 1 << 20:
         high = (group.astype(np.uint64) << np.uint64(44)) | (seen << np.uint64(20)) | (hashes >> np.uint64(44))
         order = np.argsort(high, kind="stable")
@@ -68,14 +78,17 @@ def rare_first(hashes: np.ndarray, group: np.ndarray, counts: np.ndarray) -> tup
 
 
 def _alone(n, percent: int):
-    """Whether a set of n words can match equal sets only; its prefix is one word then."""
+    """Whether a set of n words can match equal sets only; it needs no prefix then."""
     return 100 * n < percent * (n + 1)
 
 
-def _heads(hashes: np.ndarray, begins: np.ndarray, percent: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each group: its size, and which groups and positions its prefix holds (none below ``least``), and their hashes."""
+def _heads(hashes: np.ndarray, begins: np.ndarray, percent: int, wanted: np.ndarray | None = None,
+           ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each group: its size, and which groups and positions its prefix holds (none if not ``wanted``), and their hashes."""
     sizes = np.diff(np.append(begins, len(hashes)))
-    long = np.where(sizes >= least, sizes - (percent * sizes + 99) // 100 + 1, 0)
+    long = sizes - (percent * sizes + 99) // 100 + 1
+    if wanted is not None:
+        long = np.where(wanted, long, 0)
     owner = np.repeat(np.arange(len(sizes)), long)
     pos = np.arange(len(owner)) - np.repeat(np.cumsum(long) - long, long)
     return sizes, owner, pos, hashes[begins[owner] + pos]
@@ -95,16 +108,22 @@ def _toggled(hashes: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> list[
         (two[0] ^ two[1], zero, zero, zero), (*two, zero, zero), four, strict=True)]
 
 
-def prefixes(docs: DataFrame, least: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """``token``, ``pos``, ``n``, ``s1``, ``b0`` to ``b3``, ``doc_id``, ``line_no``: the rarest words of each line, as many as a match must share one of.
+_HEADS = "token long, s1 long, n int, pos int, b0 long, b1 long, doc_id long, rk long, line_no int"
 
-    ``s1`` is a hash of the line's set of words, the same for equal sets. A set that can match equal sets only has one row, and its token is a
-    hash of the whole set: short lines meet their copies, not all lines with a common word.
+
+def prefixes(docs: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
+    """Two kinds of rows. A place (``n`` 0, a ``token`` that spreads them evenly) for every line with a word: ``s1``, ``doc_id``, ``rk``, ``line_no``.
+    And for each set, once per task, a row for each of its rarest words, as many as a match must share one of: ``token``, ``pos``, ``n``, ``s1``
+    and bits toggled by its words.
+
+    ``s1`` is a hash of the line's set of words, the same for equal sets. Sets that can match equal sets only have no prefix, and words
+    that occur once in all texts, which no other line shares, are left out.
     """
 
     def run(batches):
+        met: set[int] = set()
         for batch in batches:
-            for first, part in W.slices(batch.column(1).to_pylist()):
+            for first, part in W.slices(batch.column(2).to_pylist()):
                 words = W.find(part)
                 line, starts = _lines(words)
                 if not len(line):
@@ -112,18 +131,100 @@ def prefixes(docs: DataFrame, least: int, percent: int, counts: np.ndarray) -> D
                 fresh = np.concatenate(([True], line[1:] != line[:-1]))
                 number, group = line[fresh], np.cumsum(fresh) - 1
                 hashes, begins = rare_first(words.hashes(), group, counts)
-                sizes, owner, pos, token = _heads(hashes, begins, percent, least)
                 s1 = np.add.reduceat(W.mix(hashes), begins).view(np.int64)
-                token = np.where(_alone(sizes, percent)[owner], W.mix(s1.view(np.uint64))[owner], token)
                 text = np.searchsorted(starts, number, side="right") - 1
+                rows = pa.array(first + text)
+                rk, line_no = batch.column(0).take(rows), (number - starts[text]).astype(np.int32)
+                spread = W.mix(np.asarray(rk).view(np.uint64) + line_no.astype(np.uint64)).view(np.int64)
+                zero, none = np.zeros(len(s1), np.int64), np.zeros(len(s1), np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a) for a in (spread, s1, none, none, zero, zero)] + [batch.column(1).take(rows), rk, pa.array(line_no)],
+                    schema=_head_schema())
+                new = np.zeros(len(s1), np.bool_)
+                new[np.unique(s1, return_index=True)[1]] = True
+                new &= np.fromiter((x not in met for x in s1.tolist()), np.bool_, len(s1))
+                met.update(s1[new].tolist())
+                sizes = np.diff(np.append(begins, len(hashes)))
+                sizes, owner, pos, token = _heads(hashes, begins, percent, new & ~_alone(sizes, percent))
+                shared = counts[(token >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)] > 1
+                owner, pos, token = owner[shared], pos[shared], token[shared]
+                bits = _toggled(hashes, begins, np.minimum(sizes, BITS_FROM[1] - 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(token.view(np.int64)), pa.array(pos), pa.array(sizes[owner]), pa.array(s1[owner]),
-                     *[pa.array(b[owner]) for b in _toggled(hashes, begins, sizes)],
-                     batch.column(0).take(pa.array((first + text)[owner])), pa.array((number - starts[text])[owner])],
-                    names=["token", "pos", "n", "s1", "b0", "b1", "b2", "b3", "doc_id", "line_no"])
+                    [pa.array(a) for a in (token.view(np.int64), s1[owner], sizes[owner].astype(np.int32), pos.astype(np.int32), bits[0][owner], bits[1][owner])]
+                    + [pa.nulls(len(owner), t) for t in (pa.int64(), pa.int64(), pa.int32())], schema=_head_schema())
+
+    return docs.select("rk", "doc_id", "text").mapInArrow(run, _HEADS)
+
+
+def _head_schema() -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in _HEADS.split(", "))])
+
+
+def likely(token: np.ndarray, s1: np.ndarray, n: np.ndarray, pos: np.ndarray, b0: np.ndarray, b1: np.ndarray, percent: int) -> np.ndarray:
+    """``s1`` of the sets that share a token with another set and pass the length, position and bit filters with it.
+
+    The rows of equal sets under one token are one row. Rows of one token are in order of size; each is compared with the next, the
+    one after it and so on, all tokens at once, until sizes are too far apart.
+    """
+    order = np.lexsort((s1, n, token))
+    token, s1, n, pos, b0, b1 = (a[order] for a in (token, s1, n, pos, b0, b1))
+    fresh = np.ones(len(token), np.bool_)
+    fresh[1:] = (token[1:] != token[:-1]) | (s1[1:] != s1[:-1])
+    token, s1, n, pos, b0, b1 = (a[fresh] for a in (token, s1, n, pos, b0, b1))
+    n, pos, b0, b1 = n.astype(np.int64), pos.astype(np.int64), b0.view(np.uint64), b1.view(np.uint64)
+    found, small, step = np.zeros(len(token), np.bool_), np.arange(len(token)), 0
+    while len(small):
+        step += 1
+        small = small[small + step < len(token)]
+        large = small + step
+        near = (token[small] == token[large]) & (100 * n[small] >= percent * n[large])
+        small, large = small[near], large[near]
+        open_ = ~(found[small] & found[large])
+        x, y = small[open_], large[open_]
+        both = n[x] + n[y]
+        overlap = (percent * both + 99 + percent) // (100 + percent)
+        most = both - 2 * overlap
+        ok = np.minimum(n[x] - pos[x], n[y] - pos[y]) >= overlap
+        ok &= np.bitwise_count(b0[x] ^ b1[x] ^ b0[y] ^ b1[y]) <= most
+        ok &= (n[x] < BITS_FROM[0]) | (np.bitwise_count(b0[x] ^ b0[y]).astype(np.int64) + np.bitwise_count(b1[x] ^ b1[y]) <= most)
+        found[x[ok]] = True
+        found[y[ok]] = True
+    return np.unique(s1[found])
+
+
+def compared(heads: DataFrame, percent: int) -> DataFrame:
+    """``kind``, ``s1``, ``doc_id``, ``rk``, ``line_no``: the places, and the sets with a likely partner (``doubt``).
+
+    Rows of a token come together in one task, sorted; a task holds those of one token and the rest of a chunk.
+    """
+    kinds = "kind string, s1 long, doc_id long, rk long, line_no int"
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "token long, pos long, n long, s1 long, b0 long, b1 long, b2 long, b3 long, doc_id long, line_no long")
+    def doubts(columns: list[np.ndarray]):
+        s1 = likely(*columns, percent)
+        return pa.RecordBatch.from_arrays([pa.array([_DOUBT] * len(s1), pa.string()), pa.array(s1)] + [
+            pa.nulls(len(s1), t) for t in (pa.int64(), pa.int64(), pa.int32())], names=["kind", "s1", "doc_id", "rk", "line_no"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            n = np.asarray(batch.column(2))
+            places = batch.filter(pa.array(n == 0))
+            if places.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([_PLACE] * places.num_rows, pa.string()), *[places.column(i) for i in (1, 6, 7, 8)]],
+                                                 names=["kind", "s1", "doc_id", "rk", "line_no"])
+            held.append([np.asarray(batch.column(i))[n > 0] for i in range(6)])
+            size += len(held[-1][0])
+            if size > _ROWS:
+                columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+                end = int(np.searchsorted(columns[0], columns[0][-1]))  # the last token may go on
+                if end:
+                    yield doubts([c[:end] for c in columns])
+                held, size = [[c[end:] for c in columns]], 0
+        if held:
+            yield doubts([np.concatenate(c) for c in zip(*held, strict=True)])
+
+    return heads.repartition("token").sortWithinPartitions("token").mapInArrow(run, kinds)
 
 
 def _can_match(percent: int, x: str = "x_", y: str = "y_") -> Column:
@@ -145,48 +246,28 @@ def _named(df: DataFrame, side: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
 
 
-def doubtful_lines(heads: DataFrame, percent: int) -> DataFrame:
-    """``s1``, ``doc_id``, ``line_no``, ``alone`` of every line that shares a prefix word with another line and passes all filters with it.
-
-    A semi-join: it stops at a line's first likely partner and never emits pairs.
-    """
-    # neither side renames or drops a column, so one shuffle serves both
-    x, y = heads.alias("x"), heads.alias("y")
-    other = ~(F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.line_no") == F.col("y.line_no"))
-              & (F.col("x.s1") == F.col("y.s1")))
-    return (x.join(y, (F.col("x.token") == F.col("y.token")) & _can_match(percent, "x.", "y.") & other, "left_semi")
-            .select("s1", "doc_id", "line_no", _alone(F.col("n"), percent).alias("alone")).distinct())
-
-
 def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Of each wanted (doc_id, line_no, s1, lead): the row it is in, ``rk``, and for a lead its whole set of words as 64-bit hashes."""
-    listed = wanted.groupBy(F.coalesce("doc_id", F.lit(_NO_ID)).alias("dk")).agg(
-        F.collect_list(F.struct("line_no", "s1", "lead")).alias("wanted"))
-    texts = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("dk"), "rk", "text")
+    """``s1`` and its whole set of words, as 64-bit hashes, of each wanted (rk, line_no, s1)."""
+    listed = wanted.groupBy("rk").agg(F.collect_list(F.struct("line_no", "s1")).alias("wanted"))
 
     def run(batches):
         for batch in batches:
-            keys, lists, rows = np.asarray(batch.column(0)), batch.column(2).to_pylist(), []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                split = (text or b"").split(b"\n")
-                mine = [w for w in lists[i] if w["line_no"] < len(split)]
-                words = W.find([split[w["line_no"]] for w in mine])
+            lists, rows = batch.column(1).to_pylist(), []
+            for i, text in enumerate(batch.column(0).to_pylist()):
+                split = text.split(b"\n")
+                words = W.find([split[w["line_no"]] for w in lists[i]])
                 hashes = words.hashes()
-                for k, w in enumerate(mine):
-                    found = np.unique(hashes[words.offsets[k]:words.offsets[k + 1]])
-                    if W.mix(found).sum(dtype=np.uint64).view(np.int64) == w["s1"]:
-                        rows.append((keys[i], w["line_no"], w["s1"], found.tobytes() if w["lead"] else None))
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k == 3 else pa.int64()) for k, c in enumerate(columns)],
-                                             names=["rk", "line_no", "s1", "words"])
+                for k, w in enumerate(lists[i]):
+                    rows.append((w["s1"], np.unique(hashes[words.offsets[k]:words.offsets[k + 1]]).tobytes()))
+            columns = list(zip(*rows, strict=True)) or [()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary())], names=["s1", "words"])
 
-    return (texts.join(listed, "dk").select("rk", "text", "wanted")
-            .mapInArrow(run, "rk long, line_no long, s1 long, words binary"))
+    return docs.select("rk", "text").join(listed, "rk").select("text", "wanted").mapInArrow(run, "s1 long, words binary").dropDuplicates(["s1"])
 
 
 def _set_heads(sets: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
     """Prefix rows of whole sets."""
-    names = ["token", "pos", "n", "s1", "doc_id", "line_no", "b0", "b1", "b2", "b3"]
+    names = ["token", "pos", "n", "s1", "doc_id", "line_no", "rk", "b0", "b1", "b2", "b3"]
 
     def run(batches):
         for batch in batches:
@@ -195,19 +276,24 @@ def _set_heads(sets: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
                 sets_ = [np.frombuffer(b, np.uint64) for b in part.column(1).to_pylist()]
                 group = np.repeat(np.arange(len(sets_)), [len(s) for s in sets_])
                 hashes, begins = rare_first(np.concatenate(sets_), group, counts)
-                sizes, owner, pos, token = _heads(hashes, begins, percent, 0)
+                sizes, owner, pos, token = _heads(hashes, begins, percent)
                 owner_ = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token.view(np.int64)), pa.array(pos), pa.array(sizes[owner]), part.column(0).take(owner_),
-                     part.column(2).take(owner_), part.column(3).take(owner_),
+                     *[part.column(i).take(owner_) for i in (2, 3, 4)],
                      *[pa.array(b[owner]) for b in _toggled(hashes, begins, sizes)]], names=names)
 
-    return sets.select("s1", "words", "doc_id", "line_no").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    whole = sets.select("s1", "words", "doc_id", F.col("line_no").cast("long").alias("line_no"), "rk")
+    return whole.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+#: What comes first: null doc_ids first; the row's hash tells lines at one place of several texts apart.
+_ORDER = ("doc_id", "line_no", "rk")
 
 
 def _earlier(x: str, y: str) -> Column:
     """Whether x comes before y; null ids first."""
-    place = lambda side: F.struct(F.col(side + "_doc_id"), F.col(side + "_line_no"))
+    place = lambda side: F.struct(*[F.col(f"{side}_{c}") for c in _ORDER])
     return place(x) < place(y)
 
 
@@ -238,9 +324,9 @@ def beaten_sets(sets: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
     """
     ratio = 100 / percent
     heads = checkpointed(_set_heads(sets, percent, counts).withColumn("band", F.floor(F.log(ratio, F.col("n")))))
-    first = lambda c: F.min_by(c, F.coalesce("doc_id", F.lit(_NO_ID))).alias("x_" + c)
+    first = lambda c: F.min_by(c, F.struct(*_ORDER)).alias("x_" + c)
     hubs = checkpointed(heads.groupBy("token", "band").agg(
-        F.count(F.lit(1)).alias("members"), *[first(c) for c in ("pos", "n", "s1", "doc_id", "line_no", "b0", "b1", "b2", "b3")])
+        F.count(F.lit(1)).alias("members"), *[first(c) for c in ("pos", "n", "s1", *_ORDER, "b0", "b1", "b2", "b3")])
         .where("members > 1").withColumnsRenamed({"token": "x_token", "band": "x_band"}))
     y = _named(heads, "y")
     near = (y.join(hubs, (F.col("y_token") == F.col("x_token")) & (F.col("y_band") == F.col("x_band")) & (F.col("x_s1") != F.col("y_s1"))
@@ -254,43 +340,38 @@ def beaten_sets(sets: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
     return beaten.union(_verified(rest, sets, percent))
 
 
-def dedup_lines(docs: DataFrame, percent: int = 80, least: int = 5, keep: tuple[str, ...] = ()) -> DataFrame:
+def dedup_lines(docs: DataFrame, percent: int = 80, keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, ``keep``, ``text`` without removed lines, ``n_lines`` and ``n_removed`` of every row.
 
     Lines are cut at \\n; two match when the Jaccard similarity of their sets of words is ``percent`` % or more. A line goes if any
-    earlier line matches it, whether or not that one goes itself; earlier means by (doc_id, line number), null doc_ids first. Lines with fewer
-    than ``least`` distinct words are neither removed nor compared; 1 compares every line with a word. Rows with equal doc_id and text are one document and get one result;
-    lines at one place of different texts with one doc_id are no matches of each other. A null text stays null and has 0 lines; an empty
-    table gives no rows.
-
-    Words are ordered by rarity (a count per hash counter, then the hash), the same order everywhere. A line's prefix
-    is its rarest words, so many that two matching lines share one. A semi-join on prefix words with length, position and bit filters
-    leaves the lines with a likely partner; from here on only those are handled, one row per distinct set, so that a line
-    that a third of all texts hold is compared once. Their whole sets decide.
+    earlier line matches it, whether or not that one goes itself; earlier means by (doc_id, line number), null doc_ids first, and by a
+    hash of the row where several texts have a line there. Every line with a word is compared, lines without one stay. Rows with equal
+    doc_id and text are one document and get one result. A null text stays null and has 0 lines; an empty table gives no rows.
+
+    Words are ordered by rarity (a count per hash counter, then the hash), the same order everywhere. Equal sets of words are one set
+    from the start: a line that a third of all texts hold has one prefix row a task and is compared once. A set's prefix is its
+    rarest words, so many that two matching sets share one. The rows of a prefix word meet in a sort; length, position and bit filters
+    leave the sets with a likely partner. Only of those the words are fetched, and whole sets decide.
     """
     spark = ship(docs.sparkSession)
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"), *[F.col(c).alias("keep_" + c) for c in keep]) \
         .select(F.xxhash64("doc_id", "text").alias("rk"), "*")
     counts = word_counts(texts)
-    doubtful = checkpointed(doubtful_lines(prefixes(texts, least, percent, counts), percent))
-    release(spark)
-
-    place = F.struct("doc_id", "line_no")
-    leads = checkpointed(doubtful.groupBy("s1").agg(F.min(place).alias("first")))
-    # the first line of a set that can match equal sets only stays: nothing to fetch
-    marked = checkpointed(doubtful.join(leads, "s1").withColumn("lead", place == F.col("first")).where("not (alone and lead)")
-                          .select("s1", "doc_id", "line_no", "first", "lead"))
-    fetched = checkpointed(_fetched(texts, marked))
-    release(spark)
-    sets = checkpointed(fetched.where("words is not null").dropDuplicates(["s1"]).select("s1", "words")
-                        .join(leads, "s1").select("s1", "words", "first.doc_id", "first.line_no"))
+    rows = stored(compared(prefixes(texts, percent, counts), percent), "lines", "lz4")
+    place = F.struct(*_ORDER)
+    places = rows.where(F.col("kind") == _PLACE).select("s1", *_ORDER)
+    doubtful = rows.where(F.col("kind") == _DOUBT).select("s1").distinct().withColumn("doubtful", F.lit(True))
+    leads = stored(places.groupBy("s1").agg(F.min(place).alias("first"), F.max(place).alias("last")).join(doubtful, "s1", "left")
+                   .where("doubtful or first <> last").select("s1", "first", "doubtful", (F.col("first") != F.col("last")).alias("repeated")), "leads", "lz4")
+
+    wanted = leads.where("doubtful").select("s1", "first.*")
+    sets = checkpointed(_fetched(texts, wanted).join(wanted, "s1"))
     beaten = checkpointed(beaten_sets(sets, percent, counts).distinct())
-    release(spark)
 
-    # a later line of a set is always gone, its first line only if the set is beaten
-    beaten = beaten.withColumn("beaten", F.lit(True))
-    gone = (fetched.select("rk", "line_no", "s1", F.col("words").isNull().alias("later")).join(beaten, "s1", "left")
-            .where(F.col("later") | F.col("beaten")).groupBy("rk").agg(F.collect_set("line_no").alias("gone")))
+    # a later line of a set always goes, its first line only if the set is beaten
+    later = (places.join(leads.where("repeated").select("s1", "first"), "s1").where(place != F.col("first")).select("rk", "line_no"))
+    firsts = leads.join(beaten, "s1", "left_semi").select("first.rk", "first.line_no")
+    gone = later.union(firsts).groupBy("rk").agg(F.collect_set("line_no").alias("gone"))
     width = len(keep)
 
     def run(batches):

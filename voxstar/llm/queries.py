@@ -51,12 +51,6 @@ def op4_dedup_lines(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-def op4_dedup_every_line(spark: SparkSession, folder: str) -> DataFrame:
-    """As op4_dedup_lines, with lines of fewer than five distinct words compared and removed too."""
-    kept = lines.dedup_lines(table(spark, folder, "documents"), least=1)
-    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
-
-
 def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -150,7 +144,7 @@ OP4_SQL = r"""
 WITH lines AS (
   SELECT doc_id, i AS line_no, l[i] AS line, list_distinct(regexp_extract_all(l[i], '[^\x20\x09-\x0D]+')) AS s
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), unnest(range(1, len(l) + 1)) t(i)),
-long AS (SELECT doc_id, line_no, list_sort(s) AS s FROM lines WHERE len(s) >= 5),
+long AS (SELECT doc_id, line_no, list_sort(s) AS s FROM lines WHERE len(s) >= 1),
 sets AS (SELECT s, len(s) AS n, min(struct_pack(doc_id, line_no)) AS first, row_number() OVER () AS id FROM long GROUP BY s),
 items AS (SELECT id, n, unnest(s) AS x FROM sets),
 often AS (SELECT x, count(*) AS c FROM items GROUP BY x),
@@ -171,8 +165,6 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_lines, coalesce(g, 0)::BIGINT AS n_re
 FROM documents LEFT JOIN counts USING (doc_id) LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-OP4_EVERY_SQL = OP4_SQL.replace("WHERE len(s) >= 5)", "WHERE len(s) >= 1)")
-
 OP6_SQL = r"""
 WITH texts AS (SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 places AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS g FROM texts, unnest(range(1, len(w) - 33)) t(i) WHERE len(w) >= 35),
@@ -259,7 +251,6 @@ QUERIES = {
     "op2_near_duplicates": (op2_near_duplicates, OP2_SQL),
     "op3_pack_sequences": (op3_pack_sequences, None),
     "op4_dedup_lines": (op4_dedup_lines, OP4_SQL),
-    "op4_dedup_every_line": (op4_dedup_every_line, OP4_EVERY_SQL),
     "op5_mix_sources": (op5_mix_sources, OP5_SQL),
     "op6_remove_repeats": (op6_remove_repeats, OP6_SQL),
     "op7_top_k": (op7_top_k, OP7_SQL),
