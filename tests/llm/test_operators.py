@@ -132,7 +132,7 @@ def test_a_repeated_line_has_one_prefix_row_a_task(documents, sentence):
     frame = documents([(i, f"{line}\nown{i} words{i} here{i} of line{i}") for i in range(60)], 3).select(
         F.xxhash64("doc_id").alias("rk"), "doc_id", F.col("text").cast("binary").alias("text"))
     heads = lines.prefixes(frame, 80, lines.word_counts(frame))
-    kinds = heads.groupBy((F.col("n") > 0).alias("prefix")).agg(F.count("*").alias("rows"), F.countDistinct("s1").alias("sets")).collect()
+    kinds = heads.groupBy((F.col("meta") >= 0).alias("prefix")).agg(F.count("*").alias("rows"), F.countDistinct("s1").alias("sets")).collect()
     assert {r["prefix"]: (r["rows"], r["sets"]) for r in kinds} == {False: (120, 61), True: (3 * 2, 1)}  # words of one line only are left out
 
 

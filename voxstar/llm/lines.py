@@ -29,8 +29,11 @@ def _lines(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_counts(docs: DataFrame) -> np.ndarray:
-    """How often words occur, by hash counter, as levels: exact up to 16, then eight levels to each doubling. Each task sends at most one row
-    per counter, the driver gets 2^22."""
+    """How often words occur, by hash counter, as levels of a byte: exact up to 16, then eight levels to each doubling.
+
+    A task sends its counters in blocks, at most 2^22 in all; blocks are added up in tasks of their own and the driver gets a byte a counter.
+    """
+    block = 1 << 12
 
     def run(batches):
         counts, held, size = np.zeros(1 << COUNTER_BITS, np.int64), [], 0
@@ -44,12 +47,27 @@ def word_counts(docs: DataFrame) -> np.ndarray:
         if held:
             counts += np.bincount(np.concatenate(held), minlength=len(counts))
         some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["place", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    out, n = np.zeros(1 << COUNTER_BITS, np.uint8), rows.column("n").to_numpy()
-    levels = np.where(n <= 16, n, 16 + 8 * np.log2(np.maximum(n, 16) / 16))
-    out[rows.column("place").to_numpy()] = np.minimum(levels, 255).astype(np.uint8)
+        edges = np.append(np.flatnonzero(np.diff(some // block, prepend=-1)), len(some))
+        cuts = list(zip(edges[:-1], edges[1:], strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([int(some[i] // block) for i, _ in cuts], pa.int64()),
+             pa.array([(some[i:j] % block).astype(np.uint16).tobytes() for i, j in cuts], pa.binary()),
+             pa.array([counts[some[i:j]].tobytes() for i, j in cuts], pa.binary())], names=["block", "at", "n"])
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for key, at, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                mine = sums.setdefault(key, np.zeros(block, np.int64))
+                mine[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.int64)
+        levels = {k: np.minimum(np.where(n <= 16, n, 16 + 8 * np.log2(np.maximum(n, 16) / 16)), 255).astype(np.uint8) for k, n in sums.items()}
+        yield pa.RecordBatch.from_arrays([pa.array(list(levels), pa.int64()), pa.array([x.tobytes() for x in levels.values()], pa.binary())],
+                                         names=["block", "levels"])
+
+    sent = docs.select("text").mapInArrow(run, "block long, at binary, n binary")
+    out = np.zeros(1 << COUNTER_BITS, np.uint8)
+    for key, levels in sent.repartition("block").mapInArrow(add, "block long, levels binary").collect():
+        out[key * block:(key + 1) * block] = np.frombuffer(levels, np.uint8)
     return out
 
 
@@ -108,12 +126,14 @@ def _toggled(hashes: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> list[
         (two[0] ^ two[1], zero, zero, zero), (*two, zero, zero), four, strict=True)]
 
 
-_HEADS = "token long, s1 long, n int, pos int, b0 long, b1 long, doc_id long, rk long, line_no int"
+#: A prefix row has size and position in ``meta`` and its bits in ``b0`` and ``b1``; a place has a negative ``meta`` that holds its line number
+#: and whether there is a doc_id, the row's hash in ``b0`` and the doc_id in ``b1``.
+_HEADS = "token long, s1 long, meta long, b0 long, b1 long"
 
 
 def prefixes(docs: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
-    """Two kinds of rows. A place (``n`` 0, a ``token`` that spreads them evenly) for every line with a word: ``s1``, ``doc_id``, ``rk``, ``line_no``.
-    And for each set, once per task, a row for each of its rarest words, as many as a match must share one of: ``token``, ``pos``, ``n``, ``s1``
+    """Two kinds of rows. A place for every line with a word, with a ``token`` that spreads them evenly: ``s1``, doc_id, ``rk`` and line number.
+    And for each set, once per task, a row for each of its rarest words, as many as a match must share one of: ``token``, position, size, ``s1``
     and bits toggled by its words.
 
     ``s1`` is a hash of the line's set of words, the same for equal sets. Sets that can match equal sets only have no prefix, and words
@@ -121,7 +141,7 @@ def prefixes(docs: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
     """
 
     def run(batches):
-        met: set[int] = set()
+        met, names = set(), [f.split()[0] for f in _HEADS.split(", ")]
         for batch in batches:
             for first, part in W.slices(batch.column(2).to_pylist()):
                 words = W.find(part)
@@ -134,12 +154,10 @@ def prefixes(docs: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
                 s1 = np.add.reduceat(W.mix(hashes), begins).view(np.int64)
                 text = np.searchsorted(starts, number, side="right") - 1
                 rows = pa.array(first + text)
-                rk, line_no = batch.column(0).take(rows), (number - starts[text]).astype(np.int32)
-                spread = W.mix(np.asarray(rk).view(np.uint64) + line_no.astype(np.uint64)).view(np.int64)
-                zero, none = np.zeros(len(s1), np.int64), np.zeros(len(s1), np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a) for a in (spread, s1, none, none, zero, zero)] + [batch.column(1).take(rows), rk, pa.array(line_no)],
-                    schema=_head_schema())
+                rk, doc_id, line_no = np.asarray(batch.column(0).take(rows)), batch.column(1).take(rows), number - starts[text]
+                spread = W.mix(rk.view(np.uint64) + line_no.astype(np.uint64)).view(np.int64)
+                meta = -1 - (2 * line_no + np.asarray(doc_id.is_valid()))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (spread, s1, meta, rk, np.asarray(doc_id.fill_null(0)))], names=names)
                 new = np.zeros(len(s1), np.bool_)
                 new[np.unique(s1, return_index=True)[1]] = True
                 new &= np.fromiter((x not in met for x in s1.tolist()), np.bool_, len(s1))
@@ -149,18 +167,12 @@ def prefixes(docs: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
                 shared = counts[(token >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)] > 1
                 owner, pos, token = owner[shared], pos[shared], token[shared]
                 bits = _toggled(hashes, begins, np.minimum(sizes, BITS_FROM[1] - 1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a) for a in (token.view(np.int64), s1[owner], sizes[owner].astype(np.int32), pos.astype(np.int32), bits[0][owner], bits[1][owner])]
-                    + [pa.nulls(len(owner), t) for t in (pa.int64(), pa.int64(), pa.int32())], schema=_head_schema())
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (
+                    token.view(np.int64), s1[owner], (sizes[owner] << 32) | pos, bits[0][owner], bits[1][owner])], names=names)
 
     return docs.select("rk", "doc_id", "text").mapInArrow(run, _HEADS)
 
 
-def _head_schema() -> pa.Schema:
-    kinds = {"long": pa.int64(), "int": pa.int32()}
-    return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in _HEADS.split(", "))])
-
-
 def likely(token: np.ndarray, s1: np.ndarray, n: np.ndarray, pos: np.ndarray, b0: np.ndarray, b1: np.ndarray, percent: int) -> np.ndarray:
     """``s1`` of the sets that share a token with another set and pass the length, position and bit filters with it.
 
@@ -208,12 +220,15 @@ def compared(heads: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            n = np.asarray(batch.column(2))
-            places = batch.filter(pa.array(n == 0))
-            if places.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array([_PLACE] * places.num_rows, pa.string()), *[places.column(i) for i in (1, 6, 7, 8)]],
-                                                 names=["kind", "s1", "doc_id", "rk", "line_no"])
-            held.append([np.asarray(batch.column(i))[n > 0] for i in range(6)])
+            meta = np.asarray(batch.column(2))
+            if (meta < 0).any():
+                s1, at, rk, doc_id = (np.asarray(batch.column(i))[meta < 0] for i in (1, 2, 3, 4))
+                at = -1 - at
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_PLACE] * len(s1), pa.string()), pa.array(s1), pa.array(doc_id, mask=at & 1 == 0), pa.array(rk),
+                     pa.array((at >> 1).astype(np.int32))], names=["kind", "s1", "doc_id", "rk", "line_no"])
+            token, s1, meta, b0, b1 = (np.asarray(batch.column(i))[meta >= 0] for i in range(5))
+            held.append([token, s1, meta >> 32, meta & 0xFFFFFFFF, b0, b1])
             size += len(held[-1][0])
             if size > _ROWS:
                 columns = [np.concatenate(c) for c in zip(*held, strict=True)]
