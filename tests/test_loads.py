@@ -66,7 +66,7 @@ def test_reload_adds_nothing(spark, capture, store):
 
 def test_unfinished_load_is_invisible(spark, capture, store, monkeypatch):
     raw = scan_payloads(spark, str(capture))
-    monkeypatch.setattr(Store, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    monkeypatch.setattr(Store, "commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
         initial_load(store, raw, "one")
     monkeypatch.undo()

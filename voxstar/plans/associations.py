@@ -110,8 +110,8 @@ def phrase_matches(tweets: DataFrame, terms: DataFrame, tweet_id: str = "tweet_i
     """
     words = F.filter(F.split("term", r"\s+"), lambda w: w != "")
     entries = terms.select("term").distinct().select("term", words.alias("words")).filter(F.size("words") > 0)
-    entries = entries.select("term", F.when(F.size("words") <= longest, F.col("words")).otherwise(F.raise_error(
-        F.concat(F.lit(f"more than {longest} words: "), "term"))).alias("words"))
+    entries = entries.select("term", F.when(F.size("words") > longest, F.raise_error(
+        F.concat(F.lit(f"more than {longest} words: "), "term"))).otherwise(F.col("words")).alias("words"))
     tree = entries.groupBy(F.col("words")[0].alias("word")).agg(F.collect_list(F.struct(
         "term", F.slice("words", 2, longest).alias("further"))).alias("below"))
     rows = tweets.select(F.col(tweet_id).alias("tweet_id"), F.filter(tokens(strip_urls(strip_sigils(F.col(text)))), lambda w: w != "").alias("_tokens"))
