@@ -138,11 +138,11 @@ def _phrases(spark, sf):
 
 
 _PHRASES_SQL = f"""WITH {s.LEXICON_SQL}, {s.TEXTS_SQL},
-items AS (SELECT list_filter(string_split_regex(text, '\s+'), lambda w: w <> '') AS w FROM benchmark),
+items AS (SELECT list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '') AS w FROM benchmark),
 phrases AS (SELECT DISTINCT unnest([array_to_string(w[1:2], ' '), array_to_string(w[1:3], ' '), array_to_string(w[4:5], ' ')]) AS term FROM items),
 terms AS (SELECT term, emotion, association FROM lexicon
   UNION ALL SELECT term, ({s.EMOTIONS!r})[1 + length(term) % 10], 1 FROM phrases),
-kept AS (SELECT tweet_id, list_filter(string_split_regex(regexp_replace(replace(replace(tweet_text, '@', ''), '#', ''), 'https?://[^\n]*', '', 'g'), '\s+'),
+kept AS (SELECT tweet_id, list_filter(string_split_regex(regexp_replace(replace(replace(tweet_text, '@', ''), '#', ''), 'https?://[^\n]*', '', 'g'), '\\s+'),
     lambda w: w <> '') AS t FROM texts WHERE tweet_text NOT LIKE '%Just posted a%'),
 grams AS (SELECT DISTINCT tweet_id, array_to_string(t[i:i + k], ' ') AS term FROM kept, unnest(range(1, len(t) + 1)) a(i), (VALUES (0), (1), (2)) b(k)
   WHERE i + k <= len(t)),
