@@ -20,23 +20,30 @@ def shingle_set(text, width):
 
 
 def near(rows, width=5, percent=80):
-    """(doc_id, size, component, kept) sorted; ids are distinct and not null."""
-    sets = {i: shingle_set(t, width) for i, t in rows}
-    up = {i: i for i in sets}
+    """(rk, doc_id, size, component, kept, head) of each row (doc_id, text, rk), sorted; a row is known by its rk, equal rows are one."""
+    order = lambda r: (r[0] is None, r[0] or 0, r[2])
+    nodes = sorted({(doc, text, rk) for doc, text, rk in rows}, key=order)
+    sets = [shingle_set(t, width) for _, t, _ in nodes]
+    up = list(range(len(nodes)))
 
     def top(i):
         while up[i] != i:
             i = up[i]
         return i
 
-    for a in sets:
-        for b in sets:
-            if a < b and sets[a] and sets[b]:
+    for b in range(len(nodes)):
+        for a in range(b):
+            if sets[a] and sets[b]:
                 c = len(sets[a] & sets[b])
                 if 100 * c >= percent * (len(sets[a]) + len(sets[b]) - c):
                     x, y = top(a), top(b)
                     up[max(x, y)] = min(x, y)
-    return sorted((i, len(s), top(i), top(i) == i) for i, s in sets.items())
+    found = {}
+    for i, (doc, _, rk) in enumerate(nodes):
+        first = nodes[top(i)]
+        kept = rk == first[2] if first[0] is None else doc == first[0]
+        found[rk] = (rk, doc, len(sets[i]), first[0], kept, first[2])
+    return sorted((found[rk] for _, _, rk in rows), key=repr)
 
 
 def repeats(rows, width):
@@ -107,5 +114,15 @@ def check_pieces(pieces, ids_of, window=4096):
     return sizes
 
 
+def top_k(rows, is_query, k):
+    """(query_id, rank, vec_id, score) of each query row against every other row of (vec_id, integer vector)."""
+    out = []
+    for i, (q, a) in enumerate(rows):
+        if is_query(q):
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), c) for j, (c, b) in enumerate(rows) if j != i and len(a) == len(b))
+            out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scores[:k])]
+    return sorted(out)
+
+
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()

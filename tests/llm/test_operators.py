@@ -37,19 +37,25 @@ def test_word_hashes_follow_words():
 
 # --- near duplicates
 
-def test_near_matches_brute_force(documents, odd_rows, sentence, rows):
-    more = [(100 + i, noisy(sentence, i, i % 40)) for i in range(60)] + [(300, sentence(9, 1).upper()), (301, sentence(9, 1))]
-    given = one_by_one(odd_rows + more)
-    got = rows(near.near_duplicates(documents(given)).drop("rk"))
-    assert [tuple(r) for r in sorted(got)] == brute.near(given)
+def near_result(frame, **how):
+    return sorted((tuple(r) for r in near.near_duplicates(frame, **how).select("rk", "doc_id", "n_shingles", "component_id", "kept", "head").collect()), key=repr)
+
+
+def test_near_matches_brute_force(documents, odd_rows, sentence):
+    """All odd rows stay in: null ids, one id with several texts, equal rows."""
+    rng = random.Random(6)
+    given = odd_rows + [(100 + i, noisy(sentence, i, i % 40)) for i in range(60)] + [(300, sentence(9, 1).upper()), (301, sentence(9, 1))]
+    given += [(rng.choice([None, 5, 400, 401]), noisy(sentence, 500 + i, i % 12)) for i in range(30)]
+    frame = documents(given)
+    assert near_result(frame) == brute.near(hashed(frame))
 
 
 def test_near_finds_chains_through_members(documents, sentence):
     """c is like b and b like a, but c is not like a: one component, though all may share a bucket's hub."""
     base = [f"w{i}" for i in range(200)]
     given = [(i, " ".join(base[4 * i:4 * i + 160])) for i in range(10)]
-    assert {c for _, _, c, _ in brute.near(given)} == {0}
-    assert {r["component_id"] for r in near.near_duplicates(documents(given)).collect()} == {0}
+    frame = documents(given)
+    assert {r[3] for r in near_result(frame)} == {0} and near_result(frame) == brute.near(hashed(frame))
 
 
 def test_near_odd_rows(documents, odd_rows):
@@ -60,6 +66,15 @@ def test_near_odd_rows(documents, odd_rows):
     assert near.near_duplicates(documents([(1, "a")]).where("false")).count() == 0
 
 
+def test_near_of_null_and_repeated_ids(documents):
+    """Two texts without ids are one group, of which one is kept; a text follows the second text of a repeated id."""
+    words_ = lambda p, n, *new: " ".join([*new, *[f"{p}{i}" for i in range(n)]])
+    got = near_result(documents([(None, words_("a", 90)), (None, words_("a", 90, "new")), (5, words_("b", 90)), (5, words_("c", 90)),
+                                 (9, words_("c", 90, "new")), (4, words_("b", 90, "new")), (None, words_("c", 90, "other"))]))
+    assert [r[4] for r in got if r[3] is None] in ([True, False], [False, True])
+    assert sorted((r[1] or 0, r[3], r[4]) for r in got if r[3]) == [(0, 5, False), (4, 4, True), (5, 4, False), (5, 5, True), (9, 5, False)]
+
+
 def test_signature_is_circulant():
     items = np.array([3, 2 ** 63, 99], np.uint64)
     place = (words.mix(items) >> np.uint64(44)).astype(int)
@@ -236,6 +251,19 @@ def test_mixing(documents, odd_rows):
     assert mixing.mix(documents([(1, None), (2, "")]), mixing.words_in("text")).agg(F.sum("copies")).first()[0] == 0
 
 
+@pytest.mark.parametrize("ids", [lambda i: None, lambda i: 7, lambda i: i])
+def test_mixing_draws_row_by_row(documents, ids):
+    """Rows without an id, or with one id, meet their sources' targets as others do; equal rows draw alike."""
+    given = [(ids(i), f"text number {i} of many", "en", "ab"[i % 3 == 0]) for i in range(900)]
+    frame = documents(given)
+    got = mixing.mix(frame, mixing.words_in("text")).groupBy("source").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target")).collect()
+    assert len(got) == 2 and all(abs(r["taken"] - r["target"]) < 0.1 * r["target"] for r in got)
+    again = mixing.mix(documents(given, 7), mixing.words_in("text"), keep=("text",))
+    first = mixing.mix(frame, mixing.words_in("text"), keep=("text",))
+    assert first.select("text", "copies").exceptAll(again.select("text", "copies")).isEmpty()
+
+
 # --- quality
 
 def test_quality(documents, odd_rows, sentence):
@@ -310,12 +338,7 @@ def test_search_matches_brute_force(spark):
     frame = spark.createDataFrame([(i, v, "clash") for i, v in vectors + odd], "vec_id long, embedding array<float>, rank string")
     got = search.top_k(frame, F.col("vec_id") % 50 == 0).collect()
     used = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in vectors + odd[-4:]]
-    want = []
-    for q, a in used:
-        if q % 50 == 0:
-            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in used if i != q and len(a) == len(b))
-            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])]
-    assert sorted(tuple(r) for r in got) == sorted(want)
+    assert sorted(tuple(r) for r in got) == brute.top_k(used, lambda q: q % 50 == 0, 5)
     assert search.top_k(frame.where("false"), F.lit(True)).count() == 0
 
 
@@ -324,9 +347,24 @@ def test_threshold_search_stops_early_and_keeps_ties():
     vectors[:, 0] = np.repeat(np.arange(50), 100)[::-1]
     ids = np.random.default_rng(2).permutation(5000)
     lists = np.argsort(-vectors, axis=0, kind="stable").T
-    hit = search.threshold_search(vectors, ids, lists, np.array([2.0, 0, 0]), -1, 5)
-    assert hit == [(int(i), 98) for i in sorted(ids[:100])[:5]]
-    assert len(search.threshold_search(vectors, ids, lists, np.array([-1.0, 0, 0]), -1, 5)) == 5
+    none = np.zeros(5000, np.bool_)
+    hit = search.threshold_search(vectors, ids, lists, np.array([2.0, 0, 0]), none, 5)
+    assert [(int(ids[at]), score) for at, score in hit] == [(int(i), 98) for i in sorted(ids[:100])[:5]]
+    assert len(search.threshold_search(vectors, ids, lists, np.array([-1.0, 0, 0]), none, 5)) == 5
+    assert search.threshold_search(vectors, ids, lists, np.array([2.0, 0, 0]), ~none, 5) == []
+
+
+def test_search_of_repeated_rows(spark):
+    """Each row of a repeated vec_id asks and answers; equal rows are rows of their own."""
+    rng = np.random.default_rng(9)
+    rows_ = [(int(i), [float(x) for x in rng.integers(-6, 6, 4)]) for i in rng.integers(0, 120, 300)]
+    rows_ += [(50, [5.0, 5.0, 5.0, 5.0])] * 4 + [(50, [1.0, -5.0, 2.0, 0.0]), (77, [5.0, 5.0, 5.0, 5.0]), (51, [-0.0, 0.0, 1.0, 2.0]), (51, [0.0, -0.0, 1.0, 2.0])]
+    frame = spark.createDataFrame(rows_, "vec_id long, embedding array<double>")
+    got = search.top_k(frame, F.col("vec_id") % 50 == 0, k=5).collect()
+    used = [(i, [int(256 * x) for x in v]) for i, v in rows_]
+    assert sorted(tuple(r) for r in got) == brute.top_k(used, lambda q: q % 50 == 0, 5)
+    one = spark.createDataFrame([(50, [1.0])], "vec_id long, embedding array<double>")
+    assert search.top_k(one, F.col("vec_id") % 50 == 0).count() == 0
 
 
 # --- language
@@ -350,6 +388,33 @@ def test_language(documents, odd_rows, spark):
     assert langid.identify(frame.where("false"), model).count() == 0
 
 
+def test_scorer_is_a_plain_convolution():
+    """The looked-up form against filters slid over byte vectors, maxima over all places, softmax."""
+    rng = np.random.default_rng(12)
+    labels = np.arange(60) % 3
+    texts = [bytes(rng.choice(list((b"abc de", b"xyz wv", "é ñüö".encode())[k]), rng.integers(1, 700)).astype(np.uint8)) for k in labels]
+    windows = [langid.cut(t) for t in texts]
+    model = langid.train(np.stack([w[0] for w in windows]), labels, ("aa", "bb", "cc"))
+    flat = np.concatenate([*windows, rng.integers(0, 256, (20, langid.WINDOW)).astype(windows[0].dtype)])
+    vectors = model.bytes_[flat]
+    pooled = []
+    for width, block in zip(langid.WIDTHS, model.filters, strict=True):
+        slid = np.stack([vectors[:, i:i + width].reshape(len(flat), -1) @ block for i in range(langid.WINDOW - width + 1)], axis=1)
+        pooled.append(slid.max(axis=1))
+    score = np.maximum(np.concatenate(pooled, axis=1) + model.bias, 0) @ model.out + model.out_bias
+    want = np.exp(score - score.max(axis=1, keepdims=True))
+    want /= want.sum(axis=1, keepdims=True)
+    scorer = langid.Scorer(model)
+    assert np.allclose(scorer.probabilities(flat), want, atol=1e-5)
+    at = 0
+    for text, rows_, (lang, p) in zip(texts, windows, scorer.classify(texts), strict=True):
+        weight = np.array([min(langid.WINDOW, len(text) - langid.WINDOW * i) for i in range(len(rows_))])
+        mean = (want[at:at + len(rows_)] * weight[:, None]).sum(axis=0) / weight.sum()
+        at += len(rows_)
+        if lang != "und":
+            assert lang == model.languages[mean.argmax()] and abs(p - mean.max()) < 1e-5
+
+
 # --- revisits
 
 def records(spark, rows_):

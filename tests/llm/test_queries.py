@@ -71,7 +71,7 @@ def test_pipeline_stages(spark):
             want = {d: t for d, t, _, gone in brute.line_dedup([r[:2] for r in before]) if not gone or brute.words(t)}
             assert {r[0]: r[1] for r in after} == want and all(r[4] == len(r[1]) for r in after)
         elif name == "near_dedup":
-            keep = {d for d, _, _, kept in brute.near([r[:2] for r in before]) if kept}
+            keep = {d for rk, d, _, _, _, head in brute.near([(*r[:2], r[0]) for r in before]) if rk == head}
             assert sorted(after) == sorted(r for r in before if r[0] in keep)
         else:
             assert set(after) <= set(before) and max(after.count(r) for r in set(after)) <= 2

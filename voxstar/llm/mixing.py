@@ -41,9 +41,10 @@ def targets(sources: DataFrame, weights: tuple[float, ...], share: float, most:
             .select("source", "source_size", "target"))
 
 
-def uniform(key: str, seed: str) -> Column:
-    """A number in [0, 1) that only depends on the key and the seed."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+def uniform(key: str, text: str, seed: str) -> Column:
+    """A number in [0, 1) that only depends on the row's key, its text and the seed."""
+    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(":"),
+                            F.coalesce(F.col(text), F.lit(""))))
     return F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("long") / F.lit(float(16 ** _DIGITS))
 
 
@@ -52,20 +53,19 @@ def mix(docs: DataFrame, size: Column, weights: tuple[float, ...] = (3, 1, 2), s
     """``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and the columns of ``keep``.
 
     A source's rate is its target over its size. Each document is taken floor(rate) times, and once more when its uniform number,
-    a hash of doc_id and seed, is below the fraction: independent draws with that probability, the same on every run.
-    Rows with one doc_id draw alike. Null is a source of its own, the last; a source without words has target 0. An empty
-    table gives no rows; other columns are not read.
+    a hash of seed, doc_id and whole text, is below the fraction: independent draws with that probability, the same on every run.
+    Rows without a doc_id, or with one that repeats, draw by their own texts; rows equal in both draw alike. Null is a source of its own,
+    the last; a source without words has target 0. An empty table gives no rows; other columns are not read.
 
     Sizes are summed per source before the shuffle; the rows of one hot source are then spread over all partitions, since the source table
     returns by a join that adaptive execution broadcasts or splits.
     """
-    sized = docs.select("doc_id", "source", size.alias("size"), *keep)
+    sized = docs.select("doc_id", "source", size.alias("size"), uniform("doc_id", "text", seed).alias("_draw"), *keep)
     if not keep:  # counts only: cheaper to keep than to take twice from the texts
         sized = checkpointed(sized)
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = stored(targets(sources, weights, share, most).withColumnRenamed("source", "_source"), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(rate)
-    extra = (uniform("doc_id", seed) < rate - whole).cast("long")
-    return (sized.join(goal, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-            .withColumn("copies", whole + extra))
+    extra = (F.col("_draw") < rate - whole).cast("long")
+    return (sized.join(goal, F.col("source").eqNullSafe(F.col("_source"))).withColumn("copies", whole + extra).drop("_source", "_draw"))

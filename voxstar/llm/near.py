@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voxstar.llm import words as W
 from voxstar.llm.graph import components
-from voxstar.llm.staging import checkpointed, release
+from voxstar.llm.staging import checkpointed
 from voxstar.shipping import ship
 
 #: Signature length; places of the second permutation.
@@ -89,9 +89,9 @@ def _comparable(a: Column, b: Column, percent: int) -> Column:
 
 
 def texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """The text of each needed ``doc_id``; the greatest if an id has several."""
-    return checkpointed(docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-                        .join(needed, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")))
+    """The text of each needed ``rk``, once."""
+    return checkpointed(docs.select(F.xxhash64("doc_id", "text").alias("rk"), F.col("text").cast("binary").alias("text"))
+                        .join(needed, "rk", "left_semi").dropDuplicates(["rk"]))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -99,8 +99,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
     Each pair meets its two texts in two joins, whose hot keys (a hub of thousands of copies) adaptive execution splits.
     """
-    left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
-    right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
+    left = texts.select(F.col("rk").alias("u"), F.col("text").alias("text_u"))
+    right = texts.select(F.col("rk").alias("v"), F.col("text").alias("text_v"))
     # the text that many pairs share comes last, so that it is hashed once for a run of pairs
     both = pairs.join(right, "v").join(left, "u").select("u", "v", "text_u", "text_v")
 
@@ -131,7 +131,7 @@ def _shingle_rows(texts: DataFrame, width: int) -> DataFrame:
                     [pa.array(np.repeat(ids[first:first + len(part)], [len(x) for x in sets])),
                      pa.array(np.concatenate(sets).view(np.int64))], names=["id", "shingle"])
 
-    return texts.select("doc_id", "text").mapInArrow(run, "id long, shingle long")
+    return texts.select("rk", "text").mapInArrow(run, "id long, shingle long")
 
 
 def sharing(texts: DataFrame, placed: DataFrame, width: int, percent: int) -> DataFrame:
@@ -157,14 +157,15 @@ def sharing(texts: DataFrame, placed: DataFrame, width: int, percent: int) -> Da
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``rk``, ``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` (doc_id = component_id) of every row.
+    """``rk``, ``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``head`` of every row.
 
-    Documents are linked when their whole sets of ``width``-word shingles have a Jaccard similarity of ``percent`` % or
-    more; a component is named by its smallest doc_id. A text without words (null, empty) has an empty set
-    and is alone. Rows with one doc_id are one document. A null doc_id joins the class of its equal texts, leads none and
-    is kept only where its class has no id. ``rk``, the hash of doc_id and text, names equal rows. An empty table gives no rows; other columns are not read.
+    Rows are linked when their whole sets of ``width``-word shingles have a Jaccard similarity of ``percent`` % or
+    more. ``rk``, the hash of doc_id and text, names a row, so rows of one doc_id with different texts are linked each by its own, and
+    a null doc_id is linked like any other; equal rows share their ``rk``. A component is named by its smallest doc_id, null if no row in it
+    has one. Its ``head`` is the rk of the row with the smallest (doc_id, nulls last; rk). ``kept`` is doc_id = component_id, and in a component
+    without ids rk = head. A text without words (null, empty) has an empty set and is alone. An empty table gives no rows; other columns are not read.
 
-    1. Rows are signed where they lie. Equal sets collapse into one class, led by its least doc_id, so that exact
+    1. Rows are signed where they lie. Equal sets collapse into one class, led by its first row, so that exact
        copies cost one row each however many there are.
     2. Each band's bucket links its members to its least member: one candidate per member, never all pairs. Confirmed
        links form components, which swallow a group of near copies whole.
@@ -175,21 +176,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     ship(docs.sparkSession)
     rows = checkpointed(signed(docs, width))
     sets = rows.where("n_shingles > 0")
-    classes = checkpointed(sets.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("lead")))
-    leads = (sets.join(classes.where("lead is not null"), ["s1", "s2", "n_shingles"]).where("doc_id = lead")
-             .dropDuplicates(["lead", "s1"]).select("lead", "n_shingles", "bands", "bits"))
-    leads = checkpointed(leads)
-
-    member = leads.select(F.explode("bands").alias("key"), F.col("lead").alias("id"), F.col("n_shingles").alias("n"))
-    hubs = checkpointed(member.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n")).alias("hub"))
-                        .where("members > 1").select("key", "hub"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rk")
+    classes = checkpointed(sets.groupBy("s1", "s2", "n_shingles").agg(F.min(place).alias("first"))
+                           .select("s1", "s2", "n_shingles", "first.no_id", "first.doc_id", F.col("first.rk").alias("lead")))
+    leads = checkpointed(sets.join(classes.select("lead"), F.col("rk") == F.col("lead")).dropDuplicates(["lead"])
+                         .select("lead", "doc_id", "n_shingles", "bands", "bits"))
+
+    member = leads.select(F.explode("bands").alias("key"), F.col("lead").alias("id"), F.col("n_shingles").alias("n"),
+                          F.col("doc_id").isNull().alias("no_id"), "doc_id")
+    hubs = checkpointed(member.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("no_id", "doc_id", "id", "n")).alias("hub"))
+                        .where("members > 1").select("key", F.struct("hub.id", "hub.n").alias("hub")))
     buckets = checkpointed(member.join(hubs, "key").select("key", "id", "n", "hub"))
     pairs = (buckets.where((F.col("id") != F.col("hub.id")) & _comparable(F.col("n"), F.col("hub.n"), percent))
              .select(F.col("hub.id").alias("u"), F.col("id").alias("v")).distinct())
     pairs = checkpointed(pairs)
-    needed = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
+    needed = pairs.select(F.col("u").alias("rk")).union(pairs.select("v")).distinct()
     links = checkpointed(confirmed(pairs, texts_of(docs, needed), width, percent))
-    release(docs.sparkSession)
     known = components(links)
 
     placed = checkpointed(buckets.select("key", "id", "n").join(known, F.col("id") == F.col("node"), "left")
@@ -205,13 +207,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                                            & (F.col("component") != F.col("o_component"))
                                            & _comparable(F.col("n"), F.col("o_n"), percent) & (apart <= BITS_APART), "left_semi")
                             .select("id", "n", "component").distinct())
-    texts = texts_of(docs, doubtful.select(F.col("id").alias("doc_id")))
+    texts = texts_of(docs, doubtful.select(F.col("id").alias("rk")))
     more = checkpointed(confirmed(checkpointed(sharing(texts, doubtful, width, percent)), texts, width, percent))
     final = known if more.isEmpty() else components(links.union(more))
 
-    led = classes.join(final, F.col("lead") == F.col("node"), "left").select(
-        "s1", "s2", "n_shingles", F.coalesce("component", "lead").alias("component"))
-    led = checkpointed(led)
+    first = F.min(F.struct("no_id", "doc_id", "lead")).alias("first")
+    named = checkpointed(final.join(classes, F.col("node") == F.col("lead")).groupBy("component").agg(first))
+    linked = final.join(named, "component").select("node", "first")
+    led = checkpointed(classes.join(linked, F.col("lead") == F.col("node"), "left")
+                       .withColumn("first", F.coalesce("first", F.struct("no_id", "doc_id", "lead")))
+                       .select("s1", "s2", "n_shingles", F.col("first.doc_id").alias("component"), F.col("first.lead").alias("head")))
+    alone = F.col("n_shingles") == 0
     return (rows.drop("bands", "bits").join(led, ["s1", "s2", "n_shingles"], "left")
-            .withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component")))
-            .select("rk", "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+            .withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component")))
+            .withColumn("head", F.when(alone, F.col("rk")).otherwise(F.col("head")))
+            .withColumn("kept", F.coalesce(F.col("component_id").eqNullSafe(F.col("doc_id")) & (F.col("doc_id").isNotNull() | (F.col("rk") == F.col("head"))),
+                                           F.lit(False)))
+            .select("rk", "doc_id", "n_shingles", "component_id", "kept", "head"))

@@ -33,7 +33,7 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return near.near_duplicates(table(spark, folder, "documents"), width=4).drop("rk")
+    return near.near_duplicates(table(spark, folder, "documents"), width=4).drop("rk", "head")
 
 
 def op6_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,12 +57,12 @@ def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 OP7_SQL = r"""
 WITH rows AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-scores AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-           FROM rows q JOIN rows c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+scores AS (SELECT q.vec_id AS query_id, q.r, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+           FROM rows q JOIN rows c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
 SELECT query_id, rank, vec_id, score
-FROM (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM scores) WHERE rank <= 5
+FROM (SELECT *, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id))::INT AS rank FROM scores) WHERE rank <= 5
 """
 
 
@@ -194,7 +194,8 @@ FROM sets JOIN least ON doc_id = a
 
 OP5_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, ''))[1:13] AS digits FROM documents),
 sums AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighed AS (
   SELECT *, [3.0, 1.0, 2.0][1 + ((row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3)]::DOUBLE AS weight FROM sums),
@@ -209,7 +210,7 @@ goals AS (
   SELECT source, source_size, least(2.0::DOUBLE * source_size, level * weight)::DOUBLE AS target,
          CASE WHEN source_size > 0 THEN least(2.0::DOUBLE * source_size, level * weight) / source_size ELSE 0 END AS rate FROM levels)
 SELECT doc_id, size, source_size, target,
-       (size * (floor(rate) + (('0x' || md5('mix:' || coalesce(doc_id::VARCHAR, 'null'))[1:13])::BIGINT::DOUBLE / 4503599627370496.0
+       (size * (floor(rate) + (('0x' || digits)::BIGINT::DOUBLE / 4503599627370496.0
                                < rate - floor(rate))::INT))::BIGINT AS taken
 FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source
 """

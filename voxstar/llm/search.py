@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from voxstar.llm.staging import checkpointed
 from voxstar.shipping import ship
 
 #: Candidates and queries that meet in one task.
@@ -17,8 +18,8 @@ QUERIES = 1024
 DEPTH = 8
 
 
-def threshold_search(vectors: np.ndarray, ids: np.ndarray, lists: np.ndarray, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-    """(id, score) of the k best vectors by integer inner product, ties to the smaller id.
+def threshold_search(vectors: np.ndarray, ids: np.ndarray, lists: np.ndarray, query: np.ndarray, out: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """(row, score) of the k best vectors by integer inner product, ties to the smaller id; rows marked in ``out`` take no part.
 
     ``lists[d]`` holds the rows by falling value in dimension d; a negative weight reads it from the other end. Rows seen in any list get their
     whole score. An unseen row scores at most the sum of weights times the values at the lists' current depth, so the search
@@ -27,8 +28,8 @@ def threshold_search(vectors: np.ndarray, ids: np.ndarray, lists: np.ndarray, qu
     n = len(vectors)
     dims = np.flatnonzero(query)
     falling = query[dims] > 0
-    done = ids == own
-    best_ids, best = np.empty(0, np.int64), np.empty(0, query.dtype)
+    done = out.copy()
+    best_rows, best = np.empty(0, np.int64), np.empty(0, query.dtype)
     depth, reached = DEPTH, 0
     while reached < n:
         to = min(depth, n)
@@ -40,16 +41,16 @@ def threshold_search(vectors: np.ndarray, ids: np.ndarray, lists: np.ndarray, qu
             to, fresh[:] = n, True
         rows = np.flatnonzero(fresh & ~done)
         done[rows] = True
-        best_ids = np.concatenate((best_ids, ids[rows]))
+        best_rows = np.concatenate((best_rows, rows))
         best = np.concatenate((best, vectors[rows] @ query))
-        order = np.lexsort((best_ids, -best))[:k]
-        best_ids, best = best_ids[order], best[order]
+        order = np.lexsort((ids[best_rows], -best))[:k]
+        best_rows, best = best_rows[order], best[order]
         at = np.where(falling, lists[dims, to - 1], lists[dims, n - to])
         bound = (vectors[at, dims] * query[dims]).sum()
         if len(best) == k and best[-1] > bound:
             break
         reached, depth = to, depth * 2
-    return list(zip(best_ids.tolist(), (int(x) for x in best), strict=True))
+    return list(zip(best_rows.tolist(), (int(x) for x in best), strict=True))
 
 
 def _exact(a: np.ndarray) -> np.ndarray:
@@ -67,39 +68,49 @@ def usable(vector: str) -> Column:
 def top_k(table: DataFrame, is_query: Column, k: int = 5, scale: int = 256) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: each query's k best rows by the inner product of floor(scale * x).
 
-    Every usable row except those with the query's own vec_id is a candidate of every query with as many components. Rows without vec_id or with a null
-    or non-finite component take no part; a vec_id that repeats among the queries asks once, with its least vector. Ties go
-    to the smaller vec_id. An empty table gives no rows; other columns are not read.
+    Every usable row but the query's own is a candidate of every query with as many components. Rows without vec_id or with a null
+    or non-finite component take no part. Every query row asks, also when its vec_id repeats: each gives k rows of its own, and the other
+    rows of its vec_id are candidates. Ties go to the smaller vec_id. An empty table gives no rows; other columns are not read.
 
-    Candidates are dealt by a hash of vec_id into blocks of about 4,096, queries into blocks of about 1,024; a task searches one
+    Equal rows (vec_id and vector) collapse into one with their number, combined before the shuffle, so that a row that a third of the table
+    repeats is searched once. Rows are dealt by the hash of both into blocks of about 4,096 candidates and 1,024 queries; a task searches one
     pair of blocks by the threshold algorithm and returns k rows per query, and the best k of those are kept by a group limit before and after
-    their shuffle. Equal vectors spread like all others.
+    their shuffle.
     """
     ship(table.sparkSession)
     rows = table.select("vec_id", F.col("embedding").cast("array<double>").alias("vector")) \
         .where(F.col("vec_id").isNotNull() & usable("vector"))
-    asked = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    rows = checkpointed(rows.groupBy("vec_id", "vector").agg(F.count(F.lit(1)).alias("same")).withColumn("row", F.xxhash64("vec_id", "vector")))
+    asked = rows.where(is_query)
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(is_query.cast("long")).alias("q")).first()
     blocks, parts = max(1, math.ceil(size["n"] / BLOCK)), max(1, math.ceil((size["q"] or 0) / QUERIES))
-    slot = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n))
+    slot = lambda n: F.pmod("row", F.lit(n))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    columns = ("block", "part", F.size("vector").alias("dims"), "asks", "vec_id", "vector")
+    columns = ("block", "part", F.size("vector").alias("dims"), "asks", "row", "vec_id", "same", "vector")
     cells = (rows.withColumn("block", slot(blocks)).withColumn("part", every(parts)).withColumn("asks", F.lit(False)).select(*columns)
              .unionByName(asked.withColumn("part", slot(parts)).withColumn("block", every(blocks)).withColumn("asks", F.lit(True))
                           .select(*columns)))
 
     def run(cell: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        found = []
         asks = cell["asks"].to_numpy()
         if asks.any() and not asks.all():
             whole = _exact(np.floor(scale * np.stack(cell["vector"].to_numpy())))
-            ids = cell["vec_id"].to_numpy()
-            vectors, names = whole[~asks], ids[~asks]
+            names, keys, same = (cell[c].to_numpy() for c in ("vec_id", "row", "same"))
+            vectors, ids, rest = whole[~asks], names[~asks], same[~asks]
             lists = np.argsort(-vectors, axis=0, kind="stable").T
-            for own, query in zip(ids[asks], whole[asks], strict=True):
-                out += [(own, *hit) for hit in threshold_search(vectors, names, lists, query, own, k)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
-
-    found = cells.groupBy("block", "part", "dims").applyInPandas(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            for key, own, times, query in zip(keys[asks], names[asks], same[asks], whole[asks], strict=True):
+                self_ = keys[~asks] == key
+                left = rest - self_  # its equals remain candidates
+                found += [(key, own, times, ids[at], left[at], score)
+                          for at, score in threshold_search(vectors, ids, lists, query, self_ & (left == 0), k)]
+        return pd.DataFrame(found, columns=["row", "query_id", "times", "vec_id", "n", "score"]).astype("int64")
+
+    found = cells.groupBy("block", "part", "dims").applyInPandas(
+        run, "row long, query_id long, times long, vec_id long, n long, score long")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    # k different rows are enough to give k rows; those that stand for several are written out, then the queries that do
+    each = best.withColumn("_", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
+    ranked = each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("query_id", "rank", "vec_id", "score")
