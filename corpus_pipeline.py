@@ -36,8 +36,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates (five words, similarity 0.8), once."""
-    gone = near.near_duplicates(docs).where("not kept").select("rk").distinct()
+    """The document with the smallest doc_id (nulls last, then the hash of doc_id and text) of each group of near duplicates (five words,
+    similarity 0.8), once; of equal rows one stays, and each text without words."""
+    gone = near.near_duplicates(docs).where("rk <> head").select("rk").distinct()
     rows = docs.select(*COLUMNS).withColumn("rk", F.xxhash64("doc_id", "text"))
     return rows.join(gone, "rk", "left_anti").dropDuplicates(["rk"]).select(*COLUMNS)
 
