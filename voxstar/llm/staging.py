@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 
 from voxstar.session import fresh_dir, shared_dir
@@ -21,16 +18,3 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Let the cleaner drop shuffle files of finished steps now, not when the driver happens to collect its garbage.
-
-    Python gives its hold on JVM objects back from a thread that runs about once a second, and what hung on those is found by the
-    next collection.
-    """
-    for _ in range(2):
-        gc.collect()
-        time.sleep(1.2)
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.4)
