@@ -1,11 +1,14 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 import payload_files as files
 from voxstar.operators.quality import audit_totals
+from voxstar.sources import files as store_files
 from voxstar.sources import payloads as p
 from voxstar.sources import tables
+from voxstar.suite import captures
 
 
 def test_lookup_files(spark, tmp_path, rows):
@@ -66,3 +69,24 @@ def test_flattening(spark, tmp_path, rows):
     assert users.filter("author_id = 'b'").first().location is None
     plain = p.payload_texts(good.filter(F.col("filepath").contains("africa")))
     assert rows(plain, "tweet_id", "retweet_id") == [("4", None), ("6", None)]
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_files_are_written_by_name(spark, frame, tmp_path, monkeypatch, local):
+    system = store_files._system
+    if not local:
+        monkeypatch.setattr(store_files, "_system", lambda *a: (*system(*a)[:2], None))
+    root = tmp_path / "capture"
+    store_files.write_files(frame("folder string, name string, value string", [
+        ("ebola", "a_2015-01-01_2015-01-02.json", "{\n}"), ("ebola", "b.json", "one"), ("ebola", "b.json", "one"), ("sandy", "a:b#c.json", "\u00e9"),
+        (None, "lost.json", "x"), ("ebola", None, "x")]), str(root))
+    found = {str(f.relative_to(root)): f.read_bytes() for f in root.rglob("*") if f.is_file() and not f.name.endswith(".crc")}
+    assert found == {"ebola/a_2015-01-01_2015-01-02.json": b"{\n}\n", "ebola/b.json": b"one\none\n", "sandy/a%3Ab%23c.json": "\u00e9\n".encode()}
+    assert store_files.matching(spark, f"{root}/*/*.json") == 3
+
+
+def test_capture_files_take_no_step_of_the_driver_each(spark, tmp_path, monkeypatch):
+    docs = [(i, "some text", "en", f"src{i % 5}", 9) for i in range(20)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(store_files, "rename", None)
+    assert [p.rsplit("/", 1)[1] for p in store_files.listed(spark, f"{captures._json_files(spark, str(tmp_path))}/*")] == ["ebola"]

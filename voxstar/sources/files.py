@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from itertools import groupby
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from voxstar.shipping import ship
+
+#: What Spark escapes in the folder names it writes.
+_ESCAPED = re.compile(r"""[\x00-\x1F\x7F"#%'*/:=?\\{\[\]^]""")
+#: Renames in flight where tasks cannot write files themselves.
+_RENAMES = 32
 
 
 def _system(spark: SparkSession, path: str):
@@ -30,6 +40,12 @@ def listed(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(found.getPath().toString() for found in system.globStatus(target) or [])
 
 
+def matching(spark: SparkSession, pattern: str) -> int:
+    """How many paths match a glob pattern; no path comes to Python."""
+    target, system, _ = _system(spark, pattern)
+    return len(system.globStatus(target) or [])
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     """Give a file another name, in a folder that is made if missing."""
     source, system, _ = _system(spark, old)
@@ -39,6 +55,49 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old} to {new}")
 
 
+def _escape(name: str) -> str:
+    return _ESCAPED.sub(lambda c: f"%{ord(c[0]):02X}", name)
+
+
+def write_files(rows: DataFrame, root: str) -> None:
+    """Write (folder, name, value) rows as text files ``root``/<folder>/<name>, a line per row; rows of one file lie in one task.
+
+    On local and network disks the tasks write the files where they belong, each under a hidden name first, so a repeated task changes
+    nothing and no step goes through the driver file by file. Elsewhere Spark writes a folder per file and the files are renamed from there.
+    Rows without folder or name have no file.
+    """
+    spark = rows.sparkSession
+    placed = rows.dropna(subset=["folder", "name"]).select("folder", "name", "value").repartition("folder", "name")
+    _, _, local = _system(spark, root)
+    if local:
+        ship(spark)
+
+        def write(part):
+            made = set()
+            for (folder, name), lines in groupby(part, key=lambda r: (r["folder"], r["name"])):
+                where = os.path.join(local, _escape(folder))
+                if where not in made:
+                    os.makedirs(where, exist_ok=True)
+                    made.add(where)
+                draft = os.path.join(where, f"_draft-{uuid.uuid4().hex}")
+                with open(draft, "x", encoding="utf-8", newline="") as out:
+                    out.writelines(f"{line['value']}\n" for line in lines)
+                os.replace(draft, os.path.join(where, _escape(name)))
+
+        placed.sortWithinPartitions("folder", "name").foreachPartition(write)
+        return
+    apart = f"{root}/_written"
+    placed.write.partitionBy("folder", "name").text(apart)
+
+    def place(path):
+        folder, name = (x.split("=", 1)[1] for x in path.split("/")[-3:-1])
+        rename(spark, path, f"{root}/{folder}/{name}")
+
+    with ThreadPoolExecutor(_RENAMES) as pool:
+        list(pool.map(place, listed(spark, f"{apart}/folder=*/name=*/part-*")))
+    remove(spark, apart)
+
+
 def publish(spark: SparkSession, path: str, text: str, linked: bool = True) -> bool:
     """Create a file with its whole content unless it exists; of several writers exactly one gets True.
 
