@@ -1,14 +1,19 @@
+import json
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 import payload_files as files
 from voxstar.operators.quality import reconcile
+from voxstar.plans import loads
 from voxstar.plans.catalog import register
 from voxstar.plans.events import sentiment_by_category
 from voxstar.plans.loads import initial_load, secondary_load, seed_load
 from voxstar.sources.payloads import scan_payloads
 from voxstar.sources.tables import Store, load
 from voxstar.streaming.ingest import ingest_files, load_batch
+from voxstar.suite import captures
 
 
 @pytest.fixture
@@ -237,3 +242,39 @@ def test_wrong_names_are_errors(spark, store):
         load(spark, store.root, "users")
     with pytest.raises(ValueError):
         store.read("vw_cat_events")
+
+
+# --- what a load moves
+
+TEXT_ROWS = [(1, "f", 0, "a"), (2, "f", 0, "a"), (3, "f", 1, "b"), (4, "g", 0, "b"), (5, "g", 1, None), (6, "g", 2, "c"), (7, "g", 3, None)]
+
+
+@pytest.mark.parametrize("known, opens", [([], 3), (["c"], 2), (["a", "b", "c"], 0)])
+def test_keys_are_judged_apart_from_the_texts(frame, store, known, opens):
+    texts = frame("item long, filepath string, pos int, tweet_id string", TEXT_ROWS).withColumn("tweet", F.repeat("tweet_id", F.lit(3)))
+    marked = loads._opens_kept(store, "text_opens", 1, texts, frame("tweet_id string", [(k,) for k in known]), ["tweet_id"])
+    found = {r["item"]: r["_opens"] for r in marked.collect()}
+    assert len(found) == len(TEXT_ROWS) and sum(found.values()) == opens
+    assert found[3] == ("b" not in known) and found[6] == ("c" not in known) and not (found[4] or found[5] or found[7] or found[1] and found[2])
+    assert "Exchange hashpartitioning" not in marked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_load_leaves_nothing_but_tables(spark, capture, store):
+    initial_load(store, scan_payloads(spark, str(capture)), "first")
+    left = {f.name for f in Path(store.root).iterdir() if any(f.glob("batch_id=*"))}
+    assert "tweet_text" in left and not left & {"captures", "text_opens"}
+    assert all(f.name.endswith(".zstd.parquet") for f in Path(store.root, "tweet_text").rglob("*.parquet"))
+
+
+def test_posts_stand_once_for_every_original_of_an_id(frame):
+    docs = frame("doc_id long, text string, lang string, source string, n_chars long", [
+        (1, "a", "en", "s", 5), (1, "b", "en", "s", 6), (2, "c", "en", "s", 2000), (2, "c", "en", "s", 2000), (3, "d", "en", "s", 2001), (9, "e", "en", "s", 2001),
+        (2, "x", "de", "t", 2000), (4, None, None, "t", 2000), (None, "n", "en", "s", 2000), (600, "far", "en", "s", None)])
+    found = {(r["filepath"] or "").split("/")[-1]: json.loads(r["value"]) for r in captures.build_payloads(docs, docs).collect()}
+    page = found["s_2015-01-01_2015-01-02.json"]
+    assert [x["id"] for x in page["data"]] == ["1", "1", "2", "2", "2", "2", "3", "3", "3", "9"] and page["meta"] == {"result_count": 10}
+    assert sorted((x["id"], x.get("text")) for x in page["includes"]["tweets"]) == [
+        ("1", "a"), ("1", "a"), ("1", "b"), ("1", "b"), ("2", "c"), ("2", "c"), ("2", "x"), ("8", None)]
+    lost = found["t_2015-01-01_2015-01-02.json"]
+    assert [x["id"] for x in lost["data"]] == ["2", "2"] and lost["errors"] == [{"value": "1", "title": "Not Found Error"}] * 2
+    assert lost["includes"]["tweets"] == [] and page["errors"] == []

@@ -41,6 +41,21 @@ def _opens_key(df: DataFrame, stored: DataFrame, keys: list[str], order: list[st
             .drop("_first", "_stored"))
 
 
+def _opens_kept(store: Store, name: str, batch_id: int, df: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """``_opens_key`` for rows that carry much: only keys, order and ``item``, the rows' own number, are shuffled for it.
+
+    What it found is kept as the numbers of the rows that open a key and of those that do not; the fewer of the two are joined to
+    the rows, by broadcast while they are few. A load that is all new or all known joins nothing.
+    """
+    found = _opens_key(df.select("item", *keys, *ORDER), stored, keys, ORDER).select("item", "_opens")
+    counts = dict(store.keep(name, found, batch_id, "_opens").groupBy("_opens").count().collect())
+    fewer = counts.get(True, 0) < counts.get(False, 0)
+    if not counts.get(fewer):
+        return df.withColumn("_opens", F.lit(not fewer))
+    numbers = store.kept_part(name, batch_id, f"_opens={str(fewer).lower()}", "item long").withColumn("_listed", F.lit(True))
+    return df.join(numbers, "item", "left").withColumn("_opens", F.col("_listed").isNotNull() == F.lit(fewer)).drop("_listed")
+
+
 def users_load(users: DataFrame, stored: DataFrame, quoting: bool = False) -> DataFrame:
     """Users of a load, each row with its reject reason or null."""
     rows = _opens_key(users, stored, ["author_id"], ORDER)
@@ -50,9 +65,8 @@ def users_load(users: DataFrame, stored: DataFrame, quoting: bool = False) -> Da
     return tag_rejects(rows, {**rules, "duplicate key": ~F.col("_opens")}).drop("_opens")
 
 
-def texts_load(texts: DataFrame, stored: DataFrame, quoting: bool = False) -> DataFrame:
-    """Texts of a load, each row with its reject reason or null."""
-    rows = _opens_key(texts, stored, ["tweet_id"], ORDER)
+def texts_load(rows: DataFrame, quoting: bool = False) -> DataFrame:
+    """Texts of a load, marked ``_opens`` where they open their key, each row with its reject reason or null."""
     rules = {"missing key": F.col("tweet_id").isNull()}
     if quoting:
         rules["both quote kinds"] = unquotable("tweet", "retweet_text")
@@ -182,9 +196,10 @@ def initial_load(store: Store, raw: DataFrame, load_key: str | None = None, quot
 
 
 def _initial(store: Store, raw: DataFrame, batch_id: int, load_key: str, quoting: bool) -> DataFrame:
-    items = store.keep("captures", payload_items(with_search_meta(parse_payloads(raw))), batch_id, "kind")
-    part = lambda kind: items.filter(F.col("kind") == kind).select("filepath", f"{kind}.*")
-    users, texts, facts, files = (part(kind) for kind in ("user", "text", "fact", "file"))
+    parsed = payload_items(with_search_meta(parse_payloads(raw))).withColumn("item", F.monotonically_increasing_id())
+    items = store.keep("captures", parsed, batch_id, "kind")
+    part = lambda kind, *more: items.filter(F.col("kind") == kind).select(*more, "filepath", f"{kind}.*")
+    users, texts, facts, files = part("user"), part("text", "item"), part("fact"), part("file")
     unnamed = F.col("event_id").isNull() | F.col("search_start").isNull() | F.col("search_end").isNull()
     tagged = tag_rejects(files, {"unreadable": F.col("corrupt").isNotNull(), "file name": unnamed})
     bad = tagged.filter(F.col(REASON).isNotNull())
@@ -199,7 +214,8 @@ def _initial(store: Store, raw: DataFrame, batch_id: int, load_key: str, quoting
         store.write_keys("users", batch_id)
 
     def load_texts():
-        store.write("tweet_text", texts_load(texts, store.known("tweet_text", touched=touched["text.tweet_id"]), quoting), batch_id)
+        known = store.known("tweet_text", touched=touched["text.tweet_id"])
+        store.write("tweet_text", texts_load(_opens_kept(store, "text_opens", batch_id, texts, known, ["tweet_id"]), quoting), batch_id)
         store.write_keys("tweet_text", batch_id)
 
     def load_searches():
@@ -232,7 +248,8 @@ def _initial(store: Store, raw: DataFrame, batch_id: int, load_key: str, quoting
     together(lambda: store.write_keys("tweet_data", batch_id),
              lambda: store.write("run_log", reduce(lambda a, b: a.unionByName(b), logs), batch_id))
     log = _finish(store, [], batch_id, load_key, CAPTURE, next_ids={"data_id": first + loaded})
-    store.drop("captures", batch_id)
+    for name in ("captures", "text_opens"):
+        store.drop(name, batch_id)
     return log
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructField, StructType
 
 from voxstar.schemas import LEXICON_DDL, POPULATION_DDL, TABLES, WORLD_CITIES_DDL, table_schema
 from voxstar.functions.location import STATE_CODES, map_values
+from voxstar.session import CODEC
 from voxstar.sources.files import listed, publish, remove, rename
 
 
@@ -178,15 +179,19 @@ class Store:
         """
         seen = Observation()
         counted = self._shaped(table, rows).observe(seen, F.count_if("accepted").alias("loaded"), F.count_if(~F.col("accepted")).alias("skipped"))
-        counted.write.mode("overwrite").partitionBy("accepted").parquet(f"{self.root}/{table}/batch_id={batch_id}")
+        counted.write.mode("overwrite").parquet(f"{self.root}/{table}/batch_id={batch_id}", partitionBy="accepted", compression=CODEC)
         return seen.get["loaded"], seen.get["skipped"]
 
     def keep(self, name: str, rows: DataFrame, batch_id: int, by: str) -> DataFrame:
         """Write an intermediate result of one load and read it back, so later steps start from it; ``drop`` removes it."""
         path = f"{self.root}/{name}/batch_id={batch_id}"
-        rows.write.mode("overwrite").partitionBy(by).parquet(path)
+        rows.write.mode("overwrite").parquet(path, partitionBy=by, compression=CODEC)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def kept_part(self, name: str, batch_id: int, part: str, ddl: str) -> DataFrame:
+        """One partition of an intermediate result, by its folder, so that Spark judges its size alone."""
+        return self.spark.read.schema(ddl).parquet(f"{self.root}/{name}/batch_id={batch_id}/{part}")
+
     def drop(self, name: str, batch_id: int) -> None:
         remove(self.spark, f"{self.root}/{name}/batch_id={batch_id}")
 
@@ -211,7 +216,7 @@ class Store:
         end, so the rows are written apart and each partition is then renamed into place."""
         apart = f"{self.root}/_adding-{uuid.uuid4().hex}"
         try:
-            rows.write.partitionBy(*by, *below).parquet(apart)
+            rows.write.parquet(apart, partitionBy=[*by, *below], compression=CODEC)
             for path in listed(self.spark, "/".join([apart, *(f"{c}=*" for c in by)])):
                 rename(self.spark, path, "/".join([self.root, table, *path.split("/")[-len(by):]]))
         finally:
