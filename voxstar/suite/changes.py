@@ -11,7 +11,7 @@ from voxstar import seeds
 from voxstar.operators.cascade import ForeignKey, cascade, remaining
 from voxstar.plans.changes import correct_rows, delete_rows
 from voxstar.plans.loads import initial_load, secondary_load, seed_load
-from voxstar.session import fresh_dir
+from voxstar.session import fresh_dir, stored
 from voxstar.sources.tables import Store
 from voxstar.streaming.state import STATE_STORE, cap_pages_stream, dedupe_within, drain
 from voxstar.suite import captures, keyed, standins as s
@@ -83,7 +83,7 @@ def _correct_cities(spark, sf):
 
 def _parallel_loads(spark, sf):
     """The captures of two halves loaded by two threads at once: every fact once, ids without a gap."""
-    store, raw, failed = Store(spark, fresh_dir(spark, "store")), captures._raw(spark, sf), []
+    store, raw, failed = Store(spark, fresh_dir(spark, "store")), stored(captures._raw(spark, sf), "captured"), []
 
     def run(half):
         try:
@@ -99,9 +99,10 @@ def _parallel_loads(spark, sf):
     if failed:
         raise failed[0]
     facts = store.read("tweet_data")
-    ids = facts.agg(F.min("data_id").alias("first_id"), F.max("data_id").alias("last_id"), F.countDistinct("data_id").alias("ids"))
+    ids = facts.agg(F.min("data_id").alias("first_id"), F.max("data_id").alias("last_id"), F.countDistinct("data_id").alias("ids")).first()
     found = facts.join(store.read("searches"), "search_id").join(store.read("search_dates"), "search_date_id")
-    return found.crossJoin(F.broadcast(ids)).select("tweet_id", "author_id", "keyword", "event_id", "search_start", "first_id", "last_id", "ids")
+    return found.select("tweet_id", "author_id", "keyword", "event_id", "search_start",
+                        *[F.lit(n).cast("long").alias(c) for c, n in ids.asDict().items()])
 
 
 _PARALLEL_SQL = f"""WITH {captures._POSTS_SQL}
