@@ -89,6 +89,14 @@ def test_too_long_terms_are_an_error(frame):
         phrase_matches(tweets, terms, longest=2).count()
 
 
+def test_no_token_copies_its_tweet(frame, rows):
+    tweets, terms = frame("tweet_id string, tweet_text string", [("1", " ".join(["a b c d e f g"] * 50))]), frame("term string", [("g a b c d e",), ("f g",), ("g b",)])
+    found = phrase_matches(tweets, terms)
+    assert "transform(_tokens" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == [("1", "f g"), ("1", "g a b c d e")]
+    assert rows(phrase_matches(tweets, terms.limit(0).unionByName(frame("term string", [("a",), ("z",)])), longest=1)) == [("1", "a")]
+
+
 def test_phrase_associations_carry_support_and_polarity(frame, rows):
     tweets = frame("tweet_id string, tweet_text string", [("1", "good morning all"), ("2", "good morning good morning"), ("3", "morning"), ("4", "x")])
     lexicon = frame("term string, emotion string, association int", [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voxstar.functions.text import code_points, drop_media_posts, strip_sigils, strip_urls, tokens
 from voxstar.operators.joins import dim_join
@@ -76,9 +76,8 @@ def default_terms(text):
     return F.array_distinct(tokens(strip_urls(strip_sigils(text))))
 
 
-def _felt(counts: DataFrame, tweets: DataFrame, lexicon: DataFrame, min_support: float) -> DataFrame:
-    """Support, emotions and polarity of terms with their numbers of tweets. Rows whose association is 0 drop out, unknown ones stay."""
-    total = tweets.agg(F.count(F.lit(1))).scalar()  # counted apart: a scan of the text column
+def _felt(counts: DataFrame, total: Column, lexicon: DataFrame, min_support: float) -> DataFrame:
+    """Support, emotions and polarity of terms with their numbers of tweets, of ``total``. Rows whose association is 0 drop out, unknown ones stay."""
     frequent = counts.select("term", (F.col("freq") / total).alias("support")).filter(F.col("support") >= min_support)
     felt = frequent.join(lexicon, "term", "left").filter(~F.col("association").eqNullSafe(F.lit(0)))
     return with_polarity(felt).select("term", "support", "emotion", "association", "sent_id")
@@ -96,7 +95,8 @@ def text_associations(tweets: DataFrame, lexicon: DataFrame, min_support: float
     found = kept.select(F.explode(term_extractor(F.col(text))).alias("term")).filter(F.col("term") != "")
     vocabulary = lexicon.filter(F.col("association") == 1).select("term").distinct()
     counts = dim_join(found, vocabulary, "term").groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
-    return _felt(counts, kept, lexicon, min_support)
+    total = kept.agg(F.count(F.lit(1))).scalar()  # counted apart: a scan of the text column
+    return _felt(counts, total, lexicon, min_support)
 
 
 def phrase_matches(tweets: DataFrame, terms: DataFrame, tweet_id: str = "tweet_id", text: str = "tweet_text",
@@ -114,10 +114,13 @@ def phrase_matches(tweets: DataFrame, terms: DataFrame, tweet_id: str = "tweet_i
         F.concat(F.lit(f"more than {longest} words: "), "term"))).otherwise(F.col("words")).alias("words"))
     tree = entries.groupBy(F.col("words")[0].alias("word")).agg(F.collect_list(F.struct(
         "term", F.slice("words", 2, longest).alias("further"))).alias("below"))
-    rows = tweets.select(F.col(tweet_id).alias("tweet_id"), F.filter(tokens(strip_urls(strip_sigils(F.col(text)))), lambda w: w != "").alias("_tokens"))
-    walked = rows.select("tweet_id", F.explode(F.transform("_tokens", lambda w, i: F.struct(
-        w.alias("word"), F.slice(F.col("_tokens"), i + 2, F.lit(longest - 1)).alias("next")))).alias("_at"))
-    met = dim_join(walked.select("tweet_id", "_at.word", "_at.next"), tree, "word")
+    rows = tweets.select(F.col(tweet_id).alias("tweet_id"), tokens(strip_urls(strip_sigils(F.col(text)))).alias("_tokens"))
+    # the tokens beside themselves moved up by one, two, ... places, null beyond the end: a slice per token would copy them all for each
+    moved = [F.slice("_tokens", F.lit(n + 1), F.size("_tokens")) for n in range(longest)]
+    names = ["word", *(f"_next{n}" for n in range(1, longest))]
+    walked = rows.select("tweet_id", F.arrays_zip(*moved).alias("_at")).select("tweet_id", F.inline("_at").alias(*names))
+    further = F.array(*names[1:]).cast("array<string>")
+    met = dim_join(walked, tree, "word").select("tweet_id", "below", further.alias("next"))
     fitting = F.filter("below", lambda e: F.slice(F.col("next"), F.lit(1), F.size(e["further"])) == e["further"])
     return met.select("tweet_id", F.explode(F.transform(fitting, lambda e: e["term"])).alias("term")).distinct()
 
@@ -127,4 +130,4 @@ def phrase_associations(tweets: DataFrame, lexicon: DataFrame, min_support: floa
     """``text_associations`` for lexicons whose terms may have several words; ``tweet_id`` tells tweets apart."""
     kept = drop_media_posts(tweets, text)
     found = phrase_matches(kept, lexicon.filter(F.col("association") == 1), tweet_id, text, longest)
-    return _felt(found.groupBy("term").agg(F.count(F.lit(1)).alias("freq")), kept, lexicon, min_support)
+    return _felt(found.groupBy("term").agg(F.count(F.lit(1)).alias("freq")), F.lit(kept.count()), lexicon, min_support)
