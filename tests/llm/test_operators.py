@@ -188,6 +188,23 @@ def test_packing_round_trip(documents, odd_rows, sentence):
     brute.check_pieces(rows, ids)
 
 
+def test_encoder_gives_the_tokenizer_s_ids(sentence):
+    odd = ["", " \t", "It's 'sure ''s \"'s don't foo'll're", "a\x01b \x1c \x85 \xa0x \x00a \x7f", "É Àü ß ÿ Ÿ ÷× ã·b", "é ́a éá ã̧ ß̈", "12３4 x1y2 ²½",
+           "<|endoftext|> a <| b", "İstanbul ǅ ŉ K Å", "a,b.c--d!?!'", "x" * 50 + " " + "y" * 17 + " " + "z" * 16, "日本語 😀a1", sentence(200, 2)]
+    encoder = packing.Encoder(BPE)
+    plain = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, encoder.dtype).tobytes() for t in odd]
+    assert encoder.encode([t.encode() for t in odd]) == plain
+    assert [encoder.encode([t.encode()]) for t in odd] == [[p] for p in plain]
+    encoder.pieces, encoder.known = False, {}
+    assert encoder.encode([t.encode() for t in odd]) == plain and encoder.encode([]) == []
+
+
+def test_encoder_learns_pieces_once():
+    encoder = packing.Encoder(BPE)
+    encoder.encode([b"ab-cd ab/cd (ab) cd, AB. 12 21 (cd)", "été,été".encode()])
+    assert set(encoder.known) == {b"ab", b"cd", b"-", b"/", b"(", b")", b",", b".", b"1", b"2", "été".encode()}
+
+
 def test_packing_odd(documents):
     got = packing.pack(documents([(None, None), (None, None), (1, "a b"), (1, "a b")]), BPE, 2).collect()
     assert sorted((r["doc_id"] or 0, r["doc_tokens"]) for r in got) == [(0, 1), (0, 1), (1, 3), (1, 3)]

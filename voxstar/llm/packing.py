@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from itertools import islice
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -13,49 +14,128 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from voxstar.llm.staging import stored
-from voxstar.llm.words import SLICE, slices
+from voxstar.llm.words import SLICE, mix, sixteen, slices
 from voxstar.shipping import ship
 
 #: Heads are cut to whole units; a combination has at most DEPTH heads.
 UNIT = 128
 DEPTH = 4
-#: Words whose ids a worker keeps; the first half stays.
+#: Units whose ids a worker keeps; the first half stays.
 CACHE = 1_000_000
 
+#: Kinds of bytes: white space, letter, digit, other mark, and what only the tokenizer can split.
+_SPACE, _LETTER, _DIGIT, _MARK, _WHOLE = range(5)
+_KIND = np.full(256, _WHOLE, np.uint8)
+_KIND[0x21:0x7F] = _MARK
+_KIND[ord("'")] = _WHOLE
+_KIND[ord("0"):ord("9") + 1] = _DIGIT
+_KIND[ord("a"):ord("z") + 1] = _LETTER
+_KIND[list(b" \t\n\v\f\r")] = _SPACE
+#: Second bytes of the small letters from U+00DF to U+00FF, whose first byte is C3.
+_LATIN = np.zeros(256, np.bool_)
+_LATIN[0x9F:0xC0] = True
+_LATIN[0xB7] = False
+#: The steps for which ``_units`` knows the pieces of such letters, digits and marks.
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = [{"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+           "behavior": "Removed", "invert": True},
+          {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary; a space stays one."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)} | {0x20: " "}
+
+
+def _runs(kind: np.ndarray, apart: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of one kind other than white space begin and end; each byte of kind ``apart`` is a run."""
+    cut = np.concatenate(([True], (kind[1:] != kind[:-1]) | (kind[1:] == apart)))
+    begins = np.flatnonzero(cut)
+    ends, taken = np.append(begins[1:], len(kind)), kind[begins] != _SPACE
+    return begins[taken], ends[taken]
+
+
+def _units(data: np.ndarray, pieces: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and kind of each unit of lowered bytes: the pieces of words of small letters, digits and marks, other words whole.
+
+    An apostrophe may begin a piece such as 's, so words with one stay whole. Without ``pieces`` all words do.
+    """
+    kind = _KIND[data]
+    if pieces:
+        first = np.flatnonzero(data[:-1] == 0xC3)
+        first = first[_LATIN[data[first + 1]]]
+        kind[first] = kind[first + 1] = _LETTER
+    else:
+        kind[kind != _SPACE] = _WHOLE
+    hard = np.flatnonzero(kind == _WHOLE)
+    if pieces and len(hard):
+        space = np.flatnonzero(kind == _SPACE)
+        after = np.unique(np.searchsorted(space, hard))
+        low, high = np.append(-1, space)[after] + 1, np.append(space, len(kind))[after]
+        kind[np.repeat(low - np.cumsum(high - low) + (high - low), high - low) + np.arange((high - low).sum())] = _WHOLE
+    begins, ends = _runs(kind, _DIGIT)
+    return begins, ends, kind[begins]
+
+
+def _distinct(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each distinct unit, and for each place the number of its unit. Units over 16 bytes are not compared."""
+    low, high = sixteen(data, begins, ends)
+    order = np.argsort(mix(mix(low) + high))
+    low, high, long = low[order], high[order], (ends - begins)[order] > 16
+    fresh = np.ones(len(order), np.bool_)
+    fresh[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1]) | long[1:] | long[:-1]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    return order[fresh], number
+
 
 class Encoder:
-    """Ids of texts by a tokenizer that drops white space, looked up word by word.
+    """Ids of texts by a tokenizer that drops white space, looked up unit by unit.
 
     Splitting at ASCII white space and lowering A-Z first changes no id: the tokenizer's normalizer lowers every character and its
-    pieces never span white space. Texts that may hold a special token's string are encoded whole.
+    pieces never span white space. If its steps are those in _NORMAL and _SPLIT, words are split further into their pieces, of which
+    there are fewer distinct ones. Texts that may hold a special token's string are encoded whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.known: dict[bytes, bytes] = {}
         mark = self.tokenizer.encode("\x01", add_special_tokens=False).ids
         self.between = mark[0] if len(mark) == 1 else None
-        self.marks = {m: self._encode(m.decode()) for m in (b",", b".")}
+        steps = json.loads(self.tokenizer.to_str())
+        # the same model over pieces that are split, lowered and in byte letters already; its suffix marks each piece's last id
+        self.model, self.letters = Tokenizer(self.tokenizer.model), _byte_letters()
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocab, suffix = self.model.get_vocab(), steps["model"].get("end_of_word_suffix")
+        self.pieces = ((steps["normalizer"] or {}).get("normalizers") == _NORMAL
+                       and (steps["pre_tokenizer"] or {}).get("pretokenizers") == _SPLIT
+                       and bool(suffix) and all({c, c + suffix} <= vocab.keys() for b, c in self.letters.items() if b != 0x20))
+        self.lasts = np.zeros(max(vocab.values(), default=0) + 1, np.bool_)
+        self.lasts[[i for token, i in vocab.items() if suffix and token.endswith(suffix)]] = True
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, words: set[bytes]) -> None:
-        """Add the ids of some words.
-
-        A comma or full stop after a letter is a piece of its own. Other words are encoded together, with a control character between them
-        that is one id and occurs in none of them.
-        """
+    def _learn_pieces(self, pieces: list[bytes]) -> None:
+        """Add the ids of some pieces."""
+        for at in range(0, len(pieces), 2048):
+            part = pieces[at:at + 2048]
+            text = b" ".join(part).decode("latin-1").translate(self.letters)
+            ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            ends = (np.append(0, np.flatnonzero(self.lasts[ids]) + 1) * self.dtype().itemsize).tolist()
+            whole = ids.tobytes()
+            self.known.update(zip(part, [whole[a:b] for a, b in pairwise(ends)], strict=True))
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        """Add the ids of some words, encoded together, with a control character between them that is one id and occurs in none of them."""
         known, joined = self.known, []
         for word in words:
-            if word[-1:] in (b",", b".") and b"a" <= word[-2:-1] <= b"z":
-                if word[:-1] in known:
-                    known[word] = known[word[:-1]] + self.marks[word[-1:]]
-                    continue
             if self.between is None or b"\x01" in word:
                 known[word] = self._encode(word.decode("utf-8", "replace"))
             else:
@@ -68,17 +148,35 @@ class Encoder:
             begins = np.append(0, ends[:-1] + 1)
             known.update(zip(part, [ids[a:b].tobytes() for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], strict=True))
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text, as the bytes of ``dtype`` numbers."""
-        split = [None if b"<|" in text else text.lower().split() for text in texts]
+    def _found(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Units of lowered bytes: where each begins, how many ids it has, and the ids of all."""
+        array = np.frombuffer(data, np.uint8)
+        begins, ends, kind = _units(array, self.pieces)
+        if not len(begins):
+            return begins, begins, np.empty(0, self.dtype)
+        places, number = _distinct(array, begins, ends)
+        units = [data[a:b] for a, b in zip(begins[places].tolist(), ends[places].tolist(), strict=True)]
         known = self.known
-        self._learn(set().union(*(words for words in split if words)) - known.keys())
-        out = [self._encode(text.decode("utf-8", "replace")) if words is None else b"".join([known[w] for w in words])
-               for text, words in zip(texts, split, strict=True)]
+        if missing := {u: k for u, k in zip(units, kind[places].tolist(), strict=True) if u not in known}:
+            self._learn_pieces([u for u, k in missing.items() if k != _WHOLE])
+            self._learn_words([u for u, k in missing.items() if k == _WHOLE])
+        found = [known[u] for u in units]
+        ids = np.frombuffer(b"".join(found), self.dtype)
+        length = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype().itemsize
+        first, count = (np.cumsum(length) - length)[number], length[number]
         if len(known) > CACHE:
-            for word in list(islice(reversed(known), len(known) - CACHE // 2)):
-                del known[word]
-        return out
+            for unit in list(islice(reversed(known), len(known) - CACHE // 2)):
+                del known[unit]
+        return begins, count, ids[np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text, as the bytes of ``dtype`` numbers."""
+        plain = [b"" if b"<|" in text else text for text in texts]
+        begins, count, ids = self._found(b"\n".join(plain).lower() + b"\n")
+        starts = np.cumsum([0, *(len(text) + 1 for text in plain)])
+        ends = np.append(0, np.cumsum(count))[np.searchsorted(begins, starts)].tolist()
+        return [self._encode(text.decode("utf-8", "replace")) if b"<|" in text else ids[a:b].tobytes()
+                for text, (a, b) in zip(texts, pairwise(ends), strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
