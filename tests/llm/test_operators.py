@@ -169,6 +169,30 @@ def test_likely_partners_miss_no_match():
     assert want and want <= found and len(found) < len(set(s1.tolist()))
 
 
+def test_rare_first_tells_hashes_with_equal_first_bits_apart():
+    counts = np.ones(1 << lines.COUNTER_BITS, np.uint8)
+    near_ = np.array([5 << 40, (5 << 40) + 1, 5 << 40, 7, (5 << 40) + 1, 7], np.uint64)
+    hashes, begins = lines.rare_first(near_, np.array([0, 0, 0, 1, 1, 1]), counts)
+    assert hashes.tolist() == [5 << 40, (5 << 40) + 1, 7, (5 << 40) + 1] and begins.tolist() == [0, 2]
+    nothing = lines.rare_first(near_[:0], np.array([], np.int64), counts)
+    assert [len(x) for x in nothing] == [0, 0]
+
+
+def test_rows_of_a_token_are_in_order_of_size():
+    rng = np.random.default_rng(4)
+    for top, many in ((40, 9), (1 << 31, 9), (40, 1)):  # small and large sets, one token
+        token, n = np.sort(rng.integers(-many, many, 500)), rng.integers(1, top, 500)
+        s1 = rng.choice(np.array([3, 4, 1 << 62, -5, -(1 << 62), -(1 << 62) + 1]), 500)
+        order = lines._by_token(token, n, s1)
+        got = [(t, k, x) for t, k, x in zip(token[order].tolist(), n[order].tolist(), s1[order].view(np.uint64).tolist())]
+        want = zip(token.tolist(), n.tolist(), s1.view(np.uint64).tolist())
+        assert [g[:2] for g in got] == [w[:2] for w in sorted(want)]
+        assert len(set(got)) == 1 + sum(x != y for x, y in zip(got, got[1:]))  # equal rows together
+        back = lines._by_token(token[::-1], n, s1)
+        assert (np.diff(token[::-1][back]) >= 0).all()
+    assert len(lines._by_token(token[:0], n[:0], s1[:0])) == 0
+
+
 def test_line_dedup_keeps_columns_and_repeated_rows(documents, odd_rows):
     got = lines.dedup_lines(documents(odd_rows), keep=("lang", "source")).collect()
     assert len(got) == len(odd_rows)
