@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from voxstar.llm import langid, lines, mixing, near, packing, quality, queries, repeats, revisit, search, secrets, words
+from voxstar.llm import langid, lines, mixing, near, packing, quality, queries, repeats, revisit, search, secrets, staging, words
 
 BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -169,6 +169,50 @@ def test_likely_partners_miss_no_match():
     assert want and want <= found and len(found) < len(set(s1.tolist()))
 
 
+@pytest.mark.parametrize("chunk", [0, 1 << 22])  # 0: a bucket at a time
+def test_line_dedup_across_tasks(documents, sentence, monkeypatch, chunk):
+    """Lines that repeat in several tasks, and a document that several tasks hold."""
+    monkeypatch.setattr(lines, "_CHUNK", chunk)
+    monkeypatch.setattr(lines, "_HELD", 2)
+    line = sentence(9, 2)
+    given = [(i, f"{line}\n{sentence(8, i % 7)}\nown{i}") for i in range(40)] + [(None, f"{line}\na b"), (None, line), (3, line)]
+    given += [(7, "\n".join([line, " ".join(f"w{k}" for k in range(70000)), line]))] * 3
+    frame = documents(given, 5)
+    assert line_result(frame) == brute.line_dedup(hashed(frame))
+
+
+def test_rows_of_a_bucket_come_back():
+    rng = np.random.default_rng(2)
+    types, n = lines._PREFIX_CELLS, np.array([1, 255, 256, 70000, 1 << 31])
+    token, s1, pos = np.array([1, 2, (3 << 32) + 5, (3 << 32) + 6, (3 << 32) + 6]), rng.integers(-9, 9, 5), n // 2
+    sent = lines._cells(lines._PREFIX, token >> 32, [token, s1, s1 + 1, s1 + 2, n & 255, n >> 8, pos & 255, pos >> 8], types)
+    assert sent.column(0).to_pylist() == [0, 3]
+    back = lines._prefix_columns(sent.column(0).to_pylist(), sent.column(1).to_pylist())
+    assert [c.tolist() for c in back] == [c.tolist() for c in (token, s1, n, pos, s1 + 1, s1 + 2)]
+
+
+def test_a_set_with_two_words_of_one_token_keeps_its_first_position():
+    one = np.ones(3, np.int64)
+    row = [5 * one, np.array([1, 1, 2]), 10 * one, np.array([9, 0, 0]), 0 * one, 0 * one]
+    assert lines.likely(*row, 80).tolist() == [1, 2]
+    row[3] = np.array([0, 9, 0])
+    assert lines.likely(*row, 80).tolist() == [1, 2]
+
+
+@pytest.mark.parametrize("kept", [staging.checkpointed, lambda df: staging.stored(df, "kept")])
+def test_a_step_leaves_no_shuffle_files(spark, kept):
+    """A step's shuffle files go with the step, not when the driver's garbage is collected: ``held`` keeps its frames alive."""
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = lambda: {f for f in str(disk.getAllFiles()).split(", ") if "shuffle_" in f}
+    held, before = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), files()
+    held.collect()
+    mid = files()
+    rows = kept(held)
+    assert mid - before and not files() - mid
+    assert sorted(rows.collect()) == sorted(held.collect())
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_rare_first_tells_hashes_with_equal_first_bits_apart():
     counts = np.ones(1 << lines.COUNTER_BITS, np.uint8)
     near_ = np.array([5 << 40, (5 << 40) + 1, 5 << 40, 7, (5 << 40) + 1, 7], np.uint64)
