@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from voxstar.llm import langid, lines, mixing, near, packing, quality, queries, repeats, revisit, search, secrets, staging, words
+from voxstar.llm import graph, langid, lines, mixing, near, packing, quality, queries, repeats, revisit, search, secrets, staging, words
 
 BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -199,7 +199,7 @@ def test_a_set_with_two_words_of_one_token_keeps_its_first_position():
     assert lines.likely(*row, 80).tolist() == [1, 2]
 
 
-@pytest.mark.parametrize("kept", [staging.checkpointed, lambda df: staging.stored(df, "kept")])
+@pytest.mark.parametrize("kept", [staging.checkpointed, staging.packed, lambda df: staging.stored(df, "kept")])
 def test_a_step_leaves_no_shuffle_files(spark, kept):
     """A step's shuffle files go with the step, not when the driver's garbage is collected: ``held`` keeps its frames alive."""
     disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
@@ -213,6 +213,24 @@ def test_a_step_leaves_no_shuffle_files(spark, kept):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
+def test_few_rows_fill_few_checkpoint_files(spark):
+    """On a local disk each file costs programs that count as a second executor; a shuffle's empty partitions need none."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(500).repartition(211, "id")
+    assert staging.checkpointed(rows).rdd.getNumPartitions() == 211
+    for n, files in ((0, cores), (500, cores), (staging._ROWS * cores + 1, cores + 1)):
+        kept = staging.packed(rows, n)
+        assert kept.rdd.getNumPartitions() == files
+        assert sorted(r.id for r in kept.collect()) == list(range(500))
+
+
+def test_near_duplicates_labels_fill_few_checkpoint_files(spark):
+    links = spark.range(300).selectExpr("id AS u", "id + 1 AS v").repartition(211, "u")
+    labels = graph.components(links)
+    assert labels.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert {tuple(r) for r in labels.collect()} == {(i, 0) for i in range(301)}
+
+
 def test_rare_first_tells_hashes_with_equal_first_bits_apart():
     counts = np.ones(1 << lines.COUNTER_BITS, np.uint8)
     near_ = np.array([5 << 40, (5 << 40) + 1, 5 << 40, 7, (5 << 40) + 1, 7], np.uint64)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voxstar.llm import words as W
 from voxstar.llm.graph import components
-from voxstar.llm.staging import checkpointed
+from voxstar.llm.staging import checkpointed, packed
 from voxstar.shipping import ship
 
 #: Signature length; places of the second permutation.
@@ -174,24 +174,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
        confirmed. Nothing is capped, and a group of near copies is never paired out.
     """
     ship(docs.sparkSession)
+    n_docs = docs.count()
     rows = checkpointed(signed(docs, width))
     sets = rows.where("n_shingles > 0")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rk")
-    classes = checkpointed(sets.groupBy("s1", "s2", "n_shingles").agg(F.min(place).alias("first"))
-                           .select("s1", "s2", "n_shingles", "first.no_id", "first.doc_id", F.col("first.rk").alias("lead")))
+    classes = packed(sets.groupBy("s1", "s2", "n_shingles").agg(F.min(place).alias("first"))
+                     .select("s1", "s2", "n_shingles", "first.no_id", "first.doc_id", F.col("first.rk").alias("lead")), n_docs)
     leads = checkpointed(sets.join(classes.select("lead"), F.col("rk") == F.col("lead")).dropDuplicates(["lead"])
                          .select("lead", "doc_id", "n_shingles", "bands", "bits"))
 
     member = leads.select(F.explode("bands").alias("key"), F.col("lead").alias("id"), F.col("n_shingles").alias("n"),
                           F.col("doc_id").isNull().alias("no_id"), "doc_id")
-    hubs = checkpointed(member.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("no_id", "doc_id", "id", "n")).alias("hub"))
-                        .where("members > 1").select("key", F.struct("hub.id", "hub.n").alias("hub")))
+    hubs = packed(member.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("no_id", "doc_id", "id", "n")).alias("hub"))
+                  .where("members > 1").select("key", F.struct("hub.id", "hub.n").alias("hub")), n_docs)
     buckets = checkpointed(member.join(hubs, "key").select("key", "id", "n", "hub"))
     pairs = (buckets.where((F.col("id") != F.col("hub.id")) & _comparable(F.col("n"), F.col("hub.n"), percent))
              .select(F.col("hub.id").alias("u"), F.col("id").alias("v")).distinct())
-    pairs = checkpointed(pairs)
+    pairs = packed(pairs, n_docs)
     needed = pairs.select(F.col("u").alias("rk")).union(pairs.select("v")).distinct()
-    links = checkpointed(confirmed(pairs, texts_of(docs, needed), width, percent))
+    links = packed(confirmed(pairs, texts_of(docs, needed), width, percent), n_docs)
     known = components(links)
 
     placed = checkpointed(buckets.select("key", "id", "n").join(known, F.col("id") == F.col("node"), "left")
@@ -199,24 +200,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     mixed = (placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low <> high").select("key"))
     bits = leads.select(F.col("lead").alias("id"), *[F.col("bits")[i].alias(f"b{i}") for i in range(4)])
-    open_rows = checkpointed(placed.join(checkpointed(mixed), "key", "left_semi"))
-    open_rows = checkpointed(open_rows.join(bits, "id"))
+    open_rows = packed(placed.join(packed(mixed, n_docs), "key", "left_semi"), n_docs)
+    open_rows = packed(open_rows.join(bits, "id"), n_docs)
     other = open_rows.select("key", *[F.col(c).alias(f"o_{c}") for c in open_rows.columns if c != "key"])
     apart = sum((F.bit_count(F.col(f"b{i}").bitwiseXOR(F.col(f"o_b{i}"))) for i in range(4)), F.lit(0))
-    doubtful = checkpointed(open_rows.join(other, (open_rows["key"] == other["key"]) & (F.col("id") != F.col("o_id"))
-                                           & (F.col("component") != F.col("o_component"))
-                                           & _comparable(F.col("n"), F.col("o_n"), percent) & (apart <= BITS_APART), "left_semi")
-                            .select("id", "n", "component").distinct())
+    doubtful = packed(open_rows.join(other, (open_rows["key"] == other["key"]) & (F.col("id") != F.col("o_id"))
+                                     & (F.col("component") != F.col("o_component"))
+                                     & _comparable(F.col("n"), F.col("o_n"), percent) & (apart <= BITS_APART), "left_semi")
+                      .select("id", "n", "component").distinct(), n_docs)
     texts = texts_of(docs, doubtful.select(F.col("id").alias("rk")))
-    more = checkpointed(confirmed(checkpointed(sharing(texts, doubtful, width, percent)), texts, width, percent))
+    more = packed(confirmed(packed(sharing(texts, doubtful, width, percent), n_docs), texts, width, percent), n_docs)
     final = known if more.isEmpty() else components(links.union(more))
 
     first = F.min(F.struct("no_id", "doc_id", "lead")).alias("first")
-    named = checkpointed(final.join(classes, F.col("node") == F.col("lead")).groupBy("component").agg(first))
+    named = packed(final.join(classes, F.col("node") == F.col("lead")).groupBy("component").agg(first), n_docs)
     linked = final.join(named, "component").select("node", "first")
-    led = checkpointed(classes.join(linked, F.col("lead") == F.col("node"), "left")
-                       .withColumn("first", F.coalesce("first", F.struct("no_id", "doc_id", "lead")))
-                       .select("s1", "s2", "n_shingles", F.col("first.doc_id").alias("component"), F.col("first.lead").alias("head")))
+    led = packed(classes.join(linked, F.col("lead") == F.col("node"), "left")
+                 .withColumn("first", F.coalesce("first", F.struct("no_id", "doc_id", "lead")))
+                 .select("s1", "s2", "n_shingles", F.col("first.doc_id").alias("component"), F.col("first.lead").alias("head")), n_docs)
     alone = F.col("n_shingles") == 0
     return (rows.drop("bands", "bits").join(led, ["s1", "s2", "n_shingles"], "left")
             .withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component")))

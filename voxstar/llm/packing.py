@@ -20,8 +20,8 @@ from voxstar.shipping import ship
 #: Heads are cut to whole units; a combination has at most DEPTH heads.
 UNIT = 128
 DEPTH = 4
-#: Units whose ids a worker keeps; the first half stays.
-CACHE = 1_000_000
+#: Units whose ids a worker keeps, some 200 bytes each; the first half stays.
+CACHE = 1 << 18
 
 #: Kinds of bytes: white space, letter, digit, other mark, and what only the tokenizer can split.
 _SPACE, _LETTER, _DIGIT, _MARK, _WHOLE = range(5)

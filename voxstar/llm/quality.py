@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxstar.llm import words as W
-from voxstar.llm.staging import checkpointed, stored
+from voxstar.llm.staging import checkpointed, packed, stored
 from voxstar.shipping import ship
 
 #: The window of the repetition rule, in words.
@@ -89,9 +89,9 @@ def host_rates(measured: DataFrame, host: str) -> DataFrame:
     numbers per rule reach the driver.
     """
     rules = failures()
-    hosts = checkpointed(measured.where(F.col(host).isNotNull()).groupBy(host)
-                         .agg(F.count(F.lit(1)).alias("n_docs"),
-                              *[F.sum(fails.cast("long")).alias(name) for name, fails in rules.items()]))
+    hosts = packed(measured.where(F.col(host).isNotNull()).groupBy(host)
+                   .agg(F.count(F.lit(1)).alias("n_docs"),
+                        *[F.sum(fails.cast("long")).alias(name) for name, fails in rules.items()]))
     row = hosts.agg(F.sum("n_docs").alias("n"), *[F.sum(r).alias(r) for r in rules]).first()
     if not row["n"]:
         return hosts.withColumns({r: F.lit(0.0) for r in rules})
