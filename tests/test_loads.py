@@ -1,7 +1,9 @@
 import json
+import os
 from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 import payload_files as files
@@ -10,8 +12,9 @@ from voxstar.plans import loads
 from voxstar.plans.catalog import register
 from voxstar.plans.events import sentiment_by_category
 from voxstar.plans.loads import initial_load, secondary_load, seed_load
-from voxstar.sources.payloads import scan_payloads
+from voxstar.sources.payloads import scan_payloads, stream_payloads
 from voxstar.sources.tables import Store, load
+from voxstar.streaming import ingest
 from voxstar.streaming.ingest import ingest_files, load_batch
 from voxstar.suite import captures
 
@@ -153,6 +156,55 @@ def test_stream_equals_batch(spark, capture, store, tmp_path, rows):
     assert streamed.commits().count() == 2
 
 
+def numbered(root, *numbers):
+    for i in numbers:
+        files.write(root, "ebola" if i % 2 else "ss_marriage", f"w_2014-03-23_2014-03-{i:02d}.json", {})
+        os.utime(next(Path(root).glob(f"*/*-{i:02d}.json")), (1_400_000_000 + i,) * 2)
+
+
+def test_files_are_picked_up_by_tasks(spark, tmp_path, monkeypatch):
+    """In chunks, oldest first, none twice; a failed batch is repeated with its files. No plan and no file source holds a payload file."""
+    root, check, loads = tmp_path / "capture", str(tmp_path / "check"), []
+    broken = []
+
+    def load(store, raw, key, quoting):
+        if broken:
+            raise RuntimeError("broken load")
+        limits = [raw.sparkSession.conf.get(f"spark.sql.{x}autoBroadcastJoinThreshold") for x in ("", "adaptive.")]
+        assert limits == ["-1", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")] and not [f for f in raw.inputFiles() if f.endswith(".json")]
+        loads.append((int(key.split("/")[1]), sorted(int(r["filepath"][-7:-5]) for r in raw.collect())))
+
+    monkeypatch.setattr(ingest, "initial_load", load)
+    monkeypatch.setattr(ingest, "stream_payloads", None)
+    run = lambda **more: ingest_files(spark, str(root), Store(spark, str(tmp_path / "s")), check, **more)
+    run()
+    numbered(root, 5, 4, 3, 2, 1)
+    run(max_files=2)
+    assert loads == [(0, [1, 2]), (1, [3, 4]), (2, [5])]
+    run(max_files=2)
+    assert len(loads) == 3
+    numbered(root, 8, 9)
+    broken.append(True)
+    with pytest.raises(StreamingQueryException):
+        run(max_files=1)
+    broken.clear()
+    numbered(root, 10)
+    run()
+    assert loads[3:] == [(3, [8]), (4, [9, 10])]
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+
+
+def test_a_checkpoint_of_the_file_source_goes_on(spark, tmp_path, monkeypatch):
+    root, check, loads = tmp_path / "capture", str(tmp_path / "check"), []
+    monkeypatch.setattr(ingest, "initial_load", lambda store, raw, key, quoting: loads.append(raw.count()))
+    store = Store(spark, str(tmp_path / "s"))
+    numbered(root, 1, 2)
+    ingest.ingest_stream(stream_payloads(spark, str(root)), store, check).awaitTermination()
+    numbered(root, 3)
+    ingest_files(spark, str(root), store, check)
+    assert loads == [2, 1]
+
+
 def test_repeated_epoch_is_skipped(spark, capture, store):
     raw = scan_payloads(spark, str(capture))
     run = load_batch(store, name="q")

@@ -90,3 +90,40 @@ def test_capture_files_take_no_step_of_the_driver_each(spark, tmp_path, monkeypa
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     monkeypatch.setattr(store_files, "rename", None)
     assert [p.rsplit("/", 1)[1] for p in store_files.listed(spark, f"{captures._json_files(spark, str(tmp_path))}/*")] == ["ebola"]
+
+
+def test_tasks_list_and_read_the_files_that_spark_would(spark, tmp_path):
+    root = tmp_path / "cap ture"
+    for name in ("ebola/a.json", "ebola/_h.json", "ebola/_h=1.json", "ebola/.d.json", "ebola/t.txt", "ebola/sub/n.json", "a b%\u00e9#/q%20 \u20ac\u2003.json",
+                 "_hid/z.json", ".dot/z.json", "x.json/in.json", "top.json"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(b'{"data": 1}\n\xff\r\n' + name.encode())
+    (root / "ebola" / "empty.json").touch()
+    (root / "ebola" / "link.json").symlink_to(root / "ebola" / "a.json")
+    (root / "ebola" / "lost.json").symlink_to(root / "nowhere")
+    found = store_files.list_files(spark, str(root), ".json")
+    shown = lambda df: sorted(map(tuple, df.select("filepath", F.hex("value")).collect()))
+    assert shown(store_files.read_files(found)) == shown(p.scan_payloads(spark, str(root))) and found.count() == 9
+    assert store_files.list_files(spark, str(tmp_path / "none"), ".json").count() == 0
+    assert not store_files.tasks_reach(spark, f"{tmp_path}/*")
+
+
+def test_a_listing_of_a_large_folder_is_whole(spark, tmp_path):
+    for i in range(n := 2 * store_files._ROWS + 3):
+        (tmp_path / f"{i}.json").touch()
+    assert store_files.list_files(spark, str(tmp_path), ".json").select("path").distinct().count() == n
+    assert store_files.matching(spark, f"{tmp_path}/*.json") == n
+
+
+def test_matches_are_counted_without_a_list_in_the_jvm(spark, tmp_path, monkeypatch):
+    for name in ("a/x.json", "a/.y.json", "a/t.txt", "b/c/x.json", "top.json", "a+b/(x).json"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).touch()
+    patterns = ["*", "*/*.json", "?/*", "a/x.json", "a+b/*", "*/*/*", "none/*", "a/x.json/*", "{a,b}/*", "[ab]/*"]
+    system = store_files._system
+    with monkeypatch.context() as m:
+        m.setattr(store_files, "_system", lambda *a: (*system(*a)[:2], None))
+        wanted = [store_files.matching(spark, f"{tmp_path}/{x}") for x in patterns]
+    assert [store_files.matching(spark, f"{tmp_path}/{x}") for x in patterns] == wanted and wanted[:2] == [4, 3]
+    monkeypatch.setattr(store_files, "_system", lambda *a: (None, None, system(*a)[2]))
+    assert store_files.matching(spark, f"{tmp_path}/*/*.json") == 3
