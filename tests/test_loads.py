@@ -171,7 +171,7 @@ def test_files_are_picked_up_by_tasks(spark, tmp_path, monkeypatch):
         if broken:
             raise RuntimeError("broken load")
         limits = [raw.sparkSession.conf.get(f"spark.sql.{x}autoBroadcastJoinThreshold") for x in ("", "adaptive.")]
-        assert limits == ["-1", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")] and not [f for f in raw.inputFiles() if f.endswith(".json")]
+        assert limits == [str((10 << 20) // 64), str(10 << 20)] and not [f for f in raw.inputFiles() if f.endswith(".json")]
         loads.append((int(key.split("/")[1]), sorted(int(r["filepath"][-7:-5]) for r in raw.collect())))
 
     monkeypatch.setattr(ingest, "initial_load", load)
@@ -191,7 +191,7 @@ def test_files_are_picked_up_by_tasks(spark, tmp_path, monkeypatch):
     numbered(root, 10)
     run()
     assert loads[3:] == [(3, [8]), (4, [9, 10])]
-    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
 
 
 def test_a_checkpoint_of_the_file_source_goes_on(spark, tmp_path, monkeypatch):

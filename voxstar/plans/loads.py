@@ -228,12 +228,13 @@ def _initial(store: Store, raw: DataFrame, batch_id: int, load_key: str, quoting
         _, new_searches = upsert_dim(stored_searches, dated, search, "search_id", SEARCH_SEED)
         store.write("searches", new_searches, batch_id)
         searches = stored_searches.unionByName(store.read("searches", batch_id))
-        return resolve_id(dated, searches, search, "search_id")
+        return fix_rows(resolve_id(dated, searches, search, "search_id"))
 
     *_, known = together(load_users, load_texts, lambda: store.write(
         "payload", bad.select("filepath", F.col("corrupt").alias("payload"), REASON), batch_id), load_searches)
 
-    found = facts.join(known.select("filepath", "search_id"), "filepath")
+    # fixed, because the check of the facts reads them four times, and each copy of their plan takes memory of the driver
+    found = fix_rows(facts.join(known.select("filepath", "search_id"), "filepath"))
     own = lambda table: store.read(table, batch_id).select(*STORED_KEYS[table])
     judged = facts_load(found, store.known("tweet_data", touched=touched["fact.tweet_id"]),
                         store.known("users", touched=touched["fact.author_id"]).unionByName(own("users")),
